@@ -49,7 +49,8 @@ prices AS (
          CASE WHEN day(date) IN (1, 2, 16) THEN NULL ELSE price END AS dcoilwtico
   FROM (
     SELECT CAST(o_orderdate AS DATE) AS date,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) / count(o_totalprice) AS price
+           ((2 * sum(CAST(round(o_totalprice * 100) AS BIGINT)) + count(o_totalprice))
+             // (2 * count(o_totalprice))) / 100.0 AS price
     FROM orders
     WHERE dayofweek(CAST(o_orderdate AS DATE)) NOT IN (0, 6)
     GROUP BY 1
@@ -175,3 +176,105 @@ SELECT family, total_sales, avg_sales,
 FROM fam""", f"""
 fam AS (SELECT family, {_sum('sales')} AS total_sales, {_avg('sales')} AS avg_sales
         FROM wide GROUP BY family)""")
+
+ORACLES["store_ranking"] = _with("""
+SELECT store_nbr, total_sales, city, state, type,
+       row_number() OVER (ORDER BY total_sales DESC, store_nbr) AS ranking
+FROM per_store""", f"""
+per_store AS (SELECT store_nbr, city, state, type, {_sum('sales')} AS total_sales
+              FROM wide GROUP BY store_nbr, city, state, type)""")
+
+ORACLES["sales_by_city_state"] = _with(f"""
+SELECT city, state, {_avg('sales')} AS avg_sales, {_sum('sales')} AS total_sales
+FROM wide GROUP BY city, state""")
+
+ORACLES["monthly_evolution"] = _with(f"""
+SELECT CAST(year(date) AS INTEGER) AS year, strftime(date, '%Y-%m') AS year_month,
+       {_sum('sales')} AS total_sales
+FROM wide GROUP BY 1, 2""")
+
+ORACLES["holiday_impact"] = _with(f"""
+SELECT is_national_holiday, {_avg('sales')} AS avg_sales, {_sum('sales')} AS total_sales,
+       count(*) AS n_rows,
+       CASE WHEN is_national_holiday THEN 'national_holiday' ELSE 'normal_day' END AS day_type
+FROM wide GROUP BY is_national_holiday""")
+
+ORACLES["holiday_window"] = _with("""
+SELECT w.offset, d.family, CAST(sum(d.day_total) AS DOUBLE) / count(d.day_total) AS avg_sales
+FROM daily d JOIN win w ON d.date = w.date
+GROUP BY w.offset, d.family""", """
+ev AS (SELECT DISTINCT date AS d FROM wide WHERE is_national_holiday),
+win AS (SELECT CAST(g.k AS INTEGER) AS offset, ev.d + CAST(g.k AS INTEGER) AS date
+        FROM ev CROSS JOIN generate_series(-3, 3) AS g(k)),
+daily AS (SELECT date, family, sum(CAST(sales AS DECIMAL(18,4))) AS day_total
+          FROM wide GROUP BY date, family)""")
+
+
+def _contrast(flag: str, t: str, f: str, change: str) -> str:
+    h = _avg(f"CASE WHEN {flag} THEN sales END")
+    n = _avg(f"CASE WHEN NOT ({flag}) THEN sales END")
+    return _with(f"""
+SELECT family, {t}, {f}, round(({t} - {f}) / {f} * 100, 2) AS {change}
+FROM (SELECT family, {h} AS {t}, {n} AS {f} FROM wide GROUP BY family)""")
+
+
+ORACLES["holiday_sensitivity"] = _contrast("is_national_holiday", "avg_holiday", "avg_normal", "pct_change")
+ORACLES["promotion_uplift"] = _contrast("onpromotion > 0", "avg_promo", "avg_no_promo", "uplift_pct")
+
+_MONTHLY = f"""SELECT strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS total_sales,
+         {_avg('dcoilwtico')} AS avg_price"""
+
+ORACLES["price_sales_corr"] = _with(f"""
+SELECT year_month, total_sales, avg_price,
+       (SELECT {_corr('total_sales', 'avg_price')} FROM monthly) AS corr
+FROM monthly""", f"""
+monthly AS ({_MONTHLY} FROM wide GROUP BY 1)""")
+
+_IN_PERIOD = f"date BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}'"
+
+ORACLES["lag_corr"] = _with("\nUNION ALL\n".join(
+    f"SELECT CAST({k} AS BIGINT) AS lag_months, {_corr('total_sales', f'p{k}')} AS corr "
+    f"FROM lagged HAVING count(*) > 0" for k in range(7)), f"""
+monthly AS ({_MONTHLY} FROM wide WHERE {_IN_PERIOD} GROUP BY 1),
+lagged AS (SELECT total_sales, {", ".join(f"lag(avg_price, {k}) OVER (ORDER BY year_month) AS p{k}" for k in range(7))}
+           FROM monthly)""")
+
+ORACLES["city_price_corr"] = _with(f"""
+SELECT city, {_corr('total_sales', 'avg_price')} AS corr
+FROM monthly GROUP BY city HAVING count(*) >= 3""", f"""
+monthly AS (SELECT city, strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS total_sales,
+                   {_avg('dcoilwtico')} AS avg_price
+            FROM wide WHERE {_IN_PERIOD} GROUP BY 1, 2)""")
+
+ORACLES["transactions_vs_sales"] = _with(f"""
+SELECT store_nbr, total_sales, total_transactions,
+       (SELECT {_corr('total_sales', 'total_transactions')} FROM per_store) AS corr
+FROM per_store""", f"""
+per_store AS (SELECT store_nbr, {_sum('sales')} AS total_sales,
+                     CAST(coalesce(sum(transactions), 0) AS BIGINT) AS total_transactions
+              FROM wide GROUP BY store_nbr)""")
+
+ORACLES["average_ticket"] = _with(f"""
+SELECT store_nbr, total_sales, total_transactions, total_sales / total_transactions AS avg_ticket
+FROM (SELECT store_nbr, {_sum('sales')} AS total_sales,
+             CAST(sum(transactions) AS BIGINT) AS total_transactions
+      FROM wide GROUP BY store_nbr)
+WHERE total_transactions > 0""")
+
+ORACLES["average_ticket_store_day"] = _with(f"""
+SELECT s.store_nbr, s.total_sales, t.total_transactions,
+       s.total_sales / t.total_transactions AS avg_ticket
+FROM (SELECT store_nbr, {_sum('sales')} AS total_sales FROM wide GROUP BY store_nbr) s
+JOIN (SELECT store_nbr, CAST(sum(tr) AS BIGINT) AS total_transactions
+      FROM (SELECT DISTINCT store_nbr, date, transactions AS tr FROM wide) GROUP BY store_nbr) t
+  ON s.store_nbr = t.store_nbr
+WHERE t.total_transactions > 0""")
+
+ORACLES["sales_by_store_type"] = _with(f"""
+SELECT type, {_sum('sales')} AS total_sales, count(DISTINCT store_nbr) AS n_stores
+FROM wide GROUP BY type""")
+
+ORACLES["top_families"] = _with(f"""
+SELECT family, {_sum('sales')} AS total_sales, {_avg('sales')} AS avg_sales,
+       round({_sum('sales')} / (SELECT {_sum('sales')} FROM wide) * 100, 2) AS pct_of_total
+FROM wide GROUP BY family ORDER BY total_sales DESC, family LIMIT 5""")

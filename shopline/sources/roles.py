@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopline.functions.sizing import bounded_broadcast
-from shopline.functions.stats import exact_avg
 
 # Fixed values of the role mapping.
 STORE_TYPES = "ABCDE"          # store type letter = STORE_TYPES[suppkey % 5]
@@ -81,8 +80,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders").select(
         F.col("o_orderdate").cast("date").alias("date"), "o_totalprice")
+    # Mean order total in whole cents, rounded half up with integer arithmetic
+    # (exact, so every engine gets the same price).
     daily = (o.where(~F.dayofweek("date").isin(1, 7))
-             .groupBy("date").agg(exact_avg("o_totalprice").alias("price")))
+             .groupBy("date")
+             .agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("_c"),
+                  F.count("o_totalprice").alias("_n"))
+             .select("date", (F.expr("(2 * _c + _n) div (2 * _n)") / 100.0).alias("price")))
     gap = F.dayofmonth("date").isin(*PRICE_GAP_DAYS)
     return daily.select("date", F.when(~gap, F.col("price")).alias("dcoilwtico"))
 
