@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from shopline.operators import clean as cln
 from shopline.operators import consolidate as con
+from shopline.operators import profile as prf
 from shopline.plans import marts
+from shopline.schemas import SALES
+from shopline.sources import csv as csvsrc
 from shopline.sources import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +27,7 @@ PERIOD = roles.PERIOD
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables, _ = cln.clean_all(roles.inputs(spark, sf_dir))
+    tables, _ = cln.clean_all(roles.raw_inputs(spark, sf_dir))
     return tables
 
 
@@ -51,7 +54,103 @@ def q_average_ticket_store_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.average_ticket(consolidated(spark, sf_dir), grain="store_day")
 
 
+# ------------------------------------------------------------ sources, profile
+
+def q_csv_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales rows written as CSV text — families with embedded commas and
+    quotes, rows with an even promotion count double-encoded — read back."""
+    s = roles.sales(spark, sf_dir)
+    odd = F.col("onpromotion") % 2 == 1
+    s = s.withColumn("family", F.when(odd, F.concat(F.col("family"), F.lit(', "S'),
+                                                     F.col("store_nbr").cast("string"), F.lit('"')))
+                     .otherwise(F.col("family")))
+    lines = csvsrc.render_csv_lines(s, wrap=F.col("onpromotion") % 3 == 0)
+    header = spark.createDataFrame([(",".join(SALES.fieldNames()),)], "value string")
+    return csvsrc.parse_csv_lines(header.unionByName(lines), SALES)
+
+
+def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csvsrc.load_audit(roles.raw_inputs(spark, sf_dir))
+
+
+def q_profile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prf.profile_tables(roles.raw_inputs(spark, sf_dir))["columns"]
+
+
+def q_profile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prf.profile_tables(roles.raw_inputs(spark, sf_dir))["tables"]
+
+
+def q_profile_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prf.profile_tables(roles.raw_inputs(spark, sf_dir))["dates"]
+
+
+# -------------------------------------------------------------------- cleaning
+
+def q_dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cln.dedupe(roles.dirty_sales(spark, sf_dir))
+
+
+def q_impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = cln.dedupe(roles.dirty_sales(spark, sf_dir))
+    out, _ = cln.impute(sales, ["sales", "onpromotion"])
+    return out
+
+
+def q_impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = cln.dedupe(roles.dirty_holidays(spark, sf_dir))
+    out, _ = cln.impute(h, ["locale_name", "transferred"])
+    return out
+
+
+def q_interpolate_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cln.interpolate(roles.prices(spark, sf_dir), "date", "dcoilwtico", fill_edges=False)
+
+
+def q_interpolate_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cln.interpolate(roles.prices(spark, sf_dir), "date", "dcoilwtico", fill_edges=True)
+
+
+def q_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, audit = cln.clean_all(roles.raw_inputs(spark, sf_dir))
+    return audit
+
+
+# --------------------------------------------------------------- consolidation
+
+def q_holiday_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return con.holidays_per_date(cleaned(spark, sf_dir)["holidays"]).drop("is_national_holiday")
+
+
+def q_holiday_national_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return con.holidays_per_date(cleaned(spark, sf_dir)["holidays"]).select("date", "is_national_holiday")
+
+
+def q_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consolidated(spark, sf_dir)
+
+
+def q_join_fanout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = cleaned(spark, sf_dir)
+    return con.fanout_audit(tables, con.consolidate(tables))
+
+
 QUERIES: dict[str, Query] = {
+    "csv_repair": q_csv_repair,
+    "load_audit": q_load_audit,
+    "profile_nulls": q_profile_nulls,
+    "profile_duplicates": q_profile_duplicates,
+    "profile_date_range": q_profile_date_range,
+    "dedupe_rows": q_dedupe_rows,
+    "impute_median": q_impute_median,
+    "impute_mode": q_impute_mode,
+    "interpolate_linear": q_interpolate_linear,
+    "interpolate_edges": q_interpolate_edges,
+    "clean_audit": q_clean_audit,
+    "holiday_representative": q_holiday_representative,
+    "holiday_national_flag": q_holiday_national_flag,
+    "consolidate": q_consolidate,
+    "join_fanout_audit": q_join_fanout_audit,
     "sales_by_family": _mart(marts.sales_by_family),
     "store_ranking": _mart(marts.store_ranking),
     "sales_by_city_state": _mart(marts.sales_by_city_state),

@@ -68,25 +68,79 @@ holiday_src AS (
          o_custkey, o_orderkey, o_totalprice
   FROM orders WHERE o_orderpriority = '1-URGENT'
 ),
-holidays AS (
+holiday_rows AS (
   SELECT date, type, locale,
          CASE locale WHEN 'National' THEN 'Country'
                      WHEN 'Regional' THEN 'Region ' || CAST(o_custkey % 5 AS VARCHAR)
                      ELSE 'City ' || CAST(o_custkey % 25 AS VARCHAR) END AS locale_name,
          type || ' ' || CAST(o_orderkey AS VARCHAR) AS description,
-         (o_orderkey % 4 = 0) AS transferred
+         (o_orderkey % 4 = 0) AS transferred,
+         o_totalprice
   FROM holiday_src
+),
+holidays AS (SELECT date, type, locale, locale_name, description, transferred FROM holiday_rows)"""
+
+# Raw feeds with defects (duplicates, blanks), as the cleaning step receives them.
+RAW = """
+sales_src AS (
+  SELECT CAST(l.l_orderkey * 100 + l.l_linenumber AS BIGINT) AS id,
+         CAST(l.l_shipdate AS DATE) AS date,
+         CAST(l.l_suppkey AS BIGINT) AS store_nbr,
+         CASE WHEN l.l_discount <> 0.1 THEN p.p_brand END AS family,
+         CASE WHEN l.l_tax <> 0.0 THEN CAST(l.l_extendedprice AS DOUBLE) END AS sales,
+         CASE WHEN l.l_quantity <> 50.0 THEN CAST(round(l.l_discount * 100) AS BIGINT) END AS onpromotion,
+         (l.l_returnflag = 'R' AND l.l_linestatus = 'F') AS twice
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+),
+train_raw AS (
+  SELECT id, date, store_nbr, family, sales, onpromotion FROM sales_src
+  UNION ALL
+  SELECT id, date, store_nbr, family, sales, onpromotion FROM sales_src WHERE twice
+),
+holidays_raw AS (
+  SELECT date, type, locale,
+         CASE WHEN NOT (locale = 'Local' AND o_totalprice > 400000) THEN locale_name END AS locale_name,
+         description,
+         CASE WHEN o_totalprice >= 20000 THEN transferred END AS transferred
+  FROM holiday_rows
 )"""
 
+
+def _median(table: str, col: str) -> str:
+    """Exact median (mean of the two middle values) of a column, as a scalar subquery."""
+    return f"""(SELECT (max(CASE WHEN i = (n - 1) // 2 THEN v END) + max(CASE WHEN i = n // 2 THEN v END)) / 2
+   FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n
+         FROM (SELECT CAST({col} AS DOUBLE) AS v FROM {table} WHERE {col} IS NOT NULL)))"""
+
+
+def _mode(table: str, col: str) -> str:
+    return f"""(SELECT {col} FROM {table} WHERE {col} IS NOT NULL
+   GROUP BY {col} ORDER BY count(*) DESC, {col} LIMIT 1)"""
+
+
 # --------------------------------------------------------------- cleaned inputs
 # Sales, stores, transactions and holidays have neither duplicates nor nulls
 # here, so cleaning is a DISTINCT; prices are interpolated by row position and
 # edge-filled.
-CLEAN = """
-sales_c AS (SELECT DISTINCT * FROM sales),
+CLEAN = f"""
+train_d AS (SELECT DISTINCT * FROM train_raw),
+sales_c AS (
+  SELECT id, date, store_nbr,
+         coalesce(family, {_mode('train_d', 'family')}) AS family,
+         coalesce(sales, {_median('train_d', 'sales')}) AS sales,
+         coalesce(CAST(onpromotion AS DOUBLE), {_median('train_d', 'onpromotion')}) AS onpromotion
+  FROM train_d
+),
 stores_c AS (SELECT DISTINCT * FROM stores),
 transactions_c AS (SELECT DISTINCT * FROM transactions),
-holidays_c AS (SELECT DISTINCT * FROM holidays),
+holidays_d AS (SELECT DISTINCT * FROM holidays_raw),
+holidays_c AS (
+  SELECT date, type, locale,
+         coalesce(locale_name, {_mode('holidays_d', 'locale_name')}) AS locale_name,
+         description,
+         coalesce(transferred, {_mode('holidays_d', 'transferred')}) AS transferred
+  FROM holidays_d
+),
 prices_pos AS (
   SELECT date, dcoilwtico AS v,
          CAST(row_number() OVER (ORDER BY date) AS DOUBLE) AS pos
@@ -145,7 +199,7 @@ wide AS (
   LEFT JOIN hol_day h ON s.date = h.date
 )"""
 
-BASE = ",".join([SALES, STORES, TRANSACTIONS, PRICES, HOLIDAYS, CLEAN, WIDE])
+BASE = ",".join([SALES, STORES, TRANSACTIONS, PRICES, HOLIDAYS, RAW, CLEAN, WIDE])
 
 
 def _with(body: str, *ctes: str) -> str:
@@ -278,3 +332,103 @@ ORACLES["top_families"] = _with(f"""
 SELECT family, {_sum('sales')} AS total_sales, {_avg('sales')} AS avg_sales,
        round({_sum('sales')} / (SELECT {_sum('sales')} FROM wide) * 100, 2) AS pct_of_total
 FROM wide GROUP BY family ORDER BY total_sales DESC, family LIMIT 5""")
+
+# ------------------------------------------------------ sources, profile, clean
+ORACLES["csv_repair"] = _with("""
+SELECT id, date, store_nbr,
+       CASE WHEN onpromotion % 2 = 1
+            THEN family || ', "S' || CAST(store_nbr AS VARCHAR) || '"' ELSE family END AS family,
+       sales, onpromotion
+FROM sales""")
+
+# Raw inputs and their columns with Spark type names.
+RAW_TABLES = {
+    "train": ("train_raw", [("id", "bigint"), ("date", "date"), ("store_nbr", "bigint"),
+                            ("family", "string"), ("sales", "double"), ("onpromotion", "bigint")]),
+    "stores": ("stores", [("store_nbr", "bigint"), ("city", "string"), ("state", "string"),
+                          ("type", "string"), ("cluster", "bigint")]),
+    "transactions": ("transactions", [("date", "date"), ("store_nbr", "bigint"),
+                                      ("transactions", "bigint")]),
+    "oil": ("prices", [("date", "date"), ("dcoilwtico", "double")]),
+    "holidays": ("holidays_raw", [("date", "date"), ("type", "string"), ("locale", "string"),
+                                  ("locale_name", "string"), ("description", "string"),
+                                  ("transferred", "boolean")]),
+}
+
+ORACLES["load_audit"] = _with("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS rows, {len(cols)} AS columns FROM {view}"
+    for name, (view, cols) in RAW_TABLES.items()))
+
+# round(100 * nulls / rows, 3) rounded half up, in integer arithmetic.
+ORACLES["profile_nulls"] = _with("\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "table", '{c}' AS "column", '{t}' AS data_type, nulls,
+       CASE WHEN rows > 0 THEN ((200000 * nulls + rows) // (2 * rows)) / 1000.0 ELSE 0.0 END AS null_pct
+FROM (SELECT count(*) AS rows, CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM {view})"""
+    for name, (view, cols) in RAW_TABLES.items() for c, t in cols))
+
+ORACLES["profile_duplicates"] = _with("\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "table", count(*) AS rows, {len(cols)} AS columns,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {view})) AS duplicate_rows FROM {view}"""
+    for name, (view, cols) in RAW_TABLES.items()))
+
+ORACLES["profile_date_range"] = _with("\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "table", '{c}' AS "column", min({c}) AS min_date, max({c}) AS max_date FROM {view}"""
+    for name, (view, cols) in RAW_TABLES.items() for c, t in cols if t == "date"))
+
+ORACLES["dedupe_rows"] = _with("SELECT DISTINCT * FROM train_raw")
+
+ORACLES["impute_median"] = _with(f"""
+SELECT id, date, store_nbr, family,
+       coalesce(sales, {_median('train_d', 'sales')}) AS sales,
+       coalesce(CAST(onpromotion AS DOUBLE), {_median('train_d', 'onpromotion')}) AS onpromotion
+FROM train_d""")
+
+ORACLES["impute_mode"] = _with("SELECT * FROM holidays_c")
+
+ORACLES["interpolate_linear"] = _with("""
+SELECT date, CASE WHEN v IS NOT NULL THEN v
+                  WHEN lp IS NOT NULL AND np IS NOT NULL THEN lv + (nv - lv) * (pos - lp) / (np - lp)
+             END AS dcoilwtico
+FROM prices_nb""")
+
+ORACLES["interpolate_edges"] = _with("SELECT * FROM prices_c")
+
+
+def _audit_rows() -> str:
+    parts = []
+    counts = {
+        "train": ("(SELECT count(*) FROM train_raw)", "(SELECT count(*) FROM train_d)"),
+        "oil": ("(SELECT count(*) FROM prices)", "(SELECT count(*) FROM (SELECT DISTINCT * FROM prices))"),
+        "holidays": ("(SELECT count(*) FROM holidays_raw)", "(SELECT count(*) FROM holidays_d)"),
+    }
+    imputed = {
+        ("train", "family"): ("'mode'", "NULL", _mode("train_d", "family")),
+        ("train", "sales"): ("'median'", _median("train_d", "sales"), "NULL"),
+        ("train", "onpromotion"): ("'median'", _median("train_d", "onpromotion"), "NULL"),
+        ("oil", "dcoilwtico"): ("'linear_interpolation+edge_fill'", "NULL", "NULL"),
+        ("holidays", "locale_name"): ("'mode'", "NULL", _mode("holidays_d", "locale_name")),
+        ("holidays", "transferred"): ("'mode'", "NULL", _mode("holidays_d", "transferred")),
+    }
+    for (table, col), (strategy, num, text) in imputed.items():
+        view = RAW_TABLES[table][0]
+        before, after = counts[table]
+        parts.append(f"""SELECT '{table}' AS "table", '{col}' AS "column",
+       {before} AS rows_before, {after} AS rows_after, {before} - {after} AS duplicates_removed,
+       (SELECT CAST(count(*) - count({col}) AS BIGINT) FROM {view}) AS nulls_before,
+       {strategy} AS strategy, CAST({num} AS DOUBLE) AS value_num, CAST({text} AS VARCHAR) AS value_text""")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["clean_audit"] = _with(_audit_rows())
+
+ORACLES["holiday_representative"] = _with("""
+SELECT date, holiday_type, holiday_locale, holiday_locale_name, holiday_description, holiday_transferred
+FROM hol_day""")
+
+ORACLES["holiday_national_flag"] = _with("SELECT date, is_national_holiday FROM hol_flag")
+
+ORACLES["consolidate"] = _with("SELECT * FROM wide")
+
+ORACLES["join_fanout_audit"] = _with("""
+SELECT b.n AS base_rows, w.n AS consolidated_rows, w.n - b.n AS rows_added_by_joins, 18 AS columns
+FROM (SELECT count(*) AS n FROM sales_c) b, (SELECT count(*) AS n FROM wide) w""")

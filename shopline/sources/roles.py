@@ -163,3 +163,11 @@ def dirty_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
         "description",
         F.when(F.col("o_totalprice") >= 20000, F.col("transferred")).alias("transferred"),
     )
+
+
+def raw_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five inputs as the cleaning step receives them (with defects)."""
+    tables = inputs(spark, sf_dir)
+    tables["train"] = dirty_sales(spark, sf_dir)
+    tables["holidays"] = dirty_holidays(spark, sf_dir)
+    return tables
