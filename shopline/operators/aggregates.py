@@ -189,5 +189,12 @@ def totals_and_corr(df: DataFrame, key: Keys, num: str, den: str, *,
 
 
 def restrict_period(df: DataFrame, date: str, start: str, end: str) -> DataFrame:
-    """Rows with ``start <= date <= end`` (DT4); pushed down to the scan."""
-    return df.where(in_period(date, start, end))
+    """Rows with ``start <= date <= end`` (DT4); pushed down to the scan.
+
+    On a table stored partitioned by ``year`` the same bounds on ``year`` are
+    added, so whole year folders outside the period are never listed or read.
+    """
+    out = df.where(in_period(date, start, end))
+    if "year" in df.columns:
+        out = out.where(F.col("year").between(int(str(start)[:4]), int(str(end)[:4])))
+    return out

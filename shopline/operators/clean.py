@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopline.operators.ordering import exact_median, most_frequent
+from shopline.session import cut_lineage
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
@@ -33,9 +34,11 @@ def cast_date(df: DataFrame, column: str | None) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("date"))
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """One row: null count of every column (one pass)."""
-    return df.agg(*[F.sum(F.col(f"`{c}`").isNull().cast("bigint")).alias(c) for c in df.columns])
+def null_counts(df: DataFrame, with_rows: bool = False) -> DataFrame:
+    """One row: null count of every column (one pass); ``_rows`` too if asked."""
+    rows = [F.count(F.lit(1)).alias("_rows")] if with_rows else []
+    return df.agg(*rows, *[F.coalesce(F.sum(F.col(f"`{c}`").isNull().cast("bigint")), F.lit(0))
+                           .alias(c) for c in df.columns])
 
 
 def strategy_for(dtype: T.DataType) -> str:
@@ -129,10 +132,18 @@ SPECS = {
 }
 
 
-def clean_table(name: str, df: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataFrame]:
-    """Clean one table; returns (clean table, audit rows) (CLN8)."""
-    nulls_before = null_counts(df)
+def clean_table(name: str, df: DataFrame, spec: CleanSpec, *,
+                materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Clean one table; returns (clean table, audit rows) (CLN8).
+
+    With ``materialize`` the deduplicated table is checkpointed once: the null
+    census, the medians / modes and the later join all read that copy instead
+    of repeating the scan and the dedupe shuffle.
+    """
+    nulls_before = null_counts(df, with_rows=True)
     out = cast_date(dedupe(df), spec.date)
+    if materialize:
+        out = cut_lineage(out)
     if spec.interpolate:
         out = interpolate(out, spec.date, spec.interpolate, keys=spec.series_keys)
         imputed = out.sparkSession.createDataFrame(
@@ -156,12 +167,12 @@ def clean_audit(name: str, before: DataFrame, after: DataFrame, nulls_before: Da
     """Rows (table, column, rows_before, rows_after, duplicates_removed,
     nulls_before, strategy, value_num, value_text); one row per column with
     nulls before cleaning."""
-    rows_b = before.agg(F.count(F.lit(1))).scalar()
     rows_a = after.agg(F.count(F.lit(1))).scalar()
     cols = before.columns
     stack = "stack({n}, {pairs}) as (column, nulls_before)".format(
         n=len(cols), pairs=", ".join(f"'{c}', `{c}`" for c in cols))
-    per_col = nulls_before.selectExpr(stack).where("nulls_before > 0")
+    per_col = nulls_before.selectExpr("_rows", stack).where("nulls_before > 0")
+    rows_b = F.col("_rows")
     if imputed is not None:
         per_col = per_col.join(imputed, "column", "left")
     else:

@@ -56,3 +56,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="shopline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder.
+
+    Used where a table is read several times (statistics, then the join): the
+    checkpoint is computed once, survives executor loss (it is on the shared
+    file system, not on executor disks) and replaces the upstream plan.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
