@@ -50,34 +50,37 @@ def impute(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame,
     """Fill nulls: numeric → exact median, others → mode (CLN3-5).
 
     Returns the filled table and the imputation values as one row per column
-    ``(column, strategy, value_num, value_text)``.  ``columns`` defaults to all
-    columns; a column without nulls keeps its values (its fill is a no-op).
-    Integer columns become double when a median is filled in, as a median of
-    integers need not be an integer.  A column with no values at all stays null.
+    ``(column, strategy, value_num, value_text)``.  Each statistic is computed
+    once by a distributed job and comes back as a single value (one per column:
+    a fixed bound), so the fill is a literal and nothing downstream recomputes
+    it.  Integer columns become double when a median is filled in, as a median
+    of integers need not be an integer.  A column with no values stays null.
     """
     cols = columns if columns is not None else df.columns
-    fills, stats = {}, []
+    fills, audit_rows = {}, []
     for c in cols:
         dtype = df.schema[c].dataType
         if strategy_for(dtype) == "median":
-            value = exact_median(df, c)
-            fills[c] = F.coalesce(F.col(c).cast("double"), value.scalar())
-            stats.append(value.select(F.lit(c).alias("column"), F.lit("median").alias("strategy"),
-                                      F.col("median").alias("value_num"),
-                                      F.lit(None).cast("string").alias("value_text")))
+            value = exact_median(df, c).collect()[0]["median"]
+            fills[c] = F.coalesce(F.col(c).cast("double"), F.lit(value).cast("double"))
+            audit_rows.append((c, "median", value, None))
         else:
-            value = most_frequent(df, c)
-            fills[c] = F.coalesce(F.col(c), value.scalar())
-            stats.append(value.select(F.lit(c).alias("column"), F.lit("mode").alias("strategy"),
-                                      F.lit(None).cast("double").alias("value_num"),
-                                      F.col("mode").cast("string").alias("value_text")))
+            value = most_frequent(df, c).collect()[0]["mode"]
+            fills[c] = F.coalesce(F.col(c), F.lit(value).cast(dtype))
+            audit_rows.append((c, "mode", None, None if value is None else _text(value)))
     out = df.withColumns(fills) if fills else df
-    audit = stats[0]
-    for s in stats[1:]:
-        audit = audit.unionByName(s)
+    audit = df.sparkSession.createDataFrame(
+        audit_rows, "column string, strategy string, value_num double, value_text string")
     return out, audit
 
 
+def _text(value) -> str:
+    """Text of an imputed value as Spark casts it to string."""
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return str(value)
+
+
 def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
                 keys: list[str] | None = None, fill_edges: bool = True) -> DataFrame:
     """Linear interpolation of interior nulls, then edge fill (CLN6, CLN7).
@@ -115,20 +118,28 @@ def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
 
 @dataclass
 class CleanSpec:
-    """How one table is cleaned (CLN9)."""
+    """How one table is cleaned (CLN9).
+
+    ``materialize``: ``"if_imputing"`` writes the deduplicated table only when
+    statistics must be computed over it (the fact table: otherwise its dedupe
+    stays lazy and fuses with the joins); ``"always"`` writes the cleaned table
+    (dimensions: the broadcast size check then reads at most a file prefix and
+    the join reads the same copy, so nothing is computed twice).
+    """
     date: str | None = "date"
     interpolate: str | None = None          # value column to interpolate over ``date``
     impute: bool = True
     series_keys: list[str] = field(default_factory=list)
+    materialize: str = "if_imputing"
 
 
 # Per-table dispatch of the batch run.
 SPECS = {
     "train": CleanSpec(),
-    "stores": CleanSpec(date=None),
-    "transactions": CleanSpec(),
-    "oil": CleanSpec(interpolate="dcoilwtico", impute=False),
-    "holidays": CleanSpec(),
+    "stores": CleanSpec(date=None, materialize="always"),
+    "transactions": CleanSpec(materialize="always"),
+    "oil": CleanSpec(interpolate="dcoilwtico", impute=False, materialize="always"),
+    "holidays": CleanSpec(materialize="always"),
 }
 
 
@@ -136,28 +147,33 @@ def clean_table(name: str, df: DataFrame, spec: CleanSpec, *,
                 materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Clean one table; returns (clean table, audit rows) (CLN8).
 
-    With ``materialize`` the deduplicated table is checkpointed once: the null
-    census, the medians / modes and the later join all read that copy instead
-    of repeating the scan and the dedupe shuffle.
+    One pass over the raw table counts rows and nulls per column: it is the
+    audit's "nulls before" and decides which columns need a statistic (dedupe
+    keeps at least one copy of every row, so it never removes a column's last
+    null).  Only when some column is imputed is the deduplicated table
+    materialized (``materialize``), so that the medians / modes and the later
+    join read that copy instead of repeating the scan and the dedupe shuffle.
     """
-    nulls_before = null_counts(df, with_rows=True)
+    census_df = null_counts(df, with_rows=True)
+    census = census_df.collect()[0].asDict()
+    nulls_before = df.sparkSession.createDataFrame([census], census_df.schema)
     out = cast_date(dedupe(df), spec.date)
-    if materialize:
-        out = cut_lineage(out)
+    imputed = None
     if spec.interpolate:
         out = interpolate(out, spec.date, spec.interpolate, keys=spec.series_keys)
         imputed = out.sparkSession.createDataFrame(
             [(spec.interpolate, "linear_interpolation+edge_fill", None, None)],
             "column string, strategy string, value_num double, value_text string")
-    elif spec.impute:
-        nulls_after_dedupe = null_counts(out).collect()[0].asDict()
-        with_nulls = [c for c, n in nulls_after_dedupe.items() if n]
+    written = False
+    if spec.impute and not spec.interpolate:
+        with_nulls = [c for c in df.columns if census[c]]
         if with_nulls:
+            if materialize and spec.materialize != "never":
+                out, written = cut_lineage(out), True
+            # The fill is a literal projection over the written copy.
             out, imputed = impute(out, with_nulls)
-        else:
-            imputed = None
-    else:
-        imputed = None
+    if materialize and spec.materialize == "always" and not written:
+        out = cut_lineage(out)
     audit = clean_audit(name, df, out, nulls_before, imputed)
     return out, audit
 

@@ -20,49 +20,76 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def column_profile(df: DataFrame, table: str, digits: int = 3) -> DataFrame:
+def table_stats(df: DataFrame) -> DataFrame:
+    """One row: ``_rows``, null count ``_n{i}`` of every column and ``_lo{i}`` /
+    ``_hi{i}`` of every date column — all measures of one table in one scan."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        aggs.append(F.coalesce(F.sum(c.isNull().cast("bigint")), F.lit(0)).alias(f"_n{i}"))
+        if isinstance(f.dataType, T.DateType):
+            aggs += [F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}")]
+    return df.agg(*aggs)
+
+
+def column_profile(df: DataFrame, table: str, digits: int = 3,
+                   stats: DataFrame | None = None) -> DataFrame:
     """(table, column, data_type, nulls, null_pct) per column (PRF2, PRF5).
 
     ``null_pct = round(100 * nulls / rows, digits)``, 0.0 for an empty table.
     """
+    stats = stats if stats is not None else table_stats(df)
     cols = df.columns
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.sum(F.col(f"`{c}`").isNull().cast("bigint")).alias(f"_n{i}")
-                      for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c}', '{df.schema[c].dataType.simpleString()}', _n{i}"
                       for i, c in enumerate(cols))
-    long = counts.selectExpr("_rows", f"stack({len(cols)}, {pairs}) as (column, data_type, nulls)")
-    nulls = F.coalesce(F.col("nulls"), F.lit(0)).cast("bigint")
+    long = stats.selectExpr("_rows", f"stack({len(cols)}, {pairs}) as (column, data_type, nulls)")
+    nulls = F.col("nulls").cast("bigint")
     pct = F.when(F.col("_rows") > 0, F.round(nulls * 100.0 / F.col("_rows"), digits)).otherwise(F.lit(0.0))
     return long.select(F.lit(table).alias("table"), "column", "data_type",
                        nulls.alias("nulls"), pct.alias("null_pct"))
 
 
-def table_profile(df: DataFrame, table: str) -> DataFrame:
-    """(table, rows, columns, duplicate_rows) (PRF1, PRF3)."""
-    rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    distinct = df.distinct().agg(F.count(F.lit(1)))
-    return rows.select(F.lit(table).alias("table"), "rows", F.lit(len(df.columns)).alias("columns"),
-                       (F.col("rows") - distinct.scalar()).alias("duplicate_rows"))
+def table_profile(df: DataFrame, table: str, stats: DataFrame | None = None,
+                  distinct_rows: DataFrame | None = None) -> DataFrame:
+    """(table, rows, columns, duplicate_rows) (PRF1, PRF3).
+
+    ``distinct_rows`` may be an already deduplicated copy of ``df`` (the
+    cleaning step's), so the distinct count does not shuffle the table again.
+    """
+    stats = stats if stats is not None else table_stats(df)
+    distinct = (distinct_rows if distinct_rows is not None else df.distinct()).agg(F.count(F.lit(1)))
+    return stats.select(F.lit(table).alias("table"), F.col("_rows").alias("rows"),
+                        F.lit(len(df.columns)).alias("columns"),
+                        (F.col("_rows") - distinct.scalar()).alias("duplicate_rows"))
 
 
-def date_ranges(df: DataFrame, table: str) -> DataFrame | None:
+def date_ranges(df: DataFrame, table: str, stats: DataFrame | None = None) -> DataFrame | None:
     """(table, column, min_date, max_date) for every date column (PRF4)."""
-    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
-    if not dates:
+    idx = [i for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, T.DateType)]
+    if not idx:
         return None
-    one = df.agg(*[F.min(c).alias(f"_lo{i}") for i, c in enumerate(dates)],
-                 *[F.max(c).alias(f"_hi{i}") for i, c in enumerate(dates)])
-    pairs = ", ".join(f"'{c}', _lo{i}, _hi{i}" for i, c in enumerate(dates))
-    return one.selectExpr(f"'{table}' as table",
-                          f"stack({len(dates)}, {pairs}) as (column, min_date, max_date)")
+    stats = stats if stats is not None else table_stats(df)
+    pairs = ", ".join(f"'{df.columns[i]}', _lo{i}, _hi{i}" for i in idx)
+    return stats.selectExpr(f"'{table}' as table",
+                            f"stack({len(idx)}, {pairs}) as (column, min_date, max_date)")
+
 
+def profile_tables(tables: dict[str, DataFrame],
+                   distinct: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The multi-table report (PRF6): ``columns``, ``tables`` and ``dates`` parts.
 
-def profile_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The multi-table report (PRF6): ``columns``, ``tables`` and ``dates`` parts."""
-    dates = [d for d in (date_ranges(df, n) for n, df in tables.items()) if d is not None]
+    Each table is scanned once for all its counts (the one-row statistics are
+    materialized, so the three parts do not rescan it).
+    """
+    distinct = distinct or {}
+    spark = next(iter(tables.values())).sparkSession
+    stats = {}
+    for n, df in tables.items():
+        s = table_stats(df)
+        stats[n] = spark.createDataFrame([s.collect()[0].asDict()], s.schema)
+    dates = [d for d in (date_ranges(df, n, stats[n]) for n, df in tables.items()) if d is not None]
     return {
-        "columns": _union([column_profile(df, n) for n, df in tables.items()]),
-        "tables": _union([table_profile(df, n) for n, df in tables.items()]),
+        "columns": _union([column_profile(df, n, stats=stats[n]) for n, df in tables.items()]),
+        "tables": _union([table_profile(df, n, stats[n], distinct.get(n)) for n, df in tables.items()]),
         "dates": _union(dates) if dates else None,
     }

@@ -43,20 +43,22 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
         seconds[step] = round(time.perf_counter() - t0, 3)
         return out
 
+    tables, clean_audit = cln.clean_all(inputs)
+    audits["clean"] = clean_audit
+    wide = con.consolidate(tables)
+    consolidated_path = f"{out_dir}/consolidated"
+    timed("clean_consolidate", lambda: writers.write_consolidated(wide, consolidated_path))
+    cln.assert_no_nulls(spark.read.parquet(consolidated_path), ["sales"])
+
     if profile:
-        report = prf.profile_tables(inputs)
+        # Profile of the raw inputs; distinct counts reuse the deduplicated tables.
+        report = prf.profile_tables(inputs, distinct=tables)
         for part, df in report.items():
             if df is not None:
                 path = f"{out_dir}/audit/profile_{part}"
                 timed(f"profile_{part}", lambda df=df, path=path: writers.write_audit_json(df, path))
                 audits[f"profile_{part}"] = spark.read.json(path)
-
-    tables, clean_audit = cln.clean_all(inputs)
-    audits["clean"] = clean_audit
-    wide = con.consolidate(tables)
-    consolidated_path = f"{out_dir}/consolidated"
-    timed("consolidate", lambda: writers.write_consolidated(wide, consolidated_path))
-    cln.assert_no_nulls(spark.read.parquet(consolidated_path), ["sales"])
+    timed("clean_audit", lambda: writers.write_audit_json(clean_audit, f"{out_dir}/audit/clean"))
 
     stored = spark.read.parquet(consolidated_path)
     mart_paths = {}

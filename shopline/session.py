@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,11 +60,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint of ``df`` in the shared checkpoint folder.
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Used where a table is read several times (statistics, then the join): the
-    checkpoint is computed once, survives executor loss (it is on the shared
-    file system, not on executor disks) and replaces the upstream plan.
+    Used where a table is read several times (statistics, then the join): it is
+    computed once, survives executor loss (it lives on the shared file system,
+    not on executor disks), replaces the upstream plan, and being columnar,
+    a statistic over one column reads only that column.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/shopline-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

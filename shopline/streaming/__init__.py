@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package re-expresses is a batch job triggered by hand; it has
+no stream source, watermark, window over event time or stateful operator.  No
+streaming operator is built, so none is offered here (see README, "Not built").
+"""
