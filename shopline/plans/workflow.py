@@ -67,3 +67,18 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
         timed(name, lambda fn=fn, path=path: writers.write_parquet(fn(stored).coalesce(1), path))
         mart_paths[name] = path
     return RunResult(consolidated_path, mart_paths, audits, seconds)
+
+
+def export(spark: SparkSession, result: RunResult, url: str, *,
+           properties: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Export the consolidated table and every mart over JDBC (SNK3, SNK4).
+
+    Tables are re-read from the written Parquet; each is written by the
+    executors in parallel partitions.  Returns the (table, status, error) audit.
+    """
+    builds = {"consolidated": lambda: spark.read.parquet(result.consolidated_path)}
+    builds.update({n: (lambda p=p: spark.read.parquet(p)) for n, p in result.mart_paths.items()})
+    return writers.export_all(
+        spark, builds,
+        lambda df, name: writers.write_jdbc(df, url, name.upper(), properties=properties,
+                                            num_partitions=num_partitions))
