@@ -27,9 +27,21 @@ def _value_bytes(field: T.StructField):
     return F.lit(fixed.get(type(field.dataType), 16))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+def _limits(df: DataFrame, max_rows: int | None, max_bytes: int | None) -> tuple[int, int]:
+    conf = df.sparkSession.conf
+    rows = max_rows or int(conf.get("shopline.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
+    size = max_bytes or int(conf.get("shopline.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
+    return rows, size
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None,
+                   max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Bounds default to the session settings ``shopline.broadcast.maxRows`` /
+    ``shopline.broadcast.maxBytes`` (2,000,000 rows, 64 MiB).
+    """
+    max_rows, max_bytes = _limits(df, max_rows, max_bytes)
     width = sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
     probe = (df.limit(max_rows + 1)
              .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
@@ -38,7 +50,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     return n <= max_rows and b <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                      max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
+                      max_bytes: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
