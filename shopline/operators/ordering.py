@@ -52,12 +52,48 @@ def global_position(df: DataFrame, order: list[Column], name: str = "position",
             .drop("_mid", "_pid", "_local", "_offset"))
 
 
-def exact_median(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
-    """One-row DataFrame ``(median double)``: null when there are no values."""
+# Up to this many distinct values, the (value, count) table is small enough to
+# pick the median from on the driver (well under a MB); beyond it, the selection runs
+# distributed.
+LOCAL_DISTINCT_VALUES = 10_000
+
+
+def _median_of_counts(pairs: list[tuple[float, int]]) -> float | None:
+    pairs = sorted(pairs)
+    total = sum(w for _, w in pairs)
+    if total == 0:
+        return None
+    lo, hi = (total - 1) // 2, total // 2
+    a = b = None
+    seen = 0
+    for v, w in pairs:
+        if a is None and lo < seen + w:
+            a = v
+        if hi < seen + w:
+            b = v
+            break
+        seen += w
+    return (a + b) / 2
+
+
+def exact_median(df: DataFrame, column: str, partitions: int | None = None,
+                 local_limit: int = LOCAL_DISTINCT_VALUES) -> DataFrame:
+    """One-row DataFrame ``(median double)``: null when there are no values.
+
+    The values are first reduced to ``(value, count)`` pairs (map-side
+    combined).  If there are at most ``local_limit`` pairs — checked by
+    fetching at most ``local_limit + 1`` of them — the median is picked from
+    those pairs; otherwise by the distributed selection below.
+    """
     n = _partitions(df, partitions)
     counts = (df.where(F.col(column).isNotNull())
               .groupBy(F.col(column).cast("double").alias("v"))
               .agg(F.count(F.lit(1)).alias("w")))
+    if local_limit:
+        head = counts.limit(local_limit + 1).collect()
+        if len(head) <= local_limit:
+            value = _median_of_counts([(r["v"], r["w"]) for r in head])
+            return df.sparkSession.createDataFrame([(value,)], "median double")
     ranged = (counts.repartitionByRange(n, "v").sortWithinPartitions("v")
               .withColumn("_pid", F.spark_partition_id()))
     upto = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)

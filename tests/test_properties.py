@@ -39,13 +39,14 @@ def test_marts_independent_of_partitioning(spark, data):
 @given(st.lists(st.integers(-50, 50), min_size=0, max_size=80))
 def test_exact_median_matches_sorting(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x long").repartition(5)
-    got = exact_median(df, "x", partitions=4).collect()[0]["median"]
+    local = exact_median(df, "x", partitions=4).collect()[0]["median"]
+    spread = exact_median(df, "x", partitions=4, local_limit=0).collect()[0]["median"]
     if not values:
-        assert got is None
+        assert local is None and spread is None
     else:
         s = sorted(values)
         n = len(s)
-        assert got == (s[(n - 1) // 2] + s[n // 2]) / 2
+        assert local == spread == (s[(n - 1) // 2] + s[n // 2]) / 2
 
 
 def test_hot_key_rank_positions(spark):
