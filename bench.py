@@ -74,19 +74,19 @@ def main() -> None:
 
     # ---- clean + consolidate, written once as Parquet partitioned by year
     out = f"{scratch}/out"
-    cleaned = {}
+    observed: dict[str, dict] = {}
 
     def clean_and_consolidate():
-        clean, audit = cln.clean_all(tables)
-        cleaned.update(clean)
+        clean, audit = cln.clean_all(tables, observed=observed)
         writers.write_consolidated(con.consolidate(clean), f"{out}/consolidated")
         return audit
     clean_audit = timed("clean_consolidate", clean_and_consolidate)
 
-    # ---- profile: nulls, types, duplicates, date ranges of the five raw tables
-    # (distinct counts reuse the deduplicated tables of the clean step)
+    # ---- profile: nulls, types, duplicates, date ranges of the five raw tables,
+    # from the statistics the clean step observed while it read each table
     def profile():
-        report = prf.profile_tables(tables, distinct=cleaned)
+        kept = {n: int(v["_kept"]) for n, v in observed.items()}
+        report = prf.profile_tables(tables, distinct=kept, known=observed)
         return [d.collect() for d in report.values() if d is not None] + [clean_audit.collect()]
     timed("profile", profile)
 

@@ -8,18 +8,19 @@ is needed.  Medians and modes use the distributed selections of
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopline.operators.ordering import exact_median, most_frequent
+from shopline.operators.profile import (
+    NUMERIC, cardinality_columns, null_census, stat_columns, table_stats,
+)
 from shopline.session import cut_lineage
 
-NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
-
-
 def dedupe(df: DataFrame) -> DataFrame:
     """Full-row distinct (CLN1): a hash aggregate on all columns, combined map-side."""
     return df.dropDuplicates()
@@ -46,7 +47,8 @@ def strategy_for(dtype: T.DataType) -> str:
     return "median" if isinstance(dtype, NUMERIC) else "mode"
 
 
-def impute(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def impute(df: DataFrame, columns: list[str] | None = None,
+           distinct_hints: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Fill nulls: numeric → exact median, others → mode (CLN3-5).
 
     Returns the filled table and the imputation values as one row per column
@@ -61,7 +63,8 @@ def impute(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame,
     for c in cols:
         dtype = df.schema[c].dataType
         if strategy_for(dtype) == "median":
-            value = exact_median(df, c).collect()[0]["median"]
+            hint = (distinct_hints or {}).get(c)
+            value = exact_median(df, c, distinct_hint=hint).collect()[0]["median"]
             fills[c] = F.coalesce(F.col(c).cast("double"), F.lit(value).cast("double"))
             audit_rows.append((c, "median", value, None))
         else:
@@ -120,96 +123,101 @@ def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
 class CleanSpec:
     """How one table is cleaned (CLN9).
 
-    ``materialize``: ``"if_imputing"`` writes the deduplicated table only when
-    statistics must be computed over it (the fact table: otherwise its dedupe
-    stays lazy and fuses with the joins); ``"always"`` writes the cleaned table
-    (dimensions: the broadcast size check then reads at most a file prefix and
-    the join reads the same copy, so nothing is computed twice).
+    ``materialize``: ``"always"`` (default) deduplicates and writes the table in
+    the one pass that also observes its statistics; ``"never"`` keeps the
+    plan lazy (statistics then cost one aggregate job).
     """
     date: str | None = "date"
     interpolate: str | None = None          # value column to interpolate over ``date``
     impute: bool = True
     series_keys: list[str] = field(default_factory=list)
-    materialize: str = "if_imputing"
+    materialize: str = "always"
 
 
 # Per-table dispatch of the batch run.
 SPECS = {
     "train": CleanSpec(),
-    "stores": CleanSpec(date=None, materialize="always"),
-    "transactions": CleanSpec(materialize="always"),
-    "oil": CleanSpec(interpolate="dcoilwtico", impute=False, materialize="always"),
-    "holidays": CleanSpec(materialize="always"),
+    "stores": CleanSpec(date=None),
+    "transactions": CleanSpec(),
+    "oil": CleanSpec(interpolate="dcoilwtico", impute=False),
+    "holidays": CleanSpec(),
 }
 
 
-def clean_table(name: str, df: DataFrame, spec: CleanSpec, *,
-                materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+def clean_table(name: str, df: DataFrame, spec: CleanSpec, *, materialize: bool = True,
+                observed: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean one table; returns (clean table, audit rows) (CLN8).
 
-    One pass over the raw table counts rows and nulls per column: it is the
-    audit's "nulls before" and decides which columns need a statistic (dedupe
-    keeps at least one copy of every row, so it never removes a column's last
-    null).  Only when some column is imputed is the deduplicated table
-    materialized (``materialize``), so that the medians / modes and the later
-    join read that copy instead of repeating the scan and the dedupe shuffle.
+    With ``materialize`` (the batch run) the table is read once: that pass
+    observes the raw statistics (rows, nulls per column, date ranges — the
+    audit's "nulls before" and the profile's numbers), deduplicates, observes
+    the rows kept and writes the result to the checkpoint folder.  Medians,
+    modes, interpolation and the later join all read that copy.  Imputation
+    values come back as one value per column and fill as literals, so the
+    audit is built from known numbers without another job.  ``observed``
+    receives the statistics (``_rows``, ``_n{i}``, ``_lo{i}``, ``_hi{i}``,
+    ``_kept``) for the profile.  Without ``materialize`` the plan stays lazy
+    and the statistics are one aggregate job.
     """
-    census_df = null_counts(df, with_rows=True)
-    census = census_df.collect()[0].asDict()
-    nulls_before = df.sparkSession.createDataFrame([census], census_df.schema)
-    out = cast_date(dedupe(df), spec.date)
-    imputed = None
+    spark = df.sparkSession
+    if materialize and spec.materialize != "never":
+        tag = uuid.uuid4().hex[:8]
+        raw_obs, kept_obs = Observation(f"raw_{name}_{tag}"), Observation(f"kept_{name}_{tag}")
+        deduped = dedupe(df.observe(raw_obs, *stat_columns(df), *cardinality_columns(df)))
+        deduped = cast_date(deduped, spec.date).observe(kept_obs, F.count(F.lit(1)).alias("_kept"))
+        out = cut_lineage(deduped)
+        stats = dict(raw_obs.get)
+        stats["_kept"] = kept_obs.get["_kept"]
+    else:
+        stats = table_stats(df).collect()[0].asDict()
+        out = cast_date(dedupe(df), spec.date)
+        stats["_kept"] = out.count()
+    nulls = null_census(df, stats)
+    imputed: list[tuple] = []
     if spec.interpolate:
         out = interpolate(out, spec.date, spec.interpolate, keys=spec.series_keys)
-        imputed = out.sparkSession.createDataFrame(
-            [(spec.interpolate, "linear_interpolation+edge_fill", None, None)],
-            "column string, strategy string, value_num double, value_text string")
-    written = False
-    if spec.impute and not spec.interpolate:
-        with_nulls = [c for c in df.columns if census[c]]
+        imputed = [(spec.interpolate, "linear_interpolation+edge_fill", None, None)]
+    elif spec.impute:
+        with_nulls = [c for c in df.columns if nulls[c]]
         if with_nulls:
-            if materialize and spec.materialize != "never":
-                out, written = cut_lineage(out), True
-            # The fill is a literal projection over the written copy.
-            out, imputed = impute(out, with_nulls)
-    if materialize and spec.materialize == "always" and not written:
-        out = cut_lineage(out)
-    audit = clean_audit(name, df, out, nulls_before, imputed)
-    return out, audit
+            hints = {c: stats[f"_d{i}"] for i, c in enumerate(df.columns) if f"_d{i}" in stats}
+            out, values = impute(out, with_nulls, hints)
+            imputed = [tuple(r) for r in values.collect()]
+    if observed is not None:
+        observed.update(stats)
+    return out, clean_audit(spark, name, stats, nulls, imputed)
+
 
+AUDIT_SCHEMA = ("table string, column string, rows_before bigint, rows_after bigint, "
+                "duplicates_removed bigint, nulls_before bigint, strategy string, "
+                "value_num double, value_text string")
 
-def clean_audit(name: str, before: DataFrame, after: DataFrame, nulls_before: DataFrame,
-                imputed: DataFrame | None) -> DataFrame:
+
+def clean_audit(spark, name: str, stats: dict, nulls: dict[str, int],
+                imputed: list[tuple]) -> DataFrame:
     """Rows (table, column, rows_before, rows_after, duplicates_removed,
     nulls_before, strategy, value_num, value_text); one row per column with
     nulls before cleaning."""
-    rows_a = after.agg(F.count(F.lit(1))).scalar()
-    cols = before.columns
-    stack = "stack({n}, {pairs}) as (column, nulls_before)".format(
-        n=len(cols), pairs=", ".join(f"'{c}', `{c}`" for c in cols))
-    per_col = nulls_before.selectExpr("_rows", stack).where("nulls_before > 0")
-    rows_b = F.col("_rows")
-    if imputed is not None:
-        per_col = per_col.join(imputed, "column", "left")
-    else:
-        per_col = per_col.select("*", F.lit(None).cast("string").alias("strategy"),
-                                 F.lit(None).cast("double").alias("value_num"),
-                                 F.lit(None).cast("string").alias("value_text"))
-    return per_col.select(
-        F.lit(name).alias("table"), "column",
-        rows_b.alias("rows_before"), rows_a.alias("rows_after"),
-        (rows_b - rows_a).alias("duplicates_removed"),
-        F.col("nulls_before").cast("bigint").alias("nulls_before"),
-        "strategy", "value_num", "value_text")
-
-
-def clean_all(tables: dict[str, DataFrame], specs: dict[str, CleanSpec] | None = None
+    how = {c: (st, num, text) for c, st, num, text in imputed}
+    before, after = int(stats["_rows"]), int(stats["_kept"])
+    rows = [(name, c, before, after, before - after, n, *how.get(c, (None, None, None)))
+            for c, n in nulls.items() if n > 0]
+    return spark.createDataFrame(rows, AUDIT_SCHEMA)
+
+
+def clean_all(tables: dict[str, DataFrame], specs: dict[str, CleanSpec] | None = None, *,
+              materialize: bool = True, observed: dict[str, dict] | None = None
               ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Clean every table by its spec; audits are unioned."""
+    """Clean every table by its spec; audits are unioned.  ``observed``
+    receives each table's statistics (see :func:`clean_table`)."""
     specs = specs or SPECS
     out, audits = {}, []
     for name, df in tables.items():
-        out[name], audit = clean_table(name, df, specs.get(name, CleanSpec()))
+        seen: dict = {}
+        out[name], audit = clean_table(name, df, specs.get(name, CleanSpec()),
+                                       materialize=materialize, observed=seen)
+        if observed is not None:
+            observed[name] = seen
         audits.append(audit)
     audit = audits[0]
     for a in audits[1:]:

@@ -77,14 +77,19 @@ def _median_of_counts(pairs: list[tuple[float, int]]) -> float | None:
 
 
 def exact_median(df: DataFrame, column: str, partitions: int | None = None,
-                 local_limit: int = LOCAL_DISTINCT_VALUES) -> DataFrame:
+                 local_limit: int = LOCAL_DISTINCT_VALUES,
+                 distinct_hint: int | None = None) -> DataFrame:
     """One-row DataFrame ``(median double)``: null when there are no values.
 
     The values are first reduced to ``(value, count)`` pairs (map-side
     combined).  If there are at most ``local_limit`` pairs — checked by
     fetching at most ``local_limit + 1`` of them — the median is picked from
-    those pairs; otherwise by the distributed selection below.
+    those pairs; otherwise by the distributed selection below.  A
+    ``distinct_hint`` (an approximate distinct count, e.g. observed while the
+    table was written) well above the limit skips that check.
     """
+    if distinct_hint is not None and distinct_hint > 2 * local_limit:
+        local_limit = 0
     n = _partitions(df, partitions)
     counts = (df.where(F.col(column).isNotNull())
               .groupBy(F.col(column).cast("double").alias("v"))

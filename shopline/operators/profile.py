@@ -1,9 +1,12 @@
-"""Data-quality profile of a table (PRF1-6), one pass per measure.
-
-All null counts and date ranges of a table come from one aggregate; the
-duplicate count is ``count - count(distinct rows)`` (a hash aggregate on all
-columns with map-side combine).  Results are long-form DataFrames, so profiles
-of many tables union into one report.
+"""Data-quality profile of a table (PRF1-6), one pass per table.
+
+All row and null counts and date ranges of a table are one aggregate
+(:func:`stat_columns`); the duplicate count is ``count - count(distinct rows)``
+(a hash aggregate on all columns with map-side combine).  When the cleaning
+step has already observed these numbers while it deduplicated and wrote the
+table, the profile is built from them without reading the table again.
+Results are long-form DataFrames, so profiles of many tables union into one
+report.
 """
 
 from __future__ import annotations
@@ -20,16 +23,43 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def table_stats(df: DataFrame) -> DataFrame:
-    """One row: ``_rows``, null count ``_n{i}`` of every column and ``_lo{i}`` /
-    ``_hi{i}`` of every date column — all measures of one table in one scan."""
+def stat_columns(df: DataFrame) -> list:
+    """Aggregates ``_rows``, null count ``_n{i}`` of every column and
+    ``_lo{i}`` / ``_hi{i}`` of every date column: every measure of a table,
+    usable in ``agg`` or in ``observe``."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggs.append(F.coalesce(F.sum(c.isNull().cast("bigint")), F.lit(0)).alias(f"_n{i}"))
         if isinstance(f.dataType, T.DateType):
             aggs += [F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}")]
-    return df.agg(*aggs)
+    return aggs
+
+
+def table_stats(df: DataFrame) -> DataFrame:
+    """One row of :func:`stat_columns` — all measures of one table in one scan."""
+    return df.agg(*stat_columns(df))
+
+
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+
+
+def cardinality_columns(df: DataFrame) -> list:
+    """``_d{i}``: approximate distinct count (HyperLogLog, constant memory) of
+    every numeric column, for choosing how to compute its median."""
+    return [F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f"_d{i}")
+            for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, NUMERIC)]
+
+
+def stats_frame(df: DataFrame, values: dict) -> DataFrame:
+    """The one-row statistics of ``df`` from already known ``values``."""
+    schema = table_stats(df).schema
+    return df.sparkSession.createDataFrame([tuple(values[k] for k in schema.fieldNames())], schema)
+
+
+def null_census(df: DataFrame, values: dict) -> dict[str, int]:
+    """Column name → null count, from statistics values."""
+    return {c: int(values[f"_n{i}"] or 0) for i, c in enumerate(df.columns)}
 
 
 def column_profile(df: DataFrame, table: str, digits: int = 3,
@@ -50,17 +80,22 @@ def column_profile(df: DataFrame, table: str, digits: int = 3,
 
 
 def table_profile(df: DataFrame, table: str, stats: DataFrame | None = None,
-                  distinct_rows: DataFrame | None = None) -> DataFrame:
+                  distinct_rows: DataFrame | int | None = None) -> DataFrame:
     """(table, rows, columns, duplicate_rows) (PRF1, PRF3).
 
     ``distinct_rows`` may be an already deduplicated copy of ``df`` (the
-    cleaning step's), so the distinct count does not shuffle the table again.
+    cleaning step's) or its known row count, so the distinct count does not
+    shuffle the table again.
     """
     stats = stats if stats is not None else table_stats(df)
-    distinct = (distinct_rows if distinct_rows is not None else df.distinct()).agg(F.count(F.lit(1)))
+    if isinstance(distinct_rows, int):
+        distinct = F.lit(distinct_rows).cast("bigint")
+    else:
+        src = distinct_rows if distinct_rows is not None else df.distinct()
+        distinct = src.agg(F.count(F.lit(1))).scalar()
     return stats.select(F.lit(table).alias("table"), F.col("_rows").alias("rows"),
                         F.lit(len(df.columns)).alias("columns"),
-                        (F.col("_rows") - distinct.scalar()).alias("duplicate_rows"))
+                        (F.col("_rows") - distinct).alias("duplicate_rows"))
 
 
 def date_ranges(df: DataFrame, table: str, stats: DataFrame | None = None) -> DataFrame | None:
@@ -75,18 +110,22 @@ def date_ranges(df: DataFrame, table: str, stats: DataFrame | None = None) -> Da
 
 
 def profile_tables(tables: dict[str, DataFrame],
-                   distinct: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                   distinct: dict[str, DataFrame | int] | None = None,
+                   known: dict[str, dict] | None = None) -> dict[str, DataFrame]:
     """The multi-table report (PRF6): ``columns``, ``tables`` and ``dates`` parts.
 
     Each table is scanned once for all its counts (the one-row statistics are
-    materialized, so the three parts do not rescan it).
+    materialized, so the three parts do not rescan it); tables whose
+    statistics are ``known`` (observed by the cleaning step) are not scanned.
     """
     distinct = distinct or {}
-    spark = next(iter(tables.values())).sparkSession
+    known = known or {}
     stats = {}
     for n, df in tables.items():
-        s = table_stats(df)
-        stats[n] = spark.createDataFrame([s.collect()[0].asDict()], s.schema)
+        values = known.get(n)
+        if values is None:
+            values = table_stats(df).collect()[0].asDict()
+        stats[n] = stats_frame(df, values)
     dates = [d for d in (date_ranges(df, n, stats[n]) for n, df in tables.items()) if d is not None]
     return {
         "columns": _union([column_profile(df, n, stats=stats[n]) for n, df in tables.items()]),

@@ -43,7 +43,8 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
         seconds[step] = round(time.perf_counter() - t0, 3)
         return out
 
-    tables, clean_audit = cln.clean_all(inputs)
+    observed: dict[str, dict] = {}
+    tables, clean_audit = cln.clean_all(inputs, observed=observed)
     audits["clean"] = clean_audit
     wide = con.consolidate(tables)
     consolidated_path = f"{out_dir}/consolidated"
@@ -51,8 +52,9 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
     cln.assert_no_nulls(spark.read.parquet(consolidated_path), ["sales"])
 
     if profile:
-        # Profile of the raw inputs; distinct counts reuse the deduplicated tables.
-        report = prf.profile_tables(inputs, distinct=tables)
+        # Profile of the raw inputs from the statistics observed while cleaning.
+        kept = {n: int(v["_kept"]) for n, v in observed.items()}
+        report = prf.profile_tables(inputs, distinct=kept, known=observed)
         for part, df in report.items():
             if df is not None:
                 path = f"{out_dir}/audit/profile_{part}"
