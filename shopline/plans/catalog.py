@@ -130,6 +130,19 @@ def q_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidated(spark, sf_dir)
 
 
+def q_dimension_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that repeat in a raw dimension and would fan the left joins out."""
+    raw = roles.raw_inputs(spark, sf_dir)
+    checks = [con.key_violations(raw["stores"], ["store_nbr"], "stores"),
+              con.key_violations(raw["transactions"], ["store_nbr", "date"], "transactions"),
+              con.key_violations(raw["oil"], ["date"], "oil"),
+              con.key_violations(raw["holidays"], ["date"], "holidays")]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def q_join_fanout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = cleaned(spark, sf_dir)
     return con.fanout_audit(tables, con.consolidate(tables))
@@ -150,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "holiday_representative": q_holiday_representative,
     "holiday_national_flag": q_holiday_national_flag,
     "consolidate": q_consolidate,
+    "dimension_key_check": q_dimension_key_check,
     "join_fanout_audit": q_join_fanout_audit,
     "sales_by_family": _mart(marts.sales_by_family),
     "store_ranking": _mart(marts.store_ranking),

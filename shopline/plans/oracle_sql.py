@@ -432,3 +432,14 @@ ORACLES["consolidate"] = _with("SELECT * FROM wide")
 ORACLES["join_fanout_audit"] = _with("""
 SELECT b.n AS base_rows, w.n AS consolidated_rows, w.n - b.n AS rows_added_by_joins, 18 AS columns
 FROM (SELECT count(*) AS n FROM sales_c) b, (SELECT count(*) AS n FROM wide) w""")
+
+ORACLES["dimension_key_check"] = _with("""
+SELECT 'stores' AS "table", CAST(store_nbr AS VARCHAR) AS key, count(*) AS n
+FROM stores GROUP BY store_nbr HAVING count(*) > 1
+UNION ALL
+SELECT 'transactions', CAST(store_nbr AS VARCHAR) || '|' || CAST(date AS VARCHAR), count(*)
+FROM transactions GROUP BY store_nbr, date HAVING count(*) > 1
+UNION ALL
+SELECT 'oil', CAST(date AS VARCHAR), count(*) FROM prices GROUP BY date HAVING count(*) > 1
+UNION ALL
+SELECT 'holidays', CAST(date AS VARCHAR), count(*) FROM holidays_raw GROUP BY date HAVING count(*) > 1""")
