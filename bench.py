@@ -26,7 +26,7 @@ from shopline.operators import consolidate as con  # noqa: E402
 from shopline.operators import profile as prf  # noqa: E402
 from shopline.plans import marts as mrt  # noqa: E402
 from shopline.schemas import INPUTS  # noqa: E402
-from shopline.session import get_session  # noqa: E402
+from shopline.session import get_session, run_concurrently  # noqa: E402
 from shopline.sinks import writers  # noqa: E402
 from shopline.sources import csv as csvsrc  # noqa: E402
 from shopline.sources import roles  # noqa: E402
@@ -77,7 +77,7 @@ def main() -> None:
     observed: dict[str, dict] = {}
 
     def clean_and_consolidate():
-        clean, audit = cln.clean_all(tables, observed=observed)
+        clean, audit = cln.clean_all(tables, observed=observed, parallel=len(tables))
         writers.write_consolidated(con.consolidate(clean), f"{out}/consolidated")
         return audit
     clean_audit = timed("clean_consolidate", clean_and_consolidate)
@@ -87,7 +87,8 @@ def main() -> None:
     def profile():
         kept = {n: int(v["_kept"]) for n, v in observed.items()}
         report = prf.profile_tables(tables, distinct=kept, known=observed)
-        return [d.collect() for d in report.values() if d is not None] + [clean_audit.collect()]
+        parts = [d for d in report.values() if d is not None] + [clean_audit]
+        return run_concurrently([lambda d=d: d.collect() for d in parts])
     timed("profile", profile)
 
     stored = spark.read.parquet(f"{out}/consolidated")
@@ -103,7 +104,8 @@ def main() -> None:
         builds.update({n: (lambda n=n: spark.read.parquet(f"{out}/marts/{n}")) for n in mrt.MARTS})
         audit = writers.export_all(
             spark, builds,
-            lambda df, n: writers.write_jdbc(df, url, n.upper(), properties=props, num_partitions=cpus))
+            lambda df, n: writers.write_jdbc(df, url, n.upper(), properties=props, num_partitions=cpus),
+            parallel=4)
         failed = [r for r in audit.collect() if r["status"] != "ok"]
         if failed:
             raise RuntimeError(f"export failed: {failed}")

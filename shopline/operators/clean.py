@@ -19,7 +19,7 @@ from shopline.operators.ordering import exact_median, most_frequent
 from shopline.operators.profile import (
     NUMERIC, cardinality_columns, null_census, stat_columns, table_stats,
 )
-from shopline.session import cut_lineage
+from shopline.session import cut_lineage, run_concurrently
 
 def dedupe(df: DataFrame) -> DataFrame:
     """Full-row distinct (CLN1): a hash aggregate on all columns, combined map-side."""
@@ -59,16 +59,23 @@ def impute(df: DataFrame, columns: list[str] | None = None,
     of integers need not be an integer.  A column with no values stays null.
     """
     cols = columns if columns is not None else df.columns
-    fills, audit_rows = {}, []
-    for c in cols:
+
+    def statistic(c: str):
         dtype = df.schema[c].dataType
         if strategy_for(dtype) == "median":
             hint = (distinct_hints or {}).get(c)
-            value = exact_median(df, c, distinct_hint=hint).collect()[0]["median"]
+            return "median", exact_median(df, c, distinct_hint=hint).collect()[0]["median"]
+        return "mode", most_frequent(df, c).collect()[0]["mode"]
+
+    # Independent one-value jobs, one per column, run side by side.
+    values = run_concurrently([lambda c=c: statistic(c) for c in cols])
+    fills, audit_rows = {}, []
+    for c, (strategy, value) in zip(cols, values):
+        dtype = df.schema[c].dataType
+        if strategy == "median":
             fills[c] = F.coalesce(F.col(c).cast("double"), F.lit(value).cast("double"))
             audit_rows.append((c, "median", value, None))
         else:
-            value = most_frequent(df, c).collect()[0]["mode"]
             fills[c] = F.coalesce(F.col(c), F.lit(value).cast(dtype))
             audit_rows.append((c, "mode", None, None if value is None else _text(value)))
     out = df.withColumns(fills) if fills else df
@@ -206,19 +213,24 @@ def clean_audit(spark, name: str, stats: dict, nulls: dict[str, int],
 
 
 def clean_all(tables: dict[str, DataFrame], specs: dict[str, CleanSpec] | None = None, *,
-              materialize: bool = True, observed: dict[str, dict] | None = None
-              ) -> tuple[dict[str, DataFrame], DataFrame]:
+              materialize: bool = True, observed: dict[str, dict] | None = None,
+              parallel: int = 1) -> tuple[dict[str, DataFrame], DataFrame]:
     """Clean every table by its spec; audits are unioned.  ``observed``
-    receives each table's statistics (see :func:`clean_table`)."""
+    receives each table's statistics (see :func:`clean_table`); ``parallel``
+    tables are cleaned side by side (their jobs are independent)."""
     specs = specs or SPECS
+    names = list(tables)
+    seen = {n: {} for n in names}
+    results = run_concurrently(
+        [lambda n=n: clean_table(n, tables[n], specs.get(n, CleanSpec()),
+                                 materialize=materialize, observed=seen[n]) for n in names],
+        workers=parallel)
     out, audits = {}, []
-    for name, df in tables.items():
-        seen: dict = {}
-        out[name], audit = clean_table(name, df, specs.get(name, CleanSpec()),
-                                       materialize=materialize, observed=seen)
-        if observed is not None:
-            observed[name] = seen
+    for n, (table, audit) in zip(names, results):
+        out[n] = table
         audits.append(audit)
+        if observed is not None:
+            observed[n] = seen[n]
     audit = audits[0]
     for a in audits[1:]:
         audit = audit.unionByName(a)

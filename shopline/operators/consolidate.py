@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopline.functions.sizing import bounded_broadcast
+from shopline.session import run_concurrently
 from shopline.schemas import CONSOLIDATED_COLUMNS, HOLIDAY_COLUMNS, NATIONAL_FLAG
 
 # The preferred holiday type, and the order of locales used to
@@ -72,15 +73,17 @@ def consolidate(tables: dict[str, DataFrame]) -> DataFrame:
     the holiday calendar is made so here.
     """
     sales = tables["train"]
-    stores = tables["stores"]
-    trans = tables["transactions"].select("store_nbr", "date", "transactions")
-    prices = tables["oil"].select("date", "dcoilwtico")
-    per_date = holidays_per_date(tables["holidays"])
+    dims = [tables["stores"],
+            tables["oil"].select("date", "dcoilwtico"),
+            holidays_per_date(tables["holidays"]),
+            tables["transactions"].select("store_nbr", "date", "transactions")]
+    # The four size checks are independent small jobs: run them side by side.
+    stores, prices, per_date, trans = run_concurrently([lambda d=d: bounded_broadcast(d) for d in dims])
     out = (sales
-           .join(bounded_broadcast(stores), "store_nbr", "left")
-           .join(bounded_broadcast(prices), "date", "left")
-           .join(bounded_broadcast(per_date), "date", "left")
-           .join(bounded_broadcast(trans), ["store_nbr", "date"], "left")
+           .join(stores, "store_nbr", "left")
+           .join(prices, "date", "left")
+           .join(per_date, "date", "left")
+           .join(trans, ["store_nbr", "date"], "left")
            .fillna(False, [NATIONAL_FLAG]))
     return out.select(*CONSOLIDATED_COLUMNS)
 

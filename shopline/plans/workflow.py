@@ -44,7 +44,7 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
         return out
 
     observed: dict[str, dict] = {}
-    tables, clean_audit = cln.clean_all(inputs, observed=observed)
+    tables, clean_audit = cln.clean_all(inputs, observed=observed, parallel=len(inputs))
     audits["clean"] = clean_audit
     wide = con.consolidate(tables)
     consolidated_path = f"{out_dir}/consolidated"
@@ -72,7 +72,8 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
 
 
 def export(spark: SparkSession, result: RunResult, url: str, *,
-           properties: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
+           properties: dict[str, str] | None = None, num_partitions: int | None = None,
+           parallel: int = 4) -> DataFrame:
     """Export the consolidated table and every mart over JDBC (SNK3, SNK4).
 
     Tables are re-read from the written Parquet; each is written by the
@@ -83,4 +84,5 @@ def export(spark: SparkSession, result: RunResult, url: str, *,
     return writers.export_all(
         spark, builds,
         lambda df, name: writers.write_jdbc(df, url, name.upper(), properties=properties,
-                                            num_partitions=num_partitions))
+                                            num_partitions=num_partitions),
+        parallel=parallel)

@@ -72,3 +72,22 @@ def cut_lineage(df):
     path = f"{base}/shopline-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def run_concurrently(tasks, workers: int | None = None) -> list:
+    """Run independent driver-side calls (each submits its own Spark jobs) in
+    threads and return their results in order.
+
+    Spark schedules jobs from several threads side by side, so small
+    independent jobs — statistics of different columns, cleaning of
+    different tables, size checks of different dimensions — overlap instead
+    of queueing behind each other.  The first exception is re-raised.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    tasks = list(tasks)
+    if len(tasks) <= 1 or workers == 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=workers or len(tasks)) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
