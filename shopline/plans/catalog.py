@@ -27,7 +27,8 @@ PERIOD = roles.PERIOD
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables, _ = cln.clean_all(roles.raw_inputs(spark, sf_dir))
+    raw = roles.raw_inputs(spark, sf_dir)
+    tables, _ = cln.clean_all(raw, parallel=len(raw))
     return tables
 
 
@@ -112,7 +113,8 @@ def q_interpolate_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, audit = cln.clean_all(roles.raw_inputs(spark, sf_dir))
+    raw = roles.raw_inputs(spark, sf_dir)
+    _, audit = cln.clean_all(raw, parallel=len(raw))
     return audit
 
 
