@@ -93,7 +93,7 @@ def main() -> None:
 
     stored = spark.read.parquet(f"{out}/consolidated")
     for name, fn in mrt.MARTS.items():
-        timed(name, lambda fn=fn, name=name: writers.write_parquet(fn(stored).coalesce(1), f"{out}/marts/{name}"))
+        timed(name, lambda fn=fn, name=name: writers.write_parquet(fn(stored), f"{out}/marts/{name}"))
 
     # ---- export: consolidated table and every mart to embedded Derby (JDBC)
     url = "jdbc:derby:memory:shopline_bench;create=true"

@@ -66,7 +66,7 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
     mart_paths = {}
     for name, fn in (marts or mrt.MARTS).items():
         path = f"{out_dir}/marts/{name}"
-        timed(name, lambda fn=fn, path=path: writers.write_parquet(fn(stored).coalesce(1), path))
+        timed(name, lambda fn=fn, path=path: writers.write_parquet(fn(stored), path))
         mart_paths[name] = path
     return RunResult(consolidated_path, mart_paths, audits, seconds)
 

@@ -2,8 +2,8 @@
 
 * :func:`write_parquet` — the consolidated table, partitioned by year so a
   period filter prunes whole folders (SNK1).
-* :func:`write_marts`   — one Parquet folder per mart (SNK2, M14); marts are
-  small aggregates, so each is coalesced to a single file.
+* :func:`write_marts`   — one Parquet folder per mart (SNK2, M14); AQE merges
+  the small final partitions of an aggregate, so a small mart is one file.
 * :func:`write_jdbc`    — a table into a relational database (SNK3): each
   partition is one connection inserting in batches; ``overwrite`` replaces the
   table (an empty frame still creates it), ``append`` adds rows.  Connection
@@ -42,7 +42,9 @@ def write_marts(marts: dict[str, DataFrame], folder: str) -> dict[str, str]:
     paths = {}
     for name, df in marts.items():
         path = f"{folder}/{name}"
-        df.coalesce(1).write.mode("overwrite").parquet(path)
+        # No coalesce(1): a per-store mart of a very large chain must not be
+        # written by one task; AQE already merges small final partitions.
+        df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 
