@@ -29,8 +29,10 @@ def _value_bytes(field: T.StructField):
 
 def _limits(df: DataFrame, max_rows: int | None, max_bytes: int | None) -> tuple[int, int]:
     conf = df.sparkSession.conf
-    rows = max_rows or int(conf.get("shopline.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
-    size = max_bytes or int(conf.get("shopline.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
+    rows = max_rows if max_rows is not None else int(
+        conf.get("shopline.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
+    size = max_bytes if max_bytes is not None else int(
+        conf.get("shopline.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
     return rows, size
 
 
