@@ -3,7 +3,9 @@
 ``row_number().over(Window.orderBy(...))`` moves every row to one task.  The
 operators here use a range partitioning instead, so each task sorts only its
 slice, and a table of per-partition counts (one row per partition: a proven,
-small broadcast) turns local positions into global ones.
+small broadcast) turns local positions into global ones.  The range-partitioned
+rows are written once (lineage cut): range bounds come from sampling, so a
+second evaluation could choose other bounds than the first.
 
 * :func:`global_position` — exact 0-based position of every row in a total order.
 * :func:`exact_median`   — exact median of a column (mean of the two middle
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopline.session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | record number
 
 
@@ -42,6 +46,10 @@ def global_position(df: DataFrame, order: list[Column], name: str = "position",
         "_pid": F.shiftright(F.col("_mid"), _LOCAL_BITS),
         "_local": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)),
     })
+    # Written once: the range bounds come from sampling, and a second
+    # evaluation (Spark does not reuse this exchange across the two branches
+    # below) could draw other bounds.  Both branches read these stored ids.
+    ranged = cut_lineage(ranged)
     # One row per partition: the rows before it.  Bounded by ``n``.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -99,8 +107,9 @@ def exact_median(df: DataFrame, column: str, partitions: int | None = None,
         if len(head) <= local_limit:
             value = _median_of_counts([(r["v"], r["w"]) for r in head])
             return df.sparkSession.createDataFrame([(value,)], "median double")
-    ranged = (counts.repartitionByRange(n, "v").sortWithinPartitions("v")
-              .withColumn("_pid", F.spark_partition_id()))
+    # Stored once, so that both branches below see the same range partitions.
+    ranged = cut_lineage(counts.repartitionByRange(n, "v").sortWithinPartitions("v")
+                         .withColumn("_pid", F.spark_partition_id()))
     upto = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()
     bounds = (ranged.groupBy("_pid").agg(F.sum("w").alias("_pw"))
