@@ -67,11 +67,15 @@ def cut_lineage(df):
     not on executor disks), replaces the upstream plan, and being columnar,
     a statistic over one column reads only that column.
     """
+    from pyspark.sql import types as T
+
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/shopline-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading it back needs no footer-inference job.
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    return spark.read.schema(schema).parquet(path)
 
 
 def run_concurrently(tasks, workers: int | None = None) -> list:
