@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopline.functions.calendar import in_period, year_month
-from shopline.functions.sizing import bounded_broadcast
 from shopline.functions.stats import MONEY_SCALE, exact_avg, exact_sum, safe_corr, safe_ratio
 from shopline.operators.ordering import global_position
 
@@ -86,17 +85,18 @@ def event_window(facts: DataFrame, events: DataFrame, date: str, key: Keys, meas
 
     ``events`` holds one date column ``date`` (duplicates allowed, removed here).
     Each event date is expanded to ``before + after + 1`` dated offsets; a day
-    near several events counts once per event.  The expansion is bounded by the
-    number of distinct calendar dates × window length and is broadcast only
-    after its size is checked; the daily totals are pre-aggregated before the
-    join.
+    near several events counts once per event.  Both join sides are small
+    aggregates — daily totals (dates × keys, pre-aggregated before the join)
+    and the expansion (distinct event dates × window length) — so the plain
+    equi-join is cheap either way and AQE turns it into a broadcast join at
+    run time when a side turns out small; no size probe is needed.
     """
     keys = _keys(key)
     window = (events.select(F.col(date).alias("_event")).distinct()
               .select(F.explode(F.sequence(F.lit(-before), F.lit(after))).alias("offset"), "_event")
               .select("offset", F.date_add("_event", F.col("offset")).alias(date)))
     daily = facts.groupBy(date, *keys).agg(F.sum(_money(measure)).alias("_day"))
-    joined = daily.join(bounded_broadcast(window), date, "inner")
+    joined = daily.join(window, date, "inner")
     return (joined.groupBy("offset", *keys)
             .agg(F.try_divide(F.sum("_day").cast("double"), F.count("_day").cast("double")).alias(mean)))
 

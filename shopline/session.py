@@ -92,6 +92,6 @@ def run_concurrently(tasks, workers: int | None = None) -> list:
     tasks = list(tasks)
     if len(tasks) <= 1 or workers == 1:
         return [t() for t in tasks]
-    with ThreadPoolExecutor(max_workers=workers or len(tasks)) as pool:
+    with ThreadPoolExecutor(max_workers=workers or min(len(tasks), 8)) as pool:
         futures = [pool.submit(t) for t in tasks]
         return [f.result() for f in futures]
