@@ -26,7 +26,6 @@ from shopline.operators import clean as cln  # noqa: E402
 from shopline.operators import consolidate as con  # noqa: E402
 from shopline.operators import profile as prf  # noqa: E402
 from shopline.plans import marts as mrt  # noqa: E402
-from shopline.schemas import INPUTS  # noqa: E402
 from shopline.session import get_session, run_concurrently  # noqa: E402
 from shopline.sinks import writers  # noqa: E402
 from shopline.sources import csv as csvsrc  # noqa: E402

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from shopline.functions.stats import safe_corr
 from shopline.operators import clean as cln
