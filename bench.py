@@ -81,7 +81,8 @@ def main() -> None:
 
     def clean_and_consolidate():
         clean, audit = cln.clean_all(tables, observed=observed, parallel=len(tables))
-        writers.write_consolidated(con.consolidate(clean), f"{out}/consolidated")
+        wide = con.consolidate(clean, sizes=cln.observed_sizes(observed))
+        writers.write_consolidated(wide, f"{out}/consolidated")
         return audit
     clean_audit = timed("clean_consolidate", clean_and_consolidate)
 

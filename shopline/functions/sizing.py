@@ -36,6 +36,17 @@ def _limits(df: DataFrame, max_rows: int | None, max_bytes: int | None) -> tuple
     return rows, size
 
 
+def row_bytes(df: DataFrame):
+    """Column: byte size of one row (strings by length, fixed types by width)."""
+    return sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
+
+
+def within_limits(df: DataFrame, rows: int, size: int) -> bool:
+    """Do ``rows`` rows / ``size`` bytes fit the session's broadcast bounds?"""
+    max_rows, max_bytes = _limits(df, None, None)
+    return rows <= max_rows and size <= max_bytes
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None,
                    max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
@@ -44,7 +55,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None,
     ``shopline.broadcast.maxBytes`` (2,000,000 rows, 64 MiB).
     """
     max_rows, max_bytes = _limits(df, max_rows, max_bytes)
-    width = sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
+    width = row_bytes(df)
     probe = (df.limit(max_rows + 1)
              .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
              .collect()[0])
@@ -53,6 +64,16 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None,
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
-                      max_bytes: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+                      max_bytes: int | None = None,
+                      known: tuple[int, int] | None = None) -> DataFrame:
+    """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged.
+
+    ``known``: an upper bound ``(rows, bytes)`` already measured (e.g.
+    observed while the table was written); then no probe job runs.
+    """
+    if known is not None:
+        rows, size = _limits(df, max_rows, max_bytes)
+        small = known[0] <= rows and known[1] <= size
+    else:
+        small = fits_broadcast(df, max_rows, max_bytes)
+    return F.broadcast(df) if small else df

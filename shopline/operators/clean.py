@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopline.functions.sizing import row_bytes
 from shopline.operators.ordering import exact_median, most_frequent
 from shopline.operators.profile import (
     NUMERIC, cardinality_columns, null_census, stat_columns, table_stats,
@@ -163,7 +164,8 @@ def clean_table(name: str, df: DataFrame, spec: CleanSpec, *, materialize: bool
     values come back as one value per column and fill as literals, so the
     audit is built from known numbers without another job.  ``observed``
     receives the statistics (``_rows``, ``_n{i}``, ``_lo{i}``, ``_hi{i}``,
-    ``_kept``) for the profile.  Without ``materialize`` the plan stays lazy
+    ``_d{i}``, ``_kept``, ``_kept_bytes``) for the profile and for the
+    broadcast decisions of the joins.  Without ``materialize`` the plan stays lazy
     and the statistics are one aggregate job.
     """
     spark = df.sparkSession
@@ -171,10 +173,12 @@ def clean_table(name: str, df: DataFrame, spec: CleanSpec, *, materialize: bool
         tag = uuid.uuid4().hex[:8]
         raw_obs, kept_obs = Observation(f"raw_{name}_{tag}"), Observation(f"kept_{name}_{tag}")
         deduped = dedupe(df.observe(raw_obs, *stat_columns(df), *cardinality_columns(df)))
-        deduped = cast_date(deduped, spec.date).observe(kept_obs, F.count(F.lit(1)).alias("_kept"))
+        deduped = cast_date(deduped, spec.date)
+        deduped = deduped.observe(kept_obs, F.count(F.lit(1)).alias("_kept"),
+                                  F.coalesce(F.sum(row_bytes(deduped)), F.lit(0)).alias("_kept_bytes"))
         out = cut_lineage(deduped)
         stats = dict(raw_obs.get)
-        stats["_kept"] = kept_obs.get["_kept"]
+        stats.update(kept_obs.get)
     else:
         stats = table_stats(df).collect()[0].asDict()
         out = cast_date(dedupe(df), spec.date)
@@ -237,6 +241,13 @@ def clean_all(tables: dict[str, DataFrame], specs: dict[str, CleanSpec] | None =
     return out, audit
 
 
+def observed_sizes(observed: dict[str, dict]) -> dict[str, tuple[int, int]]:
+    """``(rows, bytes)`` upper bounds of each cleaned table, from the clean
+    step's observations (padded by 8 bytes a row for derived columns)."""
+    return {n: (int(v["_kept"]), int(v["_kept_bytes"]) + 8 * int(v["_kept"]))
+            for n, v in observed.items() if "_kept_bytes" in v}
+
+
 def assert_no_nulls(df: DataFrame, columns: list[str]) -> None:
     """Post-condition (CLN10): raise if any of ``columns`` still holds nulls."""
     counts = null_counts(df.select(*columns)).collect()[0].asDict()

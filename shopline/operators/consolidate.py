@@ -66,19 +66,26 @@ def national_dates(holidays: DataFrame) -> DataFrame:
     return holidays.where(national).select("date").distinct()
 
 
-def consolidate(tables: dict[str, DataFrame]) -> DataFrame:
+def consolidate(tables: dict[str, DataFrame],
+                sizes: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Four left joins onto the sales rows; row count is preserved (CON4-7).
 
     Dimensions must be unique on their join keys (see :func:`key_violations`);
-    the holiday calendar is made so here.
+    the holiday calendar is made so here.  ``sizes``: measured ``(rows,
+    bytes)`` of the cleaned tables (observed by the clean step); a dimension
+    with a known size needs no probe job (the per-date holiday table is no
+    larger than the holiday rows it comes from).
     """
+    sizes = sizes or {}
     sales = tables["train"]
+    names = ["stores", "oil", "holidays", "transactions"]
     dims = [tables["stores"],
             tables["oil"].select("date", "dcoilwtico"),
             holidays_per_date(tables["holidays"]),
             tables["transactions"].select("store_nbr", "date", "transactions")]
-    # The four size checks are independent small jobs: run them side by side.
-    stores, prices, per_date, trans = run_concurrently([lambda d=d: bounded_broadcast(d) for d in dims])
+    # Size checks still needed are independent small jobs: run them side by side.
+    stores, prices, per_date, trans = run_concurrently(
+        [lambda d=d, n=n: bounded_broadcast(d, known=sizes.get(n)) for d, n in zip(dims, names)])
     out = (sales
            .join(stores, "store_nbr", "left")
            .join(prices, "date", "left")

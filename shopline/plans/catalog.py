@@ -26,14 +26,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 PERIOD = roles.PERIOD
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def cleaned(spark: SparkSession, sf_dir: str, observed: dict | None = None) -> dict[str, DataFrame]:
     raw = roles.raw_inputs(spark, sf_dir)
-    tables, _ = cln.clean_all(raw, parallel=len(raw))
+    tables, _ = cln.clean_all(raw, parallel=len(raw), observed=observed)
     return tables
 
 
 def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return con.consolidate(cleaned(spark, sf_dir))
+    observed: dict[str, dict] = {}
+    tables = cleaned(spark, sf_dir, observed)
+    return con.consolidate(tables, sizes=cln.observed_sizes(observed))
 
 
 def _mart(fn: Callable[[DataFrame], DataFrame]) -> Query:

@@ -46,7 +46,7 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
     observed: dict[str, dict] = {}
     tables, clean_audit = cln.clean_all(inputs, observed=observed, parallel=len(inputs))
     audits["clean"] = clean_audit
-    wide = con.consolidate(tables)
+    wide = con.consolidate(tables, sizes=cln.observed_sizes(observed))
     consolidated_path = f"{out_dir}/consolidated"
     timed("clean_consolidate", lambda: writers.write_consolidated(wide, consolidated_path))
     cln.assert_no_nulls(spark.read.parquet(consolidated_path), ["sales"])
