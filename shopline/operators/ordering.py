@@ -26,10 +26,13 @@ from shopline.session import cut_lineage
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | record number
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
+def _by_range(df: DataFrame, partitions: int | None, *order) -> DataFrame:
+    """Range-partition ``df``: into ``partitions`` if given, else as many as
+    AQE makes of the shuffle (it merges small neighbouring ranges, and merged
+    partitions stay contiguous ranges in order)."""
     if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartitionByRange(int(partitions), *order)
+    return df.repartitionByRange(*order)
 
 
 def global_position(df: DataFrame, order: list[Column], name: str = "position",
@@ -39,8 +42,7 @@ def global_position(df: DataFrame, order: list[Column], name: str = "position",
     ``order`` must be a total order (end it with a unique key) so that the
     result is deterministic.
     """
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = (_by_range(df, partitions, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumns({
         "_pid": F.shiftright(F.col("_mid"), _LOCAL_BITS),
@@ -50,7 +52,7 @@ def global_position(df: DataFrame, order: list[Column], name: str = "position",
     # evaluation (Spark does not reuse this exchange across the two branches
     # below) could draw other bounds.  Both branches read these stored ids.
     ranged = cut_lineage(ranged)
-    # One row per partition: the rows before it.  Bounded by ``n``.
+    # One row per partition: the rows before it.  Bounded by the partition count.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -98,7 +100,6 @@ def exact_median(df: DataFrame, column: str, partitions: int | None = None,
     """
     if distinct_hint is not None and distinct_hint > 2 * local_limit:
         local_limit = 0
-    n = _partitions(df, partitions)
     counts = (df.where(F.col(column).isNotNull())
               .groupBy(F.col(column).cast("double").alias("v"))
               .agg(F.count(F.lit(1)).alias("w")))
@@ -108,7 +109,7 @@ def exact_median(df: DataFrame, column: str, partitions: int | None = None,
             value = _median_of_counts([(r["v"], r["w"]) for r in head])
             return df.sparkSession.createDataFrame([(value,)], "median double")
     # Stored once, so that both branches below see the same range partitions.
-    ranged = cut_lineage(counts.repartitionByRange(n, "v").sortWithinPartitions("v")
+    ranged = cut_lineage(_by_range(counts, partitions, "v").sortWithinPartitions("v")
                          .withColumn("_pid", F.spark_partition_id()))
     upto = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()
