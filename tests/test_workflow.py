@@ -35,6 +35,10 @@ def test_batch_run_from_csv(spark, tmp_dir):
     assert set(result.mart_paths) == set(marts.MARTS)
     assert spark.read.parquet(result.mart_paths["lag_corr"]).count() in (0, 7)
     assert spark.read.json(f"{tmp_dir}/out/audit/clean").count() > 0
+    assert result.rows["consolidated"] == wide.count()
+    assert result.rows["sales_by_family"] == spark.read.parquet(result.mart_paths["sales_by_family"]).count()
+    steps = {r["step"]: r for r in spark.read.json(f"{tmp_dir}/out/audit/steps").collect()}
+    assert steps["load_train"]["rows"] == raw["train"].count()
 
     url = f"jdbc:derby:memory:w{uuid.uuid4().hex[:8]};create=true"
     audit = workflow.export(spark, result, url, properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
