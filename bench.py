@@ -75,16 +75,19 @@ def main() -> None:
     tables, load_audit = csvsrc.load_all(spark, paths)
     timed("load", lambda: load_audit.collect())
 
-    # ---- clean + consolidate, written once as Parquet partitioned by year
+    # ---- clean (dedupe, impute, interpolate; each table written once), then
+    # consolidate (four joins), written as Parquet partitioned by year
     out = f"{scratch}/out"
     observed: dict[str, dict] = {}
 
-    def clean_and_consolidate():
-        clean, audit = cln.clean_all(tables, observed=observed, parallel=len(tables))
-        wide = con.consolidate(clean, sizes=cln.observed_sizes(observed))
+    def clean():
+        return cln.clean_all(tables, observed=observed, parallel=len(tables))
+    cleaned, clean_audit = timed("clean", clean)
+
+    def consolidate():
+        wide = con.consolidate(cleaned, sizes=cln.observed_sizes(observed))
         writers.write_consolidated(wide, f"{out}/consolidated")
-        return audit
-    clean_audit = timed("clean_consolidate", clean_and_consolidate)
+    timed("consolidate", consolidate)
 
     # ---- profile: nulls, types, duplicates, date ranges of the five raw tables,
     # from the statistics the clean step observed while it read each table

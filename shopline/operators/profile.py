@@ -118,14 +118,16 @@ def profile_tables(tables: dict[str, DataFrame],
     materialized, so the three parts do not rescan it); tables whose
     statistics are ``known`` (observed by the cleaning step) are not scanned.
     """
+    from shopline.session import run_concurrently
+
     distinct = distinct or {}
-    known = known or {}
-    stats = {}
-    for n, df in tables.items():
-        values = known.get(n)
-        if values is None:
-            values = table_stats(df).collect()[0].asDict()
-        stats[n] = stats_frame(df, values)
+    known = dict(known or {})
+    missing = [n for n in tables if n not in known]
+    # One aggregate job per unknown table, run side by side.
+    for n, values in zip(missing, run_concurrently(
+            [lambda df=tables[n]: table_stats(df).collect()[0].asDict() for n in missing])):
+        known[n] = values
+    stats = {n: stats_frame(df, known[n]) for n, df in tables.items()}
     dates = [d for d in (date_ranges(df, n, stats[n]) for n, df in tables.items()) if d is not None]
     return {
         "columns": _union([column_profile(df, n, stats=stats[n]) for n, df in tables.items()]),
