@@ -22,6 +22,7 @@ from shopline.operators import consolidate as con
 from shopline.operators import profile as prf
 from shopline.plans import marts as mrt
 from shopline.sinks import writers
+from shopline.sources.parquet import read_marts
 
 
 @dataclass
@@ -105,8 +106,13 @@ def export(spark: SparkSession, result: RunResult, url: str, *,
     Tables are re-read from the written Parquet; each is written by the
     executors in parallel partitions.  Returns the (table, status, error) audit.
     """
+    folder = {p.rsplit("/", 1)[0] for p in result.mart_paths.values()}
     builds = {"consolidated": lambda: spark.read.parquet(result.consolidated_path)}
-    builds.update({n: (lambda p=p: spark.read.parquet(p)) for n, p in result.mart_paths.items()})
+    if len(folder) == 1:
+        stored = read_marts(spark, folder.pop(), list(result.mart_paths))
+        builds.update({n: (lambda df=df: df) for n, df in stored.items()})
+    else:
+        builds.update({n: (lambda p=p: spark.read.parquet(p)) for n, p in result.mart_paths.items()})
     return writers.export_all(
         spark, builds,
         lambda df, name: writers.write_jdbc(df, url, name.upper(), properties=properties,

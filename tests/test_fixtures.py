@@ -110,6 +110,15 @@ def test_f8_two_adjacent_nulls(spark):
     assert got == [10.0, 12.0, 14.0, 16.0]
 
 
+def test_interpolation_per_series(spark):
+    rows = [("a", D(2013, 1, 1), 1.0), ("a", D(2013, 1, 2), None), ("a", D(2013, 1, 3), 3.0),
+            ("b", D(2013, 1, 1), 10.0), ("b", D(2013, 1, 2), None), ("b", D(2013, 1, 3), None),
+            ("b", D(2013, 1, 4), 40.0)]
+    df = spark.createDataFrame(rows, "k string, date date, p double")
+    got = {(r["k"], r["date"].day): r["p"] for r in cln.interpolate(df, "date", "p", keys=["k"]).collect()}
+    assert got[("a", 2)] == 2.0 and got[("b", 2)] == 20.0 and got[("b", 3)] == 30.0
+
+
 def test_clean_postcondition(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "sales double")
     with pytest.raises(ValueError):
