@@ -36,7 +36,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="shopline-bench-")
-    extra = {"spark.driver.memory": "16g", "spark.local.dir": scratch,
+    extra = {"spark.driver.memory": "16g",
              "spark.sql.execution.arrow.pyspark.enabled": "true"}
     if os.environ.get("BENCH_EVENT_LOG"):
         # Stage and task times for offline reading (no UI, no server).
