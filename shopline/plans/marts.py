@@ -125,6 +125,15 @@ MARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def registry(period: tuple[str, str] = DEFAULT_PERIOD,
+             max_lag: int = MAX_LAG_MONTHS) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """:data:`MARTS` with the analysis period (and lag count) bound."""
+    out = dict(MARTS)
+    out["lag_corr"] = lambda df: lag_corr(df, period=period, max_lag=max_lag)
+    out["city_price_corr"] = lambda df: city_price_corr(df, period=period)
+    return out
+
+
 # -------------------------------------------------- report queries (§ dashboards)
 
 def sales_by_store_type(df: DataFrame) -> DataFrame:

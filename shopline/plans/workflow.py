@@ -36,8 +36,12 @@ class RunResult:
 
 def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
         marts: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-        profile: bool = True) -> RunResult:
-    """Run every step over ``inputs`` (the five loaded tables) into ``out_dir``."""
+        period: tuple[str, str] | None = None, profile: bool = True) -> RunResult:
+    """Run every step over ``inputs`` (the five loaded tables) into ``out_dir``.
+
+    ``period`` is the analysis period of the lag / city correlations (default:
+    the marts' own); ``marts`` replaces the whole registry.
+    """
     seconds: dict[str, float] = {}
     audits: dict[str, DataFrame] = {}
 
@@ -81,7 +85,8 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
 
     stored = spark.read.parquet(consolidated_path)
     mart_paths = {}
-    for name, fn in (marts or mrt.MARTS).items():
+    chosen = marts or (mrt.registry(period) if period else mrt.MARTS)
+    for name, fn in chosen.items():
         path = f"{out_dir}/marts/{name}"
         seen = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
         timed(name, lambda fn=fn, path=path, seen=seen: writers.write_parquet(
