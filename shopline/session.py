@@ -46,10 +46,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is set by the operator to a shared file system; it is
     read from the session and never replaced.  Only when it is unset (local
-    tests) is a private folder created and registered.
+    tests) is a private folder created and registered.  Works without a
+    SparkContext (Spark Connect) as long as the setting is present.
     """
-    sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001  (static conf not exposed by this session)
+        configured = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
+        sc = None
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set for this session")
+    current = sc.getCheckpointDir() or configured or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
