@@ -103,7 +103,9 @@ def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
     keys the series is one calendar-bounded sequence (one row per date).
     """
     keys = keys or []
-    w = Window.partitionBy(*keys).orderBy(order)
+    # The value breaks ties between rows of one date, so the result is
+    # deterministic even when a feed holds two prices for a day.
+    w = Window.partitionBy(*keys).orderBy(F.col(order), F.col(value).asc_nulls_last())
     back = w.rowsBetween(Window.unboundedPreceding, 0)
     ahead = w.rowsBetween(0, Window.unboundedFollowing)
     if by == "position":
