@@ -41,12 +41,6 @@ def row_bytes(df: DataFrame):
     return sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
 
 
-def within_limits(df: DataFrame, rows: int, size: int) -> bool:
-    """Do ``rows`` rows / ``size`` bytes fit the session's broadcast bounds?"""
-    max_rows, max_bytes = _limits(df, None, None)
-    return rows <= max_rows and size <= max_bytes
-
-
 def fits_broadcast(df: DataFrame, max_rows: int | None = None,
                    max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.

@@ -60,12 +60,6 @@ def holidays_per_date(holidays: DataFrame) -> DataFrame:
     )
 
 
-def national_dates(holidays: DataFrame) -> DataFrame:
-    """Distinct dates with a national, not transferred row (semi-join side)."""
-    national = (F.col("locale") == NATIONAL_LOCALE) & (F.col("transferred") == F.lit(False))
-    return holidays.where(national).select("date").distinct()
-
-
 def consolidate(tables: dict[str, DataFrame],
                 sizes: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Four left joins onto the sales rows; row count is preserved (CON4-7).
