@@ -49,7 +49,8 @@ def strategy_for(dtype: T.DataType) -> str:
 
 
 def impute(df: DataFrame, columns: list[str] | None = None,
-           distinct_hints: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+           distinct_hints: dict[str, int] | None = None, *, median: str = "exact",
+           accuracy: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """Fill nulls: numeric → exact median, others → mode (CLN3-5).
 
     Returns the filled table and the imputation values as one row per column
@@ -58,12 +59,19 @@ def impute(df: DataFrame, columns: list[str] | None = None,
     a fixed bound), so the fill is a literal and nothing downstream recomputes
     it.  Integer columns become double when a median is filled in, as a median
     of integers need not be an integer.  A column with no values stays null.
+    ``median="approx"`` (opt-in) uses ``percentile_approx`` with ``accuracy``:
+    one sketch-based aggregate, rank error at most ``rows / accuracy``.
     """
+    if median not in ("exact", "approx"):
+        raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     cols = columns if columns is not None else df.columns
 
     def statistic(c: str):
         dtype = df.schema[c].dataType
         if strategy_for(dtype) == "median":
+            if median == "approx":
+                approx = F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)
+                return "median", df.agg(approx.alias("m")).collect()[0]["m"]
             hint = (distinct_hints or {}).get(c)
             return "median", exact_median(df, c, distinct_hint=hint).collect()[0]["median"]
         return "mode", most_frequent(df, c).collect()[0]["mode"]

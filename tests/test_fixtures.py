@@ -85,6 +85,16 @@ def test_f5_median(spark, values, expected):
         assert expected in got and None not in got
 
 
+def test_approximate_median_opt_in(spark):
+    df = spark.range(1001).selectExpr("CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS x")
+    _, exact = cln.impute(df, ["x"])
+    _, approx = cln.impute(df, ["x"], median="approx")
+    e, a = exact.collect()[0]["value_num"], approx.collect()[0]["value_num"]
+    assert e == 500.0 and abs(a - e) <= 1001 / 10_000 + 1
+    with pytest.raises(ValueError):
+        cln.impute(df, ["x"], median="mean")
+
+
 def test_f6_mode_ties_to_smallest(spark):
     df = spark.createDataFrame([("b", True), ("a", None), ("b", False), ("a", False), (None, True)],
                                "s string, f boolean")
