@@ -85,9 +85,37 @@ def cut_lineage(df):
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/shopline-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _delete_at_exit(spark, path)
     # The schema is known: reading it back needs no footer-inference job.
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop path and file system of ``path``; None where the session has no JVM (Spark Connect)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None, None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Intermediate tables go when the driver ends; results read from them may be lazy until then."""
+    p, fs = _filesystem(spark, path)
+    if fs is not None:
+        fs.deleteOnExit(p)
+
+
+def drop_stored(df) -> None:
+    """Delete a table that :func:`cut_lineage` wrote, once nothing reads it any more."""
+    path = getattr(df, "_stored_at", None)
+    if path:
+        p, fs = _filesystem(df.sparkSession, path)
+        if fs is not None:
+            fs.delete(p, True)
 
 
 def run_concurrently(tasks, workers: int | None = None) -> list:
