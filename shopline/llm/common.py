@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,33 +41,63 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(spaced, " +"), lambda w: w != "")
 
 
-def by_batch(df: DataFrame, columns: list[Column], schema: str,
-             make: Callable[[], Callable[[pa.RecordBatch], dict | None]]) -> DataFrame:
-    """Run a per-task function over Arrow batches of ``columns``.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this library, so that their Python finds it whatever
+    the folder or path that the driver was started with."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shopline
+
+    root = Path(shopline.__file__).resolve().parent
+    # The driver serves the file for as long as it lives.
+    folder = tempfile.TemporaryDirectory(prefix="shopline-library-")
+    atexit.register(folder.cleanup)
+    archive = Path(folder.name, "shopline_library.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name, f.relative_to(root)))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
 
-    ``make`` is called once in each task and returns the function that turns a
-    record batch into a dict of column values (lists or Arrow arrays) named as
-    in ``schema``.  Text columns are best cast to binary, so that bytes that
-    are not UTF-8 reach the function as they are.
+
+def by_stream(df: DataFrame, columns: list[Column], schema: str,
+              make: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
+    """Run a generator over each task's Arrow batches of ``columns``.
+
+    The generator gets the batches in bounded slices and yields dicts of
+    column values (lists or Arrow arrays) named as in ``schema``.  Text columns
+    are best cast to binary, so that bytes that are not UTF-8 arrive as they are.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    out = to_arrow_schema(StructType.fromDDL(schema), timezone="UTC")
+    ship_package(df.sparkSession)
+    out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            for part in _cut(batch):
-                made = step(part)
-                if made is not None:
-                    yield pa.RecordBatch.from_arrays(
-                        [a if isinstance(a := made[f.name], pa.Array) and a.type == f.type
-                         else pa.array(a, type=f.type) for f in out], schema=out)
+        for made in make(part for batch in batches for part in _cut(batch)):
+            yield pa.RecordBatch.from_arrays(
+                [a if isinstance(a := made[f.name], pa.Array) and a.type == f.type
+                 else pa.array(a, type=f.type) for f in out], schema=out)
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def by_batch(df: DataFrame, columns: list[Column], schema: str,
+             make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
+    """As :func:`by_stream`, for a function of one batch that ``make`` sets up in each task."""
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        step = make()
+        return map(step, batches)
+
+    return by_stream(df, columns, schema, stream)
+
+
 #: Work units of a batch function: about so many bytes of input at a time.
 BATCH_BYTES = 8 << 20
 

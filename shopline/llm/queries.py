@@ -10,10 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopline.llm import op4_warc as warc
+from shopline.llm.op3_lattice import op3_lattice
 from shopline.llm.op9_bpe import op9_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_lattice": op3_lattice,
+    "op4_warc": warc.op4_warc,
     "op9_bpe": op9_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": warc.ORACLE,
+}
