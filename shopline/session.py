@@ -111,7 +111,7 @@ def _delete_at_exit(spark: SparkSession, path: str) -> None:
 
 def drop_stored(df) -> None:
     """Delete a table that :func:`cut_lineage` wrote, once nothing reads it any more."""
-    path = getattr(df, "_stored_at", None)
+    path = getattr(df, "_stored_at", None) if df is not None else None
     if path:
         p, fs = _filesystem(df.sparkSession, path)
         if fs is not None:
