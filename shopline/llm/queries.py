@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopline.llm import op4_warc as warc
+from shopline.llm.op1_mcd import op1_mcd
 from shopline.llm.op2_langid import op2_langid
 from shopline.llm.op3_lattice import op3_lattice
 from shopline.llm.op9_bpe import op9_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mcd": op1_mcd,
     "op2_langid": op2_langid,
     "op3_lattice": op3_lattice,
     "op4_warc": warc.op4_warc,
