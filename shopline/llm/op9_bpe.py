@@ -183,6 +183,12 @@ def _pieces(path: str) -> _Pieces:
     return _Pieces(BytePairs(read_ranks(path)))
 
 
+@lru_cache(maxsize=2)
+def _bytes_of(path: str) -> list[bytes]:
+    known = {r: b for b, r in read_ranks(path).items()}
+    return [known.get(i, b"") for i in range(max(known, default=-1) + 1)]
+
+
 def _encoder(path: str, pattern: str):
     import regex
 
@@ -229,8 +235,7 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded", ke
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{out}` binary"])
 
     def make():
-        known = _pieces(ranks).pairs.bytes_of
-        of = [known.get(i, b"") for i in range(max(known, default=-1) + 1)]
+        of = _bytes_of(ranks)
 
         def step(batch: pa.RecordBatch) -> dict:
             made = {c: batch.column(i) for i, c in enumerate(keep)}
