@@ -15,6 +15,7 @@ from shopline.llm.op1_mcd import op1_mcd
 from shopline.llm.op2_langid import op2_langid
 from shopline.llm.op3_lattice import op3_lattice
 from shopline.llm.op6_lines import op6_lines
+from shopline.llm.op7_trees import op7_trees
 from shopline.llm.op9_bpe import op9_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lattice": op3_lattice,
     "op4_warc": warc.op4_warc,
     "op6_lines": op6_lines,
+    "op7_trees": op7_trees,
     "op9_bpe": op9_bpe,
 }
 
