@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopline.llm import op4_warc as warc
+from shopline.llm import op5_maxscore as maxscore
 from shopline.llm.op1_mcd import op1_mcd
 from shopline.llm.op2_langid import op2_langid
 from shopline.llm.op3_lattice import op3_lattice
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_lattice": op3_lattice,
     "op4_warc": warc.op4_warc,
+    "op5_maxscore": maxscore.op5_maxscore,
     "op6_lines": op6_lines,
     "op7_trees": op7_trees,
     "op9_bpe": op9_bpe,
@@ -30,4 +32,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op4_warc": warc.ORACLE,
+    "op5_maxscore": maxscore.ORACLE,
 }
