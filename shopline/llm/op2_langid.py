@@ -53,7 +53,8 @@ def training_sample(labelled: DataFrame, text: str, lang: str, max_chars: int =
     size = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
     size = size.withColumn("room", F.least(F.lit(max_chars), (F.lit(max_total) / F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))).cast("long")))
     # Of a large language only a thin slice by hash is sorted: four times the room, as expected.
-    rows = rows.withColumn("h", F.xxhash64("text")).join(size, "lang")
+    # One row a language, of which there are as many as automata: small enough to send.
+    rows = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(size), "lang")
     rows = rows.filter(F.shiftrightunsigned("h", 1) / float(1 << 63) <= 4 * F.col("room") / F.col("chars"))
     rows = rows.groupBy("lang", "h").agg(F.first("text").alias("text"), F.first("room").alias("room"))
     order = Window.partitionBy("lang").orderBy("h")
