@@ -17,6 +17,7 @@ from shopline.llm.op2_langid import op2_langid
 from shopline.llm.op3_lattice import op3_lattice
 from shopline.llm.op6_lines import op6_lines
 from shopline.llm.op7_trees import op7_trees
+from shopline.llm.op8_pii import op8_pii
 from shopline.llm.op9_bpe import op9_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_maxscore": maxscore.op5_maxscore,
     "op6_lines": op6_lines,
     "op7_trees": op7_trees,
+    "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
 }
 
