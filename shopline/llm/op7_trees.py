@@ -378,7 +378,9 @@ def _rest(active: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``."""
+    """(doc_id, n_shingles, component_id, cls, component) per row of ``docs``;
+    cls is the class of the row's set, component the smallest class linked with
+    it (null for an empty set)."""
     rows = _sets(docs, doc_id, text)
     rows_of = stored(rows.select("doc_id", "n", "cls"))
     documents = rows_of.count()
@@ -405,9 +407,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     placed = placed.withColumn("component", F.when(F.col("n") > 0, F.col("component")))
     first = placed.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = placed.join(first, "component", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    smallest = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), smallest.alias("component_id"), "cls", "component")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component, one row
+    with its smallest id (of several such rows, the first by class and text).
+    An empty text is a component with the rows of its own id only."""
+    found = near_duplicates(docs, doc_id, text)
+    named = F.struct(F.col("doc_id").isNull(), "doc_id", "cls")  # null ids last
+    single = F.when(F.col("component").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    chosen = found.groupBy("component", single.alias("single")).agg(F.min(named).alias("r"))
+    chosen = stored(chosen.select(F.col("r.doc_id").alias("__id"), F.col("r.cls").alias("__cls")))
+    rows = docs.join(chosen, docs[doc_id].eqNullSafe(chosen["__id"])).filter(F.xxhash64(shingle_set(F.col(text))) == F.col("__cls"))
+    first = Window.partitionBy(doc_id, "__cls").orderBy(text)
+    return rows.withColumn("__row", F.row_number().over(first)).filter("`__row` = 1").select(*docs.columns)
 
 
 def op7_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and near-duplicate component."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -19,6 +19,7 @@ from shopline.llm.op6_lines import op6_lines
 from shopline.llm.op7_trees import op7_trees
 from shopline.llm.op8_pii import op8_pii
 from shopline.llm.op9_bpe import op9_bpe
+from shopline.llm.op10_mixing import op10_mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd": op1_mcd,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_trees": op7_trees,
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
