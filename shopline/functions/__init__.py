@@ -2,9 +2,9 @@
 
 from shopline.functions.stats import exact_avg, exact_sum, safe_corr, safe_ratio
 from shopline.functions.calendar import year_month, in_period
-from shopline.functions.sizing import bounded_broadcast, fits_broadcast
+from shopline.functions.sizing import bounded_broadcast
 
 __all__ = [
     "exact_avg", "exact_sum", "safe_corr", "safe_ratio",
-    "year_month", "in_period", "bounded_broadcast", "fits_broadcast",
+    "year_month", "in_period", "bounded_broadcast",
 ]

@@ -1,11 +1,10 @@
 """Broadcast only what has a measured size bound.
 
-``fits_broadcast`` runs one small job over at most ``max_rows + 1`` rows of the
-candidate side and sums the byte length of its values.  A side is broadcast only
-if both bounds hold; otherwise the caller's join stays a shuffle join (sort-merge
-with AQE skew splitting).  The probe never reads more than ``max_rows + 1`` rows
-of an unfiltered scan; for an aggregated side it evaluates the aggregate, which is
-the side that would be broadcast anyway.
+A side whose rows and bytes have been measured exactly (the clean step observes
+them while it writes the table) is broadcast if both are within the bounds.  All
+other joins are left to Spark: it broadcasts by file size or, with AQE, by the
+size of a finished shuffle, and else sorts and merges, splitting skewed
+partitions.  No probe job runs.
 """
 
 from __future__ import annotations
@@ -27,47 +26,17 @@ def _value_bytes(field: T.StructField):
     return F.lit(fixed.get(type(field.dataType), 16))
 
 
-def _limits(df: DataFrame, max_rows: int | None, max_bytes: int | None) -> tuple[int, int]:
-    conf = df.sparkSession.conf
-    rows = max_rows if max_rows is not None else int(
-        conf.get("shopline.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
-    size = max_bytes if max_bytes is not None else int(
-        conf.get("shopline.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
-    return rows, size
-
-
 def row_bytes(df: DataFrame):
     """Column: byte size of one row (strings by length, fixed types by width)."""
     return sum((_value_bytes(f) for f in df.schema.fields), F.lit(0))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None,
-                   max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
-
-    Bounds default to the session settings ``shopline.broadcast.maxRows`` /
-    ``shopline.broadcast.maxBytes`` (2,000,000 rows, 64 MiB).
-    """
-    max_rows, max_bytes = _limits(df, max_rows, max_bytes)
-    width = row_bytes(df)
-    probe = (df.limit(max_rows + 1)
-             .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-             .collect()[0])
-    n, b = probe["n"], probe["b"] or 0
-    return n <= max_rows and b <= max_bytes
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
-                      max_bytes: int | None = None,
-                      known: tuple[int, int] | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged.
-
-    ``known``: an upper bound ``(rows, bytes)`` already measured (e.g.
-    observed while the table was written); then no probe job runs.
-    """
-    if known is not None:
-        rows, size = _limits(df, max_rows, max_bytes)
-        small = known[0] <= rows and known[1] <= size
-    else:
-        small = fits_broadcast(df, max_rows, max_bytes)
+def bounded_broadcast(df: DataFrame, known: tuple[int, int] | None) -> DataFrame:
+    """``F.broadcast(df)`` if its measured ``(rows, bytes)`` are within the session
+    settings ``shopline.broadcast.maxRows`` / ``maxBytes`` (2,000,000 rows, 64 MiB);
+    ``df`` unchanged otherwise, or if nothing was measured."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get("shopline.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
+    size = int(conf.get("shopline.broadcast.maxBytes", str(DEFAULT_MAX_BYTES)))
+    small = known is not None and known[0] <= rows and known[1] <= size
     return F.broadcast(df) if small else df

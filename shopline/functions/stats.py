@@ -3,6 +3,7 @@
 * Money is summed as DECIMAL, so a total does not depend on the order in which
   a thousand executors happen to add their partial sums (double addition is
   not associative).  The decimal total is turned into a double at the end.
+  Other measures (prices, rates) are plain double aggregates.
 * ``safe_corr`` is Pearson's r that yields null instead of raising under ANSI
   mode when a variable is constant, has one row or no rows.
 """
@@ -12,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scale used for money columns: 2-decimal inputs, and the mean of two of them
-# (a median) has at most 3 decimals, so 4 keeps every value exact.
-MONEY_SCALE = 4
+# Decimal places kept of each summed value, and the magnitude up to which
+# values are summed as decimals; DECIMAL(38, 10) has room for 1e28.
+MONEY_SCALE = 10
+MONEY_LIMIT = 1e24
 
 
 def _col(c: str | Column) -> Column:
@@ -22,12 +24,19 @@ def _col(c: str | Column) -> Column:
 
 
 def exact_sum(c: str | Column, scale: int = MONEY_SCALE) -> Column:
-    """``sum`` computed on DECIMAL(18, scale), returned as double."""
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    """``sum`` over DECIMAL(38, scale), returned as double.
+
+    If any value is NaN, infinite or beyond ``MONEY_LIMIT``, the sum is the
+    plain double sum.
+    """
+    x = _col(c).cast("double")
+    plain = F.isnan(x) | (F.abs(x) > MONEY_LIMIT)
+    exact = F.sum(F.when(~plain, x).cast(f"decimal(38,{scale})")).cast("double")
+    return F.when(F.coalesce(F.bool_or(plain), F.lit(False)), F.sum(x)).otherwise(exact)
 
 
 def exact_avg(c: str | Column, scale: int = MONEY_SCALE) -> Column:
-    """Mean = exact decimal sum / count of non-null values (null if none)."""
+    """Mean = exact sum / count of non-null values (null if none)."""
     x = _col(c)
     return F.try_divide(exact_sum(x, scale), F.count(x).cast("double"))
 

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopline.functions.calendar import in_period, year_month
-from shopline.functions.stats import MONEY_SCALE, exact_avg, exact_sum, safe_corr, safe_ratio
+from shopline.functions.stats import exact_avg, exact_sum, safe_corr, safe_ratio
 from shopline.operators.ordering import global_position
+from shopline.session import cut_lineage
 
 Keys = str | Sequence[str]
 
@@ -27,10 +28,6 @@ def _keys(k: Keys) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-def _money(c: str) -> Column:
-    return F.col(c).cast(f"decimal(18,{MONEY_SCALE})")
-
-
 def share_of_total(df: DataFrame, key: Keys, measure: str, *, total: str = "total_sales",
                    mean: str | None = "avg_sales", pct: str = "pct_of_total",
                    digits: int = 2) -> DataFrame:
@@ -39,8 +36,10 @@ def share_of_total(df: DataFrame, key: Keys, measure: str, *, total: str = "tota
     if mean:
         aggs.append(exact_avg(measure).alias(mean))
     per_key = df.groupBy(*_keys(key)).agg(*aggs)
-    grand = per_key.agg(F.sum(F.col(total).cast("decimal(38,4)")).cast("double"))
-    return per_key.withColumn(pct, F.round(safe_ratio(total, grand.scalar()) * 100, digits))
+    # The subquery takes every column of the aggregate, so that it is the same
+    # aggregate as the outer one and Spark computes it once.
+    grand = per_key.agg(F.struct(exact_sum(total).alias("t"), *[F.max(c).alias(f"c{i}") for i, c in enumerate(per_key.columns)]))
+    return per_key.withColumn(pct, F.round(safe_ratio(total, grand.scalar()["t"]) * 100, digits))
 
 
 def ranked_totals(df: DataFrame, key: Keys, measure: str, attributes: Sequence[str] = (), *,
@@ -79,12 +78,13 @@ def flag_summary(df: DataFrame, flag: str, measure: str, labels: tuple[str, str]
     return out.withColumn(label, F.when(F.col(flag), F.lit(labels[0])).otherwise(F.lit(labels[1])))
 
 
-def event_window(facts: DataFrame, events: DataFrame, date: str, key: Keys, measure: str, *,
+def event_window(facts: DataFrame, flag: str, date: str, key: Keys, measure: str, *,
                  before: int = 3, after: int = 3, mean: str = "avg_sales") -> DataFrame:
     """Mean daily total per (offset, key) around event dates (M06).
 
-    ``events`` holds one date column ``date`` (duplicates allowed, removed here).
-    Each event date is expanded to ``before + after + 1`` dated offsets; a day
+    Event dates are those with a row whose ``flag`` is true.  The facts are read
+    once, for the daily totals, which are stored (so this starts a job): dates
+    and totals both come from them.  Each event date is expanded to ``before + after + 1`` dated offsets; a day
     near several events counts once per event.  Both join sides are small
     aggregates — daily totals (dates × keys, pre-aggregated before the join)
     and the expansion (distinct event dates × window length) — so the plain
@@ -92,13 +92,12 @@ def event_window(facts: DataFrame, events: DataFrame, date: str, key: Keys, meas
     run time when a side turns out small; no size probe is needed.
     """
     keys = _keys(key)
-    window = (events.select(F.col(date).alias("_event")).distinct()
+    daily = cut_lineage(facts.groupBy(date, *keys).agg(exact_sum(measure).alias("_day"), F.bool_or(flag).alias("_flag")))
+    window = (daily.where("_flag").select(F.col(date).alias("_event")).distinct()
               .select(F.explode(F.sequence(F.lit(-before), F.lit(after))).alias("offset"), "_event")
               .select("offset", F.date_add("_event", F.col("offset")).alias(date)))
-    daily = facts.groupBy(date, *keys).agg(F.sum(_money(measure)).alias("_day"))
     joined = daily.join(window, date, "inner")
-    return (joined.groupBy("offset", *keys)
-            .agg(F.try_divide(F.sum("_day").cast("double"), F.count("_day").cast("double")).alias(mean)))
+    return joined.groupBy("offset", *keys).agg(exact_avg("_day").alias(mean))
 
 
 def contrast_by_flag(df: DataFrame, key: Keys, flag: Column | str, measure: str, *,
@@ -120,9 +119,10 @@ def contrast_by_flag(df: DataFrame, key: Keys, flag: Column | str, measure: str,
 def monthly_series(df: DataFrame, date: str, measure: str, price: str, *,
                    keys: Sequence[str] = (), total: str = "total_sales",
                    mean_price: str = "avg_price") -> DataFrame:
-    """Per (keys, month): exact total of ``measure`` and row-weighted mean of ``price``."""
+    """Per (keys, month): exact total of ``measure`` and row-weighted mean of ``price``
+    (a plain double mean: an interpolated price has no last decimal)."""
     return (df.groupBy(*keys, year_month(date).alias("year_month"))
-            .agg(exact_sum(measure).alias(total), exact_avg(price).alias(mean_price)))
+            .agg(exact_sum(measure).alias(total), F.avg(price).alias(mean_price)))
 
 
 def with_global_corr(df: DataFrame, x: str, y: str, *, name: str = "corr",

@@ -1,9 +1,8 @@
 """Cleaning: dedupe, date cast, imputation, interpolation, audit (CLN1-10).
 
-Imputation values are one-row aggregates attached as scalar subqueries, so no
-statistic is collected to the driver in the middle of a plan and no cross join
-is needed.  Medians and modes use the distributed selections of
-:mod:`shopline.operators.ordering`.
+Imputation values come to the driver, one value per column, and fill as
+literals, so nothing downstream computes them again.  Medians and modes are the
+distributed selections of :mod:`shopline.operators.ordering`.
 """
 
 from __future__ import annotations
@@ -16,10 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopline.functions.sizing import row_bytes
-from shopline.operators.ordering import exact_median, most_frequent
-from shopline.operators.profile import (
-    NUMERIC, cardinality_columns, null_census, stat_columns, table_stats,
-)
+from shopline.operators.ordering import exact_medians, most_frequent
+from shopline.operators.profile import NUMERIC, null_census, stat_columns, table_stats
 from shopline.session import cut_lineage, run_concurrently
 
 def dedupe(df: DataFrame) -> DataFrame:
@@ -36,10 +33,9 @@ def cast_date(df: DataFrame, column: str | None) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("date"))
 
 
-def null_counts(df: DataFrame, with_rows: bool = False) -> DataFrame:
-    """One row: null count of every column (one pass); ``_rows`` too if asked."""
-    rows = [F.count(F.lit(1)).alias("_rows")] if with_rows else []
-    return df.agg(*rows, *[F.coalesce(F.sum(F.col(f"`{c}`").isNull().cast("bigint")), F.lit(0))
+def null_counts(df: DataFrame) -> DataFrame:
+    """One row: null count of every column (one pass)."""
+    return df.agg(*[F.coalesce(F.sum(F.col(f"`{c}`").isNull().cast("bigint")), F.lit(0))
                            .alias(c) for c in df.columns])
 
 
@@ -48,16 +44,14 @@ def strategy_for(dtype: T.DataType) -> str:
     return "median" if isinstance(dtype, NUMERIC) else "mode"
 
 
-def impute(df: DataFrame, columns: list[str] | None = None,
-           distinct_hints: dict[str, int] | None = None, *, median: str = "exact",
+def impute(df: DataFrame, columns: list[str] | None = None, *, median: str = "exact",
            accuracy: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """Fill nulls: numeric → exact median, others → mode (CLN3-5).
 
     Returns the filled table and the imputation values as one row per column
-    ``(column, strategy, value_num, value_text)``.  Each statistic is computed
-    once by a distributed job and comes back as a single value (one per column:
-    a fixed bound), so the fill is a literal and nothing downstream recomputes
-    it.  Integer columns become double when a median is filled in, as a median
+    ``(column, strategy, value_num, value_text)``.  All medians share one
+    distributed selection; each statistic comes back as a single value, so the
+    fill is a literal and nothing downstream recomputes it.  Integer columns become double when a median is filled in, as a median
     of integers need not be an integer.  A column with no values stays null.
     ``median="approx"`` (opt-in) uses ``percentile_approx`` with ``accuracy``:
     one sketch-based aggregate, rank error at most ``rows / accuracy``.
@@ -66,18 +60,25 @@ def impute(df: DataFrame, columns: list[str] | None = None,
         raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     cols = columns if columns is not None else df.columns
 
-    def statistic(c: str):
-        dtype = df.schema[c].dataType
-        if strategy_for(dtype) == "median":
-            if median == "approx":
-                approx = F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)
-                return "median", df.agg(approx.alias("m")).collect()[0]["m"]
-            hint = (distinct_hints or {}).get(c)
-            return "median", exact_median(df, c, distinct_hint=hint).collect()[0]["median"]
-        return "mode", most_frequent(df, c).collect()[0]["mode"]
-
-    # Independent one-value jobs, one per column, run side by side.
-    values = run_concurrently([lambda c=c: statistic(c) for c in cols])
+    signed = [c for c in cols if strategy_for(df.schema[c].dataType) == "median"]
+
+    def medians() -> dict:
+        if not signed:
+            return {}
+        if median == "approx":
+            row = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, accuracy).alias(f"m{i}")
+                           for i, c in enumerate(signed)]).collect()[0]
+            return {c: ("median", row[f"m{i}"]) for i, c in enumerate(signed)}
+        return {r["column"]: ("median", r["median"]) for r in exact_medians(df, signed).collect()}
+
+    def mode(c: str) -> dict:
+        return {c: ("mode", most_frequent(df, c).collect()[0]["mode"])}
+
+    # Independent small jobs run side by side: one for all medians, one per mode.
+    found = {}
+    for part in run_concurrently([medians, *[lambda c=c: mode(c) for c in cols if c not in signed]]):
+        found.update(part)
+    values = [found[c] for c in cols]
     fills, audit_rows = {}, []
     for c, (strategy, value) in zip(cols, values):
         dtype = df.schema[c].dataType
@@ -107,49 +108,75 @@ def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
     ``by="position"``: the straight line runs over row positions (a weekend gap
     is no extra step); ``by="time"``: over days between the dates.  Edges:
     a leading null takes the next value, a trailing null the previous one.
-    ``keys`` interpolate each series separately (partitioned window); without
-    keys the series is one calendar-bounded sequence (one row per date).
+    ``keys`` interpolate each series separately.
+
+    No series has to fit in one task: rows are range-partitioned in order and
+    stored (so this starts a job), neighbours are sought within a partition in
+    linear time, and a table of one row per series and partition carries the
+    nearest values and the row offset over the borders.
     """
+    if by not in ("position", "time"):
+        raise ValueError(f"by must be 'position' or 'time', not {by!r}")
     keys = keys or []
     # The value breaks ties between rows of one date, so the result is
     # deterministic even when a feed holds two prices for a day.
-    w = Window.partitionBy(*keys).orderBy(F.col(order), F.col(value).asc_nulls_last())
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    sort = [F.col(order).asc(), F.col(value).asc_nulls_last()]
+    turned = [F.col(order).desc(), F.col(value).desc_nulls_first()]
+    v = F.col(value).cast("double")
+    staged = cut_lineage(df.repartitionByRange(*keys, *sort).withColumn("_pid", F.spark_partition_id()))
+    part = Window.partitionBy(*keys, "_pid")
+    staged = staged.withColumn("_row", F.row_number().over(part.orderBy(*sort)).cast("bigint"))
+    known = F.when(v.isNotNull(), F.struct(v.alias("v"), F.col("_row").alias("row"), F.col(order).alias("at")))
+    staged = staged.withColumn("_known", known)
+    # Per series and partition: rows, and the first and last known value.
+    edges = staged.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by("_known", F.when(v.isNotNull(), F.col("_row"))).alias("_first"),
+        F.max_by("_known", F.when(v.isNotNull(), F.col("_row"))).alias("_last"))
+    series = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))])
+    earlier = series.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    later = series.orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    shift = lambda e: F.when(F.col(e).isNotNull(), F.struct(
+        F.col(f"{e}.v").alias("v"), (F.col(f"{e}.row") + F.col("_before")).alias("row"), F.col(f"{e}.at").alias("at")))
+    edges = edges.withColumns({"_first": shift("_first"), "_last": shift("_last")})
+    edges = edges.withColumns({"_into": F.last("_last", ignorenulls=True).over(earlier),
+                               "_outof": F.last("_first", ignorenulls=True).over(later)})
+    match = (F.col("_pid") == F.col("_p"))
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    edges = edges.select(*[f"_k{i}" for i in range(len(keys))], "_p", "_before", "_into", "_outof")
+    # Running windows in both directions: each looks back from its row only.
+    near = staged.withColumns({
+        "_lk": F.last("_known", ignorenulls=True).over(part.orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)),
+        "_nk": F.last("_known", ignorenulls=True).over(part.orderBy(*turned).rowsBetween(Window.unboundedPreceding, 0)),
+    }).join(edges, match, "left")
+    place = lambda k: F.when(F.col(k).isNotNull(), F.struct(
+        F.col(f"{k}.v").alias("v"), (F.col(f"{k}.row") + F.col("_before")).alias("row"), F.col(f"{k}.at").alias("at")))
+    near = near.withColumns({"_lk": F.coalesce(place("_lk"), "_into"), "_nk": F.coalesce(place("_nk"), "_outof"),
+                             "_row": F.col("_row") + F.col("_before")})
     if by == "position":
-        pos = F.row_number().over(w).cast("double")
-    elif by == "time":
-        pos = F.datediff(F.col(order), F.lit("1970-01-01").cast("date")).cast("double")
+        here, left, right = F.col("_row"), F.col("_lk.row"), F.col("_nk.row")
     else:
-        raise ValueError(f"by must be 'position' or 'time', not {by!r}")
-    v = F.col(value).cast("double")
-    staged = df.withColumn("_pos", pos).withColumn("_px", F.when(v.isNotNull(), F.col("_pos")))
-    staged = staged.withColumns({
-        "_lv": F.last(v, ignorenulls=True).over(back),
-        "_lp": F.last("_px", ignorenulls=True).over(back),
-        "_nv": F.first(v, ignorenulls=True).over(ahead),
-        "_np": F.first("_px", ignorenulls=True).over(ahead),
-    })
-    line = F.col("_lv") + (F.col("_nv") - F.col("_lv")) * (F.col("_pos") - F.col("_lp")) / (F.col("_np") - F.col("_lp"))
-    filled = F.when(v.isNotNull(), v).when(F.col("_lp").isNotNull() & F.col("_np").isNotNull(), line)
+        days = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
+        here, left, right = days(F.col(order)), days(F.col("_lk.at")), days(F.col("_nk.at"))
+    lv, nv = F.col("_lk.v"), F.col("_nk.v")
+    step = (here - left).cast("double")
+    line = lv + (nv - lv) * step / (right - left).cast("double")
+    filled = F.when(v.isNotNull(), v).when(lv.isNotNull() & nv.isNotNull(), line)
     if fill_edges:
-        filled = F.coalesce(filled, F.col("_lv"), F.col("_nv"))
-    return staged.withColumn(value, filled).drop("_pos", "_px", "_lv", "_lp", "_nv", "_np")
+        filled = F.coalesce(filled, lv, nv)
+    return near.withColumn(value, filled).select(*df.columns)
 
 
 @dataclass
 class CleanSpec:
     """How one table is cleaned (CLN9).
 
-    ``materialize``: ``"always"`` (default) deduplicates and writes the table in
-    the one pass that also observes its statistics; ``"never"`` keeps the
-    plan lazy (statistics then cost one aggregate job).
     """
     date: str | None = "date"
     interpolate: str | None = None          # value column to interpolate over ``date``
     impute: bool = True
     series_keys: list[str] = field(default_factory=list)
-    materialize: str = "always"
 
 
 # Per-table dispatch of the batch run.
@@ -174,15 +201,15 @@ def clean_table(name: str, df: DataFrame, spec: CleanSpec, *, materialize: bool
     values come back as one value per column and fill as literals, so the
     audit is built from known numbers without another job.  ``observed``
     receives the statistics (``_rows``, ``_n{i}``, ``_lo{i}``, ``_hi{i}``,
-    ``_d{i}``, ``_kept``, ``_kept_bytes``) for the profile and for the
+    ``_kept``, ``_kept_bytes``) for the profile and for the
     broadcast decisions of the joins.  Without ``materialize`` the plan stays lazy
     and the statistics are one aggregate job.
     """
     spark = df.sparkSession
-    if materialize and spec.materialize != "never":
+    if materialize:
         tag = uuid.uuid4().hex[:8]
         raw_obs, kept_obs = Observation(f"raw_{name}_{tag}"), Observation(f"kept_{name}_{tag}")
-        deduped = dedupe(df.observe(raw_obs, *stat_columns(df), *cardinality_columns(df)))
+        deduped = dedupe(df.observe(raw_obs, *stat_columns(df)))
         deduped = cast_date(deduped, spec.date)
         deduped = deduped.observe(kept_obs, F.count(F.lit(1)).alias("_kept"),
                                   F.coalesce(F.sum(row_bytes(deduped)), F.lit(0)).alias("_kept_bytes"))
@@ -201,8 +228,7 @@ def clean_table(name: str, df: DataFrame, spec: CleanSpec, *, materialize: bool
     elif spec.impute:
         with_nulls = [c for c in df.columns if nulls[c]]
         if with_nulls:
-            hints = {c: stats[f"_d{i}"] for i, c in enumerate(df.columns) if f"_d{i}" in stats}
-            out, values = impute(out, with_nulls, hints)
+            out, values = impute(out, with_nulls)
             imputed = [tuple(r) for r in values.collect()]
     if observed is not None:
         observed.update(stats)

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopline.functions.sizing import bounded_broadcast
-from shopline.session import run_concurrently
 from shopline.schemas import CONSOLIDATED_COLUMNS, HOLIDAY_COLUMNS, NATIONAL_FLAG
 
 # The preferred holiday type, and the order of locales used to
@@ -67,8 +66,8 @@ def consolidate(tables: dict[str, DataFrame],
     Dimensions must be unique on their join keys (see :func:`key_violations`);
     the holiday calendar is made so here.  ``sizes``: measured ``(rows,
     bytes)`` of the cleaned tables (observed by the clean step); a dimension
-    with a known size needs no probe job (the per-date holiday table is no
-    larger than the holiday rows it comes from).
+    measured small is broadcast (the per-date holiday table is no larger than
+    the holiday rows it comes from), for all others Spark chooses the join.
     """
     sizes = sizes or {}
     sales = tables["train"]
@@ -77,9 +76,7 @@ def consolidate(tables: dict[str, DataFrame],
             tables["oil"].select("date", "dcoilwtico"),
             holidays_per_date(tables["holidays"]),
             tables["transactions"].select("store_nbr", "date", "transactions")]
-    # Size checks still needed are independent small jobs: run them side by side.
-    stores, prices, per_date, trans = run_concurrently(
-        [lambda d=d, n=n: bounded_broadcast(d, known=sizes.get(n)) for d, n in zip(dims, names)])
+    stores, prices, per_date, trans = (bounded_broadcast(d, sizes.get(n)) for d, n in zip(dims, names))
     out = (sales
            .join(stores, "store_nbr", "left")
            .join(prices, "date", "left")

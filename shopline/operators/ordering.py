@@ -8,10 +8,11 @@ rows are written once (lineage cut): range bounds come from sampling, so a
 second evaluation could choose other bounds than the first.
 
 * :func:`global_position` — exact 0-based position of every row in a total order.
-* :func:`exact_median`   — exact median of a column (mean of the two middle
+  Both positions and medians therefore start a job when they are called.
+* :func:`exact_medians`  — exact medians of columns (mean of the two middle
   values), found by selection over value counts: hot values collapse in the
-  map-side combine of ``groupBy(value).count()``, and only the one or two range
-  partitions that hold the middle are sorted again.
+  map-side combine of the counts, and only the one or two range partitions
+  that hold a middle are sorted again.
 * :func:`most_frequent`  — mode with ties to the smallest value, as a two-level
   aggregate (no per-group value→count map held by one task).
 """
@@ -62,73 +63,40 @@ def global_position(df: DataFrame, order: list[Column], name: str = "position",
             .drop("_mid", "_pid", "_local", "_offset"))
 
 
-# Up to this many distinct values, the (value, count) table is small enough to
-# pick the median from on the driver (well under a MB); beyond it, the selection runs
-# distributed.
-LOCAL_DISTINCT_VALUES = 10_000
-
-
-def _median_of_counts(pairs: list[tuple[float, int]]) -> float | None:
-    pairs = sorted(pairs)
-    total = sum(w for _, w in pairs)
-    if total == 0:
-        return None
-    lo, hi = (total - 1) // 2, total // 2
-    a = b = None
-    seen = 0
-    for v, w in pairs:
-        if a is None and lo < seen + w:
-            a = v
-        if hi < seen + w:
-            b = v
-            break
-        seen += w
-    return (a + b) / 2
-
-
-def exact_median(df: DataFrame, column: str, partitions: int | None = None,
-                 local_limit: int = LOCAL_DISTINCT_VALUES,
-                 distinct_hint: int | None = None) -> DataFrame:
-    """One-row DataFrame ``(median double)``: null when there are no values.
-
-    The values are first reduced to ``(value, count)`` pairs (map-side
-    combined).  If there are at most ``local_limit`` pairs — checked by
-    fetching at most ``local_limit + 1`` of them — the median is picked from
-    those pairs; otherwise by the distributed selection below.  A
-    ``distinct_hint`` (an approximate distinct count, e.g. observed while the
-    table was written) well above the limit skips that check.
+def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, median double) of each column: null when it has no values.
+
+    All columns go through one shuffle of ``(column, value, count)``: hot values
+    collapse map-side.  The counts are range-partitioned by column and value and
+    stored once, so that both branches below see the same ranges.  NaN counts
+    as larger than any number, as everywhere in Spark.
     """
-    if distinct_hint is not None and distinct_hint > 2 * local_limit:
-        local_limit = 0
-    counts = (df.where(F.col(column).isNotNull())
-              .groupBy(F.col(column).cast("double").alias("v"))
-              .agg(F.count(F.lit(1)).alias("w")))
-    if local_limit:
-        head = counts.limit(local_limit + 1).collect()
-        if len(head) <= local_limit:
-            value = _median_of_counts([(r["v"], r["w"]) for r in head])
-            return df.sparkSession.createDataFrame([(value,)], "median double")
-    # Stored once, so that both branches below see the same range partitions.
-    ranged = cut_lineage(_by_range(counts, partitions, "v").sortWithinPartitions("v")
-                         .withColumn("_pid", F.spark_partition_id()))
-    upto = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    bounds = (ranged.groupBy("_pid").agg(F.sum("w").alias("_pw"))
-              .withColumn("_end", F.sum("_pw").over(upto))
-              .withColumn("_total", F.max("_end").over(everything))
-              .select("_pid", (F.col("_end") - F.col("_pw")).alias("_start"), "_end",
-                      ((F.col("_total") - 1) / 2).cast("bigint").alias("_lo"),
-                      (F.col("_total") / 2).cast("bigint").alias("_hi")))
-    middle = (ranged.join(F.broadcast(bounds), "_pid")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])
+    counts = (df.select(F.explode(pairs).alias("p")).select("p.column", "p.v").where(F.col("v").isNotNull())
+              .groupBy("column", "v").agg(F.count(F.lit(1)).alias("w")))
+    ranged = cut_lineage(counts.repartitionByRange("column", "v").withColumn("_pid", F.spark_partition_id()))
+    # One row per column and partition.
+    of_column = Window.partitionBy("column")
+    upto = of_column.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    bounds = (ranged.groupBy("column", "_pid").agg(F.sum("w").alias("_pw"))
+              .withColumns({"_end": F.sum("_pw").over(upto), "_total": F.sum("_pw").over(of_column)})
+              .select("column", "_pid", (F.col("_end") - F.col("_pw")).alias("_start"), "_end",
+                      F.expr("(_total - 1) div 2").alias("_lo"), F.expr("_total div 2").alias("_hi")))
+    middle = (ranged.join(bounds, ["column", "_pid"])
               .where((F.col("_start") <= F.col("_hi")) & (F.col("_end") > F.col("_lo"))))
-    within = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("column", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     placed = middle.withColumn("_to", F.col("_start") + F.sum("w").over(within))
     placed = placed.withColumn("_from", F.col("_to") - F.col("w"))
     covers = lambda p: (F.col("_from") <= F.col(p)) & (F.col(p) < F.col("_to"))
-    pick = placed.agg(F.max(F.when(covers("_lo"), F.col("v"))).alias("a"),
-                      F.max(F.when(covers("_hi"), F.col("v"))).alias("b"))
-    # Empty input: no partition survives and both picks are null.
-    return pick.select(((F.col("a") + F.col("b")) / 2).alias("median"))
+    picks = placed.groupBy("column").agg(F.max(F.when(covers("_lo"), F.col("v"))).alias("a"),
+                                         F.max(F.when(covers("_hi"), F.col("v"))).alias("b"))
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return every.join(picks, "column", "left").select("column", ((F.col("a") + F.col("b")) / 2).alias("median"))
+
+
+def exact_median(df: DataFrame, column: str) -> DataFrame:
+    """One-row DataFrame ``(median double)``: null when there are no values."""
+    return exact_medians(df, [column]).select("median")
 
 
 def most_frequent(df: DataFrame, column: str) -> DataFrame:

@@ -44,13 +44,6 @@ def table_stats(df: DataFrame) -> DataFrame:
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
-def cardinality_columns(df: DataFrame) -> list:
-    """``_d{i}``: approximate distinct count (HyperLogLog, constant memory) of
-    every numeric column, for choosing how to compute its median."""
-    return [F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f"_d{i}")
-            for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, NUMERIC)]
-
-
 def stats_frame(df: DataFrame, values: dict) -> DataFrame:
     """The one-row statistics of ``df`` from already known ``values``."""
     schema = table_stats(df).schema
@@ -81,7 +74,7 @@ def column_profile(df: DataFrame, table: str, digits: int = 3,
 
 def table_profile(df: DataFrame, table: str, stats: DataFrame | None = None,
                   distinct_rows: DataFrame | int | None = None) -> DataFrame:
-    """(table, rows, columns, duplicate_rows) (PRF1, PRF3).
+    """(table, rows, columns, duplicate_rows, total_nulls) (PRF1, PRF3, PRF6).
 
     ``distinct_rows`` may be an already deduplicated copy of ``df`` (the
     cleaning step's) or its known row count, so the distinct count does not
@@ -95,7 +88,8 @@ def table_profile(df: DataFrame, table: str, stats: DataFrame | None = None,
         distinct = src.agg(F.count(F.lit(1))).scalar()
     return stats.select(F.lit(table).alias("table"), F.col("_rows").alias("rows"),
                         F.lit(len(df.columns)).alias("columns"),
-                        (F.col("_rows") - distinct).alias("duplicate_rows"))
+                        (F.col("_rows") - distinct).alias("duplicate_rows"),
+                        sum((F.col(f"_n{i}") for i in range(len(df.columns))), F.lit(0)).cast("bigint").alias("total_nulls"))
 
 
 def date_ranges(df: DataFrame, table: str, stats: DataFrame | None = None) -> DataFrame | None:

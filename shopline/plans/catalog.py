@@ -16,7 +16,8 @@ from shopline.operators import clean as cln
 from shopline.operators import consolidate as con
 from shopline.operators import profile as prf
 from shopline.plans import marts
-from shopline.schemas import SALES
+from shopline.schemas import INPUTS, SALES
+from shopline.session import cut_lineage, drop_stored, write_scratch
 from shopline.sources import csv as csvsrc
 from shopline.sources import roles
 
@@ -26,16 +27,28 @@ Query = Callable[[SparkSession, str], DataFrame]
 PERIOD = roles.PERIOD
 
 
-def cleaned(spark: SparkSession, sf_dir: str, observed: dict | None = None) -> dict[str, DataFrame]:
-    raw = roles.raw_inputs(spark, sf_dir)
+def cleaned(spark: SparkSession, sf_dir: str, observed: dict | None = None,
+            names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The cleaned role tables, or only those named."""
+    raw = {n: df for n, df in roles.raw_inputs(spark, sf_dir).items() if names is None or n in names}
     tables, _ = cln.clean_all(raw, parallel=len(raw), observed=observed)
     return tables
 
 
+_WIDE: dict[tuple[str, str], DataFrame] = {}
+
+
 def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observed: dict[str, dict] = {}
-    tables = cleaned(spark, sf_dir, observed)
-    return con.consolidate(tables, sizes=cln.observed_sizes(observed))
+    """The wide table: cleaned, joined and stored once per application and folder;
+    every mart of a session reads that copy, which goes when the driver ends."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WIDE:
+        observed: dict[str, dict] = {}
+        tables = cleaned(spark, sf_dir, observed)
+        _WIDE[key] = cut_lineage(con.consolidate(tables, sizes=cln.observed_sizes(observed)))
+        for t in tables.values():
+            drop_stored(t)
+    return _WIDE[key]
 
 
 def _mart(fn: Callable[[DataFrame], DataFrame]) -> Query:
@@ -45,6 +58,12 @@ def _mart(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def q_price_sales_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart with its mean price at 4 decimals: a double mean has rounding noise below."""
+    out = marts.price_sales_corr(consolidated(spark, sf_dir))
+    return out.withColumn("avg_price", F.col("avg_price").cast("decimal(18,4)").cast("double"))
+
+
 def q_lag_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.lag_corr(consolidated(spark, sf_dir), period=PERIOD)
 
@@ -72,8 +91,28 @@ def q_csv_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvsrc.parse_csv_lines(header.unionByName(lines), SALES)
 
 
+def _as_csv(spark: SparkSession, name: str, df: DataFrame) -> str:
+    """The rows as CSV files in the scratch folder; sales with every third
+    promotion count double-encoded."""
+    if name == "train":
+        lines = csvsrc.render_csv_lines(df, wrap=F.coalesce(F.col("onpromotion") % 3 == 0, F.lit(False)))
+        header = spark.createDataFrame([(",".join(df.columns),)], "value string")
+        return write_scratch(spark, lambda path: header.unionByName(lines).write.text(path))
+    return write_scratch(spark, lambda path: df.write.option("header", True).csv(path))
+
+
 def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return csvsrc.load_audit(roles.raw_inputs(spark, sf_dir))
+    """All five inputs written as CSV files, loaded from them, and audited."""
+    raw = roles.raw_inputs(spark, sf_dir)
+    _, audit = csvsrc.load_all(spark, {n: _as_csv(spark, n, df) for n, df in raw.items()})
+    return audit
+
+
+def _csv_typed(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _as_csv(spark, name, roles.raw_inputs(spark, sf_dir)[name])
+        return csvsrc.read_csv_table(spark, path, INPUTS[name], name)
+    return run
 
 
 def q_profile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +133,14 @@ def q_dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cln.dedupe(roles.dirty_sales(spark, sf_dir))
 
 
+def q_cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales with their dates as text, as an untyped feed has them."""
+    text = roles.sales(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    return cln.cast_date(text, "date")
+
+
 def q_impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = cln.dedupe(roles.dirty_sales(spark, sf_dir))
+    sales = cut_lineage(cln.dedupe(roles.dirty_sales(spark, sf_dir)))
     out, _ = cln.impute(sales, ["sales", "onpromotion"])
     return out
 
@@ -123,11 +168,11 @@ def q_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------- consolidation
 
 def q_holiday_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return con.holidays_per_date(cleaned(spark, sf_dir)["holidays"]).drop("is_national_holiday")
+    return con.holidays_per_date(cleaned(spark, sf_dir, names=["holidays"])["holidays"]).drop("is_national_holiday")
 
 
 def q_holiday_national_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return con.holidays_per_date(cleaned(spark, sf_dir)["holidays"]).select("date", "is_national_holiday")
+    return con.holidays_per_date(cleaned(spark, sf_dir, names=["holidays"])["holidays"]).select("date", "is_national_holiday")
 
 
 def q_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +199,11 @@ def q_join_fanout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "csv_repair": q_csv_repair,
+    "csv_typed_stores": _csv_typed("stores"),
+    "csv_typed_transactions": _csv_typed("transactions"),
+    "csv_typed_prices": _csv_typed("oil"),
+    "csv_typed_holidays": _csv_typed("holidays"),
+    "cast_date": q_cast_date,
     "load_audit": q_load_audit,
     "profile_nulls": q_profile_nulls,
     "profile_duplicates": q_profile_duplicates,
@@ -177,7 +227,7 @@ QUERIES: dict[str, Query] = {
     "holiday_window": _mart(marts.holiday_window),
     "holiday_sensitivity": _mart(marts.holiday_sensitivity),
     "promotion_uplift": _mart(marts.promotion_uplift),
-    "price_sales_corr": _mart(marts.price_sales_corr),
+    "price_sales_corr": q_price_sales_corr,
     "lag_corr": q_lag_corr,
     "city_price_corr": q_city_price_corr,
     "transactions_vs_sales": _mart(marts.transactions_vs_sales),

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopline.functions.stats import exact_sum
 from shopline.operators import aggregates as agg
 from shopline.schemas import NATIONAL_FLAG
 
@@ -52,9 +53,8 @@ def holiday_impact(df: DataFrame) -> DataFrame:
 
 
 def holiday_window(df: DataFrame) -> DataFrame:
-    events = df.where(F.col(NATIONAL_FLAG)).select("date")
     before, after = WINDOW_DAYS
-    return (agg.event_window(df, events, "date", "family", "sales", before=before, after=after)
+    return (agg.event_window(df, NATIONAL_FLAG, "date", "family", "sales", before=before, after=after)
             .select("offset", "family", "avg_sales")
             .orderBy("family", "offset"))
 
@@ -138,9 +138,9 @@ def registry(period: tuple[str, str] = DEFAULT_PERIOD,
 
 def sales_by_store_type(df: DataFrame) -> DataFrame:
     """Total by store type, from the store ranking mart."""
-    per_store = df.groupBy("type", "store_nbr").agg(F.sum(agg._money("sales")).alias("_s"))
+    per_store = df.groupBy("type", "store_nbr").agg(exact_sum("sales").alias("_s"))
     return (per_store.groupBy("type")
-            .agg(F.sum("_s").cast("double").alias("total_sales"),
+            .agg(exact_sum("_s").alias("total_sales"),
                  F.count(F.lit(1)).alias("n_stores"))
             .orderBy(F.col("total_sales").desc(), "type"))
 

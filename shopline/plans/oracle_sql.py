@@ -66,7 +66,7 @@ holiday_src AS (
               ELSE 'Work Day' END AS type,
          CASE o_custkey % 3 WHEN 0 THEN 'National' WHEN 1 THEN 'Regional' ELSE 'Local' END AS locale,
          o_custkey, o_orderkey, o_totalprice
-  FROM orders WHERE o_orderpriority = '1-URGENT'
+  FROM orders
 ),
 holiday_rows AS (
   SELECT date, type, locale,
@@ -276,10 +276,10 @@ ORACLES["holiday_sensitivity"] = _contrast("is_national_holiday", "avg_holiday",
 ORACLES["promotion_uplift"] = _contrast("onpromotion > 0", "avg_promo", "avg_no_promo", "uplift_pct")
 
 _MONTHLY = f"""SELECT strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS total_sales,
-         {_avg('dcoilwtico')} AS avg_price"""
+         avg(dcoilwtico) AS avg_price"""
 
 ORACLES["price_sales_corr"] = _with(f"""
-SELECT year_month, total_sales, avg_price,
+SELECT year_month, total_sales, CAST(CAST(avg_price AS DECIMAL(18,4)) AS DOUBLE) AS avg_price,
        (SELECT {_corr('total_sales', 'avg_price')} FROM monthly) AS corr
 FROM monthly""", f"""
 monthly AS ({_MONTHLY} FROM wide GROUP BY 1)""")
@@ -297,7 +297,7 @@ ORACLES["city_price_corr"] = _with(f"""
 SELECT city, {_corr('total_sales', 'avg_price')} AS corr
 FROM monthly GROUP BY city HAVING count(*) >= 3""", f"""
 monthly AS (SELECT city, strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS total_sales,
-                   {_avg('dcoilwtico')} AS avg_price
+                   avg(dcoilwtico) AS avg_price
             FROM wide WHERE {_IN_PERIOD} GROUP BY 1, 2)""")
 
 ORACLES["transactions_vs_sales"] = _with(f"""
@@ -356,8 +356,16 @@ RAW_TABLES = {
 }
 
 ORACLES["load_audit"] = _with("\nUNION ALL\n".join(
-    f"SELECT '{name}' AS \"table\", count(*) AS rows, {len(cols)} AS columns FROM {view}"
-    for name, (view, cols) in RAW_TABLES.items()))
+    f"""SELECT '{name}' AS "table", count(*) AS rows, {len(cols)} AS columns,
+       CAST({' + '.join(f'(count(*) - count({c}))' for c, _ in cols)} AS BIGINT) AS nulls,
+       CAST({'count(CASE WHEN onpromotion % 3 = 0 THEN 1 END)' if name == 'train' else '0'} AS BIGINT) AS repaired
+FROM {view}""" for name, (view, cols) in RAW_TABLES.items()))
+
+for _query, _view in (("csv_typed_stores", "stores"), ("csv_typed_transactions", "transactions"),
+                      ("csv_typed_prices", "prices"), ("csv_typed_holidays", "holidays_raw")):
+    ORACLES[_query] = _with(f"SELECT * FROM {_view}")
+
+ORACLES["cast_date"] = _with("SELECT * FROM sales")
 
 # round(100 * nulls / rows, 3) rounded half up, in integer arithmetic.
 ORACLES["profile_nulls"] = _with("\nUNION ALL\n".join(
@@ -368,7 +376,8 @@ FROM (SELECT count(*) AS rows, CAST(count(*) - count({c}) AS BIGINT) AS nulls FR
 
 ORACLES["profile_duplicates"] = _with("\nUNION ALL\n".join(
     f"""SELECT '{name}' AS "table", count(*) AS rows, {len(cols)} AS columns,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {view})) AS duplicate_rows FROM {view}"""
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {view})) AS duplicate_rows,
+       CAST({' + '.join(f'(count(*) - count({c}))' for c, _ in cols)} AS BIGINT) AS total_nulls FROM {view}"""
     for name, (view, cols) in RAW_TABLES.items()))
 
 ORACLES["profile_date_range"] = _with("\nUNION ALL\n".join(

@@ -52,11 +52,14 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
         return out
 
     observed: dict[str, dict] = {}
+    columns: dict[str, int] = {f"load_{n}": len(df.columns) for n, df in inputs.items()}
     consolidated_path = f"{out_dir}/consolidated"
 
     def clean_and_consolidate():
         tables, clean_audit = cln.clean_all(inputs, observed=observed, parallel=len(inputs))
+        cln.assert_no_nulls(tables["oil"], ["dcoilwtico"])  # CLN10: an all-null series can't be filled
         wide = con.consolidate(tables, sizes=cln.observed_sizes(observed))
+        columns["consolidated"] = len(wide.columns)
         # Row count and the post-condition (CLN10: no null sales) are observed
         # while the table is written, not by another scan.
         seen = Observation(f"wide_{uuid.uuid4().hex[:8]}")
@@ -89,27 +92,32 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
     for name, fn in chosen.items():
         path = f"{out_dir}/marts/{name}"
         seen = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
-        timed(name, lambda fn=fn, path=path, seen=seen: writers.write_parquet(
-            fn(stored).observe(seen, F.count(F.lit(1)).alias("rows")), path))
+        def write(fn=fn, path=path, seen=seen, name=name):
+            mart = fn(stored)
+            columns[name] = len(mart.columns)
+            writers.write_parquet(mart.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+
+        timed(name, write)
         rows[name] = int(seen.get["rows"])
         mart_paths[name] = path
 
-    # Step metrics (SNK5): rows and seconds per step, as JSON lines.
+    # Step metrics (SNK5): rows, columns and seconds per step, as JSON lines.
     steps = sorted(set(rows) | set(seconds))
-    metrics = spark.createDataFrame([(s, rows.get(s), seconds.get(s)) for s in steps],
-                                    "step string, rows bigint, seconds double")
+    metrics = spark.createDataFrame([(s, rows.get(s), columns.get(s), seconds.get(s)) for s in steps],
+                                    "step string, rows bigint, columns int, seconds double")
     writers.write_audit_json(metrics, f"{out_dir}/audit/steps")
     audits["steps"] = metrics
     return RunResult(consolidated_path, mart_paths, audits, seconds, rows)
 
 
 def export(spark: SparkSession, result: RunResult, url: str, *,
-           properties: dict[str, str] | None = None, num_partitions: int | None = None,
+           properties: dict[str, str] | None = None, num_partitions: int = writers.MAX_CONNECTIONS,
            parallel: int = 4) -> DataFrame:
     """Export the consolidated table and every mart over JDBC (SNK3, SNK4).
 
     Tables are re-read from the written Parquet; each is written by the
-    executors in parallel partitions.  Returns the (table, status, error) audit.
+    executors in parallel partitions.  Returns the (table, status, rows, columns,
+    error) audit, which is also written beside the run's other audits.
     """
     folder = {p.rsplit("/", 1)[0] for p in result.mart_paths.values()}
     builds = {"consolidated": lambda: spark.read.parquet(result.consolidated_path)}
@@ -118,8 +126,10 @@ def export(spark: SparkSession, result: RunResult, url: str, *,
         builds.update({n: (lambda df=df: df) for n, df in stored.items()})
     else:
         builds.update({n: (lambda p=p: spark.read.parquet(p)) for n, p in result.mart_paths.items()})
-    return writers.export_all(
+    audit = writers.export_all(
         spark, builds,
         lambda df, name: writers.write_jdbc(df, url, name.upper(), properties=properties,
                                             num_partitions=num_partitions),
         parallel=parallel)
+    writers.write_audit_json(audit, f"{result.consolidated_path.rsplit('/', 1)[0]}/audit/export")
+    return audit

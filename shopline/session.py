@@ -8,35 +8,45 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults that hold from local[8] up to a large cluster.  Values already set
-# by the cluster (spark-defaults / --conf) win over these.
+# Defaults that hold from local[8] up to a large cluster.  Values that the
+# cluster has set (spark-defaults / --conf), or that an open session has, win.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Only where this library starts a local session itself.
+LOCAL_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_session(master: str | None = None, app: str = "shopline",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session or build one with :data:`DEFAULT_CONF`."""
+    """Return the active session, or build one.
+
+    ``extra`` and ``shuffle_partitions`` are the caller's own settings and are
+    applied as given; :data:`DEFAULT_CONF` fills in only what nobody has set.
+    """
+    fresh = SparkSession.getActiveSession() is None
     builder = SparkSession.builder.appName(app)
+    conf = dict(extra or {})
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            conf = {**LOCAL_CONF, **conf}
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+        conf.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if fresh:
+        given = spark.sparkContext.getConf()
+        for k, v in DEFAULT_CONF.items():
+            if not given.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
@@ -45,8 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a shared file system; it is
-    read from the session and never replaced.  Only when it is unset (local
-    tests) is a private folder created and registered.  Works without a
+    read from the session and never replaced.  Only when it is unset and the
+    master is ``local[...]`` (tests) is a private folder created and registered;
+    elsewhere executors would each write their own disk, so that is an error.
+    Works without a
     SparkContext (Spark Connect) as long as the setting is present.
     """
     try:
@@ -66,6 +78,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="shopline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -93,6 +107,14 @@ def cut_lineage(df):
     return out
 
 
+def write_scratch(spark: SparkSession, write) -> str:
+    """Call ``write(path)`` with a new path in the shared folder; it is deleted when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shopline-files/{uuid.uuid4().hex}"
+    write(path)
+    _delete_at_exit(spark, path)
+    return path
+
+
 def _filesystem(spark: SparkSession, path: str):
     """Hadoop path and file system of ``path``; None where the session has no JVM (Spark Connect)."""
     jvm = getattr(spark, "_jvm", None)

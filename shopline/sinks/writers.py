@@ -2,8 +2,8 @@
 
 * :func:`write_parquet` — the consolidated table, partitioned by year so a
   period filter prunes whole folders (SNK1).
-* :func:`write_marts`   — one Parquet folder per mart (SNK2, M14); AQE merges
-  the small final partitions of an aggregate, so a small mart is one file.
+  A mart is one folder of the same writer (SNK2, M14); AQE merges the small
+  final partitions of an aggregate, so a small mart is one file.
 * :func:`write_jdbc`    — a table into a relational database (SNK3): each
   partition is one connection inserting in batches; ``overwrite`` replaces the
   table (an empty frame still creates it), ``append`` adds rows.  Connection
@@ -15,13 +15,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shopline.session import run_concurrently
 
+# Connections that one export holds open at most, whatever the partition count.
+MAX_CONNECTIONS = 16
+
 
 def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
@@ -33,30 +37,22 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None =
 
 def write_consolidated(df: DataFrame, path: str, date: str = "date") -> None:
     """Consolidated table partitioned by ``year`` (derived from ``date``)."""
-    # No extra shuffle: each task writes its rows into the year folders it
-    # holds (files ≤ tasks × years); the writer sorts by year within the task.
-    write_parquet(df.withColumn("year", F.year(date)), path, partition_by=["year"])
-
-
-def write_marts(marts: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    paths = {}
-    for name, df in marts.items():
-        path = f"{folder}/{name}"
-        # No coalesce(1): a per-store mart of a very large chain must not be
-        # written by one task; AQE already merges small final partitions.
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
+    # Rebalanced by year: a year's rows meet in a few tasks, and AQE splits a
+    # year that is large, so files number about size / target size instead of
+    # tasks x years.  Static overwrite: a run replaces the whole table, also the
+    # years that it doesn't have.
+    rows = df.withColumn("year", F.year(date)).hint("rebalance", "year")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("year").parquet(path))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "overwrite",
                properties: dict[str, str] | None = None, batch_size: int = 10_000,
-               num_partitions: int | None = None) -> None:
+               num_partitions: int = MAX_CONNECTIONS) -> None:
     writer = (df.write.format("jdbc").mode(mode)
               .option("url", url).option("dbtable", table)
-              .option("batchsize", str(batch_size)))
-    if num_partitions:
-        writer = writer.option("numPartitions", str(num_partitions))
+              .option("batchsize", str(batch_size))
+              .option("numPartitions", str(num_partitions)))
     for k, v in (properties or {}).items():
         writer = writer.option(k, v)
     writer.save()
@@ -64,21 +60,26 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "overwrite",
 
 def export_all(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]],
                sink: Callable[[DataFrame, str], None], *, parallel: int = 1) -> DataFrame:
-    """Export each table with ``sink(df, name)``; returns (table, status, error).
+    """Export each table with ``sink(df, name)``; returns (table, status, rows,
+    columns, error).
 
-    A table that fails to build or write is recorded as failed; the others are
+    Rows are counted while the table is written.  A table that fails to build or write is recorded as failed; the others are
     still exported (no error is swallowed: it is in the returned audit).
     ``parallel`` tables are written side by side (independent jobs).
     """
     def one(name: str, build: Callable[[], DataFrame]):
+        columns = None
         try:
-            sink(build(), name)
-            return (name, "ok", None)
+            df = build()
+            columns = len(df.columns)
+            seen = Observation(f"export_{name}_{uuid.uuid4().hex[:8]}")
+            sink(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+            return (name, "ok", int(seen.get["rows"]), columns, None)
         except Exception as e:  # noqa: BLE001  (reported in the audit)
-            return (name, "failed", f"{type(e).__name__}: {e}"[:2000])
+            return (name, "failed", None, columns, f"{type(e).__name__}: {e}")
 
     rows = run_concurrently([lambda n=n, b=b: one(n, b) for n, b in tables.items()], workers=parallel)
-    return spark.createDataFrame(rows, "table string, status string, error string")
+    return spark.createDataFrame(rows, "table string, status string, rows bigint, columns int, error string")
 
 
 def write_audit_json(df: DataFrame, path: str) -> None:

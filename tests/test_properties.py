@@ -7,9 +7,10 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from shopline.functions.sizing import bounded_broadcast, fits_broadcast
-from shopline.operators.ordering import exact_median, global_position
+from shopline.functions.sizing import bounded_broadcast
+from shopline.operators.ordering import exact_median, exact_medians, global_position
 from shopline.plans import marts
 
 WIDE = ("date date, store_nbr long, family string, sales double, onpromotion double, city string, "
@@ -40,14 +41,23 @@ def test_marts_independent_of_partitioning(spark, data):
 @given(st.lists(st.integers(-50, 50), min_size=0, max_size=80))
 def test_exact_median_matches_sorting(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x long").repartition(5)
-    local = exact_median(df, "x", partitions=4).collect()[0]["median"]
-    spread = exact_median(df, "x", partitions=4, local_limit=0).collect()[0]["median"]
+    got = exact_median(df, "x").collect()[0]["median"]
     if not values:
-        assert local is None and spread is None
+        assert got is None
     else:
         s = sorted(values)
         n = len(s)
-        assert local == spread == (s[(n - 1) // 2] + s[n // 2]) / 2
+        assert got == (s[(n - 1) // 2] + s[n // 2]) / 2
+
+
+def test_exact_medians_equal_the_builtin_with_nan_and_many_values(spark):
+    df = spark.range(24_000).selectExpr(
+        "double(pmod(id * 7919, 12007)) as many",
+        "CASE id % 4 WHEN 0 THEN double('NaN') WHEN 1 THEN 2.0 WHEN 2 THEN 4.0 END as some",
+        "if(id % 3 = 0, double(id), 5.0) as hot", "cast(null as long) as none")
+    got = {r["column"]: r["median"] for r in exact_medians(df, df.columns).collect()}
+    want = df.agg(*[F.median(c).alias(c) for c in df.columns]).collect()[0].asDict()
+    assert got == want and want["none"] is None
 
 
 @pytest.mark.parametrize("partitions", [6, None])
@@ -60,9 +70,7 @@ def test_hot_key_rank_positions(spark, partitions):
     assert got == list(range(3000))
 
 
-def test_broadcast_probe_respects_bounds(spark):
-    small = spark.range(10)
-    assert fits_broadcast(small, max_rows=10) and not fits_broadcast(small, max_rows=9)
-    assert not fits_broadcast(small, max_bytes=40)
-    plan = bounded_broadcast(spark.range(100), max_rows=5)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in plan.lower()
+def test_broadcast_only_of_measured_small_sides(spark):
+    text = lambda known: bounded_broadcast(spark.range(100), known)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in text((100, 800))
+    assert "broadcast" not in text((3_000_000, 800)) and "broadcast" not in text((100, 1 << 30)) and "broadcast" not in text(None)
