@@ -12,9 +12,10 @@ tell too little and are always kept.
    folded back into ``BANDS * ROWS`` minima, as their partitioning still holds.
 2. Lines that share a band form a bucket.  Each bucket gets a representative
    (not always the same line in all bands) and every member is compared to it
-   by exact Jaccard similarity.  Members that fail form a bucket of their own
-   with another representative, and so on until none is left: buckets have no
-   cap, and the work is linear in their size, not quadratic.
+   by exact Jaccard similarity.  Members that fail go on among themselves, in
+   buckets that a further minimum splits (similar lines mostly agree in it,
+   unlike ones seldom), with other representatives, until none is left.
+   Buckets have no cap, and the work is linear in their size, not quadratic.
 3. Links make components by distributed star rounds.
 4. Occurrences other than a component's first are dropped.
 
@@ -34,7 +35,7 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS = 3, 13
+ROWS, BANDS = 4, 13
 THRESHOLD = 0.8
 MIN_CHARS = 20
 ID = ["h1", "h2"]
@@ -96,16 +97,19 @@ def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars:
     chosen = stored(lines.join(mine, ID).select(F.struct(*ID).alias("id"), shingles(F.col("line")).alias("set"), "in"))
     sets = chosen.select("id", "set")
     open_rows = chosen.select("id", F.explode("in").alias("i")).select("id", "i.band", "i.r")
-    found, previous = None, None
+    found, previous, seed = None, None, ROWS * BANDS
     while True:
         pairs = open_rows.filter(F.col("id") != F.col("r")).select("id", "r").distinct()
+        further = F.array_min(F.transform("set", lambda x: F.xxhash64(F.lit(seed), x)))
         judged = (pairs.join(sets, "id").join(sets.select(F.col("id").alias("r"), F.col("set").alias("other")), "r")
-                  .select("id", "r", (jaccard(F.col("set"), F.col("other")) >= threshold).alias("linked")))
+                  .select("id", "r", (jaccard(F.col("set"), F.col("other")) >= threshold).alias("linked"), further.alias("further")))
         judged = stored(judged)
         good = judged.filter("linked").select(F.col("id").alias("a"), F.col("r").alias("b"))
         found = good if found is None else found.unionByName(good)
         # What failed against its bucket's representative goes on among itself.
-        failed = open_rows.join(judged.filter("not linked").select("id", "r"), ["id", "r"]).select("band", "id.h1", "id.h2")
+        failed = open_rows.join(judged.filter("not linked").select("id", "r", "further"), ["id", "r"])
+        failed = failed.select(F.xxhash64("band", "further").alias("band"), "id.h1", "id.h2")
+        seed += 1
         rest = stored(_buckets(failed))
         drop(previous)
         previous = rest
