@@ -16,7 +16,10 @@ def plan(df) -> str:
 
 
 def test_consolidation_broadcasts_every_dimension(spark):
-    text = plan(catalog.consolidated(spark, SF_DIR))
+    from shopline.operators import clean, consolidate
+    observed: dict = {}
+    tables = catalog.cleaned(spark, SF_DIR, observed)
+    text = plan(consolidate.consolidate(tables, clean.observed_sizes(observed)))
     assert text.count("BroadcastHashJoin") >= 4
     assert "SortMergeJoin" not in text
 
@@ -64,15 +67,13 @@ def test_no_python_in_source_and_clean_plans(spark, name):
 
 
 def test_shuffle_join_path_when_dimensions_are_too_big(spark):
-    """Above the broadcast bounds the joins are sort-merge joins (AQE splits
-    skewed partitions there) and the result is the same."""
+    """Where nothing is small enough to broadcast the joins are sort-merge joins
+    (AQE splits skewed partitions there) and the result is the same."""
     from shopline.operators import consolidate as con
     tables = catalog.cleaned(spark, SF_DIR)
     expected = sorted(map(tuple, con.consolidate(tables).collect()), key=repr)
-    old = {k: spark.conf.get(k, None) for k in
-           ("shopline.broadcast.maxRows", "spark.sql.autoBroadcastJoinThreshold")}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
     try:
-        spark.conf.set("shopline.broadcast.maxRows", "0")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
         wide = con.consolidate(tables)
@@ -80,7 +81,6 @@ def test_shuffle_join_path_when_dimensions_are_too_big(spark):
         assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
         assert sorted(map(tuple, wide.collect()), key=repr) == expected
     finally:
-        spark.conf.unset("shopline.broadcast.maxRows")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         if old["spark.sql.autoBroadcastJoinThreshold"] is not None:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old["spark.sql.autoBroadcastJoinThreshold"])
