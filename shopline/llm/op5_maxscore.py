@@ -17,7 +17,7 @@ the next (they remain true lower limits).
 
 Edge cases: vectors that are null, empty, or hold a null or non-finite
 component take no part; a null id takes no part; rows with equal ids are
-separate candidates, but never of a query with that id; vectors of unequal
+separate candidates, but never of a query with that id, and separate queries; vectors of unequal
 length are compared as if padded with zeros; ties go to the smaller id, equal
 rows get successive ranks; fewer than k candidates are all returned; an empty
 table gives an empty result.
@@ -128,7 +128,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     shards, blocks = stored(pack(vectors)), stored(pack(queries))
     slots = max(1, shards.count())
     shards = shards.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
-    blocks = blocks.select(F.col("n").alias("qn"), F.col("width").alias("qwidth"), F.col("ids").alias("qids"), F.col("weights").alias("qweights"),
+    blocks = blocks.select(F.xxhash64("ids", "weights").alias("block"), F.col("n").alias("qn"), F.col("width").alias("qwidth"), F.col("ids").alias("qids"), F.col("weights").alias("qweights"),
                            F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -138,20 +138,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 shard = Shard(r["ids"], r["weights"], r["n"], r["width"])
                 qids = np.frombuffer(r["qids"], "<i8")
                 weights = np.frombuffer(r["qweights"], "<i8").reshape(r["qn"], r["qwidth"])
-                theta = best.setdefault((r["qids"][:64], r["qn"], r["qwidth"]), np.full(r["qn"], -np.inf))
-                out: tuple[list, list, list] = ([], [], [])
+                theta = best.setdefault(r["block"], np.full(r["qn"], -np.inf))
+                out: tuple[list, ...] = ([], [], [], [])
                 for i, (qid, q) in enumerate(zip(qids.tolist(), weights, strict=True)):
                     rows, total, theta[i] = shard.scores(q, k, theta[i], qid)
                     top = sorted(zip([-int(s) for s in total.tolist()], shard.ids[rows].tolist(), strict=True))[:k] if len(rows) else []
                     out[0].extend([qid] * len(top))
                     out[1].extend(v for _, v in top)
                     out[2].extend(-s for s, _ in top)
-                yield {"query_id": out[0], "vec_id": out[1], "score": out[2]}
+                    out[3].extend([i] * len(top))
+                yield {"query_id": out[0], "vec_id": out[1], "score": out[2], "block": [r["block"]] * len(out[0]), "place": out[3]}
 
     pairs = shards.join(blocks, "slot")
-    found = by_stream(pairs, [F.col(c) for c in ("n", "width", "ids", "weights", "qn", "qwidth", "qids", "qweights")],
-                      "query_id long, vec_id long, score long", run)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = by_stream(pairs, [F.col(c) for c in ("n", "width", "ids", "weights", "block", "qn", "qwidth", "qids", "qweights")],
+                      "query_id long, vec_id long, score long, block long, place int", run)
+    order = Window.partitionBy("query_id", "block", "place").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
