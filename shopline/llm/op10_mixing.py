@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from shopline.llm.common import drop, stored, table, word_array
 
 MARGINS = ["source", "lang", "topic"]
-ALPHA, KEEP, SEED = 0.7, 0.75, 17
-TOLERANCE, SWEEPS_A_STEP, MAX_SWEEPS = 1e-6, 4, 60
+ALPHA, KEEP, SEED = 0.8, 0.75, 17
+TOLERANCE, SWEEPS_A_STEP, MAX_SWEEPS = 1e-4, 4, 60
 
 
 def n_words(text: str) -> Column:
@@ -65,7 +65,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) ->
         rows = rows.join(want, rows[m].eqNullSafe(want["__v"]), "left").drop("__v")
     rows = rows.withColumns({f"to_{m}": F.coalesce(f"to_{m}", F.lit(0.0)) for m in MARGINS})
     rows = rows.withColumns({"weight": F.col("tokens") / float(total or 1), "most": F.col("tokens") / (keep * float(total or 1))})
-    now = stored(rows)
+    now, previous = stored(rows), None
     for _ in range(0, MAX_SWEEPS, SWEEPS_A_STEP):
         step = now
         for _ in range(SWEEPS_A_STEP):
@@ -77,8 +77,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) ->
         drop(before)
         off = [F.max(F.abs(F.sum("weight").over(Window.partitionBy(m)) - F.col(f"to_{m}"))).over(Window.partitionBy(F.lit(0))) for m in MARGINS]
         worst = now.select(F.greatest(*[o.alias(m) for o, m in zip(off, MARGINS, strict=True)]).alias("off")).agg(F.max("off")).first()[0]
-        if worst is None or worst < TOLERANCE:
-            break
+        if worst is None or worst < TOLERANCE or (previous is not None and worst > 0.97 * previous):
+            break  # met, or as near as the cells allow
+        previous = worst
     return now.withColumn("probability", F.least(F.lit(1.0), keep * float(total or 1) * F.col("weight") / F.col("tokens")))
 
 
