@@ -81,8 +81,7 @@ def by_stream(df: DataFrame, columns: list[Column], schema: str,
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for made in make(part for batch in batches for part in _cut(batch)):
             yield pa.RecordBatch.from_arrays(
-                [a if isinstance(a := made[f.name], pa.Array) and a.type == f.type
-                 else pa.array(a, type=f.type) for f in out], schema=out)
+                [a.cast(f.type) if isinstance(a := made[f.name], pa.Array) else pa.array(a, type=f.type) for f in out], schema=out)
 
     return df.select(*columns).mapInArrow(run, schema)
 

@@ -14,8 +14,9 @@ tell too little and are always kept.
    (not always the same line in all bands) and every member is compared to it
    by exact Jaccard similarity.  Members that fail go on among themselves, in
    buckets that a further minimum splits (similar lines mostly agree in it,
-   unlike ones seldom), with other representatives, until none is left.
-   Buckets have no cap, and the work is linear in their size, not quadratic.
+   unlike ones seldom; the first time in SPLITS ways), with other
+   representatives, until none is left.  Buckets have no cap, and the work is
+   linear in their size, not quadratic.
 3. Links make components by distributed star rounds.
 4. Occurrences other than a component's first are dropped.
 
@@ -35,7 +36,7 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS = 4, 13
+ROWS, BANDS, SPLITS = 4, 13, 3
 THRESHOLD = 0.8
 MIN_CHARS = 20
 ID = ["h1", "h2"]
@@ -88,6 +89,10 @@ def jaccard(x: Column, y: Column) -> Column:
     return both / (F.size(x) + F.size(y) - both)
 
 
+def _minimum(hashes: str, seed: int) -> Column:
+    return F.array_min(F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x)))
+
+
 def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars: int) -> DataFrame:
     """Verified links (a, b) between distinct lines, ids as structs of h1 and h2."""
     lines = occurrences(docs, doc_id, text, min_chars, with_line=True).groupBy(*ID).agg(F.first("line").alias("line"))
@@ -100,7 +105,8 @@ def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars:
     found, previous, seed = None, None, ROWS * BANDS
     while True:
         pairs = open_rows.filter(F.col("id") != F.col("r")).select("id", "r").distinct()
-        further = F.array_min(F.transform("set", lambda x: F.xxhash64(F.lit(seed), x)))
+        splits = range(seed, seed + (SPLITS if found is None else 1))
+        further = F.array(*[_minimum("set", k) for k in splits])
         judged = (pairs.join(sets, "id").join(sets.select(F.col("id").alias("r"), F.col("set").alias("other")), "r")
                   .select("id", "r", (jaccard(F.col("set"), F.col("other")) >= threshold).alias("linked"), further.alias("further")))
         judged = stored(judged)
@@ -108,8 +114,9 @@ def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars:
         found = good if found is None else found.unionByName(good)
         # What failed against its bucket's representative goes on among itself.
         failed = open_rows.join(judged.filter("not linked").select("id", "r", "further"), ["id", "r"])
-        failed = failed.select(F.xxhash64("band", "further").alias("band"), "id.h1", "id.h2")
-        seed += 1
+        failed = failed.select("band", "id.h1", "id.h2", F.posexplode("further").alias("k", "m"))
+        failed = failed.select(F.xxhash64("band", "k", "m").alias("band"), *ID)
+        seed += len(splits)
         rest = stored(_buckets(failed))
         drop(previous)
         previous = rest
@@ -138,10 +145,12 @@ def mark_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
                min_chars: int = MIN_CHARS, keep: list[str] | None = None) -> DataFrame:
     """Keep the named columns and add removed: the positions (from 0) of the lines to drop."""
     gone = redundant(docs, doc_id, text, threshold, min_chars)
-    rows = docs.select(*[F.col(c) for c in (keep or docs.columns)], F.col(doc_id).alias("__doc"), _row_key(doc_id, text).alias("__key"))
-    rows = rows.join(gone, rows["__doc"].eqNullSafe(gone["doc"]) & (rows["__key"] == gone["row_key"]), "left")
+    gone = gone.select(F.col("doc").alias("__of"), F.col("row_key").alias("__row_key"), F.col("removed").alias("__gone"))
+    keep = [c for c in (keep or docs.columns) if c != "removed"]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(doc_id).alias("__doc"), _row_key(doc_id, text).alias("__key"))
+    rows = rows.join(gone, F.col("__doc").eqNullSafe(F.col("__of")) & (F.col("__key") == F.col("__row_key")), "left")
     none = F.array().cast("array<int>")
-    return rows.withColumn("__removed", F.coalesce("removed", none)).drop("doc", "row_key", "removed", "__doc", "__key").withColumnRenamed("__removed", "removed")
+    return rows.withColumn("removed", F.coalesce("__gone", none)).select(*keep, "removed")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,

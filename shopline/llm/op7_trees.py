@@ -35,13 +35,14 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopline.llm.common import by_stream, drop, lower_ascii, stored, table, word_array
+from shopline.llm.common import by_stream, drop, stored, table
 from shopline.llm.components import components
 
 N, NUM, DEN = 5, 75, 100
@@ -54,53 +55,116 @@ MANY_LABELS = 64
 LEAF = 16
 
 
-def shingle_set(text: Column, n: int = N) -> Column:
-    """Sorted hashes of the distinct word shingles; empty without words."""
-    grams = F.transform(F.array(word_array(lower_ascii(text))), lambda w: F.when(F.size(w) > 0, F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, n)))))
-    return F.sort_array(F.array_distinct(F.coalesce(F.get(grams, 0), F.array().cast("array<long>"))))
+# --- sets ---------------------------------------------------------------------------
+
+_ODD = 0x9E3779B97F4A7C15
+_UNDO = pow(_ODD, -1, 1 << 64)
+_BYTE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
+_SOLID = np.ones(256, bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
+#: Bytes whose words are hashed at a time.
+STRETCH = 1 << 20
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]).cumprod(dtype=np.uint64) for x in (_ODD, _UNDO))
+
+
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word's bytes: a polynomial in their position, from running sums."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        upto = max(at + 1, int(np.searchsorted(end, start[at] + STRETCH, side="right")))
+        lo, hi = int(start[at]), int(end[upto - 1])
+        up, down = _powers(STRETCH) if hi - lo <= STRETCH else _powers.__wrapped__(hi - lo)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data[lo:hi]] * up[:hi - lo], dtype=np.uint64)])
+        a, b = start[at:upto] - lo, end[at:upto] - lo
+        out[at:upto] = _mixed((total[b] - total[a]) * down[a])
+        at = upto
+    return out
+
+
+def shingle_sets(texts: pa.Array, n: int = N) -> tuple[list[np.ndarray], np.ndarray]:
+    """For a binary column: each text's sorted distinct shingle hashes, and the class of each set."""
+    texts = texts.fill_null(b"")
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]] if len(texts) else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64)
+    solid = _SOLID[data]
+    border = np.zeros(len(data) + 1, bool)
+    border[offsets] = True
+    before = np.concatenate([[False], solid[:-1]])[:len(data)]
+    after = np.concatenate([solid[1:], [False]])[:len(data)]
+    start = np.flatnonzero(solid & (~before | border[:-1]))
+    end = np.flatnonzero(solid & (~after | border[1:])) + 1
+    words = _word_hashes(data, start, end)
+    grams = np.zeros(max(0, len(words) - n + 1), np.uint64)
+    for k in range(n):
+        grams += words[k:len(grams) + k] * np.uint64(pow(_ODD, k + 1, 1 << 64))
+    grams = _mixed(grams)
+    span = np.searchsorted(start, offsets).tolist()
+    sets, cls = [], np.zeros(len(texts), np.uint64)
+    for i, (lo, hi) in enumerate(zip(span, span[1:], strict=False)):
+        if hi - lo >= n:
+            own = np.unique(grams[lo:hi - n + 1])
+        elif hi > lo:
+            own = _mixed((words[lo:hi] * np.array([pow(_ODD, k + 9, 1 << 64) for k in range(hi - lo)], np.uint64)).sum(dtype=np.uint64, keepdims=True))
+        else:
+            own = grams[:0]
+        sets.append(own.view(np.int64))
+        cls[i] = _mixed(own ^ np.uint64(_UNDO)).sum(dtype=np.uint64) + np.uint64(len(own))
+    return sets, _mixed(cls).view(np.int64)
 
 
-def _sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), shingle_set(F.col(text)).alias("set"))
-    return rows.select("doc_id", "text", "set", F.size("set").cast("long").alias("n"), F.xxhash64("set").alias("cls"))
+def _binary(text: str) -> Column:
+    return F.col(text).cast("binary")
 
 
 # --- the order of members -------------------------------------------------------
 
-def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Flat values and offsets of a list column."""
-    offsets = column.offsets.to_numpy()
-    values = column.values.to_numpy(zero_copy_only=False)
-    return values[offsets[0]:offsets[-1]], offsets - offsets[0]
-
-
-def common_members(sets: DataFrame, least: int, held: int = 4_000_000) -> np.ndarray:
-    """Bitmap (COMMON_BITS bits) of members that occur often.
-
-    A task counts the members of as many sets as it holds at a time and passes
-    on those found three times or more; those whose counts add up to ``least``
-    are marked.  Whatever this misses or marks too much changes only the order.
-    """
+def scan(docs: DataFrame, doc_id: str, text: str, held: int = 4_000_000) -> DataFrame:
+    """One pass over all texts.  Rows with doc_id, n and cls are the documents;
+    rows with member and times are members that a task found in three or more
+    of the sets that it held at a time."""
 
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         parts, size = [], 0
 
-        def out() -> dict:
+        def often() -> dict:
             member, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64),) * 2
-            return {"member": member[n >= 3], "times": n[n >= 3]}
+            member, n = member[n >= 3], n[n >= 3]
+            empty = [None] * len(member)
+            return {"doc_id": empty, "n": empty, "cls": empty, "member": member, "times": n}
 
         for batch in batches:
-            values, _ = _values(batch.column(0))
-            parts.append(values.copy())
-            size += len(values)
+            sets, cls = shingle_sets(batch.column(1))
+            empty = [None] * len(sets)
+            yield {"doc_id": batch.column(0), "n": [len(s) for s in sets], "cls": cls, "member": empty, "times": empty}
+            parts += sets
+            size += sum(map(len, sets))
             if size > held:
-                yield out()
+                yield often()
                 parts, size = [], 0
-        yield out()
+        yield often()
+
+    return by_stream(docs, [F.col(doc_id).cast("long"), _binary(text)], "doc_id long, n long, cls long, member long, times long", run)
+
 
-    hot = by_stream(sets, [F.col("set")], "member long, times long", often)
-    hot = hot.groupBy("member").agg(F.sum("times").alias("times")).filter(F.col("times") >= least)
+def common_members(scanned: DataFrame, least: int) -> np.ndarray:
+    """Bitmap (COMMON_BITS bits) of members that occur often: those whose counts
+    add up to ``least``.  Whatever this misses or marks too much changes only
+    the order of members, not the result."""
+    hot = scanned.filter("member is not null").groupBy("member").agg(F.sum("times").alias("times")).filter(F.col("times") >= least)
     chunk = 1 << 15
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -120,36 +184,61 @@ def common_members(sets: DataFrame, least: int, held: int = 4_000_000) -> np.nda
     return whole
 
 
-def prefixes(sets: DataFrame, common: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, text: str, common: np.ndarray) -> DataFrame:
     """(member, cls, n): the members at which a class may meet those it links with."""
-    sent = sets.sparkSession.sparkContext.broadcast(common.tobytes())
+    sent = docs.sparkSession.sparkContext.broadcast(common.tobytes())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bits = np.frombuffer(sent.value, np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            values, offsets = _values(batch.column(0))
-            at = values & (COMMON_BITS - 1)
-            late = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
             member, cls, size = [], [], []
-            for c, lo, hi in zip(batch.column(1).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                if hi == lo or c in seen:
+            for own, c in zip(*shingle_sets(batch.column(0)), strict=True):
+                c, n = int(c), len(own)
+                if not n or c in seen:
                     continue
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(c)
-                n = hi - lo
+                at = own & (COMMON_BITS - 1)
+                late = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
                 need = n - -(-NUM * n // DEN) + 1
-                own, is_late = values[lo:hi], late[lo:hi]
-                first = own[~is_late]
-                member.append(first[:need] if len(first) >= need else np.concatenate([first, own[is_late][:need - len(first)]]))
+                first = own[~late]
+                member.append(first[:need] if len(first) >= need else np.concatenate([first, own[late][:need - len(first)]]))
                 cls.append(c)
                 size.append(n)
             times = [len(m) for m in member]
             yield {"member": np.concatenate(member) if member else np.zeros(0, np.int64),
                    "cls": np.repeat(np.array(cls, np.int64), times), "n": np.repeat(np.array(size, np.int64), times)}
 
-    return by_stream(sets, [F.col("set"), F.col("cls")], "member long, cls long, n long", cut)
+    return by_stream(docs, [_binary(text)], "member long, cls long, n long", cut)
+
+
+def sets_of(docs: DataFrame) -> DataFrame:
+    """(cls, set) of rows (cls, text) whose text has that class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            sets, cls = shingle_sets(batch.column(1))
+            keep = [i for i, (a, b) in enumerate(zip(batch.column(0).to_pylist(), cls.tolist(), strict=True)) if a == b]
+            own = [sets[i] for i in keep]
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
+            flat = np.concatenate(own) if own else np.zeros(0, np.int64)
+            yield {"cls": cls[keep] if keep else [], "set": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))}
+
+    return by_stream(docs, [F.col("cls"), _binary("text")], "cls long, set array<long>", run)
+
+
+def with_class(df: DataFrame, text: str, name: str = "__cls_of") -> DataFrame:
+    """Add the class of a text's set."""
+    keep = df.columns
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{name}` long"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            yield {c: batch.column(i) for i, c in enumerate(keep)} | {name: shingle_sets(batch.column(len(keep)))[1]}
+
+    return by_stream(df, [F.col(f"`{c}`") for c in keep] + [_binary(f"`{text}`").alias("__binary")], schema, run)
 
 
 # --- signature trees -------------------------------------------------------------
@@ -273,17 +362,16 @@ def join_groups(rows: DataFrame) -> DataFrame:
 
     def found(keyed: dict) -> list[tuple[int, int]]:
         (ids, sets, labels), (ids2, sets2, labels2) = keyed[0], keyed[1]
+        if not ids:
+            return []
         label_of = dict(zip(ids + ids2, labels + labels2, strict=True))
-        first = _unique(ids, sets)
-        if not ids2:
-            return Join(first, None, label_of).links
-        return Join(first, _unique(ids2, sets2), label_of).links if ids else []
+        return Join(_unique(ids, sets), _unique(ids2, sets2) if ids2 else None, label_of).links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         now, keyed = None, {0: ([], [], []), 1: ([], [], [])}
         for batch in batches:
-            values, offsets = _values(batch.column(4))
-            values, offsets = values.copy(), offsets.tolist()
+            sets_here = batch.column(4)
+            offsets, values = sets_here.offsets.to_pylist(), sets_here.values.to_numpy(zero_copy_only=False)
             out: list[tuple[int, int]] = []
             for r, (key, side, cls, label) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)):
                 if key != now:
@@ -381,19 +469,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """(doc_id, n_shingles, component_id, cls, component) per row of ``docs``;
     cls is the class of the row's set, component the smallest class linked with
     it (null for an empty set)."""
-    rows = _sets(docs, doc_id, text)
-    rows_of = stored(rows.select("doc_id", "n", "cls"))
+    scanned = stored(scan(docs, doc_id, text))
+    rows_of = scanned.filter("cls is not null").select("doc_id", "n", "cls")
     documents = rows_of.count()
-    common = common_members(rows, max(8, documents // 10_000))
-    meet = prefixes(rows.filter("n > 0"), common)
+    common = common_members(scanned, max(8, documents // 10_000))
+    meet = prefixes(docs, text, common)
     here = Window.partitionBy("member")
     meet = meet.withColumns({"lo": F.min("cls").over(here), "hi": F.max("cls").over(here)}).filter("lo != hi")
     meet = stored(meet.select("member", "cls", "n").distinct())
     # One document of each class that meets another brings its set.
     chosen = rows_of.join(meet.select("cls").distinct(), "cls").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    own = own.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).withColumn("set", shingle_set(F.col("text")))
-    sets = stored(own.filter(F.xxhash64("set") == F.col("cls")).select("cls", "set"))
+    sets = stored(sets_of(own.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep")))))
     links = labels = None
     for seed in range(2):
         more = stored(_collapse(_active(meet, labels), sets, seed))
@@ -420,7 +507,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     single = F.when(F.col("component").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     chosen = found.groupBy("component", single.alias("single")).agg(F.min(named).alias("r"))
     chosen = stored(chosen.select(F.col("r.doc_id").alias("__id"), F.col("r.cls").alias("__cls")))
-    rows = docs.join(chosen, docs[doc_id].eqNullSafe(chosen["__id"])).filter(F.xxhash64(shingle_set(F.col(text))) == F.col("__cls"))
+    rows = with_class(docs.join(chosen, docs[doc_id].eqNullSafe(chosen["__id"])), text).filter("__cls_of = __cls")
     first = Window.partitionBy(doc_id, "__cls").orderBy(text)
     return rows.withColumn("__row", F.row_number().over(first)).filter("`__row` = 1").select(*docs.columns)
 
