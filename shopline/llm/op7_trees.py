@@ -111,18 +111,18 @@ def shingle_sets(texts: pa.Array, n: int = N) -> tuple[list[np.ndarray], np.ndar
     grams = np.zeros(max(0, len(words) - n + 1), np.uint64)
     for k in range(n):
         grams += words[k:len(grams) + k] * np.uint64(pow(_ODD, k + 1, 1 << 64))
-    grams = _mixed(grams)
+    grams = _mixed(grams).view(np.int64)
     span = np.searchsorted(start, offsets).tolist()
     sets, cls = [], np.zeros(len(texts), np.uint64)
     for i, (lo, hi) in enumerate(zip(span, span[1:], strict=False)):
         if hi - lo >= n:
             own = np.unique(grams[lo:hi - n + 1])
         elif hi > lo:
-            own = _mixed((words[lo:hi] * np.array([pow(_ODD, k + 9, 1 << 64) for k in range(hi - lo)], np.uint64)).sum(dtype=np.uint64, keepdims=True))
+            own = _mixed((words[lo:hi] * np.array([pow(_ODD, k + 9, 1 << 64) for k in range(hi - lo)], np.uint64)).sum(dtype=np.uint64, keepdims=True)).view(np.int64)
         else:
             own = grams[:0]
-        sets.append(own.view(np.int64))
-        cls[i] = _mixed(own ^ np.uint64(_UNDO)).sum(dtype=np.uint64) + np.uint64(len(own))
+        sets.append(own)
+        cls[i] = _mixed(own.view(np.uint64) ^ np.uint64(_UNDO)).sum(dtype=np.uint64) + np.uint64(len(own))
     return sets, _mixed(cls).view(np.int64)
 
 
