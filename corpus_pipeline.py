@@ -17,13 +17,11 @@ The stages take (spark, docs, sf_dir).  All but the last return the columns of
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopline.llm import op2_langid, op6_lines, op7_trees, op9_bpe, op10_mixing
-from shopline.session import checkpoint_dir
+from shopline.session import write_scratch
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -88,10 +86,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, each written and read again."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
+    """All stages over the documents of ``sf_dir``, each written to the shared
+    scratch folder and read again; the files go when the driver ends."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
+    for _, stage in STAGES:
+        docs = spark.read.parquet(write_scratch(spark, stage(spark, docs, sf_dir).write.parquet))
     return docs

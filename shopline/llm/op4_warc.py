@@ -23,7 +23,6 @@ empty table writes an archive without records; other columns are not written.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopline.llm.common import by_stream, stored, table
-from shopline.session import checkpoint_dir
+from shopline.session import write_scratch
 
 CRLF = "\r\n"
 VERSION = "WARC/1.0"
@@ -189,8 +188,8 @@ def resolved(chunks: DataFrame) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, read the archives back, one row per page."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
-    write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path, "page_id", "html", "url")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = write_scratch(spark, lambda p: write_archives(pages, p, "page_id", "html", "url"))
     back = resolved(read_chunks(spark, path, payload=False))
     return back.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        F.col("refers_to").cast("long").alias("refers_to"))

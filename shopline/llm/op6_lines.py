@@ -8,8 +8,8 @@ Equal lines are one line from the beginning.  Lines shorter than ``min_chars``
 tell too little and are always kept.
 
 1. Lines go once through a shuffle by their 128-bit hash, which leaves each
-   distinct line once.  In the same stage they are exploded into shingles and
-   folded back into ``BANDS * ROWS`` minima, as their partitioning still holds.
+   distinct line once.  In the same stage ``BANDS * ROWS`` minima of each line
+   are taken from its sorted shingle hashes.
 2. Lines that share a band form a bucket.  Each bucket gets a representative
    (not always the same line in all bands) and every member is compared to it
    by exact Jaccard similarity.  Members that fail go on among themselves, in
@@ -68,11 +68,32 @@ def shingles(line: Column, size: int = SHINGLE) -> Column:
 
 
 def bands(lines: DataFrame) -> DataFrame:
-    """Add band: a row per band of each line, keyed by the hash of ROWS minima."""
-    each = lines.select(*ID, F.explode(shingles(F.col("line"))).alias("s"))
-    minima = each.groupBy(*ID).agg(*[F.min(F.xxhash64(F.lit(k), "s")).alias(f"m{k}") for k in range(ROWS * BANDS)])
-    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
-    return minima.select(*ID, F.explode(keys).alias("band"))
+    """(h1, h2, band): a row per band of each line, keyed by the hash of ROWS minima.
+
+    Row r of all bands has a hash function of its own; band b takes the minimum
+    under that hash, rotated by b / BANDS of its range: the first hash from a
+    boundary on, around the end.  Two sets agree in it with the probability of
+    their similarity.  The boundaries are sorted in among the hashes, so each
+    minimum is the neighbour of a boundary (or of the next one, if no hash lies
+    between), and no row per shingle and minimum is ever made.
+    """
+    rows = lines.select(*ID, shingles(F.col("line")).alias("set"))
+    at = [int(-(1 << 63) + b * ((1 << 64) // BANDS)) for b in range(BANDS)]
+    limits = F.array(*[F.lit(x).cast("long") for x in at])
+    rows = rows.withColumns({f"o{r}": F.sort_array(_rehashed("set", r) if r else F.col("set")) for r in range(ROWS)})
+    rows = rows.withColumns({f"a{r}": F.sort_array(F.concat(f"o{r}", limits)) for r in range(ROWS)})
+    for b in reversed(range(BANDS)):
+        after = {r: F.get(f"a{r}", F.array_position(f"a{r}", F.lit(at[b]).cast("long")).cast("int")) for r in range(ROWS)}
+        if b == BANDS - 1:
+            rows = rows.withColumns({f"m{b}_{r}": F.coalesce(after[r], F.get(f"o{r}", F.lit(0))) for r in range(ROWS)})
+        else:
+            rows = rows.withColumns({f"m{b}_{r}": F.when(after[r] == at[b + 1], F.col(f"m{b + 1}_{r}")).otherwise(after[r]) for r in range(ROWS)})
+    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(ROWS)]) for b in range(BANDS)])
+    return rows.select(*ID, F.explode(keys).alias("band"))
+
+
+def _rehashed(hashes: str, seed: int) -> Column:
+    return F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x))
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
@@ -90,7 +111,7 @@ def jaccard(x: Column, y: Column) -> Column:
 
 
 def _minimum(hashes: str, seed: int) -> Column:
-    return F.array_min(F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x)))
+    return F.array_min(_rehashed(hashes, seed))
 
 
 def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars: int) -> DataFrame:
