@@ -5,9 +5,11 @@ Jaccard similarity is at least ``NUM / DEN``.  The result is exact: no cap, no
 approximate candidate search.
 
 1. Equal sets are one class; a class is searched once, whatever its copies.
-2. Two sets can only link if they share one of their first ``n - ceil(t * n) +
-   1`` members in a common order (prefix filter).  Classes meet at those
-   members.  The order puts members found in many documents last: a fixed-size
+2. Classes meet at members of a prefix of their sets in a common order.  With
+   a = ceil(t * n) and l = ceil(a / EIGHTH), two sets that link share at least l
+   of the first n - a + l members of either (prefix filter, l of the larger set
+   being the larger): a class with fewer than l members that any other class has
+   in its prefix can't link and ends here.  The order puts members found in many documents last: a fixed-size
    bitmap marks them (any order gives the same result; this one keeps shared
    passages from bringing unlike documents together).
 3. Signature trees join what meets: the leaves are sets with token bitmaps, a
@@ -48,6 +50,8 @@ from shopline.llm.components import components
 N, NUM, DEN = 5, 75, 100
 #: Bits of a signature, and of the bitmap of members found in many documents.
 BITS, COMMON_BITS = 2048, 1 << 26
+#: The part of the least overlap that must be found within the prefixes.
+EIGHTH = 8
 #: A block of a join holds about so many sets, and so many members in all.
 BLOCK, BLOCK_MEMBERS = 1024, 1_500_000
 #: Meeting points with more labels than this are joined block by block.
@@ -160,11 +164,17 @@ def scan(docs: DataFrame, doc_id: str, text: str, held: int = 4_000_000) -> Data
     return by_stream(docs, [F.col(doc_id).cast("long"), _binary(text)], "doc_id long, n long, cls long, member long, times long", run)
 
 
-def common_members(scanned: DataFrame, least: int) -> np.ndarray:
-    """Bitmap (COMMON_BITS bits) of members that occur often: those whose counts
-    add up to ``least``.  Whatever this misses or marks too much changes only
-    the order of members, not the result."""
+def common_members(scanned: DataFrame, least: int) -> bytes:
+    """Bitmap of members that occur often: those whose counts add up to
+    ``least``.  Whatever this misses or marks too much changes only the order of
+    members, not the result."""
     hot = scanned.filter("member is not null").groupBy("member").agg(F.sum("times").alias("times")).filter(F.col("times") >= least)
+    return bitmap(hot.select("member"))
+
+
+def bitmap(hashes: DataFrame) -> bytes:
+    """COMMON_BITS bits, one for each remainder of the hashes in the first column:
+    a fixed size, whatever their number.  Tasks send their marked stretches."""
     chunk = 1 << 15
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -176,17 +186,36 @@ def common_members(scanned: DataFrame, least: int) -> np.ndarray:
                 own[at[at // chunk == c] % chunk] = True
         yield {"chunk": list(bits), "bits": [np.packbits(b).tobytes() for b in bits.values()]}
 
-    marked = by_stream(hot, [F.col("member")], "chunk long, bits binary", mark)
-    whole = np.zeros(COMMON_BITS // 8, np.uint8)  # a fixed size, whatever the corpus
+    marked = by_stream(hashes, [F.col(hashes.columns[0])], "chunk long, bits binary", mark)
+    whole = np.zeros(COMMON_BITS // 8, np.uint8)
     for row in marked.toLocalIterator():
         at = row.chunk * chunk // 8
         whole[at:at + chunk // 8] |= np.frombuffer(row.bits, np.uint8)
-    return whole
+    return whole.tobytes()
+
+
+def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & (COMMON_BITS - 1)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _overlap(n: int) -> int:
+    """What a set of n members shares at least with any that it links with."""
+    return -(-NUM * n // DEN)
 
 
-def prefixes(docs: DataFrame, text: str, common: np.ndarray) -> DataFrame:
+def _shared(overlap: int) -> int:
+    """How many of those are in both prefixes at least."""
+    return -(-overlap // EIGHTH)
+
+
+def _least_shared(n: Column) -> Column:
+    return F.ceil(F.ceil(n * NUM / F.lit(float(DEN))) / float(EIGHTH))
+
+
+def prefixes(docs: DataFrame, text: str, common: bytes) -> DataFrame:
     """(member, cls, n): the members at which a class may meet those it links with."""
-    sent = docs.sparkSession.sparkContext.broadcast(common.tobytes())
+    sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bits = np.frombuffer(sent.value, np.uint8)
@@ -200,9 +229,8 @@ def prefixes(docs: DataFrame, text: str, common: np.ndarray) -> DataFrame:
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(c)
-                at = own & (COMMON_BITS - 1)
-                late = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                need = n - -(-NUM * n // DEN) + 1
+                late = _marked(bits, own)
+                need = n - _overlap(n) + _shared(_overlap(n))
                 first = own[~late]
                 member.append(first[:need] if len(first) >= need else np.concatenate([first, own[late][:need - len(first)]]))
                 cls.append(c)
@@ -214,19 +242,26 @@ def prefixes(docs: DataFrame, text: str, common: np.ndarray) -> DataFrame:
     return by_stream(docs, [_binary(text)], "member long, cls long, n long", cut)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """(cls, set) of rows (cls, text) whose text has that class."""
+def sets_of(docs: DataFrame, text: str, wanted: bytes) -> DataFrame:
+    """(cls, set) of the classes that a bitmap marks (and of a few others); a
+    class may come from several tasks, once from each."""
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        bits, seen = np.frombuffer(sent.value, np.uint8), set()
         for batch in batches:
-            sets, cls = shingle_sets(batch.column(1))
-            keep = [i for i, (a, b) in enumerate(zip(batch.column(0).to_pylist(), cls.tolist(), strict=True)) if a == b]
+            sets, cls = shingle_sets(batch.column(0))
+            keep = []
+            for i in np.flatnonzero(_marked(bits, cls)).tolist():
+                if cls[i] not in seen and len(sets[i]):
+                    seen.add(cls[i])
+                    keep.append(i)
             own = [sets[i] for i in keep]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in own])]).astype(np.int32)
             flat = np.concatenate(own) if own else np.zeros(0, np.int64)
             yield {"cls": cls[keep] if keep else [], "set": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))}
 
-    return by_stream(docs, [F.col("cls"), _binary("text")], "cls long, set array<long>", run)
+    return by_stream(docs, [_binary(text)], "cls long, set array<long>", run)
 
 
 def with_class(df: DataFrame, text: str, name: str = "__cls_of") -> DataFrame:
@@ -477,10 +512,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     here = Window.partitionBy("member")
     meet = meet.withColumns({"lo": F.min("cls").over(here), "hi": F.max("cls").over(here)}).filter("lo != hi")
     meet = stored(meet.select("member", "cls", "n").distinct())
-    # One document of each class that meets another brings its set.
-    chosen = rows_of.join(meet.select("cls").distinct(), "cls").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sets = stored(sets_of(own.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep")))))
+    able = meet.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= _least_shared(F.col("n")))
+    able = stored(able.select("cls"))
+    before, meet = meet, stored(meet.join(able, "cls"))
+    drop(before)
+    sets = stored(sets_of(docs, text, bitmap(able)))
     links = labels = None
     for seed in range(2):
         more = stored(_collapse(_active(meet, labels), sets, seed))
