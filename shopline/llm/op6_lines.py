@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line's set are its character shingles: the ``SHINGLE`` characters from the
-start of each word on, blanks counted as one.  Lines whose sets have a Jaccard
+A line's set are its character shingles: the first ``SHINGLE`` characters of
+the ``WORDS`` words from each word on, blanks counted as one.  Lines whose sets have a Jaccard
 similarity of at least ``threshold`` are linked, and of each connected
 component of links, one line stays: the first by (document id, position).
 Equal lines are one line from the beginning.  Lines shorter than ``min_chars``
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
-SHINGLE = 12
+SHINGLE, WORDS = 12, 3
 ROWS, BANDS, SPLITS = 4, 13, 3
 THRESHOLD = 0.8
 MIN_CHARS = 20
@@ -62,9 +62,8 @@ def occurrences(docs: DataFrame, doc_id: str, text: str, min_chars: int, with_li
 def shingles(line: Column, size: int = SHINGLE) -> Column:
     """Distinct hashes of the character shingles that begin at the words of a line."""
     words = F.array_remove(F.split(F.translate(line, BLANKS[1:], " " * (len(BLANKS) - 1)), " "), "")
-    whole = (size + 1) // 2 + 1  # so many words surely have enough characters
     return F.flatten(F.transform(F.array(words), lambda w: F.array_distinct(F.transform(
-        w, lambda x, i: F.xxhash64(F.substring(F.concat_ws(" ", F.slice(w, i + 1, whole)), 1, size))))))
+        w, lambda x, i: F.xxhash64(F.substring(F.concat_ws(" ", F.slice(w, i + 1, WORDS)), 1, size))))))
 
 
 def bands(lines: DataFrame) -> DataFrame:
@@ -73,25 +72,29 @@ def bands(lines: DataFrame) -> DataFrame:
     Row r of all bands has a hash function of its own; band b takes the minimum
     under that hash, rotated by b / BANDS of its range: the first hash from a
     boundary on, around the end.  Two sets agree in it with the probability of
-    their similarity.  The boundaries are sorted in among the hashes, so each
-    minimum is the neighbour of a boundary (or of the next one, if no hash lies
-    between), and no row per shingle and minimum is ever made.
+    their similarity.  Sorting the boundaries in among the hashes tells how many
+    hashes lie below each, so all bands of a row come from two sorted arrays and
+    no row per shingle and minimum is ever made.
     """
     rows = lines.select(*ID, shingles(F.col("line")).alias("set"))
-    at = [int(-(1 << 63) + b * ((1 << 64) // BANDS)) for b in range(BANDS)]
-    limits = F.array(*[F.lit(x).cast("long") for x in at])
-    rows = rows.withColumns({f"o{r}": F.sort_array(_rehashed("set", r) if r else F.col("set")) for r in range(ROWS)})
-    rows = rows.withColumns({f"a{r}": F.sort_array(F.concat(f"o{r}", limits)) for r in range(ROWS)})
-    for b in reversed(range(BANDS)):
-        after = {r: F.get(f"a{r}", F.array_position(f"a{r}", F.lit(at[b]).cast("long")).cast("int")) for r in range(ROWS)}
-        if b == BANDS - 1:
-            rows = rows.withColumns({f"m{b}_{r}": F.coalesce(after[r], F.get(f"o{r}", F.lit(0))) for r in range(ROWS)})
-        else:
-            rows = rows.withColumns({f"m{b}_{r}": F.when(after[r] == at[b + 1], F.col(f"m{b + 1}_{r}")).otherwise(after[r]) for r in range(ROWS)})
-    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(ROWS)]) for b in range(BANDS)])
+    rows = rows.withColumns({f"m{r}": _minima(_rehashed("set", r) if r else F.col("set")) for r in range(ROWS)})
+    keys = F.transform(F.arrays_zip(*[f"m{r}" for r in range(ROWS)]), lambda m, b: F.xxhash64(b, m))
     return rows.select(*ID, F.explode(keys).alias("band"))
 
 
+def _minima(hashes: Column) -> Column:
+    """BANDS minima of an array of hashes, each under another rotation."""
+    limits = F.array(*[F.lit(-(1 << 63) + b * ((1 << 64) // BANDS)).cast("long") for b in range(BANDS)])
+    # transform over one-element arrays: each array is sorted once, not for each band.
+    both = lambda h: F.transform(F.array(F.sort_array(h)), lambda o: F.struct(o.alias("o"), F.sort_array(F.concat(o, limits)).alias("a")))
+
+    def of(x: Column) -> Column:
+        below = lambda c, b: (F.array_position(x["a"], c) - 1 - b).cast("int")
+        return F.transform(limits, lambda c, b: F.coalesce(F.get(x["o"], below(c, b)), F.get(x["o"], F.lit(0))))
+
+    return F.flatten(F.transform(both(hashes), of))
+
+
 def _rehashed(hashes: str, seed: int) -> Column:
     return F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x))
 

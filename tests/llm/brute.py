@@ -55,7 +55,7 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
 
 def line_shingles(line: str, size: int) -> frozenset:
     words = WORD.findall(line)
-    return frozenset(" ".join(words[i:i + size])[:size] for i in range(len(words)))
+    return frozenset(" ".join(words[i:i + 3])[:size] for i in range(len(words)))
 
 
 def redundant_lines(docs: list[tuple], size: int, threshold: float, min_chars: int) -> dict:
