@@ -507,7 +507,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     scanned = stored(scan(docs, doc_id, text))
     rows_of = scanned.filter("cls is not null").select("doc_id", "n", "cls")
     documents = rows_of.count()
-    common = common_members(scanned, max(8, documents // 10_000))
+    # At most set size x 100,000 members are in one of 100,000 documents: what the bitmap has room for.
+    common = common_members(scanned, max(8, documents // 100_000))
     meet = prefixes(docs, text, common)
     here = Window.partitionBy("member")
     meet = meet.withColumns({"lo": F.min("cls").over(here), "hi": F.max("cls").over(here)}).filter("lo != hi")
