@@ -59,9 +59,9 @@ def _mart(fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def q_price_sales_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart with its mean price at 2 decimals: a double mean has rounding noise below."""
+    """The mart with its mean price at 6 decimals: a double mean has rounding noise below."""
     out = marts.price_sales_corr(consolidated(spark, sf_dir))
-    return out.withColumn("avg_price", F.col("avg_price").cast("decimal(18,2)").cast("double"))
+    return out.withColumn("avg_price", F.col("avg_price").cast("decimal(18,6)").cast("double"))
 
 
 def q_lag_corr(spark: SparkSession, sf_dir: str) -> DataFrame:

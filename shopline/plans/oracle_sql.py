@@ -279,7 +279,7 @@ _MONTHLY = f"""SELECT strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS
          avg(dcoilwtico) AS avg_price"""
 
 ORACLES["price_sales_corr"] = _with(f"""
-SELECT year_month, total_sales, CAST(CAST(avg_price AS DECIMAL(18,2)) AS DOUBLE) AS avg_price,
+SELECT year_month, total_sales, CAST(CAST(avg_price AS DECIMAL(18,6)) AS DOUBLE) AS avg_price,
        (SELECT {_corr('total_sales', 'avg_price')} FROM monthly) AS corr
 FROM monthly""", f"""
 monthly AS ({_MONTHLY} FROM wide GROUP BY 1)""")
