@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line's set are its character shingles: the first ``SHINGLE`` characters of
-the ``WORDS`` words from each word on, blanks counted as one.  Lines whose sets have a Jaccard
-similarity of at least ``threshold`` are linked, and of each connected
+A line's set are its character shingles: the ``SHINGLE`` characters from each
+character on, a run of blanks counted as one and none at the ends (a shorter
+line is one shingle).  Lines whose sets have a Jaccard similarity of at least ``threshold`` are linked, and of each connected
 component of links, one line stays: the first by (document id, position).
 Equal lines are one line from the beginning.  Lines shorter than ``min_chars``
 tell too little and are always kept.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
-SHINGLE, WORDS = 12, 3
+SHINGLE = 12
 ROWS, BANDS, SPLITS = 4, 13, 3
 THRESHOLD = 0.8
 MIN_CHARS = 20
@@ -60,10 +60,12 @@ def occurrences(docs: DataFrame, doc_id: str, text: str, min_chars: int, with_li
 
 
 def shingles(line: Column, size: int = SHINGLE) -> Column:
-    """Distinct hashes of the character shingles that begin at the words of a line."""
-    words = F.array_remove(F.split(F.translate(line, BLANKS[1:], " " * (len(BLANKS) - 1)), " "), "")
-    return F.flatten(F.transform(F.array(words), lambda w: F.array_distinct(F.transform(
-        w, lambda x, i: F.xxhash64(F.substring(F.concat_ws(" ", F.slice(w, i + 1, WORDS)), 1, size))))))
+    """Distinct hashes of the character shingles of a line."""
+    spaced = F.trim(F.regexp_replace(line, f"[{BLANKS}]+", " "))
+    # One pass: each match takes one character and captures ``size`` from it on.
+    parts = F.regexp_extract_all(spaced, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+    parts = F.when(F.length(spaced) < size, F.array(spaced)).otherwise(parts)
+    return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
 
 
 def bands(lines: DataFrame) -> DataFrame:

@@ -54,8 +54,8 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def line_shingles(line: str, size: int) -> frozenset:
-    words = WORD.findall(line)
-    return frozenset(" ".join(words[i:i + 3])[:size] for i in range(len(words)))
+    line = " ".join(WORD.findall(line))
+    return frozenset(line[i:i + size] for i in range(max(1, len(line) - size + 1)))
 
 
 def redundant_lines(docs: list[tuple], size: int, threshold: float, min_chars: int) -> dict:

@@ -45,6 +45,21 @@ def test_lines_equal_brute_force(spark, sf_docs):
     assert marked(sf_docs) == {k: v for k, v in want.items() if v}
 
 
+def test_lines_without_blanks_and_long_words(spark):
+    rng = random.Random(3)
+    some = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    cjk = [chr(c) for c in range(0x4E00, 0x4E00 + 800)]
+    url = "https://example.com/" + some("abcdefgh/", 60)
+    compound = ["Donaudampf" + some("abcdefgh", 30) for _ in range(6)]
+    texts = ["https://example.com/" + some("abcdefgh/", 60) for _ in range(4)]  # equal starts, other texts
+    texts += [url, "h" + url[1:-1] + "?", "xy" + url]  # near copies, one with another start
+    texts += ["".join(cjk[:12]) + some(cjk, 40) for _ in range(4)] + [some(cjk, 60) + "😀"]
+    texts += ["一" + texts[-1], " ".join(compound), " ".join(w[:14] + some("abcdefgh", 26) for w in compound)]
+    docs = list(enumerate(texts))
+    want = {k: v for k, v in redundant_lines(docs, lines.SHINGLE, lines.THRESHOLD, lines.MIN_CHARS).items() if v}
+    assert marked(spark.createDataFrame(docs, "doc_id long, text string")) == want == {5: {0}, 6: {0}, 12: {0}}
+
+
 def test_similar_lines_in_large_groups(spark):
     texts = variants(1, groups=6, size=60, words=40, edits=4)
     docs = [(i, "\n".join(texts[i::90])) for i in range(90)]
