@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopline.llm.common import by_batch, decoded, residue, ship_package, table
+from shopline.llm.common import by_batch, decoded, residue, ship_package, stored, table
 
 MAX_CHARS = 50_000
 MAX_TOTAL = 400_000
@@ -44,18 +44,29 @@ SYMBOLS = 61
 BLANK, OTHER, PAD = 61, 62, 63
 WIDTH = 64
 SEGMENT = 384
+#: The hash bound of the training texts is found among so many bits.
+BUCKET_BITS = 12
 LETTER = re.compile(r"[^\W\d_]")
 
 
 def training_sample(labelled: DataFrame, text: str, lang: str, max_chars: int = MAX_CHARS, max_total: int = MAX_TOTAL) -> DataFrame:
     """(lang, text): whole distinct texts in hash order up to the bound."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and length(text) > 0")
-    size = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
-    size = size.withColumn("room", F.least(F.lit(max_chars), (F.lit(max_total) / F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))).cast("long")))
-    # Of a large language only a thin slice by hash is sorted: four times the room, as expected.
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # Lengths of distinct texts: copies are one row, summed up to room by bucket of the hash's upper bits.
+    sizes = rows.groupBy("lang", "h").agg(F.first(F.length("text").cast("long")).alias("n"))
+    sizes = sizes.groupBy("lang", F.shiftright("h", 64 - BUCKET_BITS).alias("bucket")).agg(F.sum(F.least("n", F.lit(max_chars))).alias("n"))
+    sizes = stored(sizes)
+    langs = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
+    room = sizes.select("lang").distinct().select("lang", F.least(F.lit(max_chars), (F.lit(max_total) / langs).cast("long")).alias("room"))
+    # The first buckets in order that hold room: at most 2 ** BUCKET_BITS rows a language.
+    before = Window.partitionBy("lang").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(room, "lang")
+    last = sizes.filter("before < room").groupBy("lang").agg(F.max("bucket").alias("last"), F.first("room").alias("room"))
     # One row a language, of which there are as many as automata: small enough to send.
-    rows = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(size), "lang")
-    rows = rows.filter(F.shiftrightunsigned("h", 1) / float(1 << 63) <= 4 * F.col("room") / F.col("chars"))
+    rows = rows.join(F.broadcast(last), "lang").filter(F.shiftright("h", 64 - BUCKET_BITS) <= F.col("last"))
+    # Cut before the shuffle: no more than room of any text is ever used.
+    rows = rows.withColumn("text", F.expr("substring(text, 1, int(room))"))
     rows = rows.groupBy("lang", "h").agg(F.first("text").alias("text"), F.first("room").alias("room"))
     order = Window.partitionBy("lang").orderBy("h")
     before = F.coalesce(F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

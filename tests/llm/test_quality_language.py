@@ -108,6 +108,17 @@ def test_held_out_accuracy_and_bounds(spark):
     assert len(sample) == 4 and all(0 < r.n <= 3000 for r in sample)
 
 
+def test_sample_fills_from_long_texts_and_copies(spark):
+    text = F.rpad(F.concat("lang", F.lit(" "), "i"), F.col("n"), F.concat(F.lit(" word "), "i", F.lit(" of "), "lang"))
+    long = spark.range(36).select((F.col("id") % 12).cast("string").alias("lang"), F.col("id").cast("string").alias("i"), F.lit(1_000_000).alias("n"))
+    hot = spark.range(4000).select(F.lit("hot").alias("lang"), F.greatest("id", F.lit(3000)).cast("string").alias("i"),
+                                   F.when(F.col("id") <= 3000, 2000).otherwise(40).alias("n"))
+    docs = long.unionByName(hot).select("lang", text.alias("text"))
+    sample = lid.training_sample(docs, "text", "lang", 20_000, 10_000_000).groupBy("lang").agg(F.sum(F.length("text")).alias("n"), F.count_distinct("text").alias("k"))
+    got = {r.lang: (r.n, r.k) for r in sample.collect()}
+    assert len(got) == 13 and all(n == 20_000 for n, _ in got.values()) and got["hot"][1] > 300
+
+
 def test_language_of_edge_rows(spark, edge, none, folder):
     model = lid.learn(edge)
     rows = lid.predict(edge.drop("score"), model).collect()
