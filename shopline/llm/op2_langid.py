@@ -3,8 +3,10 @@
 A suffix automaton of each language's training text accepts exactly the
 strings that occur in it.  A document is parsed from left to right into the
 longest phrases that the automaton follows (lower case; whatever is not a
-letter counts as one blank, so that punctuation tells nothing); the fewer phrases a language needs
-(times log2 of its training length, per character), the closer it is.  The
+letter counts as one blank, so that punctuation tells nothing).  Automata run
+over UTF-8 bytes, so every letter of the training texts counts, whatever the
+number of scripts; letters of no training text break a phrase.  The fewer phrases a language needs
+(times log2 of its training length, per byte), the closer it is.  The
 language with the least of these cross entropies is predicted.
 
 Training text: per language at most ``max_chars`` characters (and ``max_total``
@@ -14,7 +16,7 @@ the automata small enough to send to every task; predictions cover all whole
 texts.
 
 Parsing runs on all documents of a batch at once: texts are cut into segments
-of ``SEGMENT`` characters, each a lane of a numpy table walk, so the phrase
+of ``SEGMENT`` bytes, each a lane of a numpy table walk, so the phrase
 that a cut breaks counts twice, for every language alike.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; so
@@ -39,10 +41,8 @@ from shopline.llm.common import by_batch, decoded, residue, ship_package, stored
 
 MAX_CHARS = 50_000
 MAX_TOTAL = 400_000
-#: Distinct characters that the automata tell apart; others break a phrase.
-SYMBOLS = 61
-BLANK, OTHER, PAD = 61, 62, 63
-WIDTH = 64
+#: Symbols are the UTF-8 bytes of letters, and bytes that no letter has.
+BLANK, OTHER, PAD = 32, 1, 0
 SEGMENT = 384
 #: The hash bound of the training texts is found among so many bits.
 BUCKET_BITS = 12
@@ -112,52 +112,50 @@ def _letters() -> np.ndarray:
 
 
 def symbol_table(alphabet: list[str]) -> np.ndarray:
-    """Symbol of every code point: a known letter, another letter, or a blank for all else."""
-    lut = np.full(0x110000, BLANK, np.uint8)
+    """What every code point counts as: itself if a known letter, another letter, or a blank for all else."""
+    lut = np.full(0x110000, BLANK, np.uint32)
     lut[_letters()] = OTHER
-    for i, c in enumerate(alphabet):
-        lut[ord(c)] = i
+    known = np.array([ord(c) for c in alphabet], np.int64)
+    lut[known] = known
     return lut
 
 
 def to_symbols(text: str, lut: np.ndarray) -> np.ndarray:
-    """Symbols of the lower-cased text; a run of characters that aren't letters is one blank."""
+    """Bytes of the lower-cased text; a run of characters that aren't letters is one blank."""
     s = lut[np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")]
     blank = s == BLANK
     blank[1:] &= s[:-1] == BLANK
     blank[:1] = False
-    return s[~blank]
+    return np.frombuffer(s[~blank].astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", max_chars: int = MAX_CHARS,
           max_total: int = MAX_TOTAL) -> dict:
     """The model: alphabet, languages, their training lengths and automata (bounded, on the driver)."""
     ship_package(labelled.sparkSession)
-    sample = training_sample(labelled, text, lang, max_chars, max_total).cache()
-    chars = sample.select(F.explode(F.split(F.lower("text"), "")).alias("c")).filter(F.col("c").rlike(r"^\p{L}$"))
-    top = chars.groupBy("c").count().orderBy(F.desc("count"), "c").limit(SYMBOLS).collect()
-    alphabet = [r.c for r in top if len(r.c) == 1]
+    sample = training_sample(labelled, text, lang, max_chars, max_total)
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        lut = symbol_table(alphabet)
         group = group.sort_values("h")
+        letters = sorted({c for t in group["text"] for c in t.lower() if c.isalpha()})
+        lut = symbol_table(letters)
         symbols = [s for t in group["text"] for s in [*to_symbols(t, lut).tolist(), OTHER]]
         a, s, b = suffix_automaton(symbols)
-        return pd.DataFrame([{"lang": group["lang"].iloc[0], "chars": len(symbols), "a": a.tobytes(), "s": s.tobytes(), "b": b.tobytes()}])
+        return pd.DataFrame([{"lang": group["lang"].iloc[0], "letters": "".join(letters), "chars": len(symbols),
+                              "a": a.tobytes(), "s": s.tobytes(), "b": b.tobytes()}])
 
-    rows = sample.groupBy("lang").applyInPandas(build, "lang string, chars long, a binary, s binary, b binary").collect()
-    sample.unpersist()
+    rows = sample.groupBy("lang").applyInPandas(build, "lang string, letters string, chars long, a binary, s binary, b binary").collect()
     rows.sort(key=lambda r: r.lang)
-    return {"alphabet": alphabet, "langs": [r.lang for r in rows], "chars": [r.chars for r in rows],
+    return {"alphabet": sorted({c for r in rows for c in r.letters}), "langs": [r.lang for r in rows], "chars": [r.chars for r in rows],
             "edges": [(bytes(r.a), bytes(r.s), bytes(r.b)) for r in rows]}
 
 
 class Parser:
     """Counts phrases of many texts at once, for every language of a model.
 
-    ``step[state * WIDTH + symbol]`` is twice the next state's offset, plus 1
-    if a phrase ended before the symbol.  All languages share one table; each
-    has a root of its own.
+    ``step[state + column]`` is four times the next state's offset, plus the
+    phrases that ended.  All languages share one table; each has a root of its
+    own, and columns for the bytes of its own training text only (``columns``).
     """
 
     def __init__(self, model: dict):
@@ -165,12 +163,18 @@ class Parser:
         self.langs = model["langs"]
         self.weight = np.log2(np.maximum(2, np.array(model["chars"], float)))
         tables, roots, base = [], [], 0
-        for a, s, b in model["edges"]:
+        self.columns = np.zeros((len(self.langs), 256), np.int64)  # column 0: bytes that the language lacks
+        for mine, (a, s, b) in zip(self.columns, model["edges"], strict=True):
             a, s, b = np.frombuffer(a, np.int32), np.frombuffer(s, np.uint8), np.frombuffer(b, np.int32)
             states = int(max(a.max(initial=0), b.max(initial=0))) + 1
-            own = np.full((states, WIDTH), -1, np.int64)
-            own[a, s] = b
-            own[:, OTHER] = -1  # no phrase goes over a character outside the alphabet
+            used = np.setdiff1d(s, [OTHER, PAD])
+            width = len(used) + 2
+            pad = width - 1
+            mine[used] = np.arange(1, pad)
+            mine[PAD] = pad
+            own = np.full((states, width), -1, np.int64)
+            own[a, mine[s]] = b
+            own[:, 0] = -1  # no phrase goes over a letter outside the alphabet
             first = np.where(own[0] >= 0, own[0], 0)  # where a new phrase that begins with a symbol leads
             ends = own < 0
             go = np.where(ends, first[None, :], own)
@@ -178,15 +182,16 @@ class Parser:
             flag[0] = 0
             alone = own[0] < 0  # a symbol that the language lacks is a phrase by itself
             flag[:, alone] += 1
-            flag[:, PAD] = 1
-            flag[0, PAD] = 0
-            tables.append((((go + base) * WIDTH) << 2 | flag).astype(np.int64).ravel())
-            roots.append(base * WIDTH)
-            base += states
+            flag[:, pad] = 1
+            flag[0, pad] = 0
+            table = (go * width + base) << 2 | flag
+            base += states * width
+            # Kept narrow while the tables of other languages are made.
+            tables.append(table.astype(np.int32 if base < 1 << 29 else np.int64).ravel())
+            roots.append(base - states * width)
         self.step = np.concatenate(tables) if tables else np.zeros(0, np.int64)
-        if len(self.step) and self.step.max() < 1 << 31:
-            self.step = self.step.astype(np.int32)
         self.roots = np.array(roots, self.step.dtype)
+        self.columns = self.columns.astype(self.step.dtype)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrase counts (text x language) and lengths."""
@@ -204,11 +209,11 @@ class Parser:
             if whole < n:
                 flat[at + whole, :len(s) - whole * SEGMENT] = s[whole * SEGMENT:]
             at += n
-        columns = np.ascontiguousarray(cut.T).astype(self.step.dtype)
+        columns = np.ascontiguousarray(cut.T)
         state = np.repeat(self.roots[:, None], cut.shape[0], 1)
         count = np.zeros(state.shape, np.int64 if self.step.dtype == np.int64 else np.int32)
         for column in columns:
-            state += column
+            state += self.columns[:, column]
             state = self.step[state]
             count += state & 3
             state >>= 2

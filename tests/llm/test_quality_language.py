@@ -119,6 +119,20 @@ def test_sample_fills_from_long_texts_and_copies(spark):
     assert len(got) == 13 and all(n == 20_000 for n, _ in got.values()) and got["hot"][1] > 300
 
 
+def test_all_letters_of_many_scripts_count(spark):
+    rng = random.Random(7)
+    letters = {"en": range(97, 123), "ru": range(0x430, 0x450), "bg": range(0x430, 0x450), "el": range(0x3B1, 0x3CA), "zh": range(0x4E00, 0x5C00),
+               "ja": range(0x4E00, 0x5C00), "ko": range(0xAC00, 0xB800), "ar": range(0x627, 0x63B)}
+    words = {lang: ["".join(chr(rng.choice(own)) for _ in range(rng.randint(2, 5))) for _ in range(300)] for lang, own in letters.items()}
+    say = lambda lang, n: ("" if lang in ("zh", "ja") else " ").join(rng.choices(words[lang], k=n))
+    train = [(lang, say(lang, 400)) for lang in letters for _ in range(10 if lang == "en" else 4)]
+    model = lid.learn(spark.createDataFrame(train, "lang string, text string"))
+    assert set(model["alphabet"]) == {c for _, t in train for c in t if c != " "}
+    texts = [(lang, say(lang, 30)) for lang in letters for _ in range(10)]
+    rows = lid.predict(spark.createDataFrame(texts, "lang string, text string"), model).collect()
+    assert all(r.lang_pred == r.lang for r in rows)
+
+
 def test_language_of_edge_rows(spark, edge, none, folder):
     model = lid.learn(edge)
     rows = lid.predict(edge.drop("score"), model).collect()
