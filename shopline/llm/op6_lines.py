@@ -10,13 +10,13 @@ tell too little and are always kept.
 1. Lines go once through a shuffle by their 128-bit hash, which leaves each
    distinct line once.  In the same stage ``BANDS * ROWS`` minima of each line
    are taken from its sorted shingle hashes.
-2. Lines that share a band form a bucket.  Each bucket gets a representative
-   (not always the same line in all bands) and every member is compared to it
-   by exact Jaccard similarity.  Members that fail go on among themselves, in
-   buckets that a further minimum splits (similar lines mostly agree in it,
-   unlike ones seldom; the first time in SPLITS ways), with other
-   representatives, until none is left.  Buckets have no cap, and the work is
-   linear in their size, not quadratic.
+2. Lines that share a band form a bucket.  Every member is compared to the
+   bucket's smallest line id by exact Jaccard similarity.  Buckets whose
+   members are not all connected then go on, linked members too: in each round
+   the next members in the order of the line ids, GROWTH times as many as
+   before, are compared to all later ones that are not connected with them
+   yet, until all members of a bucket are connected or compared.  Buckets have
+   no cap; only one of members that are unlike each other costs its square.
 3. Links make components by distributed star rounds.
 4. Occurrences other than a component's first are dropped.
 
@@ -36,7 +36,7 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS, SPLITS = 4, 13, 3
+ROWS, BANDS, GROWTH = 4, 13, 4
 THRESHOLD = 0.8
 MIN_CHARS = 20
 ID = ["h1", "h2"]
@@ -101,54 +101,63 @@ def _rehashed(hashes: str, seed: int) -> Column:
     return F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x))
 
 
-def _buckets(rows: DataFrame) -> DataFrame:
-    """Rows of buckets with two lines or more, with the bucket's representative r (a line id)."""
-    here = Window.partitionBy("band")
-    # The order of line ids differs from band to band, so that different lines represent them.
-    pick = F.min(F.struct(F.xxhash64("band", *ID).alias("o"), F.struct(*ID).alias("r"))).over(here)
-    rows = rows.withColumns({"p": pick, "n": F.count(F.lit(1)).over(here)}).filter("n > 1")
-    return rows.select("band", F.struct(*ID).alias("id"), F.col("p.r").alias("r"))
-
-
 def jaccard(x: Column, y: Column) -> Column:
     both = F.size(F.array_intersect(x, y))
     return both / (F.size(x) + F.size(y) - both)
 
 
-def _minimum(hashes: str, seed: int) -> Column:
-    return F.array_min(_rehashed(hashes, seed))
+def _compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The distinct pairs (id, r) that are similar enough, as links (a, b)."""
+    pairs = pairs.select("id", "r").distinct()
+    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("r"), F.col("set").alias("other")), "r")
+    similar = both.filter(jaccard(F.col("set"), F.col("other")) >= threshold)
+    return stored(similar.select(F.col("id").alias("a"), F.col("r").alias("b")))
+
+
+def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
+    """Members with the labels that the new links lead to."""
+    label = members.select("id", "label").distinct()
+    ends = good.join(label.toDF("a", "x"), "a").join(label.toDF("b", "y"), "b")
+    moved = components(ends.select("x", "y"), "x", "y").toDF("label", "to")
+    return members.join(moved, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
 def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars: int) -> DataFrame:
     """Verified links (a, b) between distinct lines, ids as structs of h1 and h2."""
     lines = occurrences(docs, doc_id, text, min_chars, with_line=True).groupBy(*ID).agg(F.first("line").alias("line"))
-    mine = _buckets(bands(lines)).groupBy("id").agg(F.collect_list(F.struct("band", "r")).alias("in"))  # at most BANDS
-    mine = mine.select(F.col("id.h1").alias("h1"), F.col("id.h2").alias("h2"), "in")
+    rows = stored(bands(lines).select("band", F.struct(*ID).alias("id")).distinct())
+    # Map-side combined, and joined back: no bucket needs to fit one task.
+    buckets = rows.groupBy("band").agg(F.min("id").alias("r"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stored(rows.join(buckets, "band"))
+    drop(rows)
+    own = members.select("id.h1", "id.h2").distinct()
     # Lines that share no bucket end here; the others are few enough to keep with their shingles.
-    chosen = stored(lines.join(mine, ID).select(F.struct(*ID).alias("id"), shingles(F.col("line")).alias("set"), "in"))
-    sets = chosen.select("id", "set")
-    open_rows = chosen.select("id", F.explode("in").alias("i")).select("id", "i.band", "i.r")
-    found, previous, seed = None, None, ROWS * BANDS
+    sets = stored(lines.join(own, ID, "left_semi").select(F.struct(*ID).alias("id"), shingles(F.col("line")).alias("set")))
+    # A link needs sets of similar sizes.
+    members = members.join(sets.select("id", F.size("set").alias("size")), "id").withColumn("label", F.col("id"))
+    good = found = _compared(members.filter("id != r"), sets, threshold)
+    members = _relabelled(members, good)
+    # A line's place among its bucket's members, 0 to 1: ids are hashes, so about n * x members lie below x.
+    place = F.col("id.h1").cast("double") / float(1 << 64) + 0.5
+    members = members.filter("id != r").withColumn("place", place)
+    previous, many = None, GROWTH
     while True:
-        pairs = open_rows.filter(F.col("id") != F.col("r")).select("id", "r").distinct()
-        splits = range(seed, seed + (SPLITS if found is None else 1))
-        further = F.array(*[_minimum("set", k) for k in splits])
-        judged = (pairs.join(sets, "id").join(sets.select(F.col("id").alias("r"), F.col("set").alias("other")), "r")
-                  .select("id", "r", (jaccard(F.col("set"), F.col("other")) >= threshold).alias("linked"), further.alias("further")))
-        judged = stored(judged)
-        good = judged.filter("linked").select(F.col("id").alias("a"), F.col("r").alias("b"))
-        found = good if found is None else found.unionByName(good)
-        # What failed against its bucket's representative goes on among itself.
-        failed = open_rows.join(judged.filter("not linked").select("id", "r", "further"), ["id", "r"])
-        failed = failed.select("band", "id.h1", "id.h2", F.posexplode("further").alias("k", "m"))
-        failed = failed.select(F.xxhash64("band", "k", "m").alias("band"), *ID)
-        seed += len(splits)
-        rest = stored(_buckets(failed))
+        # The buckets with members of different labels: all others are connected.
+        mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
+        rest = stored(members.join(mixed.select("band"), "band", "left_semi"))
         drop(previous)
         previous = rest
         if rest.isEmpty():
             return found
-        open_rows = rest
+        upto = F.lit(float(many)) / F.col("n")
+        chosen = rest.filter(F.col("place") < upto).select("band", F.col("id").alias("r"), F.col("label").alias("other"), F.col("size").alias("other_size"))
+        pairs = rest.drop("r").join(chosen, "band").filter((F.col("id") > F.col("r")) & (F.col("label") != F.col("other")))
+        pairs = pairs.filter(F.least("size", "other_size") >= threshold * F.greatest("size", "other_size"))
+        good = _compared(pairs, sets, threshold)
+        found = found.unionByName(good)
+        # What was chosen has met all others of its bucket.
+        members = _relabelled(rest.filter(F.col("place") >= upto), good)
+        many *= GROWTH
 
 
 def redundant(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -69,6 +69,22 @@ def test_similar_lines_in_large_groups(spark):
     assert not any(got.get(i, set()) - want[i] for i in got) and missed <= 0.1 * sum(map(len, want.values()))  # chains of pairs just above the threshold
 
 
+def test_all_members_of_a_bucket_are_connected_or_compared(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(lines, "bands", lambda rows: rows.select("h1", "h2", F.lit(1).cast("long").alias("band")))
+    rng, texts = random.Random(11), []
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    for _ in range(8):  # chains: each text is like the one before, and soon unlike the first
+        chain = [word() for _ in range(40)]
+        for _ in range(20):
+            chain[rng.randrange(40)] = word()
+            texts.append(" ".join(chain))
+    docs = list(enumerate(texts))
+    want = {k: v for k, v in redundant_lines(docs, lines.SHINGLE, lines.THRESHOLD, lines.MIN_CHARS).items() if v}
+    assert marked(spark.createDataFrame(docs, "doc_id long, text string")) == want and len(want) > 100
+
+
 def test_line_dedup_of_edge_rows(spark, edge, none, folder):
     kept = lines.dedup_lines(edge)
     assert [c for c in kept.columns if c != "n_kept_lines"] == [c for c in edge.columns if c != "removed"]
