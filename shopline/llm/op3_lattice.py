@@ -26,6 +26,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -95,17 +96,30 @@ def count_pieces(words: DataFrame, model: str) -> DataFrame:
     return counted.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
+def piece_kinds(vocab) -> list[str]:
+    """``text``, ``byte`` or ``special`` for every piece of a vocabulary, by its type there."""
+    special = lambda i: vocab.is_unknown(i) or vocab.is_control(i) or vocab.is_unused(i)
+    return ["byte" if vocab.is_byte(i) else "special" if special(i) else "text" for i in range(vocab.get_piece_size())]
+
+
+def _kind_by_name(piece: str) -> str:
+    if re.fullmatch("<0x[0-9A-F]{2}>", piece):
+        return "byte"
+    return "special" if piece in ("<unk>", "<s>", "</s>", "<pad>") else "text"
+
+
 class Lattice:
     """Piece scores (natural logarithms) and the forward recursion over them."""
 
-    def __init__(self, pieces: list[str], scores: list[float]):
+    def __init__(self, pieces: list[str], scores: list[float], kinds: list[str] | None = None):
+        """``kinds`` as of :func:`piece_kinds`; without it, only what looks like a byte or special piece is one."""
         import ahocorasick
 
         self.trie, self.byte, self.single = ahocorasick.Automaton(), {}, set()
-        for piece, score in zip(pieces, scores, strict=True):
-            if len(piece) == 6 and piece.startswith("<0x"):
+        for piece, score, kind in zip(pieces, scores, kinds or [_kind_by_name(p) for p in pieces], strict=True):
+            if kind == "byte":
                 self.byte[int(piece[3:5], 16)] = score
-            elif piece and not piece.startswith("<"):
+            elif piece and kind == "text":
                 self.trie.add_word(piece, (len(piece), score))
                 if len(piece) == 1:
                     self.single.add(piece)
@@ -134,9 +148,9 @@ def piece_scores(pieces: list[str], counts: dict[int, float], ends: int, alpha:
     return [math.log((counts.get(i, 0) + alpha) / total) for i in range(len(pieces))], math.log((ends + alpha) / total)
 
 
-def score_words(words: DataFrame, pieces: list[str], scores: list[float]) -> DataFrame:
+def score_words(words: DataFrame, pieces: list[str], scores: list[float], kinds: list[str] | None = None) -> DataFrame:
     """Add lattice: log10 of the word's marginal probability."""
-    sent = words.sparkSession.sparkContext.broadcast((pieces, scores))
+    sent = words.sparkSession.sparkContext.broadcast((pieces, scores, kinds))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         lattice = Lattice(*sent.value)
@@ -164,7 +178,7 @@ def score(df: DataFrame, doc_id: str, text: str, train: str, model: str) -> Data
     pieces = [vocab.id_to_piece(i) for i in range(vocab.get_piece_size())]
     counts = {r.piece: r.n for r in count_pieces(words.filter("n > 0"), model).collect()}  # a row a piece at most
     scores, end = piece_scores(pieces, counts, n_train)
-    scored = stored(score_words(words, pieces, scores))
+    scored = stored(score_words(words, pieces, scores, piece_kinds(vocab)))
     drop(words)
     hot = {bytes(r.word): (math.log10(r.n + 0.1), r.lattice, r.n > 0)
            for r in scored.orderBy(F.desc("n"), "word").limit(HOT).collect()}

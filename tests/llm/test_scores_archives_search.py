@@ -31,6 +31,30 @@ def test_marginal_sums_all_segmentations():
         assert math.isclose(lattice.word_log10(word), math.log10(total("▁" + word)), rel_tol=1e-12)
 
 
+def test_pieces_that_begin_like_special_ones_count():
+    pieces = ["<unk>", "<s>", "</s>", "<0x3C>", "<0x2F>", "▁", "<", "</", "p", ">", "p>", "▁<", "a", "b"]
+    scores = [math.log(p) for p in (0.01, 0.01, 0.01, 1e-9, 1e-9, 0.1, 0.07, 0.05, 0.1, 0.08, 0.06, 0.04, 0.2, 0.15)]
+    of = {p: math.exp(s) for p, s in zip(pieces, scores, strict=True) if p not in ("<unk>", "<s>", "</s>", "<0x3C>", "<0x2F>")}
+    of["/"] = 1e-9  # by its byte piece
+
+    @lru_cache(None)
+    def total(s: str) -> float:
+        return sum(q * total(s[len(p):]) for p, q in of.items() if s.startswith(p)) if s else 1.0
+
+    for word in ("</p>", "a<b", "<", "<p>ab</p>", "</p"):
+        assert math.isclose(lat.Lattice(pieces, scores).word_log10(word), math.log10(total("▁" + word)), rel_tol=1e-12)
+
+
+def test_all_text_pieces_of_the_given_vocabulary_are_used():
+    import sentencepiece
+    vocab = sentencepiece.SentencePieceProcessor(model_file=lat.piece_model())
+    pieces = [vocab.id_to_piece(i) for i in range(vocab.get_piece_size())]
+    lattice = lat.Lattice(pieces, [0.0] * len(pieces), lat.piece_kinds(vocab))
+    missing = {p for p in pieces if p not in lattice.trie}
+    assert all(vocab.is_unknown(i) or vocab.is_control(i) or vocab.is_byte(i) or vocab.is_unused(i) for i, p in enumerate(pieces) if p in missing)
+    assert {"<", "</"} <= set(pieces) - missing and len(lattice.byte) == 256
+
+
 def test_scores_equal_brute_force(spark, folder):
     path = f"{folder}/full"
     rows = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
