@@ -7,7 +7,8 @@ part of its tokens that the mixture wants.  Documents are then drawn one by one
 with their cell's probability.
 
 Only the first aggregate (map-side sums) and the last join see documents; the
-sweeps run on the cells.  No cell can give more tokens than it has: after each
+sweeps run on the cells, until no cell's weight changes any more: on the driver
+for up to ``HELD`` cells, as Spark steps for more.  No cell can give more tokens than it has: after each
 sweep, cells are cut to that, which the next sweep evens out over the others.
 A draw depends on the seed and the document's id alone, so a task that is run
 again draws the same.
@@ -26,6 +27,7 @@ extra columns are kept unless they have an output's name.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,9 @@ from shopline.llm.common import drop, stored, table, word_array
 
 MARGINS = ["source", "lang", "topic"]
 ALPHA, KEEP, SEED = 0.8, 0.75, 17
-TOLERANCE, SWEEPS_A_STEP, MAX_SWEEPS = 1e-4, 4, 60
+TOLERANCE, SWEEPS_A_STEP, MAX_SWEEPS = 1e-6, 4, 10_000
+#: Cells that the driver takes to fit them there; more are swept by Spark.
+HELD = 1 << 16
 
 
 def n_words(text: str) -> Column:
@@ -52,11 +56,50 @@ def tempered(cells: DataFrame, margin: str, alpha: float = ALPHA) -> DataFrame:
     return total.select("value", (part / F.sum(part).over(Window.partitionBy(F.lit(0)))).alias("share"))
 
 
+def _fitted(rows: list) -> list[float]:
+    """The weights of the cells after sweeps to convergence, here."""
+    weight, most = (np.array([r[c] for r in rows], float) for c in ("weight", "most"))
+    margins = []
+    for m in MARGINS:
+        codes: dict[str, int] = {}
+        at = np.array([codes.setdefault(repr(r[m]), len(codes)) for r in rows], np.int64)
+        margins.append((at, np.array([r[f"to_{m}"] for r in rows], float)))
+    for _ in range(MAX_SWEEPS if rows else 0):
+        was = weight
+        for at, to in margins:
+            have = np.bincount(at, weight)[at]
+            weight = np.divide(weight * to, have, out=np.zeros_like(weight), where=have > 0)
+        weight = np.minimum(weight, most)
+        live = was > 0
+        if (np.abs(weight - was)[live] < TOLERANCE * was[live]).all():
+            break
+    return weight.tolist()
+
+
+def _swept(now: DataFrame) -> DataFrame:
+    """As :func:`_fitted`, by Spark."""
+    columns = now.columns
+    for _ in range(0, MAX_SWEEPS, SWEEPS_A_STEP):
+        step = now.select(*columns)
+        for _ in range(SWEEPS_A_STEP):
+            step = step.withColumn("was", F.col("weight"))
+            for m in MARGINS:
+                have = F.sum("weight").over(Window.partitionBy(m))
+                step = step.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"to_{m}") / have).otherwise(0.0))
+            step = step.withColumn("weight", F.least("weight", "most"))
+        before, now = now, stored(step)
+        drop(before)
+        change = now.filter("was > 0").agg(F.max(F.abs(F.col("weight") - F.col("was")) / F.col("was"))).first()[0]
+        if change is None or change < TOLERANCE:
+            break
+    return now.select(*columns)
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) -> DataFrame:
     """Cells with weight (calibrated share of all tokens) and probability.
 
-    The driver sees the largest deviation of a margin from its target every
-    few sweeps, and the total.
+    The driver sees up to HELD cells, or else the largest relative change of a
+    cell's weight in a sweep, and the total.
     """
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     rows = cells
@@ -65,21 +108,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) ->
         rows = rows.join(want, rows[m].eqNullSafe(want["__v"]), "left").drop("__v")
     rows = rows.withColumns({f"to_{m}": F.coalesce(f"to_{m}", F.lit(0.0)) for m in MARGINS})
     rows = rows.withColumns({"weight": F.col("tokens") / float(total or 1), "most": F.col("tokens") / (keep * float(total or 1))})
-    now, previous = stored(rows), None
-    for _ in range(0, MAX_SWEEPS, SWEEPS_A_STEP):
-        step = now
-        for _ in range(SWEEPS_A_STEP):
-            for m in MARGINS:
-                have = F.sum("weight").over(Window.partitionBy(m))
-                step = step.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"to_{m}") / have).otherwise(0.0))
-            step = step.withColumn("weight", F.least("weight", "most"))
-        before, now = now, stored(step)
-        drop(before)
-        off = [F.max(F.abs(F.sum("weight").over(Window.partitionBy(m)) - F.col(f"to_{m}"))).over(Window.partitionBy(F.lit(0))) for m in MARGINS]
-        worst = now.select(F.greatest(*[o.alias(m) for o, m in zip(off, MARGINS, strict=True)]).alias("off")).agg(F.max("off")).first()[0]
-        if worst is None or worst < TOLERANCE or (previous is not None and worst > 0.97 * previous):
-            break  # met, or as near as the cells allow
-        previous = worst
+    now = stored(rows)
+    held = now.limit(HELD + 1).collect()
+    if len(held) <= HELD:
+        held.sort(key=lambda r: [repr(r[m]) for m in MARGINS])
+        found = [(*[r[c] for c in cells.columns], w, *[r[f"to_{m}"] for m in MARGINS], r.most) for r, w in zip(held, _fitted(held), strict=True)]
+        order = [*cells.columns, "weight", *[f"to_{m}" for m in MARGINS], "most"]
+        fitted = stored(cells.sparkSession.createDataFrame(found, now.select(*order).schema).select(*now.columns))
+        drop(now)
+        now = fitted
+    else:
+        now = _swept(now)
     return now.withColumn("probability", F.least(F.lit(1.0), keep * float(total or 1) * F.col("weight") / F.col("tokens")))
 
 

@@ -132,6 +132,38 @@ def test_unmet_targets_end_and_zero_targets_drop(spark):
     assert all(r.probability == 0 for r in got if r.source != "hot") and any(r.probability > 0 for r in got)
 
 
+def plain_raking(rows: list, sweeps: int) -> dict:
+    """Weights by cell after so many sweeps; rows as of the result of rake."""
+    total = sum(r.tokens for r in rows)
+    weight = {tuple(r[m] for m in mix.MARGINS): r.tokens / total for r in rows}
+    for _ in range(sweeps):
+        for k, m in enumerate(mix.MARGINS):
+            have = {}
+            for c, w in weight.items():
+                have[c[k]] = have.get(c[k], 0) + w
+            to = {r[m]: r[f"to_{m}"] for r in rows}
+            weight = {c: w * to[c[k]] / have[c[k]] if have[c[k]] else 0.0 for c, w in weight.items()}
+        weight = {c: min(w, r.most) for (c, w), r in zip(weight.items(), rows, strict=True)}
+    return weight
+
+
+def test_raking_goes_on_after_a_target_that_cannot_be_met(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(f"s{s}", f"l{x}", f"t{t}", rng.randint(20, 60) * (200 if s == x == t else 1)) for s in range(3) for x in range(3) for t in range(3)]
+    cells = spark.createDataFrame([*rows, ("s0", "l0", None, 50)], "source string, lang string, topic string, tokens long")
+    share = lambda m, first: spark.createDataFrame([(None, 0.1) if m == "topic" else ("none", 0.0), *[(f"{m[0]}{i}", p) for i, p in enumerate(first)]], "value string, share double")
+    targets = {"source": share("source", [0.2, 0.3, 0.5]), "lang": share("lang", [0.5, 0.3, 0.2]), "topic": share("topic", [0.3, 0.3, 0.3])}
+    got = mix.rake(cells, targets, keep=0.05).collect()
+    want = plain_raking(got, 3000)
+    off = [abs(r.weight - want[tuple(r[m] for m in mix.MARGINS)]) for r in got]
+    assert max(off) < 1e-4, max(off)
+    monkeypatch.setattr(mix, "MAX_SWEEPS", mix.SWEEPS_A_STEP)  # Spark's sweeps are the same ones
+    monkeypatch.setattr(mix, "HELD", 0)
+    got = mix.rake(cells, targets, keep=0.05).collect()
+    want = plain_raking(got, mix.SWEEPS_A_STEP)
+    assert all(abs(r.weight - want[tuple(r[m] for m in mix.MARGINS)]) < 1e-12 for r in got)
+
+
 def test_draws_follow_the_probabilities(spark):
     docs = spark.range(40_000).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 7)) as source", "if(id % 5 = 0, null, 'en') as lang",
                                           "string(id % 4) as topic", "10 + id % 90 as n_tokens")
