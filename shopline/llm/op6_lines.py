@@ -125,11 +125,12 @@ def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
 def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars: int) -> DataFrame:
     """Verified links (a, b) between distinct lines, ids as structs of h1 and h2."""
     lines = occurrences(docs, doc_id, text, min_chars, with_line=True).groupBy(*ID).agg(F.first("line").alias("line"))
-    rows = stored(bands(lines).select("band", F.struct(*ID).alias("id")).distinct())
-    # Map-side combined, and joined back: no bucket needs to fit one task.
-    buckets = rows.groupBy("band").agg(F.min("id").alias("r"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(rows.join(buckets, "band"))
+    rows = stored(bands(lines).select("band", F.struct(*ID).alias("id")))
+    # Map-side combined, and joined back: no bucket needs to fit one task.  Stored, so that few buckets are sent.
+    shared = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    members = stored(rows.join(shared, "band"))
     drop(rows)
+    members = members.join(members.groupBy("band").agg(F.min("id").alias("r")), "band")
     own = members.select("id.h1", "id.h2").distinct()
     # Lines that share no bucket end here; the others are few enough to keep with their shingles.
     sets = stored(lines.join(own, ID, "left_semi").select(F.struct(*ID).alias("id"), shingles(F.col("line")).alias("set")))
