@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopline.llm import op4_warc as warc
 from shopline.llm import op5_maxscore as maxscore
+from shopline.llm import op11_variants as variants
 from shopline.llm import op13_merkle as merkle
 from shopline.llm.op1_mcd import op1_mcd
 from shopline.llm.op2_langid import op2_langid
@@ -33,11 +34,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
     "op10_mixing": op10_mixing,
+    "op11_variants": variants.op11_variants,
     "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op4_warc": warc.ORACLE,
     "op5_maxscore": maxscore.ORACLE,
+    "op11_variants": variants.op11_variants,
+    "op11_variants": variants.ORACLE,
     "op13_merkle": merkle.ORACLE,
 }
