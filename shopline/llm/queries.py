@@ -22,6 +22,7 @@ from shopline.llm.op7_trees import op7_trees
 from shopline.llm.op8_pii import op8_pii
 from shopline.llm.op9_bpe import op9_bpe
 from shopline.llm.op10_mixing import op10_mixing
+from shopline.llm.op12_paths import op12_paths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mcd": op1_mcd,
@@ -35,13 +36,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_mixing": op10_mixing,
     "op11_variants": variants.op11_variants,
+    "op12_paths": op12_paths,
     "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op4_warc": warc.ORACLE,
     "op5_maxscore": maxscore.ORACLE,
-    "op11_variants": variants.op11_variants,
     "op11_variants": variants.ORACLE,
     "op13_merkle": merkle.ORACLE,
 }
