@@ -28,11 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopline.llm.common import lower_ascii, residue, stored, table
+from shopline.llm.common import drop, lower_ascii, residue, stored, table
 
 FANOUT = 16
 #: Places of a window's partition: whole runs, few enough to stay in memory.
 BLOCK = FANOUT * 64
+BLOCK_OF = f"floor(pos / {BLOCK})"
 COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 STEPS = "array<struct<left: string, right: string>>"
 #: A record number within a partition lies in these bits of a monotonic id.
@@ -66,25 +67,23 @@ def placed(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     marks = rows.groupBy("__part", *group).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"))
     marks = marks.select("__part", *group, (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
                          F.sum("__rows").over(of_group).alias("n"))
-    rows = rows.join(marks, ["__part", *group]).withColumn("pos", F.col("__id") + F.col("__shift"))
-    return rows.drop("__id", "__part", "__shift")
+    out = rows.join(marks, ["__part", *group]).withColumn("pos", F.col("__id") + F.col("__shift"))
+    out = stored(out.drop("__id", "__part", "__shift"))
+    drop(rows)
+    return out
 
 
-def _slot() -> Column:
-    return F.col("pos") % FANOUT
+#: A node's place in its run.
+SLOT = f"pos % {FANOUT}"
 
 
 def _siblings(group: list[str]) -> tuple[Column, Column]:
     """Digests of the run's nodes before and after a node, joined."""
-    w = _in_block(group)
-    run = F.least(F.lit(FANOUT).cast("long"), F.col("n") - F.col("pos") + _slot())
-    left = [F.when(_slot() >= k, F.lag("node", k).over(w)) for k in range(FANOUT - 1, 0, -1)]
-    right = [F.when(_slot() + k < run, F.lead("node", k).over(w)) for k in range(1, FANOUT)]
-    return F.concat_ws("", *left), F.concat_ws("", *right)
-
-
-def _in_block(group: list[str]):
-    return Window.partitionBy(*group, F.floor(F.col("pos") / BLOCK)).orderBy("pos")
+    w = f"OVER (PARTITION BY {', '.join([*group, BLOCK_OF])} ORDER BY pos)"
+    run = f"least({FANOUT}, n - pos + {SLOT})"
+    left = [f"CASE WHEN {SLOT} >= {k} THEN lag(node, {k}) {w} END" for k in range(FANOUT - 1, 0, -1)]
+    right = [f"CASE WHEN {SLOT} + {k} < {run} THEN lead(node, {k}) {w} END" for k in range(1, FANOUT)]
+    return F.expr(f"concat_ws('', {', '.join(left)})"), F.expr(f"concat_ws('', {', '.join(right)})")
 
 
 def climb(leaves: DataFrame, group: list[str]) -> list[DataFrame]:
@@ -96,7 +95,7 @@ def climb(leaves: DataFrame, group: list[str]) -> list[DataFrame]:
     while most > 1:
         below = levels[-1].select(*group, "pos", "n", "node")
         with_later = below.filter("n > 1").withColumn("later", _siblings(group)[1])
-        parents = with_later.filter(_slot() == 0).select(
+        parents = with_later.filter(f"{SLOT} = 0").select(
             *group, F.floor(F.col("pos") / FANOUT).alias("pos"), F.ceil(F.col("n") / FANOUT).alias("n"),
             digest(F.col("node"), F.col("later")).alias("node"))
         levels.append(stored(parents))
@@ -115,18 +114,22 @@ def tops(levels: list[DataFrame], group: list[str]) -> DataFrame:
 
 def descend(levels: list[DataFrame], group: list[str], above: DataFrame) -> DataFrame:
     """The leaves with ``up``: what ``above`` (group, up) says of their tree, its
-    steps after the steps within the tree."""
+    steps after the steps within the tree.  Levels above the leaves are stored,
+    so that no plan holds more than one level's windows."""
     found = None
     for level in reversed(levels):
+        if found is not None:
+            found = stored(found)
         run = F.floor(F.col("pos") / FANOUT)
         first = level.filter("n = 1").join(above, group) if group else level.filter("n = 1").crossJoin(above)
         if found is not None:
             parents = found.select(*group, F.col("pos").alias("__run"), "up")
-            first = first.unionByName(level.filter((F.col("n") > 1) & (_slot() == 0)).withColumn("__run", run)
+            first = first.unionByName(level.filter(f"n > 1 AND {SLOT} = 0").withColumn("__run", run)
                                       .join(parents, [*group, "__run"]).drop("__run"))
-        others = level.filter((F.col("n") > 1) & (_slot() != 0)).withColumn("up", F.lit(None).cast(dict(first.dtypes)["up"]))
+        others = level.filter(f"n > 1 AND {SLOT} != 0").withColumn("up", F.lit(None).cast(dict(first.dtypes)["up"]))
         left, right = _siblings(group)
-        of_first = F.last("up", ignorenulls=True).over(_in_block(group).rowsBetween(Window.unboundedPreceding, 0))
+        block = Window.partitionBy(*group, F.expr(BLOCK_OF)).orderBy("pos")
+        of_first = F.last("up", ignorenulls=True).over(block.rowsBetween(Window.unboundedPreceding, 0))
         rows = first.unionByName(others).withColumns({"__left": left, "__right": right, "up": of_first})
         steps = F.concat(F.array(F.struct(F.col("__left").alias("left"), F.col("__right").alias("right"))), F.col("up.steps"))
         rows = rows.withColumn("up", F.when(F.col("n") > 1, F.col("up").withField("steps", steps)).otherwise(F.col("up")))
@@ -151,7 +154,7 @@ def manifest(rows: DataFrame, key: str, group: str, leaves: dict[str, Column]) -
     root = tops(upper, []).first()
     none = F.from_json(F.lit("[]"), STEPS)
     above = descend(upper, [], rows.sparkSession.range(1).select(F.struct(none.alias("steps")).alias("up")))
-    above = above.select("__group", F.struct(F.col("node").alias("subroot"), F.col("up.steps").alias("steps")).alias("up"))
+    above = stored(above.select("__group", F.struct(F.col("node").alias("subroot"), F.col("up.steps").alias("steps")).alias("up")))
     proved = descend(levels, g, above)
     out = proved.select(key, group, *leaves, F.col("up.subroot").alias("subroot"), F.col("up.steps").alias("steps"))
     return out, root[0] if root else None, levels
