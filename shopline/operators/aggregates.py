@@ -1,7 +1,9 @@
 """Generic analytic aggregates; the thirteen marts are calls of these.
 
 Every function takes and returns a DataFrame and names its inputs, so the same
-operator serves any key / measure / flag.  Money sums are exact (decimal) and
+operator serves any key / measure / flag.  A measure is a column or a
+:class:`~shopline.functions.stats.Partial` of a pre-aggregate, whose row count
+is then named too (``rows``).  Money sums are exact (decimal) and
 means are exact sum / count, which makes every total independent of partition
 count and summation order.  No operator here puts an unbounded set of rows in
 one task: grand totals and global correlations are one-row aggregates used as
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopline.functions.calendar import in_period, year_month
-from shopline.functions.stats import exact_avg, exact_sum, safe_corr, safe_ratio
+from shopline.functions.stats import Measure, exact_avg, exact_mean, exact_sum, given, safe_corr, safe_ratio
 from shopline.operators.ordering import global_position
 from shopline.session import cut_lineage
 
@@ -28,7 +30,7 @@ def _keys(k: Keys) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-def share_of_total(df: DataFrame, key: Keys, measure: str, *, total: str = "total_sales",
+def share_of_total(df: DataFrame, key: Keys, measure: Measure, *, total: str = "total_sales",
                    mean: str | None = "avg_sales", pct: str = "pct_of_total",
                    digits: int = 2) -> DataFrame:
     """Per key: total, mean and share of the grand total in % (WIN1)."""
@@ -42,7 +44,7 @@ def share_of_total(df: DataFrame, key: Keys, measure: str, *, total: str = "tota
     return per_key.withColumn(pct, F.round(safe_ratio(total, grand.scalar()["t"]) * 100, digits))
 
 
-def ranked_totals(df: DataFrame, key: Keys, measure: str, attributes: Sequence[str] = (), *,
+def ranked_totals(df: DataFrame, key: Keys, measure: Measure, attributes: Sequence[str] = (), *,
                   total: str = "total_sales", rank: str = "ranking") -> DataFrame:
     """Total per key with a 1..n rank, largest first, ties by key (WIN2).
 
@@ -56,35 +58,35 @@ def ranked_totals(df: DataFrame, key: Keys, measure: str, attributes: Sequence[s
     return ranked.withColumn(rank, F.col(rank) + 1)
 
 
-def group_summary(df: DataFrame, keys: Keys, measure: str, *, mean: str = "avg_sales",
-                  total: str = "total_sales", count: str | None = None) -> DataFrame:
+def group_summary(df: DataFrame, keys: Keys, measure: Measure, *, mean: str = "avg_sales",
+                  total: str = "total_sales", count: str | None = None, rows: str | None = None) -> DataFrame:
     """Mean, total (and row count) per key."""
     aggs = [exact_avg(measure).alias(mean), exact_sum(measure).alias(total)]
     if count:
-        aggs.append(F.count(F.lit(1)).alias(count))
+        aggs.append((F.sum(rows) if rows else F.count(F.lit(1))).alias(count))
     return df.groupBy(*_keys(keys)).agg(*aggs)
 
 
-def period_totals(df: DataFrame, date: str, measure: str, *, total: str = "total_sales") -> DataFrame:
+def period_totals(df: DataFrame, date: str, measure: Measure, *, total: str = "total_sales") -> DataFrame:
     """Total per calendar month, with its year (DT1, DT2)."""
     return (df.groupBy(F.year(date).alias("year"), year_month(date).alias("year_month"))
             .agg(exact_sum(measure).alias(total)))
 
 
-def flag_summary(df: DataFrame, flag: str, measure: str, labels: tuple[str, str], *,
-                 label: str = "day_type") -> DataFrame:
+def flag_summary(df: DataFrame, flag: str, measure: Measure, labels: tuple[str, str], *,
+                 label: str = "day_type", rows: str | None = None) -> DataFrame:
     """Per value of a boolean flag: mean, total, rows and a text label (EXP6)."""
-    out = group_summary(df, flag, measure, count="n_rows")
+    out = group_summary(df, flag, measure, count="n_rows", rows=rows)
     return out.withColumn(label, F.when(F.col(flag), F.lit(labels[0])).otherwise(F.lit(labels[1])))
 
 
-def event_window(facts: DataFrame, flag: str, date: str, key: Keys, measure: str, *,
-                 before: int = 3, after: int = 3, mean: str = "avg_sales") -> DataFrame:
+def event_window(facts: DataFrame, flag: str, date: str, key: Keys, measure: Measure, *,
+                 before: int = 3, after: int = 3, mean: str = "avg_sales", store: bool = True) -> DataFrame:
     """Mean daily total per (offset, key) around event dates (M06).
 
     Event dates are those with a row whose ``flag`` is true.  The facts are read
-    once, for the daily totals, which are stored (so this starts a job): dates
-    and totals both come from them.  Each event date is expanded to ``before + after + 1`` dated offsets; a day
+    once, for the daily totals, which are stored (so this starts a job; not with
+    ``store=False``, for facts that are a small table already): dates and totals both come from them.  Each event date is expanded to ``before + after + 1`` dated offsets; a day
     near several events counts once per event.  Both join sides are small
     aggregates — daily totals (dates × keys, pre-aggregated before the join)
     and the expansion (distinct event dates × window length) — so the plain
@@ -92,7 +94,8 @@ def event_window(facts: DataFrame, flag: str, date: str, key: Keys, measure: str
     run time when a side turns out small; no size probe is needed.
     """
     keys = _keys(key)
-    daily = cut_lineage(facts.groupBy(date, *keys).agg(exact_sum(measure).alias("_day"), F.bool_or(flag).alias("_flag")))
+    daily = facts.groupBy(date, *keys).agg(exact_sum(measure).alias("_day"), F.bool_or(flag).alias("_flag"))
+    daily = cut_lineage(daily) if store else daily
     window = (daily.where("_flag").select(F.col(date).alias("_event")).distinct()
               .select(F.explode(F.sequence(F.lit(-before), F.lit(after))).alias("offset"), "_event")
               .select("offset", F.date_add("_event", F.col("offset")).alias(date)))
@@ -100,7 +103,7 @@ def event_window(facts: DataFrame, flag: str, date: str, key: Keys, measure: str
     return joined.groupBy("offset", *keys).agg(exact_avg("_day").alias(mean))
 
 
-def contrast_by_flag(df: DataFrame, key: Keys, flag: Column | str, measure: str, *,
+def contrast_by_flag(df: DataFrame, key: Keys, flag: Column | str, measure: Measure, *,
                      when_true: str, when_false: str, change: str, digits: int = 2) -> DataFrame:
     """Mean per key with and without a flag and the % change (RSH1 + RSH2).
 
@@ -109,20 +112,19 @@ def contrast_by_flag(df: DataFrame, key: Keys, flag: Column | str, measure: str,
     """
     f = F.col(flag) if isinstance(flag, str) else flag
     out = df.groupBy(*_keys(key)).agg(
-        exact_avg(F.when(f, F.col(measure))).alias(when_true),
-        exact_avg(F.when(~f, F.col(measure))).alias(when_false),
+        exact_avg(given(f, measure)).alias(when_true),
+        exact_avg(given(~f, measure)).alias(when_false),
     )
     pct = safe_ratio(F.col(when_true) - F.col(when_false), when_false) * 100
     return out.withColumn(change, F.round(pct, digits))
 
 
-def monthly_series(df: DataFrame, date: str, measure: str, price: str, *,
+def monthly_series(df: DataFrame, date: str, measure: Measure, price: Measure, *,
                    keys: Sequence[str] = (), total: str = "total_sales",
                    mean_price: str = "avg_price") -> DataFrame:
-    """Per (keys, month): exact total of ``measure`` and row-weighted mean of ``price``
-    (a plain double mean: an interpolated price has no last decimal)."""
+    """Per (keys, month): exact total of ``measure`` and row-weighted mean of ``price``."""
     return (df.groupBy(*keys, year_month(date).alias("year_month"))
-            .agg(exact_sum(measure).alias(total), F.avg(price).alias(mean_price)))
+            .agg(exact_sum(measure).alias(total), exact_mean(price).alias(mean_price)))
 
 
 def with_global_corr(df: DataFrame, x: str, y: str, *, name: str = "corr",
@@ -157,7 +159,7 @@ def grouped_corr(series: DataFrame, key: Keys, x: str, y: str, *, min_rows: int
             .where(F.col("_n") >= min_rows).drop("_n"))
 
 
-def ratio_by_group(df: DataFrame, key: Keys, num: str, den: str, *,
+def ratio_by_group(df: DataFrame, key: Keys, num: Measure, den: str, *,
                    num_total: str = "total_sales", den_total: str = "total_transactions",
                    ratio: str = "avg_ticket", grain: Sequence[str] | None = None) -> DataFrame:
     """Σnum / Σden per key over keys with Σden > 0 (M13).
@@ -178,7 +180,7 @@ def ratio_by_group(df: DataFrame, key: Keys, num: str, den: str, *,
             .withColumn(ratio, safe_ratio(num_total, den_total)))
 
 
-def totals_and_corr(df: DataFrame, key: Keys, num: str, den: str, *,
+def totals_and_corr(df: DataFrame, key: Keys, num: Measure, den: str, *,
                     num_total: str = "total_sales", den_total: str = "total_transactions",
                     name: str = "corr") -> DataFrame:
     """Totals per key (sum of nothing = 0) and r between them over keys (M12)."""

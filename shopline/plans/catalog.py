@@ -21,6 +21,12 @@ from shopline.session import cut_lineage, drop_stored, write_scratch
 from shopline.sources import csv as csvsrc
 from shopline.sources import roles
 
+# The figure of each mart that the run over all marts reports.
+MAIN_FIGURE = {"sales_by_family": "avg_sales", "store_ranking": "total_sales", "sales_by_city_state": "avg_sales", "monthly_evolution": "total_sales",
+               "holiday_impact": "n_rows", "holiday_window": "avg_sales", "holiday_sensitivity": "avg_normal", "promotion_uplift": "avg_promo",
+               "price_sales_corr": "avg_price", "lag_corr": "corr", "city_price_corr": "corr", "transactions_vs_sales": "total_transactions",
+               "average_ticket": "avg_ticket"}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The analysis period of the lag / city correlations on the role tables.
@@ -58,10 +64,14 @@ def _mart(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def q_price_sales_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart with its mean price at 6 decimals: a double mean has rounding noise below."""
-    out = marts.price_sales_corr(consolidated(spark, sf_dir))
-    return out.withColumn("avg_price", F.col("avg_price").cast("decimal(18,6)").cast("double"))
+def q_marts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All thirteen marts from one scan (M14): per mart its rows, and the least and the largest of its main figure."""
+    out = None
+    for name, build in marts.run_all(consolidated(spark, sf_dir), PERIOD).items():
+        figure = F.col(MAIN_FIGURE[name]).cast("double")
+        one = build().agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"), F.min(figure).alias("lowest"), F.max(figure).alias("highest"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def q_lag_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +237,7 @@ QUERIES: dict[str, Query] = {
     "holiday_window": _mart(marts.holiday_window),
     "holiday_sensitivity": _mart(marts.holiday_sensitivity),
     "promotion_uplift": _mart(marts.promotion_uplift),
-    "price_sales_corr": q_price_sales_corr,
+    "price_sales_corr": _mart(marts.price_sales_corr),
     "lag_corr": q_lag_corr,
     "city_price_corr": q_city_price_corr,
     "transactions_vs_sales": _mart(marts.transactions_vs_sales),
@@ -235,4 +245,5 @@ QUERIES: dict[str, Query] = {
     "average_ticket_store_day": q_average_ticket_store_day,
     "sales_by_store_type": _mart(marts.sales_by_store_type),
     "top_families": _mart(marts.top_families),
+    "marts_all": q_marts_all,
 }

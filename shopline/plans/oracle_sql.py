@@ -9,6 +9,8 @@ an undefined correlation (DuckDB: NaN) is mapped to NULL.
 
 from __future__ import annotations
 
+from shopline.plans.catalog import MAIN_FIGURE
+
 # ------------------------------------------------------------------ role tables
 SALES = """
 sales AS (
@@ -123,13 +125,17 @@ def _mode(table: str, col: str) -> str:
 # here, so cleaning is a DISTINCT; prices are interpolated by row position and
 # edge-filled.
 CLEAN = f"""
-train_d AS (SELECT DISTINCT * FROM train_raw),
+train_d AS MATERIALIZED (SELECT DISTINCT * FROM train_raw),
+train_v AS MATERIALIZED (
+  SELECT {_mode('train_d', 'family')} AS family_v, {_median('train_d', 'sales')} AS sales_v,
+         {_median('train_d', 'onpromotion')} AS onpromotion_v
+),
 sales_c AS (
   SELECT id, date, store_nbr,
-         coalesce(family, {_mode('train_d', 'family')}) AS family,
-         coalesce(sales, {_median('train_d', 'sales')}) AS sales,
-         coalesce(CAST(onpromotion AS DOUBLE), {_median('train_d', 'onpromotion')}) AS onpromotion
-  FROM train_d
+         coalesce(family, family_v) AS family,
+         coalesce(sales, sales_v) AS sales,
+         coalesce(CAST(onpromotion AS DOUBLE), onpromotion_v) AS onpromotion
+  FROM train_d, train_v
 ),
 stores_c AS (SELECT DISTINCT * FROM stores),
 transactions_c AS (SELECT DISTINCT * FROM transactions),
@@ -275,11 +281,17 @@ FROM (SELECT family, {h} AS {t}, {n} AS {f} FROM wide GROUP BY family)""")
 ORACLES["holiday_sensitivity"] = _contrast("is_national_holiday", "avg_holiday", "avg_normal", "pct_change")
 ORACLES["promotion_uplift"] = _contrast("onpromotion > 0", "avg_promo", "avg_no_promo", "uplift_pct")
 
+# The mean of doubles in any order: whole parts and fractions (in units of 2**-52) summed apart as integers.
+_MEAN_PRICE = """(
+  CAST(sum(CAST(floor(dcoilwtico) AS BIGINT)) + sum(CAST(floor((dcoilwtico - floor(dcoilwtico)) * 4503599627370496.0::DOUBLE) AS BIGINT)) // 4503599627370496 AS DOUBLE)
+  + CAST(sum(CAST(floor((dcoilwtico - floor(dcoilwtico)) * 4503599627370496.0::DOUBLE) AS BIGINT)) % 4503599627370496 AS DOUBLE) / 4503599627370496.0::DOUBLE
+  ) / CAST(count(dcoilwtico) AS DOUBLE)"""
+
 _MONTHLY = f"""SELECT strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS total_sales,
-         avg(dcoilwtico) AS avg_price"""
+         {_MEAN_PRICE} AS avg_price"""
 
 ORACLES["price_sales_corr"] = _with(f"""
-SELECT year_month, total_sales, CAST(CAST(avg_price AS DECIMAL(18,6)) AS DOUBLE) AS avg_price,
+SELECT year_month, total_sales, avg_price,
        (SELECT {_corr('total_sales', 'avg_price')} FROM monthly) AS corr
 FROM monthly""", f"""
 monthly AS ({_MONTHLY} FROM wide GROUP BY 1)""")
@@ -297,7 +309,7 @@ ORACLES["city_price_corr"] = _with(f"""
 SELECT city, {_corr('total_sales', 'avg_price')} AS corr
 FROM monthly GROUP BY city HAVING count(*) >= 3""", f"""
 monthly AS (SELECT city, strftime(date, '%Y-%m') AS year_month, {_sum('sales')} AS total_sales,
-                   avg(dcoilwtico) AS avg_price
+                   {_MEAN_PRICE} AS avg_price
             FROM wide WHERE {_IN_PERIOD} GROUP BY 1, 2)""")
 
 ORACLES["transactions_vs_sales"] = _with(f"""
@@ -387,10 +399,9 @@ ORACLES["profile_date_range"] = _with("\nUNION ALL\n".join(
 ORACLES["dedupe_rows"] = _with("SELECT DISTINCT * FROM train_raw")
 
 ORACLES["impute_median"] = _with(f"""
-SELECT id, date, store_nbr, family,
-       coalesce(sales, {_median('train_d', 'sales')}) AS sales,
-       coalesce(CAST(onpromotion AS DOUBLE), {_median('train_d', 'onpromotion')}) AS onpromotion
-FROM train_d""")
+SELECT id, date, store_nbr, family, coalesce(sales, sales_v) AS sales,
+       coalesce(CAST(onpromotion AS DOUBLE), onpromotion_v) AS onpromotion
+FROM train_d, train_v""")
 
 ORACLES["impute_mode"] = _with("SELECT * FROM holidays_c")
 
@@ -452,3 +463,8 @@ UNION ALL
 SELECT 'oil', CAST(date AS VARCHAR), count(*) FROM prices GROUP BY date HAVING count(*) > 1
 UNION ALL
 SELECT 'holidays', CAST(date AS VARCHAR), count(*) FROM holidays_raw GROUP BY date HAVING count(*) > 1""")
+
+# The run over all marts: rows, and the least and the largest of each mart's main figure.
+ORACLES["marts_all"] = "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS mart, count(*) AS n_rows, min(CAST({figure} AS DOUBLE)) AS lowest, max(CAST({figure} AS DOUBLE)) AS highest
+FROM ({ORACLES[name]}) AS {name}""" for name, figure in MAIN_FIGURE.items())

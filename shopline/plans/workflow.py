@@ -1,8 +1,8 @@
 """The batch run: load → profile → clean → consolidate → marts → export.
 
 One SparkSession and one lazy plan per step.  The consolidated table is
-written once as Parquet (partitioned by year) and every mart re-scans it,
-pruned to the columns it needs; nothing is cached in executor memory, so a lost
+written once as Parquet (partitioned by year); one scan of it makes partial sums
+at two grains, from which all marts roll up; nothing is cached in executor memory, so a lost
 executor only costs the recomputation of its own tasks, and the written table
 is the lineage cut between the join step and the thirteen aggregates.
 """
@@ -40,7 +40,8 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
     """Run every step over ``inputs`` (the five loaded tables) into ``out_dir``.
 
     ``period`` is the analysis period of the lag / city correlations (default:
-    the marts' own); ``marts`` replaces the whole registry.
+    the marts' own); ``marts`` replaces the whole registry by functions of the
+    consolidated table.
     """
     seconds: dict[str, float] = {}
     audits: dict[str, DataFrame] = {}
@@ -88,12 +89,16 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
 
     stored = spark.read.parquet(consolidated_path)
     mart_paths = {}
-    chosen = marts or (mrt.registry(period) if period else mrt.MARTS)
-    for name, fn in chosen.items():
+    if marts:
+        builds = {name: (lambda fn=fn: fn(stored)) for name, fn in marts.items()}
+    else:
+        # One scan of the wide table makes the partial sums that all marts roll up from.
+        builds = timed("rollup", lambda: mrt.run_all(stored, period or mrt.DEFAULT_PERIOD))
+    for name, build in builds.items():
         path = f"{out_dir}/marts/{name}"
         seen = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
-        def write(fn=fn, path=path, seen=seen, name=name):
-            mart = fn(stored)
+        def write(build=build, path=path, seen=seen, name=name):
+            mart = build()
             columns[name] = len(mart.columns)
             writers.write_parquet(mart.observe(seen, F.count(F.lit(1)).alias("rows")), path)
 
