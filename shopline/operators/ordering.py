@@ -8,22 +8,27 @@ rows are written once (lineage cut): range bounds come from sampling, so a
 second evaluation could choose other bounds than the first.
 
 * :func:`global_position` — exact 0-based position of every row in a total order.
-  Both positions and medians therefore start a job when they are called.
+  Both positions and medians start jobs when they are called.
 * :func:`exact_medians`  — exact medians of columns (mean of the two middle
-  values), found by selection over value counts: hot values collapse in the
-  map-side combine of the counts, and only the one or two range partitions
-  that hold a middle are sorted again.
+  values), by brackets from a sketch that exact counts check: no table of all
+  values is shuffled or stored.
 * :func:`most_frequent`  — mode with ties to the smallest value, as a two-level
   aggregate (no per-group value→count map held by one task).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopline.session import cut_lineage
 
+# Distinct values of a median's bracket that are counted one by one, and the accuracy of its sketches.
+BRACKET = 1_000_000
+ACCURACY = 10_000
+
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | record number
 
 
@@ -63,35 +68,106 @@ def global_position(df: DataFrame, order: list[Column], name: str = "position",
             .drop("_mid", "_pid", "_local", "_offset"))
 
 
-def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
+@dataclass
+class _Search:
+    """A column's middle ranks, and the closed bracket of values that holds them."""
+
+    column: str
+    numbers: int                 # values that are not NaN
+    ranks: tuple[int, int]       # of the two middle values, from 0; NaN ranks last
+    low: float
+    high: float
+    below: int = 0               # values below ``low``
+    tight: bool = False
+
+    def has(self, v: Column) -> Column:
+        return (v >= F.lit(self.low)) & (v <= F.lit(self.high)) & ~F.isnan(v)
+
+
+def _number(column: str) -> Column:
+    return F.col(f"`{column}`").cast("double")
+
+
+def _sketched(df: DataFrame, searches: list[_Search], within: dict[str, int], accuracy: int) -> None:
+    """Narrow each bracket to where a sketch says that the ranks lie, in one aggregate."""
+    aggs = []
+    for i, s in enumerate(searches):
+        size, slack = within[s.column], 2.0 / accuracy
+        at = [max(0.0, (s.ranks[0] - s.below) / size - slack), min(1.0, (s.ranks[1] - s.below + 1) / size + slack)]
+        aggs.append(F.percentile_approx(F.when(s.has(_number(s.column)), _number(s.column)), at, accuracy).alias(f"q{i}"))
+    row = df.agg(*aggs).first()
+    for i, s in enumerate(searches):
+        low, high = row[f"q{i}"]
+        # A bracket that no longer shrinks is of few distinct values, or as small as a sketch can tell.
+        s.tight = (low, high) == (s.low, s.high)
+        s.low, s.high = low, high
+
+
+def _counted(df: DataFrame, searches: list[_Search], bracket: int) -> dict[str, int]:
+    """Check each bracket by exact counts; the values within those that must be narrowed further."""
+    aggs = []
+    for i, s in enumerate(searches):
+        v = _number(s.column)
+        aggs += [F.count_if(v < F.lit(s.low)).alias(f"b{i}"), F.count_if(s.has(v)).alias(f"w{i}"),
+                 F.approx_count_distinct(F.when(s.has(v), v)).alias(f"d{i}")]
+    row, wide = df.agg(*aggs).first(), {}
+    for i, s in enumerate(searches):
+        below, within, distinct = row[f"b{i}"], row[f"w{i}"], row[f"d{i}"]
+        if s.ranks[0] < below:                       # the sketch was off: the middle lies lower
+            s.low, s.high, s.below, wide[s.column] = float("-inf"), s.low, 0, below + within
+        elif s.ranks[1] >= below + within:           # or higher
+            s.low, s.high, s.below, wide[s.column] = s.high, float("inf"), below, s.numbers - below
+        else:
+            s.below = below
+            if distinct > bracket and not s.tight:
+                wide[s.column] = within
+    return wide
+
+
+def _median_values(df: DataFrame, columns: list[str], bracket: int, accuracy: int) -> dict[str, float | None]:
+    row = df.agg(*[a for i, c in enumerate(columns) for a in (
+        F.count(_number(c)).alias(f"n{i}"), F.count_if(F.isnan(_number(c))).alias(f"x{i}"))]).first()
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    searches = []
+    for i, c in enumerate(columns):
+        n, numbers = row[f"n{i}"], row[f"n{i}"] - row[f"x{i}"]
+        if n and n // 2 >= numbers:
+            out[c] = float("nan")
+        elif n:
+            searches.append(_Search(c, numbers, ((n - 1) // 2, n // 2), float("-inf"), float("inf")))
+    wide = {s.column: s.numbers for s in searches}
+    while wide:
+        pending = [s for s in searches if s.column in wide]
+        _sketched(df, pending, wide, accuracy)
+        wide = _counted(df, pending, bracket)
+    if not searches:
+        return out
+    # What the brackets hold, value by value: few rows, counted map-side.
+    pairs = F.array(*[F.when(s.has(_number(s.column)), F.struct(F.lit(s.column).alias("column"), _number(s.column).alias("v"))) for s in searches])
+    held = df.select(F.explode(F.filter(pairs, lambda p: p.isNotNull())).alias("p")).groupBy("p.column", "p.v").agg(F.count(F.lit(1)).alias("w"))
+    to = F.sum("w").over(Window.partitionBy("column").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    held = held.withColumn("to", to)
+    rank = lambda k: F.coalesce(*[F.when(F.col("column") == s.column, F.lit(s.ranks[k] - s.below)) for s in searches])
+    covers = lambda k: (F.col("to") - F.col("w") <= rank(k)) & (rank(k) < F.col("to"))
+    picks = held.groupBy("column").agg(*[F.max(F.when(covers(k), F.col("v"))).alias(f"m{k}") for k in range(2)])
+    out.update({r["column"]: (r["m0"] + r["m1"]) / 2 for r in picks.collect()})
+    return out
+
+
+def exact_medians(df: DataFrame, columns: list[str], *, bracket: int = BRACKET, accuracy: int = ACCURACY) -> DataFrame:
     """(column, median double) of each column: null when it has no values.
 
-    All columns go through one shuffle of ``(column, value, count)``: hot values
-    collapse map-side.  The counts are range-partitioned by column and value and
-    stored once, so that both branches below see the same ranges.  NaN counts
-    as larger than any number, as everywhere in Spark.
+    A selection by brackets, for all columns at once; nothing but aggregates is
+    shuffled.  A quantile sketch gives two values with the middle between them,
+    exact counts check that and say how many values lie below, and only the
+    bracket is counted value by value.  A bracket of more than ``bracket`` distinct
+    values is sketched again: each round keeps about 4 / ``accuracy`` of the
+    values, so two or three suffice for any table.  NaN counts as larger than any
+    number and both zeros as one value, as everywhere in Spark.  Starts jobs; one value a column reaches the
+    driver and a few numbers a round.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])
-    counts = (df.select(F.explode(pairs).alias("p")).select("p.column", "p.v").where(F.col("v").isNotNull())
-              .groupBy("column", "v").agg(F.count(F.lit(1)).alias("w")))
-    ranged = cut_lineage(counts.repartitionByRange("column", "v").withColumn("_pid", F.spark_partition_id()))
-    # One row per column and partition.
-    of_column = Window.partitionBy("column")
-    upto = of_column.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = (ranged.groupBy("column", "_pid").agg(F.sum("w").alias("_pw"))
-              .withColumns({"_end": F.sum("_pw").over(upto), "_total": F.sum("_pw").over(of_column)})
-              .select("column", "_pid", (F.col("_end") - F.col("_pw")).alias("_start"), "_end",
-                      F.expr("(_total - 1) div 2").alias("_lo"), F.expr("_total div 2").alias("_hi")))
-    middle = (ranged.join(bounds, ["column", "_pid"])
-              .where((F.col("_start") <= F.col("_hi")) & (F.col("_end") > F.col("_lo"))))
-    within = Window.partitionBy("column", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = middle.withColumn("_to", F.col("_start") + F.sum("w").over(within))
-    placed = placed.withColumn("_from", F.col("_to") - F.col("w"))
-    covers = lambda p: (F.col("_from") <= F.col(p)) & (F.col(p) < F.col("_to"))
-    picks = placed.groupBy("column").agg(F.max(F.when(covers("_lo"), F.col("v"))).alias("a"),
-                                         F.max(F.when(covers("_hi"), F.col("v"))).alias("b"))
-    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return every.join(picks, "column", "left").select("column", ((F.col("a") + F.col("b")) / 2).alias("median"))
+    found = _median_values(df, columns, bracket, accuracy) if columns else {}
+    return df.sparkSession.createDataFrame(list(found.items()), "column string, median double")
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
