@@ -25,7 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from shopline.operators import clean as cln  # noqa: E402
 from shopline.operators import consolidate as con  # noqa: E402
 from shopline.operators import profile as prf  # noqa: E402
-from shopline.plans import marts as mrt  # noqa: E402
+from shopline.plans import marts as mrt, workflow  # noqa: E402
 from shopline.session import get_session, run_concurrently  # noqa: E402
 from shopline.sinks import writers  # noqa: E402
 from shopline.sources import csv as csvsrc  # noqa: E402
@@ -101,8 +101,16 @@ def main() -> None:
     # The role data spans 1995-2001: its analysis period is roles.PERIOD.
     # One scan makes the partial sums ("rollup"), from which all marts are made.
     builds = timed("rollup", lambda: mrt.run_all(stored, roles.PERIOD))
-    for name, build in builds.items():
-        timed(name, lambda build=build, name=name: writers.write_parquet(build(), f"{out}/marts/{name}"))
+    # Independent small jobs run side by side, as in the batch run: "marts" is the clock's
+    # time of all thirteen, "mart_seconds" has each one's own, which overlap.
+    marts: dict[str, float] = {}
+
+    def mart(name, build):
+        t0 = time.perf_counter()
+        writers.write_parquet(build(), f"{out}/marts/{name}")
+        marts[name] = round(time.perf_counter() - t0, 3)
+
+    timed("marts", lambda: run_concurrently([lambda n=n, b=b: mart(n, b) for n, b in builds.items()], workers=workflow.PARALLEL_MARTS))
 
     # ---- export: consolidated table and every mart to embedded Derby (JDBC)
     url = "jdbc:derby:memory:shopline_bench;create=true"
@@ -122,7 +130,7 @@ def main() -> None:
 
     total = round(sum(q.values()), 3)
     print(json.dumps({"metric": "pipeline_seconds", "value": total, "unit": "sec",
-                      "queries": q, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+                      "queries": q, "mart_seconds": marts, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "cpus": cpus}))
     spark.stop()
 

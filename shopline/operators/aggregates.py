@@ -25,6 +25,9 @@ from shopline.session import cut_lineage
 
 Keys = str | Sequence[str]
 
+# Rows that one task may sort.
+ONE_TASK_ROWS = 100_000
+
 
 def _keys(k: Keys) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
@@ -45,15 +48,21 @@ def share_of_total(df: DataFrame, key: Keys, measure: Measure, *, total: str = "
 
 
 def ranked_totals(df: DataFrame, key: Keys, measure: Measure, attributes: Sequence[str] = (), *,
-                  total: str = "total_sales", rank: str = "ranking") -> DataFrame:
+                  total: str = "total_sales", rank: str = "ranking", at_most: int | None = None) -> DataFrame:
     """Total per key with a 1..n rank, largest first, ties by key (WIN2).
 
+    ``at_most``: a measured bound of the number of keys.  Up to ``ONE_TASK_ROWS``
+    of them are ranked by one sorted window; beyond, or without a bound, by range
+    partitions, which are stored.
+
     ``attributes`` are functionally dependent on ``key`` (store → city), so they
     are grouping columns, not ``first()`` picks.
     """
     keys = _keys(key)
     per_key = df.groupBy(*keys, *attributes).agg(exact_sum(measure).alias(total))
     order = [F.col(total).desc_nulls_last()] + [F.col(k).asc() for k in keys]
+    if at_most is not None and at_most <= ONE_TASK_ROWS:
+        return per_key.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     ranked = global_position(per_key, order, name=rank)
     return ranked.withColumn(rank, F.col(rank) + 1)
 

@@ -34,7 +34,8 @@ class Facts:
     """Sales rows, or groups of them with partial sums.
 
     ``rows`` names the row count of a group; ``period`` is the analysis period
-    that a boolean column ``in_period`` tells, where dates are months.
+    that a boolean column ``in_period`` tells, where dates are months; ``size`` is
+    the measured number of rows of ``df``.
     """
 
     df: DataFrame
@@ -42,6 +43,7 @@ class Facts:
     price: Measure = "dcoilwtico"
     rows: str | None = None
     period: tuple[str, str] | None = None
+    size: int | None = None
 
     @property
     def promoted(self):
@@ -66,13 +68,14 @@ def shared_facts(df: DataFrame, period: tuple[str, str] = DEFAULT_PERIOD) -> dic
     product range.  ``store``: store with its attributes and month, split by the
     analysis period.  Neither grows with the rows of a day.
     """
-    grains = rollup(df, {
+    grains, sizes = rollup(df, {
         "day": {"date": F.col("date"), "family": F.col("family"), NATIONAL_FLAG: F.col(NATIONAL_FLAG), "promoted": F.col("onpromotion") > 0},
         "store": {**{c: F.col(c) for c in ("store_nbr", "city", "state", "type")},
                   "date": F.trunc("date", "month"), "in_period": in_period("date", *period)},
     }, {"sales": partial_sum("sales"), "dcoilwtico": partial_mean("dcoilwtico"), "transactions": F.sum("transactions"), "n_rows": F.count(F.lit(1))})
     made = {"sales": Partial.of("sales"), "price": Partial.of("dcoilwtico"), "rows": "n_rows"}
-    return {"day": Facts(grains["day"], **made), "store": Facts(grains["store"], **made, period=tuple(period))}
+    return {"day": Facts(grains["day"], **made, size=sizes["day"]),
+            "store": Facts(grains["store"], **made, period=tuple(period), size=sizes["store"])}
 
 
 def sales_by_family(df: DataFrame | Facts) -> DataFrame:
@@ -84,7 +87,7 @@ def sales_by_family(df: DataFrame | Facts) -> DataFrame:
 
 def store_ranking(df: DataFrame | Facts) -> DataFrame:
     f = _facts(df)
-    return (agg.ranked_totals(f.df, "store_nbr", f.sales, ["city", "state", "type"])
+    return (agg.ranked_totals(f.df, "store_nbr", f.sales, ["city", "state", "type"], at_most=f.size)
             .select("store_nbr", "total_sales", "city", "state", "type", "ranking")
             .orderBy("ranking"))
 

@@ -35,6 +35,15 @@ def test_mart_from_partial_sums_equals_mart_from_rows(wide, builds, name):
     assert rows_of(builds[name]()) == rows_of(marts.registry(catalog.PERIOD)[name](wide))
 
 
+def test_ranking_beyond_one_task(wide, builds, monkeypatch):
+    """The same ranks where the measured size is too large for one task."""
+    from shopline.operators import aggregates
+    want = rows_of(builds["store_ranking"]())
+    monkeypatch.setattr(aggregates, "ONE_TASK_ROWS", 1)
+    text = builds["store_ranking"]()._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in text and rows_of(builds["store_ranking"]()) == want
+
+
 def test_period_that_cuts_months(wide):
     period = ("1997-02-11", "1998-08-05")
     some = marts.run_all(wide, period)
@@ -86,7 +95,8 @@ def test_empty_and_null_keys(spark):
 
 def test_grains_with_keys_of_one_name(spark):
     df = spark.createDataFrame([(1, "a", 2.0), (1, "b", 3.0), (13, "a", 5.0), (None, "a", 7.0)], "k long, t string, v double")
-    made = rollup(df, {"fine": {"k": F.col("k"), "t": F.col("t")}, "coarse": {"k": F.col("k") % 12}, "none": {}}, {"v": partial_sum("v"), "n": F.count(F.lit(1))})
+    made, sizes = rollup(df, {"fine": {"k": F.col("k"), "t": F.col("t")}, "coarse": {"k": F.col("k") % 12}, "none": {}}, {"v": partial_sum("v"), "n": F.count(F.lit(1))})
+    assert sizes == {"fine": 4, "coarse": 2, "none": 1}
     total = lambda d, *by: sorted(((*r[:-2], r[-2], r[-1]) for r in map(tuple, d.groupBy(*by).agg(exact_sum(Partial.of("v")), F.sum("n")).collect())), key=repr)
     assert total(made["fine"], "k", "t") == sorted([(1, "a", 2.0, 1), (1, "b", 3.0, 1), (13, "a", 5.0, 1), (None, "a", 7.0, 1)], key=repr)
     assert total(made["coarse"], "k") == sorted([(1, 10.0, 3), (None, 7.0, 1)], key=repr)
