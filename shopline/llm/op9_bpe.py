@@ -20,18 +20,20 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopline.llm.common import by_batch, decoded, table
 
-#: Entries that a task's memo tables hold before they start anew.
-MEMO = 750_000
+#: Entries that each of a worker's two growing memo tables holds before it starts anew: of pieces of at
+#: most LONGEST characters and of pairs of tokens, some 20 MB a table.
+MEMO, LONGEST = 1 << 16, 64
 #: Texts beyond so many characters are matched as a stream, not as one list.
 STREAM = 1 << 20
 
@@ -170,7 +172,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = little_endian(self.pairs.encode(piece.encode("utf-8")))
-        if len(piece) <= 64:
+        if len(piece) <= LONGEST:
             if len(self) >= MEMO:
                 self.clear()
             self[piece] = ids
@@ -205,47 +207,64 @@ def _encoder(path: str, pattern: str):
     return encode
 
 
+def _mapped(df: DataFrame, source: Column, made: list[str], keep: list[str] | None, make: Callable[[], Callable[[pa.Array], list[list]]]) -> DataFrame:
+    """The kept columns, and binary columns that ``make``'s function gives for the values of ``source``."""
+    keep = [c for c in (keep or df.columns) if c not in made]
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{c}` binary" for c in made])
+
+    def start():
+        of = make()
+
+        def step(batch: pa.RecordBatch) -> dict:
+            values = of(batch.column(len(keep)))
+            return {c: batch.column(i) for i, c in enumerate(keep)} | {c: pa.array(v, pa.binary()) for c, v in zip(made, values, strict=True)}
+
+        return step
+
+    return by_batch(df, [F.col(f"`{c}`") for c in keep] + [source.cast("binary").alias("__value")], schema, start)
+
+
+def _joined(of: list[bytes], ids: bytes | None) -> bytes:
+    return b"".join(map(of.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids",
            keep: list[str] | None = None) -> DataFrame:
     """Add ``ids``: the text's tokens as little-endian unsigned 32-bit integers
-    in one binary value (see :func:`id_array`), special tokens excluded.
+    in one binary value, special tokens excluded.
 
     ``ranks`` is the vocabulary file's path on the workers, ``pattern`` the
     regular expression whose matches are encoded one by one.
     """
-    keep = [c for c in (keep or df.columns) if c != ids]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{ids}` binary"])
-
     def make():
         one = _encoder(ranks, pattern)
+        return lambda texts: [[one(t) for t in decoded(texts)]]
 
-        def step(batch: pa.RecordBatch) -> dict:
-            made = {c: batch.column(i) for i, c in enumerate(keep)}
-            made[ids] = pa.array([one(t) for t in decoded(batch.column(len(keep)))], pa.binary())
-            return made
-
-        return step
-
-    return by_batch(df, [F.col(f"`{c}`") for c in keep] + [F.col(f"`{text}`").cast("binary").alias("__text")], schema, make)
+    return _mapped(df, F.col(f"`{text}`"), [ids], keep, make)
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """Add ``out``: the bytes of the ids (null ids: no bytes)."""
-    keep = [c for c in (keep or df.columns) if c != out]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{out}` binary"])
-
     def make():
         of = _bytes_of(ranks)
+        return lambda values: [[_joined(of, v) for v in values.to_pylist()]]
 
-        def step(batch: pa.RecordBatch) -> dict:
-            made = {c: batch.column(i) for i, c in enumerate(keep)}
-            made[out] = pa.array([b"".join(map(of.__getitem__, np.frombuffer(v or b"", "<u4").tolist()))
-                                  for v in batch.column(len(keep)).to_pylist()], pa.binary())
-            return made
+    return _mapped(df, F.col(f"`{ids}`"), [out], keep, make)
 
-        return step
 
-    return by_batch(df, [F.col(f"`{c}`") for c in keep] + [F.col(f"`{ids}`").alias("__ids")], schema, make)
+def round_trip(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded",
+               keep: list[str] | None = None) -> DataFrame:
+    """:func:`encode` and :func:`decode` of its ids in one pass, so that a core has one Python worker."""
+    def make():
+        one, of = _encoder(ranks, pattern), _bytes_of(ranks)
+
+        def both(texts: pa.Array) -> list[list]:
+            coded = [one(t) for t in decoded(texts)]
+            return [coded, [_joined(of, v) for v in coded]]
+
+        return both
+
+    return _mapped(df, F.col(f"`{text}`"), [ids, out], keep, make)
 
 
 def n_tokens(ids: str = "ids"):
@@ -262,7 +281,6 @@ def vocabulary() -> tuple[str, str]:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: token count and digests of ids and decoded bytes."""
     ranks, pattern = vocabulary()
-    encoded = encode(table(spark, sf_dir, "documents"), ranks, pattern, keep=["doc_id"])
-    both = decode(encoded, ranks)
+    both = round_trip(table(spark, sf_dir, "documents"), ranks, pattern, keep=["doc_id"])
     return both.select("doc_id", n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
