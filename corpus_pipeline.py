@@ -68,8 +68,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, n_tokens, ids (little-endian unsigned 32-bit integers) and round_trip."""
     ranks, pattern = op9_bpe.vocabulary()
     keep = ["doc_id", "source", "lang"]
-    coded = op9_bpe.encode(docs.withColumn("sha", F.sha2("text", 256)), ranks, pattern, keep=[*keep, "sha"])
-    back = op9_bpe.decode(coded, ranks)
+    back = op9_bpe.round_trip(docs.withColumn("sha", F.sha2("text", 256)), ranks, pattern, keep=[*keep, "sha"])
     return back.select(*keep, op9_bpe.n_tokens().alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("sha")).alias("round_trip"))
 
 
