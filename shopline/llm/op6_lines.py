@@ -4,14 +4,17 @@ A line's set are its character shingles: the ``SHINGLE`` characters from each
 character on, a run of blanks counted as one and none at the ends (a shorter
 line is one shingle).  Lines whose sets have a Jaccard similarity of at least ``threshold`` are linked, and of each connected
 component of links, one line stays: the first by (document id, position).
-Equal lines are one line from the beginning.  Lines shorter than ``min_chars``
-tell too little and are always kept.
-
-1. Lines go once through a shuffle by their 128-bit hash, which leaves each
-   distinct line once.  In the same stage ``BANDS * ROWS`` minima of each line
-   are taken from its sorted shingle hashes.
+Equal lines are one line from the beginning, however short.  Lines of fewer than
+``min_chars`` characters besides blanks are always kept (by default only those with none).
+
+1. The scan takes each line's id, a 128-bit hash, and its ``BANDS`` band keys of ``ROWS`` minima each; ids
+   with their bands go through one shuffle, the texts don't.  Minima are one-permutation
+   minima: the first hash from each of ``BANDS * ROWS`` boundaries on.  They are taken over
+   a sample of the shingles that each shingle decides by its own first character
+   (``STARTS``), or over all of them for lines with few of those; lines in between have
+   bands of both kinds.
 2. Lines that share a band form a bucket.  Every member is compared to the
-   bucket's smallest line id by exact Jaccard similarity.  Buckets whose
+   bucket's smallest line id by exact Jaccard similarity of the whole sets.  Buckets whose
    members are not all connected then go on, linked members too: in each round
    the next members in the order of the line ids, GROWTH times as many as
    before, are compared to all later ones that are not connected with them
@@ -36,9 +39,16 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS, GROWTH = 4, 13, 4
+ROWS, BANDS, GROWTH = 3, 10, 4
 THRESHOLD = 0.8
-MIN_CHARS = 20
+MIN_CHARS = 1
+#: Shingles that begin with one of these make the bands: every third character of Latin-1, all others of Unicode.
+STARTS = "".join(f"\\x{i:02x}" for i in range(0, 256, 3))
+OTHERS = "[^\\x00-\\xff]"
+#: Lines with fewer such shingles have bands of all their shingles; up to twice as many, of both.
+FEW = 12
+#: A bitmap of line ids has about so many bits for each, within bounds (16 MB at most).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
 ID = ["h1", "h2"]
 
 
@@ -51,54 +61,91 @@ def _row_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
-def occurrences(docs: DataFrame, doc_id: str, text: str, min_chars: int, with_line: bool) -> DataFrame:
-    """One row per line that takes part: h1, h2 and either the line or its place (doc, row_key, at)."""
+def occurrences(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
+    """One row per line that takes part: its id h1, h2, its text and its place (doc, row_key, at)."""
     rows = docs.select(F.col(doc_id).alias("doc"), _row_key(doc_id, text).alias("row_key"),
                        F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
-    rows = rows.filter(F.length(F.translate("line", BLANKS, "")) >= min_chars)
-    return rows.select(*_line_id(F.col("line")), *(["line"] if with_line else ["doc", "row_key", "at"]))
+    own = F.col("line").rlike(f"[^{BLANKS}]")
+    if min_chars > 1:
+        own &= F.length(F.translate("line", BLANKS, "")) >= min_chars
+    return rows.filter(own).select(*_line_id(F.col("line")), "line", "doc", "row_key", "at")
 
 
-def shingles(line: Column, size: int = SHINGLE) -> Column:
-    """Distinct hashes of the character shingles of a line."""
-    spaced = F.trim(F.regexp_replace(line, f"[{BLANKS}]+", " "))
+def _spaced(line: Column) -> Column:
+    """The line without blanks at its ends, and runs of them as one."""
+    odd = F.contains(line, F.lit("  "))
+    for c in BLANKS.replace(" ", "").replace("\n", ""):
+        odd |= F.contains(line, F.lit(c))
+    return F.trim(F.when(odd, F.regexp_replace(line, f"[{BLANKS}]+", " ")).otherwise(line))
+
+
+def _parts(spaced: Column, size: int) -> Column:
+    """All shingles of a line."""
     # One pass: each match takes one character and captures ``size`` from it on.
     parts = F.regexp_extract_all(spaced, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
-    parts = F.when(F.length(spaced) < size, F.array(spaced)).otherwise(parts)
-    return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
+    return F.when(F.length(spaced) < size, F.array(spaced)).otherwise(parts)
 
 
-def bands(lines: DataFrame) -> DataFrame:
-    """(h1, h2, band): a row per band of each line, keyed by the hash of ROWS minima.
+def _hashes(parts: Column) -> Column:
+    return F.transform(parts, lambda x: F.xxhash64(x))
 
-    Row r of all bands has a hash function of its own; band b takes the minimum
-    under that hash, rotated by b / BANDS of its range: the first hash from a
-    boundary on, around the end.  Two sets agree in it with the probability of
-    their similarity.  Sorting the boundaries in among the hashes tells how many
-    hashes lie below each, so all bands of a row come from two sorted arrays and
-    no row per shingle and minimum is ever made.
-    """
-    rows = lines.select(*ID, shingles(F.col("line")).alias("set"))
-    rows = rows.withColumns({f"m{r}": _minima(_rehashed("set", r) if r else F.col("set")) for r in range(ROWS)})
-    keys = F.transform(F.arrays_zip(*[f"m{r}" for r in range(ROWS)]), lambda m, b: F.xxhash64(b, m))
-    return rows.select(*ID, F.explode(keys).alias("band"))
 
+def shingles(line: Column, size: int = SHINGLE) -> Column:
+    """Distinct hashes of the character shingles of a line."""
+    return F.array_distinct(_hashes(_parts(_spaced(line), size)))
 
-def _minima(hashes: Column) -> Column:
-    """BANDS minima of an array of hashes, each under another rotation."""
-    limits = F.array(*[F.lit(-(1 << 63) + b * ((1 << 64) // BANDS)).cast("long") for b in range(BANDS)])
-    # transform over one-element arrays: each array is sorted once, not for each band.
-    both = lambda h: F.transform(F.array(F.sort_array(h)), lambda o: F.struct(o.alias("o"), F.sort_array(F.concat(o, limits)).alias("a")))
 
-    def of(x: Column) -> Column:
-        below = lambda c, b: (F.array_position(x["a"], c) - 1 - b).cast("int")
-        return F.transform(limits, lambda c, b: F.coalesce(F.get(x["o"], below(c, b)), F.get(x["o"], F.lit(0))))
+def with_bands(lines: DataFrame) -> DataFrame:
+    """Add ``bands``: a key per band of each line, the hash of ROWS minima.
 
-    return F.flatten(F.transform(both(hashes), of))
+    A minimum is the first hash from a boundary on, around the end; two sets agree
+    in it with the probability of their similarity.  Sorting the boundaries in
+    among the hashes tells how many lie below each, so all minima come from two
+    sorted arrays.  Each step is a projection of its own, which keeps its result
+    from being computed once a minimum.
+    """
+    n = BANDS * ROWS
+    limits = [-(1 << 63) + i * ((1 << 64) // n) for i in range(n)]
+    sample = lambda c: F.regexp_extract_all("__line", F.lit(f"(?s)[^{c}]*+(?=([{c}].{{{SHINGLE - 1}}}))."), F.lit(1))
+    # The plain class is the faster one.
+    starts = F.when(F.col("__line").rlike(OTHERS), sample(STARTS + OTHERS)).otherwise(sample(STARTS))
+    rows = lines.withColumn("__line", _spaced(F.col("line"))).withColumn("__0", starts)
+    rows = rows.withColumn("__1", F.when(F.size("__0") < 2 * FEW, _parts(F.col("__line"), SHINGLE)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumns({c: _hashes(F.col(c)) for c in ("__0", "__1")})
+    rows = rows.withColumns({f"{c}o": F.sort_array(c) for c in ("__0", "__1")} | {
+        f"{c}s": F.sort_array(F.concat(c, F.array(*[F.lit(x).cast("long") for x in limits]))) for c in ("__0", "__1")})
+
+    def keys(kind: int) -> Column:
+        o, s = F.col(f"__{kind}o"), F.col(f"__{kind}s")
+        first = lambda i: F.coalesce(F.get(o, (F.array_position(s, F.lit(limits[i]).cast("long")) - 1 - i).cast("int")), F.get(o, F.lit(0)))
+        return F.array(*[F.xxhash64(F.lit(kind * BANDS + b), *[first(b + BANDS * r) for r in range(ROWS)]) for b in range(BANDS)])
+
+    none = F.array().cast("array<long>")
+    # Asked by a higher-order function, which Spark keeps out of whole-stage code: all
+    # minima in one generated method would be too long for the JIT compiler.
+    has = lambda c, n: F.exists(F.slice(c, n, 1), lambda x: x.isNotNull())
+    made = F.concat(F.when(has("__0", FEW), keys(0)).otherwise(none), F.when(has("__1", 1), keys(1)).otherwise(none))
+    return rows.withColumn("bands", made).drop("__line", *[f"__{k}{x}" for k in (0, 1) for x in ("", "o", "s")])
+
+
+def distinct_lines(spots: DataFrame) -> DataFrame:
+    """(h1, h2, first, last, bands) of each distinct line: its first and last place."""
+    place = F.struct("doc", "row_key", "at")
+    return with_bands(spots).groupBy(*ID).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("bands").alias("bands"))
 
 
-def _rehashed(hashes: str, seed: int) -> Column:
-    return F.transform(hashes, lambda x: F.xxhash64(F.lit(seed), x))
+def _marked(ids: DataFrame) -> Column:
+    """A test that is true for every h1 of ``ids`` and for few others: a bitmap that the scan looks into."""
+    size = ids.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * size).bit_length()))
+    bit = F.col("h1").bitwiseAND(F.lit(bits - 1))
+    own = F.expr("shiftleft(1L, cast(h1 & 63 as int))")
+    words = ids.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(own).alias("bits"))
+    every = ids.sparkSession.range(bits // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    # bits / 64 rows at most, whatever the number of ids.
+    bitmap = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))), lambda x: x["bits"]).alias("a"))
+    word = F.get(bitmap.scalar(), F.shiftright(bit, 6).cast("int"))
+    return word.bitwiseAND(own) != 0
 
 
 def jaccard(x: Column, y: Column) -> Column:
@@ -106,12 +153,16 @@ def jaccard(x: Column, y: Column) -> Column:
     return both / (F.size(x) + F.size(y) - both)
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The distinct pairs (id, r) that are similar enough, as links (a, b)."""
+def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The distinct pairs (id, r) that are similar enough, as links (a, b).
+
+    The lines travel, not their sets, which are many times as large.
+    """
     pairs = pairs.select("id", "r").distinct()
-    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("r"), F.col("set").alias("other")), "r")
-    similar = both.filter(jaccard(F.col("set"), F.col("other")) >= threshold)
-    return stored(similar.select(F.col("id").alias("a"), F.col("r").alias("b")))
+    both = pairs.join(texts.select("id", "line"), "id").join(texts.select(F.col("id").alias("r"), F.col("line").alias("other")), "r")
+    both = both.withColumns({"set": shingles(F.col("line")), "other": shingles(F.col("other"))})
+    both = both.withColumn("j", jaccard(F.col("set"), F.col("other")))
+    return stored(both.filter(F.col("j") >= threshold).select(F.col("id").alias("a"), F.col("r").alias("b")))
 
 
 def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
@@ -122,21 +173,23 @@ def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
     return members.join(moved, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
-def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars: int) -> DataFrame:
+def links(spots: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     """Verified links (a, b) between distinct lines, ids as structs of h1 and h2."""
-    lines = occurrences(docs, doc_id, text, min_chars, with_line=True).groupBy(*ID).agg(F.first("line").alias("line"))
-    rows = stored(bands(lines).select("band", F.struct(*ID).alias("id")))
+    rows = lines.select("h1", F.explode("bands").alias("band"))
     # Map-side combined, and joined back: no bucket needs to fit one task.  Stored, so that few buckets are sent.
     shared = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    members = stored(rows.join(shared, "band"))
-    drop(rows)
+    members = rows.join(shared, "band").join(lines.select(*ID), "h1")
+    members = stored(members.select("band", F.struct(*ID).alias("id"), "n"))
+    drop(shared)
     members = members.join(members.groupBy("band").agg(F.min("id").alias("r")), "band")
-    own = members.select("id.h1", "id.h2").distinct()
-    # Lines that share no bucket end here; the others are few enough to keep with their shingles.
-    sets = stored(lines.join(own, ID, "left_semi").select(F.struct(*ID).alias("id"), shingles(F.col("line")).alias("set")))
+    own = stored(members.select("id.h1", "id.h2").distinct())
+    # Lines that share no bucket end here, nearly all of them in the scan; the others are few enough to keep.
+    texts = spots.select(*ID, "line").filter(_marked(own.select("h1"))).join(own, ID, "left_semi")
+    texts = texts.groupBy(*ID).agg(F.first("line").alias("line"))
+    texts = stored(texts.select(F.struct(*ID).alias("id"), "line", F.size(shingles(F.col("line"))).alias("size")))
     # A link needs sets of similar sizes.
-    members = members.join(sets.select("id", F.size("set").alias("size")), "id").withColumn("label", F.col("id"))
-    good = found = _compared(members.filter("id != r"), sets, threshold)
+    members = members.join(texts.select("id", "size"), "id").withColumn("label", F.col("id"))
+    good = found = _compared(members.filter("id != r"), texts, threshold)
     members = _relabelled(members, good)
     # A line's place among its bucket's members, 0 to 1: ids are hashes, so about n * x members lie below x.
     place = F.col("id.h1").cast("double") / float(1 << 64) + 0.5
@@ -154,7 +207,7 @@ def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars:
         chosen = rest.filter(F.col("place") < upto).select("band", F.col("id").alias("r"), F.col("label").alias("other"), F.col("size").alias("other_size"))
         pairs = rest.drop("r").join(chosen, "band").filter((F.col("id") > F.col("r")) & (F.col("label") != F.col("other")))
         pairs = pairs.filter(F.least("size", "other_size") >= threshold * F.greatest("size", "other_size"))
-        good = _compared(pairs, sets, threshold)
+        good = _compared(pairs, texts, threshold)
         found = found.unionByName(good)
         # What was chosen has met all others of its bucket.
         members = _relabelled(rest.filter(F.col("place") >= upto), good)
@@ -163,17 +216,18 @@ def links(docs: DataFrame, doc_id: str, text: str, threshold: float, min_chars:
 
 def redundant(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, row_key, removed): positions of the lines to drop, for documents that have any."""
-    comps = stored(components(links(docs, doc_id, text, threshold, min_chars)))
+    spots = occurrences(docs, doc_id, text, min_chars)
+    every = stored(distinct_lines(spots))
+    comps = stored(components(links(spots, every, threshold)))
     comps = comps.select("id.h1", "id.h2", F.col("component.h1").alias("c1"), F.col("component.h2").alias("c2"))
-    place = F.struct("doc", "row_key", "at")
-    spots = occurrences(docs, doc_id, text, min_chars, with_line=False)
-    lines = spots.groupBy(*ID).agg(F.min(place).alias("first"), F.max(place).alias("last")).join(comps, ID, "left")
+    lines = every.drop("bands").join(comps, ID, "left")
     of = [F.coalesce(F.col(c), F.col(h)).alias(c) for c, h in zip(["c1", "c2"], ID, strict=True)]
     lines = lines.filter(F.col("c1").isNotNull() | (F.col("first") != F.col("last"))).select(*ID, *of, "first")
     lines = stored(lines)
     kept = lines.groupBy("c1", "c2").agg(F.min("first").alias("kept"))
     lines = lines.join(kept, ["c1", "c2"]).select(*ID, "kept")
-    drops = spots.join(lines, ID).filter(place != F.col("kept"))
+    place = F.struct("doc", "row_key", "at")
+    drops = spots.drop("line").join(lines, ID).filter(place != F.col("kept"))
     return drops.groupBy("doc", "row_key").agg(F.sort_array(F.collect_set("at")).alias("removed"))
 
 

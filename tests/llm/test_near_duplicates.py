@@ -60,6 +60,31 @@ def test_lines_without_blanks_and_long_words(spark):
     assert marked(spark.createDataFrame(docs, "doc_id long, text string")) == want == {5: {0}, 6: {0}, 12: {0}}
 
 
+def test_short_equal_lines(spark):
+    """Equal lines go however short; unlike short ones stay, and so do blank ones."""
+    texts = ["Share this article\nfirst", "second\nShare this article\n \n", "Share this  article\n}\n\nx", "}\nShare that article", "x\nx", None, ""]
+    got = marked(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert got == {1: {1}, 2: {0}, 3: {0}, 4: {0, 1}}  # runs of blanks count as one
+    some = lines.mark_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_chars=15)
+    assert {r.doc_id: set(r.removed) for r in some.collect() if r.removed} == {1: {1}, 2: {0}}
+
+
+def test_recall_by_length(spark):
+    """Pairs at the threshold, from lines of a shingle or two to long ones, with many, few and no sampled shingles."""
+    rng, docs = random.Random(8), []
+    for size in (14, 24, 40, 80, 200, 900):
+        for k in range(60):
+            alphabet = ("abcdefghijklmnopqrstuvwxyz ", "abdeghjkmn", "一二三四五六七八九十百千万")[k % 3]
+            line = "".join(rng.choice(alphabet) for _ in range(size)).strip()
+            cut = rng.randrange(1, max(2, (size - 11) // 9))
+            docs.append((len(docs), line + "\n" + line[cut:]))
+    want = {k: v for k, v in redundant_lines(docs, lines.SHINGLE, lines.THRESHOLD, lines.MIN_CHARS).items() if v}
+    got = marked(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert not any(v - want.get(k, set()) for k, v in got.items())
+    found = sum(map(len, got.values())) / sum(map(len, want.values()))
+    assert len(want) > 200 and found >= 0.98, found
+
+
 def test_similar_lines_in_large_groups(spark):
     texts = variants(1, groups=6, size=60, words=40, edits=4)
     docs = [(i, "\n".join(texts[i::90])) for i in range(90)]
@@ -72,7 +97,7 @@ def test_similar_lines_in_large_groups(spark):
 def test_all_members_of_a_bucket_are_connected_or_compared(spark, monkeypatch):
     from pyspark.sql import functions as F
 
-    monkeypatch.setattr(lines, "bands", lambda rows: rows.select("h1", "h2", F.lit(1).cast("long").alias("band")))
+    monkeypatch.setattr(lines, "with_bands", lambda rows: rows.withColumn("bands", F.array(F.lit(1).cast("long"))))
     rng, texts = random.Random(11), []
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     for _ in range(8):  # chains: each text is like the one before, and soon unlike the first
