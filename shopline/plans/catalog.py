@@ -101,6 +101,15 @@ def q_csv_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvsrc.parse_csv_lines(header.unionByName(lines), SALES)
 
 
+def q_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales written as CSV files whose families run over several lines, with quotes and commas, some records
+    double-encoded, read back in splits."""
+    s = roles.sales(spark, sf_dir)
+    long = F.concat(F.col("family"), F.lit('\n"'), F.col("store_nbr").cast("string"), F.lit('",\n\nend'))
+    s = s.withColumn("family", F.when(F.col("onpromotion") % 2 == 1, long).otherwise(F.col("family")))
+    return csvsrc.read_sales_csv(spark, _as_csv(spark, "train", s))
+
+
 def _as_csv(spark: SparkSession, name: str, df: DataFrame) -> str:
     """The rows as CSV files in the scratch folder; sales with every third
     promotion count double-encoded."""
@@ -209,6 +218,7 @@ def q_join_fanout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "csv_repair": q_csv_repair,
+    "csv_multiline": q_csv_multiline,
     "csv_typed_stores": _csv_typed("stores"),
     "csv_typed_transactions": _csv_typed("transactions"),
     "csv_typed_prices": _csv_typed("oil"),

@@ -403,6 +403,12 @@ SELECT id, date, store_nbr, family, coalesce(sales, sales_v) AS sales,
        coalesce(CAST(onpromotion AS DOUBLE), onpromotion_v) AS onpromotion
 FROM train_d, train_v""")
 
+ORACLES["csv_multiline"] = _with("""
+SELECT id, date, store_nbr,
+       CASE WHEN onpromotion % 2 = 1 THEN family || chr(10) || '"' || CAST(store_nbr AS VARCHAR) || '",' || chr(10) || chr(10) || 'end' ELSE family END AS family,
+       sales, onpromotion
+FROM sales""")
+
 ORACLES["impute_mode"] = _with("SELECT * FROM holidays_c")
 
 ORACLES["interpolate_linear"] = _with("""

@@ -2,41 +2,108 @@
 
 A double-encoded line is a whole CSV record that was written again as one
 quoted CSV field: ``"1,2013-01-01,1,""BREAD,X"",0.5,0"``.  Such a line parses
-to exactly one field.  The repair is a column expression over the lines of the
+to exactly one field.  The repair is a column expression over the records of the
 file — detect the single quoted field, strip the outer quotes, un-double the
 inner ones — followed by ``from_csv`` with the typed schema in FAILFAST mode, so
-the file is read in parallel splits and never rewritten.  The header is
-recognised by its text and dropped (every file of a folder may carry one).
+the file is read in parallel splits and never rewritten.
+
+Records are found by quote parity, so a quoted field may hold line ends and the
+file is split all the same (:func:`read_records`).
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopline.functions.sizing import bounded_broadcast
 from shopline.schemas import INPUTS, SALES
+from shopline.session import cut_lineage
 
-# A line that is exactly one quoted CSV field.
-ONE_QUOTED_FIELD = r'^"(?:[^"]|"")*"$'
+QUOTE = '"'
+# Size of a split's mark, with a long path.
+MARK_BYTES = 512
 CSV_OPTIONS = {"mode": "FAILFAST", "escape": '"', "dateFormat": "yyyy-MM-dd"}
 
 
+def _inner(line: Column) -> Column:
+    return F.substring(line, F.lit(2), F.length(line) - 2)
+
+
 def is_wrapped(line: Column) -> Column:
-    return line.rlike(ONE_QUOTED_FIELD)
+    """True for a line that is exactly one quoted CSV field: within the outer quotes all others are doubled."""
+    outer = F.startswith(line, F.lit(QUOTE)) & F.endswith(line, F.lit(QUOTE)) & (F.length(line) >= 2)
+    return outer & ~F.contains(F.replace(_inner(line), F.lit(QUOTE * 2), F.lit("")), F.lit(QUOTE))
 
 
 def unwrap(line: Column) -> Column:
     """Inner text of a one-field line: outer quotes off, ``""`` → ``"``."""
-    inner = F.substring(line, F.lit(2), F.length(line) - 2)
-    return F.replace(inner, F.lit('""'), F.lit('"'))
+    return F.replace(_inner(line), F.lit(QUOTE * 2), F.lit(QUOTE))
+
+
+def read_records(spark: SparkSession, path: str, *, header: str | None = None) -> DataFrame:
+    """The CSV records of a file or folder as text (``value``), whatever line ends stand within quotes.
+
+    The text is read in splits.  A line with an odd number of quotes opens or closes
+    a quoted field; their parity per split, summed over the splits of a file
+    before it, tells whether a split begins within a field.  Only splits where
+    a field runs over a line end are ordered line by line, and only the lines of
+    such records are shuffled and joined again; every other line is a record as
+    it stands.  A file that ends within quotes ends its last record there.
+    ``header``: this text is dropped where it is a file's first line.  A
+    carriage return at the end of a record is no part of it.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
+    lines = lines.withColumn("odd", quotes % 2)
+    # One row a split.
+    splits = lines.groupBy("file", "start").agg(F.sum("odd").alias("odds"), F.min("at").alias("first"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("inside", F.coalesce(F.sum("odds").over(before), F.lit(0)) % 2)
+    splits = cut_lineage(splits.withColumn("mixed", (F.col("odds") > 0) | (F.col("inside") > 0)))
+    marks = splits.where("mixed" if header is None else "mixed OR start = 0").select("file", "start", "first", "inside", "mixed")
+    n_marks = marks.count()
+    lines = lines.join(bounded_broadcast(marks, (n_marks, n_marks * MARK_BYTES)), ["file", "start"], "left")
+    if header is not None:
+        at_top = (F.col("start") == 0) & (F.col("at") == F.col("first"))
+        lines = lines.where(~(F.coalesce(at_top, F.lit(False)) & _without_cr(F.col("value")).eqNullSafe(F.lit(header))))
+    mixed = F.coalesce(F.col("mixed"), F.lit(False))
+    plain = lines.where(~mixed).select("value")
+    if splits.where("mixed").isEmpty():
+        return plain.select(_without_cr(F.col("value")).alias("value"))
+    in_split = Window.partitionBy("file", "start").orderBy("at")
+    upto = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    run = lines.where(mixed).withColumn("open", (F.col("inside") + F.coalesce(F.sum("odd").over(upto), F.lit(0))) % 2 > 0)
+    run = run.withColumn("record", F.sum((~F.col("open")).cast("long")).over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+    run = cut_lineage(run.select("file", "start", "at", "value", "odd", "open", "record"))
+    # The lines before a split's first record belong to the last record that began before it.
+    begun = run.groupBy("file", "start").agg(F.max("record").alias("records"))
+    last = F.when(F.col("records") > 0, F.struct(F.col("start").alias("start"), F.col("records").alias("record")))
+    begun = begun.withColumn("origin", F.last(last, ignorenulls=True).over(before)).select("file", "start", "origin")
+    whole = run.where("NOT open AND odd = 0").select("value")
+    pieces = run.where("open OR odd = 1").join(begun, ["file", "start"])
+    ahead = F.col("record") == 0
+    pieces = pieces.withColumns({"of_start": F.when(ahead, F.col("origin.start")).otherwise(F.col("start")),
+                                 "of": F.when(ahead, F.col("origin.record")).otherwise(F.col("record"))})
+    joined = pieces.groupBy("file", "of_start", "of").agg(F.sort_array(F.collect_list(F.struct("start", "at", "value"))).alias("lines"))
+    joined = joined.select(F.concat_ws("\n", F.col("lines.value")).alias("value"))
+    return plain.unionByName(whole).unionByName(joined).select(_without_cr(F.col("value")).alias("value"))
+
+
+def _without_cr(value: Column) -> Column:
+    return F.when(F.endswith(value, F.lit("\r")), F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
 
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, *, header: bool = True,
                     column: str = "value", keep_flag: bool = False) -> DataFrame:
-    """Typed rows from a DataFrame of CSV text lines; wrapped lines repaired.
+    """Typed rows from a DataFrame of CSV records as text; wrapped ones repaired.
 
+    ``header``: records that equal the header's text are dropped (a reader of
+    files drops it by its place instead).
     With ``keep_flag`` the boolean column ``repaired`` tells which rows were
     double-encoded (``sum`` of it is the repair count).
     """
@@ -53,12 +120,13 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, *, header: bool = Tr
 
 def read_sales_csv(spark: SparkSession, path: str, schema: T.StructType = SALES,
                    keep_flag: bool = False) -> DataFrame:
-    """The sales file: text lines → repair → typed rows (SRC1 + SRC6)."""
+    """The sales file: records → repair → typed rows (SRC1 + SRC6).  Starts a job
+    that counts the quotes of each split."""
     try:
-        lines = spark.read.text(path)
+        records = read_records(spark, path, header=",".join(schema.fieldNames()))
     except AnalysisException as e:
         raise FileNotFoundError(f"cannot load table 'train' from {path}: {e}") from e
-    return parse_csv_lines(lines, schema, keep_flag=keep_flag)
+    return parse_csv_lines(records, schema, header=False, keep_flag=keep_flag)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
