@@ -9,7 +9,7 @@ Equal lines are one line from the beginning, however short.  Lines of fewer than
 
 1. The scan takes each line's id, a 128-bit hash, and its ``BANDS`` band keys of ``ROWS`` minima each; ids
    with their bands go through one shuffle, the texts don't.  Minima are one-permutation
-   minima: the first hash from each of ``BANDS * ROWS`` boundaries on.  They are taken over
+   minima: the first hashes from each of ``BANDS`` boundaries on.  They are taken over
    a sample of the shingles that each shingle decides by its own first character
    (``STARTS``), or over all of them for lines with few of those; lines in between have
    bands of both kinds.
@@ -39,7 +39,7 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS, GROWTH = 3, 10, 4
+ROWS, BANDS, GROWTH = 5, 16, 4
 THRESHOLD = 0.8
 MIN_CHARS = 1
 #: Shingles that begin with one of these make the bands: every third character of Latin-1, all others of Unicode.
@@ -98,14 +98,13 @@ def shingles(line: Column, size: int = SHINGLE) -> Column:
 def with_bands(lines: DataFrame) -> DataFrame:
     """Add ``bands``: a key per band of each line, the hash of ROWS minima.
 
-    A minimum is the first hash from a boundary on, around the end; two sets agree
-    in it with the probability of their similarity.  Sorting the boundaries in
-    among the hashes tells how many lie below each, so all minima come from two
-    sorted arrays.  Each step is a projection of its own, which keeps its result
-    from being computed once a minimum.
+    The minima of a band are the first ROWS hashes from its boundary on, around
+    the end: two sets agree in each with the probability of their similarity.
+    Sorting the boundaries in among the hashes tells how many lie below each, so
+    all minima come from two sorted arrays.  Each step is a projection of its own,
+    which keeps its result from being computed once a minimum.
     """
-    n = BANDS * ROWS
-    limits = [-(1 << 63) + i * ((1 << 64) // n) for i in range(n)]
+    limits = [-(1 << 63) + i * ((1 << 64) // BANDS) for i in range(BANDS)]
     sample = lambda c: F.regexp_extract_all("__line", F.lit(f"(?s)[^{c}]*+(?=([{c}].{{{SHINGLE - 1}}}))."), F.lit(1))
     # The plain class is the faster one.
     starts = F.when(F.col("__line").rlike(OTHERS), sample(STARTS + OTHERS)).otherwise(sample(STARTS))
@@ -115,17 +114,19 @@ def with_bands(lines: DataFrame) -> DataFrame:
     rows = rows.withColumns({f"{c}o": F.sort_array(c) for c in ("__0", "__1")} | {
         f"{c}s": F.sort_array(F.concat(c, F.array(*[F.lit(x).cast("long") for x in limits]))) for c in ("__0", "__1")})
 
-    def keys(kind: int) -> Column:
-        o, s = F.col(f"__{kind}o"), F.col(f"__{kind}s")
-        first = lambda i: F.coalesce(F.get(o, (F.array_position(s, F.lit(limits[i]).cast("long")) - 1 - i).cast("int")), F.get(o, F.lit(0)))
-        return F.array(*[F.xxhash64(F.lit(kind * BANDS + b), *[first(b + BANDS * r) for r in range(ROWS)]) for b in range(BANDS)])
+    below = lambda c: F.array(*[F.array_position(f"{c}s", F.lit(x).cast("long")) - 1 - b for b, x in enumerate(limits)])
+    rows = rows.withColumns({f"{c}p": below(c) for c in ("__0", "__1")})
+
+    def keys(c: str, kind: int) -> Column:
+        minimum = lambda b, r: F.get(f"{c}o", F.pmod(F.get(f"{c}p", F.lit(b)) + r, F.greatest(F.size(f"{c}o"), F.lit(1))).cast("int"))
+        return F.array(*[F.xxhash64(F.lit(kind * BANDS + b), *[minimum(b, r) for r in range(ROWS)]) for b in range(BANDS)])
 
     none = F.array().cast("array<long>")
     # Asked by a higher-order function, which Spark keeps out of whole-stage code: all
     # minima in one generated method would be too long for the JIT compiler.
     has = lambda c, n: F.exists(F.slice(c, n, 1), lambda x: x.isNotNull())
-    made = F.concat(F.when(has("__0", FEW), keys(0)).otherwise(none), F.when(has("__1", 1), keys(1)).otherwise(none))
-    return rows.withColumn("bands", made).drop("__line", *[f"__{k}{x}" for k in (0, 1) for x in ("", "o", "s")])
+    made = F.concat(F.when(has("__0", FEW), keys("__0", 0)).otherwise(none), F.when(has("__1", 1), keys("__1", 1)).otherwise(none))
+    return rows.withColumn("bands", made).drop("__line", *[f"__{k}{x}" for k in (0, 1) for x in ("", "o", "s", "p")])
 
 
 def distinct_lines(spots: DataFrame) -> DataFrame:
@@ -148,21 +149,18 @@ def _marked(ids: DataFrame) -> Column:
     return word.bitwiseAND(own) != 0
 
 
-def jaccard(x: Column, y: Column) -> Column:
-    both = F.size(F.array_intersect(x, y))
-    return both / (F.size(x) + F.size(y) - both)
-
-
 def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The distinct pairs (id, r) that are similar enough, as links (a, b).
 
     The lines travel, not their sets, which are many times as large.
     """
-    pairs = pairs.select("id", "r").distinct()
-    both = pairs.join(texts.select("id", "line"), "id").join(texts.select(F.col("id").alias("r"), F.col("line").alias("other")), "r")
-    both = both.withColumns({"set": shingles(F.col("line")), "other": shingles(F.col("other"))})
-    both = both.withColumn("j", jaccard(F.col("set"), F.col("other")))
-    return stored(both.filter(F.col("j") >= threshold).select(F.col("id").alias("a"), F.col("r").alias("b")))
+    pairs = pairs.select("id", "r").distinct().join(texts, "id")
+    both = pairs.join(texts.toDF("r", "other", "other_size"), "r")
+    both = both.withColumns({c: _hashes(_parts(_spaced(F.col(c)), SHINGLE)) for c in ("line", "other")})
+    # array_intersect takes each common hash once; the sizes are those of the sets.
+    both = both.withColumn("common", F.size(F.array_intersect("line", "other")))
+    similar = both.filter(F.col("common") / (F.col("size") + F.col("other_size") - F.col("common")) >= threshold)
+    return stored(similar.select(F.col("id").alias("a"), F.col("r").alias("b")))
 
 
 def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
