@@ -39,7 +39,7 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS, GROWTH = 5, 16, 4
+ROWS, BANDS, GROWTH = 3, 10, 4
 THRESHOLD = 0.8
 MIN_CHARS = 1
 #: Shingles that begin with one of these make the bands: every third character of Latin-1, all others of Unicode.
@@ -159,8 +159,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     both = both.withColumns({c: _hashes(_parts(_spaced(F.col(c)), SHINGLE)) for c in ("line", "other")})
     # array_intersect takes each common hash once; the sizes are those of the sets.
     both = both.withColumn("common", F.size(F.array_intersect("line", "other")))
-    similar = both.filter(F.col("common") / (F.col("size") + F.col("other_size") - F.col("common")) >= threshold)
-    return stored(similar.select(F.col("id").alias("a"), F.col("r").alias("b")))
+    similar = F.transform(F.array("common"), lambda c: c / (F.col("size") + F.col("other_size") - c) >= threshold)[0]
+    # Stored before it is filtered: a filter would be pushed below, and make the sets once more.
+    return stored(both.select(F.col("id").alias("a"), F.col("r").alias("b"), similar.alias("similar"))).filter("similar").drop("similar")
 
 
 def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
