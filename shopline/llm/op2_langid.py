@@ -28,7 +28,6 @@ they have an output's name.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -46,7 +45,6 @@ BLANK, OTHER, PAD = 32, 1, 0
 SEGMENT = 384
 #: The hash bound of the training texts is found among so many bits.
 BUCKET_BITS = 12
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def training_sample(labelled: DataFrame, text: str, lang: str, max_chars: int = MAX_CHARS, max_total: int = MAX_TOTAL) -> DataFrame:
@@ -226,7 +224,7 @@ class Parser:
         counts, length = self.phrases(texts)
         lang, score = [], []
         for text, row, n in zip(texts, counts, length, strict=True):
-            if not n or not self.langs or not LETTER.search(text):
+            if not n or not self.langs or not any(map(str.isalpha, text)):
                 lang.append("und")
                 score.append(0.0)
                 continue

@@ -133,6 +133,15 @@ def test_all_letters_of_many_scripts_count(spark):
     assert all(r.lang_pred == r.lang for r in rows)
 
 
+def test_texts_without_letters_have_no_language(spark):
+    """Numbers and signs that Unicode doesn't count as letters, however they look."""
+    model = lid.learn(spark.createDataFrame([("en", "the house of the man"), ("fr", "la maison de la rue")], "lang string, text string"))
+    texts = ["½", "² ①", "12 34", "_ - _", "①②③ ¼", "", " "]
+    rows = lid.predict(spark.createDataFrame([(t,) for t in [*texts, "½ a", "ª"]], "text string"), model).collect()
+    assert [(r.lang_pred, r.score) for r in rows[:len(texts)]] == [("und", 0.0)] * len(texts)
+    assert all(r.lang_pred != "und" for r in rows[len(texts):])
+
+
 def test_language_of_edge_rows(spark, edge, none, folder):
     model = lid.learn(edge)
     rows = lid.predict(edge.drop("score"), model).collect()
