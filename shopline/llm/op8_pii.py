@@ -357,7 +357,7 @@ def field_spans(texts: list[str], rules: list[list[tuple]], w: np.ndarray, trans
                 start += 1
             while end > start and text[end - 1] in TRIM_RIGHT:
                 end -= 1
-            if end - start <= 400 and _valid(kind := int(own[i]) // 2, text[start:end]) and not any(a < end and start < b for a, _, b in known):
+            if _valid(kind := int(own[i]) // 2, text[start:end]) and not any(a < end and start < b for a, _, b in known):
                 added.append((start, kind, end))
         out.append(added)
     return out
