@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from shopline.llm.common import by_batch, decoded, table
 
 #: Entries that each of a worker's two growing memo tables holds before it starts anew: of pieces of at
-#: most LONGEST characters and of pairs of tokens, some 20 MB a table.
-MEMO, LONGEST = 1 << 16, 64
+#: most LONGEST characters and of pairs of tokens, some 50 MB a table.
+MEMO, LONGEST = 1 << 18, 64
 #: Texts beyond so many characters are matched as a stream, not as one list.
 STREAM = 1 << 20
 
