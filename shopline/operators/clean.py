@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopline.functions.sizing import row_bytes
+from shopline.operators.distinct import distinct_rows
 from shopline.operators.ordering import exact_medians, most_frequent
 from shopline.operators.profile import NUMERIC, null_census, stat_columns, table_stats
 from shopline.session import cut_lineage, run_concurrently
 
-def dedupe(df: DataFrame) -> DataFrame:
-    """Full-row distinct (CLN1): a hash aggregate on all columns, combined map-side."""
-    return df.dropDuplicates()
+def dedupe(df: DataFrame, *, method: str = "rows") -> DataFrame:
+    """Full-row distinct (CLN1).
+
+    ``method="rows"``: a lazy hash aggregate on all columns, combined map-side.
+    ``"fingerprint"``: only rows that may repeat are shuffled whole, for three
+    reads of the table (see :mod:`shopline.operators.distinct`; starts jobs).
+    """
+    if method not in ("rows", "fingerprint"):
+        raise ValueError(f"method must be 'rows' or 'fingerprint', not {method!r}")
+    return df.dropDuplicates() if method == "rows" else distinct_rows(df)
 
 
 def cast_date(df: DataFrame, column: str | None) -> DataFrame:
@@ -101,14 +109,41 @@ def _text(value) -> str:
     return str(value)
 
 
+def with_calendar(df: DataFrame, date: str, keys: list[str] | None = None) -> DataFrame:
+    """Add a row for each day that a series lacks between its first and its last (CLN6).
+
+    Added rows hold the date and the keys, nulls elsewhere.  The ranges are one
+    map-side combined aggregate, and days are matched by series and day, so a
+    series with most of the rows is dealt over many tasks.  Rows without a date stay
+    as they are; a series with no date at all gets no days; null keys are a
+    series like any other; several rows of a day stay several.
+    """
+    if not isinstance(df.schema[date].dataType, T.DateType):
+        raise TypeError(f"{date} must be a date column")
+    keys = keys or []
+    series = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
+    day = F.col(f"`{date}`")
+    spans = df.groupBy(*series).agg(F.min(day).alias("__lo"), F.max(day).alias("__hi")).filter("__lo is not null")
+    days = spans.select(*[f"__k{i}" for i in range(len(keys))], F.explode(F.sequence("__lo", "__hi")).alias("__day"))
+    # Distinct before the join: what meets in a task is bounded by the calendar, not by the rows of a day.
+    known = df.filter(day.isNotNull()).select(*[F.col(f"`{k}`") for k in keys], day).distinct()
+    match = F.col("__day") == known[date]
+    for i, k in enumerate(keys):
+        match = match & F.col(f"__k{i}").eqNullSafe(known[k])
+    missing = days.join(known, match, "left_anti")
+    made = {date: F.col("__day"), **{k: F.col(f"__k{i}") for i, k in enumerate(keys)}}
+    return df.union(missing.select(*[made.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in df.schema.fields]))
+
+
 def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
-                keys: list[str] | None = None, fill_edges: bool = True) -> DataFrame:
+                keys: list[str] | None = None, fill_edges: bool = True, calendar: bool = False) -> DataFrame:
     """Linear interpolation of interior nulls, then edge fill (CLN6, CLN7).
 
     ``by="position"``: the straight line runs over row positions (a weekend gap
     is no extra step); ``by="time"``: over days between the dates.  Edges:
     a leading null takes the next value, a trailing null the previous one.
-    ``keys`` interpolate each series separately.
+    ``keys`` interpolate each series separately.  ``calendar`` first adds the days
+    that a series lacks (:func:`with_calendar`), so every day gets a value.
 
     No series has to fit in one task: rows are range-partitioned in order and
     stored (so this starts a job), neighbours are sought within a partition in
@@ -118,6 +153,8 @@ def interpolate(df: DataFrame, order: str, value: str, *, by: str = "position",
     if by not in ("position", "time"):
         raise ValueError(f"by must be 'position' or 'time', not {by!r}")
     keys = keys or []
+    if calendar:
+        df = with_calendar(df, order, keys)
     # The value breaks ties between rows of one date, so the result is
     # deterministic even when a feed holds two prices for a day.
     sort = [F.col(order).asc(), F.col(value).asc_nulls_last()]
@@ -177,6 +214,7 @@ class CleanSpec:
     interpolate: str | None = None          # value column to interpolate over ``date``
     impute: bool = True
     series_keys: list[str] = field(default_factory=list)
+    calendar: bool = False                  # add the days that a series lacks
 
 
 # Per-table dispatch of the batch run.
@@ -223,7 +261,7 @@ def clean_table(name: str, df: DataFrame, spec: CleanSpec, *, materialize: bool
     nulls = null_census(df, stats)
     imputed: list[tuple] = []
     if spec.interpolate:
-        out = interpolate(out, spec.date, spec.interpolate, keys=spec.series_keys)
+        out = interpolate(out, spec.date, spec.interpolate, keys=spec.series_keys, calendar=spec.calendar)
         imputed = [(spec.interpolate, "linear_interpolation+edge_fill", None, None)]
     elif spec.impute:
         with_nulls = [c for c in df.columns if nulls[c]]

@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from shopline.operators import clean as cln
 from shopline.operators import consolidate as con
 from shopline.operators import profile as prf
+from shopline.operators.distinct import duplicate_rows
 from shopline.plans import marts
 from shopline.schemas import INPUTS, SALES
-from shopline.session import cut_lineage, drop_stored, write_scratch
+from shopline.session import cut_lineage, drop_stored, run_concurrently, write_scratch
+from shopline.sinks import versions, writers
 from shopline.sources import csv as csvsrc
 from shopline.sources import roles
+from shopline.sources.parquet import read_marts
 
 # The figure of each mart that the run over all marts reports.
 MAIN_FIGURE = {"sales_by_family": "avg_sales", "store_ranking": "total_sales", "sales_by_city_state": "avg_sales", "monthly_evolution": "total_sales",
@@ -66,8 +69,12 @@ def _mart(fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 def q_marts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All thirteen marts from one scan (M14): per mart its rows, and the least and the largest of its main figure."""
+    return _mart_summary(marts.run_all(consolidated(spark, sf_dir), PERIOD))
+
+
+def _mart_summary(builds: dict[str, Callable[[], DataFrame]]) -> DataFrame:
     out = None
-    for name, build in marts.run_all(consolidated(spark, sf_dir), PERIOD).items():
+    for name, build in builds.items():
         figure = F.col(MAIN_FIGURE[name]).cast("double")
         one = build().agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"), F.min(figure).alias("lowest"), F.max(figure).alias("highest"))
         out = one if out is None else out.unionByName(one)
@@ -152,6 +159,19 @@ def q_dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cln.dedupe(roles.dirty_sales(spark, sf_dir))
 
 
+def q_dedupe_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cln.dedupe(roles.dirty_sales(spark, sf_dir), method="fingerprint")
+
+
+def q_duplicates_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and duplicate rows of every raw input, by fingerprint."""
+    out = None
+    for name, df in roles.raw_inputs(spark, sf_dir).items():
+        one = duplicate_rows(df).select(F.lit(name).alias("table"), "rows", "duplicate_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales with their dates as text, as an untyped feed has them."""
     text = roles.sales(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
@@ -178,6 +198,28 @@ def q_interpolate_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cln.interpolate(roles.prices(spark, sf_dir), "date", "dcoilwtico", fill_edges=True)
 
 
+def q_interpolate_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of every calendar day, weekends included."""
+    return cln.interpolate(roles.prices(spark, sf_dir), "date", "dcoilwtico", calendar=True)
+
+
+def q_interpolate_calendar_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions of every store on every day between its first and its last."""
+    return cln.interpolate(roles.transactions(spark, sf_dir), "date", "transactions", keys=["store_nbr"], calendar=True)
+
+
+def q_post_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls left in the columns that must have none after cleaning (CLN10)."""
+    tables = cleaned(spark, sf_dir, names=["train", "oil"])
+    out = None
+    for name, column in (("train", "sales"), ("oil", "dcoilwtico")):
+        cln.assert_no_nulls(tables[name], [column])
+        nulls = cln.null_counts(tables[name].select(column)).select(
+            F.lit(name).alias("table"), F.lit(column).alias("column"), F.col(column).alias("nulls"))
+        out = nulls if out is None else out.unionByName(nulls)
+    return out
+
+
 def q_clean_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = roles.raw_inputs(spark, sf_dir)
     _, audit = cln.clean_all(raw, parallel=len(raw))
@@ -198,6 +240,33 @@ def q_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidated(spark, sf_dir)
 
 
+def q_published_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table published by year and read back from the published version
+    (SNK1).  An earlier version with the later half of the years is replaced whole."""
+    wide = consolidated(spark, sf_dir)
+
+    def publish(root: str) -> None:
+        middle = wide.agg(F.percentile_approx(F.year("date"), 0.5).alias("y"))
+        for part in (wide.where(F.year("date") >= middle.scalar()), wide):
+            with versions.new_version(spark, root) as folder:
+                writers.write_consolidated(part, f"{folder}/consolidated")
+
+    root = write_scratch(spark, publish)
+    return versions.read_published(spark, root, "consolidated").withColumn("year", F.col("year").cast("bigint"))
+
+
+def q_published_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts published as one version and read back (SNK2, SRC8): the summary of ``marts_all``."""
+    builds = marts.run_all(consolidated(spark, sf_dir), PERIOD)
+
+    def publish(root: str) -> None:
+        with versions.new_version(spark, root) as folder:
+            run_concurrently([lambda n=n, b=b: writers.write_parquet(b(), f"{folder}/{n}") for n, b in builds.items()], workers=4)
+
+    stored = read_marts(spark, versions.current(spark, write_scratch(spark, publish)), list(builds))
+    return _mart_summary({name: (lambda df=df: df) for name, df in stored.items()})
+
+
 def q_dimension_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that repeat in a raw dimension and would fan the left joins out."""
     raw = roles.raw_inputs(spark, sf_dir)
@@ -229,10 +298,15 @@ QUERIES: dict[str, Query] = {
     "profile_duplicates": q_profile_duplicates,
     "profile_date_range": q_profile_date_range,
     "dedupe_rows": q_dedupe_rows,
+    "dedupe_fingerprint": q_dedupe_fingerprint,
+    "duplicates_fingerprint": q_duplicates_fingerprint,
     "impute_median": q_impute_median,
     "impute_mode": q_impute_mode,
     "interpolate_linear": q_interpolate_linear,
     "interpolate_edges": q_interpolate_edges,
+    "interpolate_calendar": q_interpolate_calendar,
+    "interpolate_calendar_stores": q_interpolate_calendar_stores,
+    "post_conditions": q_post_conditions,
     "clean_audit": q_clean_audit,
     "holiday_representative": q_holiday_representative,
     "holiday_national_flag": q_holiday_national_flag,
@@ -256,4 +330,6 @@ QUERIES: dict[str, Query] = {
     "sales_by_store_type": _mart(marts.sales_by_store_type),
     "top_families": _mart(marts.top_families),
     "marts_all": q_marts_all,
+    "published_consolidated": q_published_consolidated,
+    "published_marts": q_published_marts,
 }

@@ -398,6 +398,12 @@ ORACLES["profile_date_range"] = _with("\nUNION ALL\n".join(
 
 ORACLES["dedupe_rows"] = _with("SELECT DISTINCT * FROM train_raw")
 
+ORACLES["dedupe_fingerprint"] = ORACLES["dedupe_rows"]
+
+ORACLES["duplicates_fingerprint"] = _with("\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "table", count(*) AS rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {view})) AS duplicate_rows FROM {view}"""
+    for name, (view, _) in RAW_TABLES.items()))
+
 ORACLES["impute_median"] = _with(f"""
 SELECT id, date, store_nbr, family, coalesce(sales, sales_v) AS sales,
        coalesce(CAST(onpromotion AS DOUBLE), onpromotion_v) AS onpromotion
@@ -420,6 +426,32 @@ FROM prices_nb""")
 ORACLES["interpolate_edges"] = _with("SELECT * FROM prices_c")
 
 
+def _calendar(table: str, column: str, key: str | None = None) -> str:
+    """Every day from a series' first to its last; days without a value on the line between their neighbours."""
+    of, own, using = (f"{key}, ", f"PARTITION BY {key} ", f"{key}, date") if key else ("", "", "date")
+    spans = f"SELECT {of}min(date) AS lo, max(date) AS hi FROM {table}" + (f" GROUP BY {key}" if key else "")
+    past = f"OVER ({own}ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = f"OVER ({own}ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    known = "CASE WHEN v IS NOT NULL THEN date END"
+    return _with(f"""
+SELECT {of}date, coalesce(v, lv + (nv - lv) * CAST(date - ld AS DOUBLE) / CAST(nd - ld AS DOUBLE), lv, nv) AS {column}
+FROM (SELECT {of}date, v, last_value(v IGNORE NULLS) {past} AS lv, last_value({known} IGNORE NULLS) {past} AS ld,
+             first_value(v IGNORE NULLS) {ahead} AS nv, first_value({known} IGNORE NULLS) {ahead} AS nd
+      FROM (SELECT {of}date, CAST({column} AS DOUBLE) AS v
+            FROM (SELECT {of}CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM ({spans}))
+            LEFT JOIN {table} USING ({using})))""")
+
+
+ORACLES["interpolate_calendar"] = _calendar("prices", "dcoilwtico")
+
+ORACLES["interpolate_calendar_stores"] = _calendar("transactions", "transactions", "store_nbr")
+
+ORACLES["post_conditions"] = _with("""
+SELECT 'train' AS "table", 'sales' AS "column", CAST(count(*) - count(sales) AS BIGINT) AS nulls FROM sales_c
+UNION ALL
+SELECT 'oil', 'dcoilwtico', CAST(count(*) - count(dcoilwtico) AS BIGINT) FROM prices_c""")
+
+
 def _audit_rows() -> str:
     parts = []
     counts = {
@@ -474,3 +506,7 @@ SELECT 'holidays', CAST(date AS VARCHAR), count(*) FROM holidays_raw GROUP BY da
 ORACLES["marts_all"] = "\nUNION ALL\n".join(
     f"""SELECT '{name}' AS mart, count(*) AS n_rows, min(CAST({figure} AS DOUBLE)) AS lowest, max(CAST({figure} AS DOUBLE)) AS highest
 FROM ({ORACLES[name]}) AS {name}""" for name, figure in MAIN_FIGURE.items())
+
+ORACLES["published_marts"] = ORACLES["marts_all"]
+
+ORACLES["published_consolidated"] = _with("SELECT *, year(date) AS year FROM wide")

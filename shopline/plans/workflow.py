@@ -21,7 +21,7 @@ from shopline.operators import clean as cln
 from shopline.operators import consolidate as con
 from shopline.operators import profile as prf
 from shopline.plans import marts as mrt
-from shopline.sinks import writers
+from shopline.sinks import versions, writers
 from shopline.session import run_concurrently
 from shopline.sources.parquet import read_marts
 
@@ -122,6 +122,14 @@ def run(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str, *,
     return RunResult(consolidated_path, mart_paths, audits, seconds, rows)
 
 
+def run_published(spark: SparkSession, inputs: dict[str, DataFrame], root: str, **options) -> RunResult:
+    """:func:`run` into a new version below ``root``, published when every step is
+    done (:mod:`shopline.sinks.versions`): readers of ``root`` see all tables of
+    one run, and those of the run before if this one fails."""
+    with versions.new_version(spark, root) as folder:
+        return run(spark, inputs, folder, **options)
+
+
 def export(spark: SparkSession, result: RunResult, url: str, *,
            properties: dict[str, str] | None = None, num_partitions: int = writers.MAX_CONNECTIONS,
            parallel: int = 4) -> DataFrame:
