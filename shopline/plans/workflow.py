@@ -21,7 +21,7 @@ from shopline.operators import clean as cln
 from shopline.operators import consolidate as con
 from shopline.operators import profile as prf
 from shopline.plans import marts as mrt
-from shopline.sinks import versions, writers
+from shopline.sinks import staged, versions, writers
 from shopline.session import run_concurrently
 from shopline.sources.parquet import read_marts
 
@@ -136,7 +136,8 @@ def export(spark: SparkSession, result: RunResult, url: str, *,
     """Export the consolidated table and every mart over JDBC (SNK3, SNK4).
 
     Tables are re-read from the written Parquet; each is written by the
-    executors in parallel partitions.  Returns the (table, status, rows, columns,
+    executors in parallel partitions, and replaced as a whole where the database
+    is known to allow it (:mod:`shopline.sinks.staged`), else in place.  Returns the (table, status, rows, columns,
     error) audit, which is also written beside the run's other audits.
     """
     folder = {p.rsplit("/", 1)[0] for p in result.mart_paths.values()}
@@ -146,10 +147,13 @@ def export(spark: SparkSession, result: RunResult, url: str, *,
         builds.update({n: (lambda df=df: df) for n, df in stored.items()})
     else:
         builds.update({n: (lambda p=p: spark.read.parquet(p)) for n, p in result.mart_paths.items()})
-    audit = writers.export_all(
-        spark, builds,
-        lambda df, name: writers.write_jdbc(df, url, name.upper(), properties=properties,
-                                            num_partitions=num_partitions),
-        parallel=parallel)
+    def sink(df: DataFrame, name: str) -> int:
+        options = {"properties": properties, "num_partitions": num_partitions}
+        if staged.database(url) in staged.RENAME:
+            return staged.replace_table(df, url, name.upper(), **options)
+        writers.write_jdbc(df, url, name.upper(), **options)
+        return df.count()
+
+    audit = writers.export_all(spark, builds, sink, parallel=parallel)
     writers.write_audit_json(audit, f"{result.consolidated_path.rsplit('/', 1)[0]}/audit/export")
     return audit

@@ -59,11 +59,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "overwrite",
 
 
 def export_all(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]],
-               sink: Callable[[DataFrame, str], None], *, parallel: int = 1) -> DataFrame:
+               sink: Callable[[DataFrame, str], int | None], *, parallel: int = 1) -> DataFrame:
     """Export each table with ``sink(df, name)``; returns (table, status, rows,
     columns, error).
 
-    Rows are counted while the table is written.  A table that fails to build or write is recorded as failed; the others are
+    Rows are those that the sink returns, or else counted while the table is
+    written.  A table that fails to build or write is recorded as failed; the others are
     still exported (no error is swallowed: it is in the returned audit).
     ``parallel`` tables are written side by side (independent jobs).
     """
@@ -73,8 +74,8 @@ def export_all(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]],
             df = build()
             columns = len(df.columns)
             seen = Observation(f"export_{name}_{uuid.uuid4().hex[:8]}")
-            sink(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
-            return (name, "ok", int(seen.get["rows"]), columns, None)
+            sent = sink(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+            return (name, "ok", int(seen.get["rows"]) if sent is None else sent, columns, None)
         except Exception as e:  # noqa: BLE001  (reported in the audit)
             return (name, "failed", None, columns, f"{type(e).__name__}: {e}")
 

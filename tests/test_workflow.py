@@ -43,6 +43,7 @@ def test_batch_run_from_csv(spark, tmp_dir):
     url = f"jdbc:derby:memory:w{uuid.uuid4().hex[:8]};create=true"
     audit = workflow.export(spark, result, url, properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     assert {r["status"] for r in audit.collect()} == {"ok"}
+    assert {r["table"]: r["rows"] for r in audit.collect()} == {n: result.rows[n] for n in ["consolidated", *result.mart_paths]}
     back = (spark.read.format("jdbc").option("url", url).option("dbtable", "SALES_BY_FAMILY")
             .option("driver", "org.apache.derby.jdbc.EmbeddedDriver").load())
     assert back.count() == spark.read.parquet(result.mart_paths["sales_by_family"]).count()
