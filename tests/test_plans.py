@@ -84,3 +84,26 @@ def test_shuffle_join_path_when_dimensions_are_too_big(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         if old["spark.sql.autoBroadcastJoinThreshold"] is not None:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old["spark.sql.autoBroadcastJoinThreshold"])
+
+
+def test_only_sales_columns_are_shuffled_for_the_large_dimension(spark):
+    """The join that shuffles the sales rows comes below the broadcast ones, which widen them."""
+    from shopline.operators import clean, consolidate
+    observed: dict = {}
+    tables = catalog.cleaned(spark, SF_DIR, observed)
+    sizes = {n: s for n, s in clean.observed_sizes(observed).items() if n != "transactions"}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        lines = plan(consolidate.consolidate(tables, sizes)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # A plan is printed from the root down.
+    merge = [i for i, line in enumerate(lines) if "SortMergeJoin" in line and "store_nbr" in line]
+    added = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "date" in line]
+    assert len(merge) == 1 and added and max(added) < merge[0]
+
+
+def test_raw_sales_are_scanned_once(spark):
+    from shopline.sources import roles
+    assert plan(roles.dirty_sales(spark, SF_DIR)).count("lineitem.parquet") == 1
