@@ -56,3 +56,26 @@ def test_export_all_reports_failures_and_continues(spark, tmp_dir):
     audit = writers.export_all(spark, {"a": lambda: spark.range(3), "b": broken, "c": lambda: spark.range(2)}, sink)
     status = {r["table"]: r["status"] for r in audit.collect()}
     assert status == {"a": "ok", "b": "failed", "c": "ok"} and done == ["a", "c"]
+
+
+def test_stored_table_is_written_by_year_without_a_shuffle(spark, tmp_dir):
+    """More years than a task holds open, null dates, and the session's setting as before."""
+    from pyspark.sql import functions as F
+
+    from shopline.session import cut_lineage
+    from shopline.sinks import writers
+    days = F.when(F.col("id") % 9 > 0, F.date_add(F.lit("1970-01-01").cast("date"), (F.col("id") * 90).cast("int")))
+    wide = cut_lineage(spark.range(400).select("id", days.alias("date")))
+    before = spark.conf.get(writers.OPEN_FILES_CONF)
+    spark.sparkContext.setJobGroup("by-year", "write by year")
+    try:
+        writers.write_consolidated(wide, f"{tmp_dir}/wide", rebalance=False)
+        tracker = spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("by-year")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(j.stageIds) for j in jobs] == [1]
+    assert spark.conf.get(writers.OPEN_FILES_CONF) == before
+    back = spark.read.parquet(f"{tmp_dir}/wide")
+    assert {(r["id"], r["date"]) for r in back.collect()} == {(r["id"], r["date"]) for r in wide.collect()} and back.count() == 400
+    assert back.filter("year IS DISTINCT FROM year(date)").isEmpty() and back.select("year").distinct().count() > writers.OPEN_FILES
