@@ -18,13 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopline.functions.sizing import bounded_broadcast
 from shopline.schemas import INPUTS, SALES
 from shopline.session import cut_lineage
 
 QUOTE = '"'
-# Size of a split's mark, with a long path.
-MARK_BYTES = 512
 CSV_OPTIONS = {"mode": "FAILFAST", "escape": '"', "dateFormat": "yyyy-MM-dd"}
 
 
@@ -48,10 +45,10 @@ def read_records(spark: SparkSession, path: str, *, header: str | None = None) -
 
     The text is read in splits.  A line with an odd number of quotes opens or closes
     a quoted field; their parity per split, summed over the splits of a file
-    before it, tells whether a split begins within a field.  Only splits where
-    a field runs over a line end are ordered line by line, and only the lines of
-    such records are shuffled and joined again; every other line is a record as
-    it stands.  A file that ends within quotes ends its last record there.
+    before it, tells whether a split begins within a field.  Where a field runs
+    over a line end, the scan joins the lines of a record as it reads them, and
+    only the pieces of records that go over the border of a split are
+    shuffled; every other line is a record as it stands.  A file that ends within quotes ends its last record there.
     ``header``: this text is dropped where it is a file's first line.  A
     carriage return at the end of a record is no part of it.
     """
@@ -66,32 +63,80 @@ def read_records(spark: SparkSession, path: str, *, header: str | None = None) -
     splits = splits.withColumn("inside", F.coalesce(F.sum("odds").over(before), F.lit(0)) % 2)
     splits = cut_lineage(splits.withColumn("mixed", (F.col("odds") > 0) | (F.col("inside") > 0)))
     marks = splits.where("mixed" if header is None else "mixed OR start = 0").select("file", "start", "first", "inside", "mixed")
-    n_marks = marks.count()
-    lines = lines.join(bounded_broadcast(marks, (n_marks, n_marks * MARK_BYTES)), ["file", "start"], "left")
+    n_splits, n_mixed = splits.agg(F.count(F.lit(1)), F.count_if("mixed")).first()
+    # Sent to every task, one row a split: a join that shuffles would lose the order of the lines.
+    lines = lines.join(F.broadcast(marks), ["file", "start"], "left")
     if header is not None:
         at_top = (F.col("start") == 0) & (F.col("at") == F.col("first"))
         lines = lines.where(~(F.coalesce(at_top, F.lit(False)) & _without_cr(F.col("value")).eqNullSafe(F.lit(header))))
     mixed = F.coalesce(F.col("mixed"), F.lit(False))
     plain = lines.where(~mixed).select("value")
-    if splits.where("mixed").isEmpty():
-        return plain.select(_without_cr(F.col("value")).alias("value"))
-    in_split = Window.partitionBy("file", "start").orderBy("at")
-    upto = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    run = lines.where(mixed).withColumn("open", (F.col("inside") + F.coalesce(F.sum("odd").over(upto), F.lit(0))) % 2 > 0)
-    run = run.withColumn("record", F.sum((~F.col("open")).cast("long")).over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
-    run = cut_lineage(run.select("file", "start", "at", "value", "odd", "open", "record"))
-    # The lines before a split's first record belong to the last record that began before it.
-    begun = run.groupBy("file", "start").agg(F.max("record").alias("records"))
-    last = F.when(F.col("records") > 0, F.struct(F.col("start").alias("start"), F.col("records").alias("record")))
-    begun = begun.withColumn("origin", F.last(last, ignorenulls=True).over(before)).select("file", "start", "origin")
-    whole = run.where("NOT open AND odd = 0").select("value")
-    pieces = run.where("open OR odd = 1").join(begun, ["file", "start"])
-    ahead = F.col("record") == 0
-    pieces = pieces.withColumns({"of_start": F.when(ahead, F.col("origin.start")).otherwise(F.col("start")),
-                                 "of": F.when(ahead, F.col("origin.record")).otherwise(F.col("record"))})
-    joined = pieces.groupBy("file", "of_start", "of").agg(F.sort_array(F.collect_list(F.struct("start", "at", "value"))).alias("lines"))
-    joined = joined.select(F.concat_ws("\n", F.col("lines.value")).alias("value"))
-    return plain.unionByName(whole).unionByName(joined).select(_without_cr(F.col("value")).alias("value"))
+    if n_mixed:
+        cut = lines.where(mixed).select("first", "inside", "odd", "value")
+        # At most two pieces a split, its first lines and its last record, are shuffled.
+        pieces = _joined_lines(cut, whole=False).join(F.broadcast(splits.select("first", "file", "start")), "first")
+        upto = Window.partitionBy("file").orderBy("start", "tail").rowsBetween(Window.unboundedPreceding, 0)
+        pieces = pieces.withColumn("of", F.sum(F.col("tail").cast("long")).over(upto))
+        joined = pieces.groupBy("file", "of").agg(F.sort_array(F.collect_list(F.struct("start", "tail", "value"))).alias("lines"))
+        records = _joined_lines(cut, whole=True).select("value").unionByName(joined.select(F.concat_ws("\n", F.col("lines.value")).alias("value")))
+        plain = records if n_mixed == n_splits else plain.unionByName(records)
+    return plain.select(_without_cr(F.col("value")).alias("value"))
+
+
+def _joined_lines(lines: DataFrame, *, whole: bool) -> DataFrame:
+    """(first, tail, value) from the lines (first, inside, odd, value) of the splits named ``first``, in order.
+
+    ``whole``: the records that end in the split where they begin; else the pieces
+    of all others, which are the lines of a split before its first record and its
+    last record, if that goes on (``tail``).  Lines are joined within the scan, a
+    batch at a time, so nothing is shuffled.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    schema = pa.schema([("first", pa.int64()), ("tail", pa.bool_()), ("value", pa.large_binary())])
+
+    def rows(split: int, tail: bool, values: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(values), split, np.int64)), pa.array(np.full(len(values), tail)), values], schema=schema)
+
+    def one(split: int, tail: bool, parts: list[bytes]) -> pa.RecordBatch:
+        return rows(split, tail, pa.array([b"\n".join(parts)], pa.large_binary()))
+
+    def run(batches):
+        # The split, the parity of its quotes, and its last lines: of a record that began in it, or of none.
+        now, odd, held, begun = None, 0, [], False
+        for batch in batches:
+            splits = batch.column(0).to_numpy(zero_copy_only=False)
+            borders = [0, *(np.flatnonzero(splits[1:] != splits[:-1]) + 1).tolist(), len(splits)]
+            for lo, hi in zip(borders, borders[1:], strict=False):
+                if lo == hi:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                if splits[lo] != now:
+                    if held and whole == (begun and not odd):
+                        yield one(now, begun, held)
+                    now, odd, held, begun = int(splits[lo]), part.column(1)[0].as_py(), [], False
+                quotes = np.concatenate([[odd], part.column(2).to_numpy(zero_copy_only=False)]).cumsum()
+                odd = int(quotes[-1] % 2)
+                # A line that doesn't begin within quotes begins a record.
+                starts = np.flatnonzero(quotes[:-1] % 2 == 0)
+                values = part.column(3).cast(pa.large_binary())
+                if not len(starts):
+                    held += values.to_pylist()
+                    continue
+                held += values.slice(0, int(starts[0])).to_pylist()
+                if held and whole == begun:
+                    yield one(now, False, held)
+                if whole and len(starts) > 1:
+                    inner = pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), values)
+                    yield rows(now, False, pc.binary_join(inner, pa.scalar(b"\n", pa.large_binary())))
+                held, begun = values.slice(int(starts[-1])).to_pylist(), True
+        if held and whole == (begun and not odd):
+            yield one(now, begun, held)
+
+    made = lines.select("first", F.col("inside").cast("int"), F.col("odd").cast("int"), F.col("value").cast("binary"))
+    return made.mapInArrow(run, "first long, tail boolean, value binary").withColumn("value", F.col("value").cast("string"))
 
 
 def _without_cr(value: Column) -> Column:

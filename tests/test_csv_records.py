@@ -107,3 +107,28 @@ def test_wrapped_lines(spark, line, wrapped):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(line,)], "value string")
     assert df.select(source.is_wrapped(F.col("value"))).first()[0] is wrapped
+
+
+def test_lines_of_records_are_not_shuffled(spark, tmp_dir, split):
+    """Only the pieces at the borders of splits are: what is shuffled doesn't grow with the lines of a split."""
+    def shuffled(lines: int) -> int:
+        rows = [[str(i), f'a\n"{i}"\n\nend' if i % 2 else "a", "x" * 40] for i in range(lines)]
+        written(f"{tmp_dir}/{lines}.csv", rows)
+        split(1 << 30)
+        df = source.read_records(spark, f"{tmp_dir}/{lines}.csv")
+        assert parsed(df) == sorted(rows)
+        plan = df._jdf.queryExecution().executedPlan()
+        stack, total = [plan], 0
+        while stack:
+            node = stack.pop()
+            if node.nodeName() == "AdaptiveSparkPlan":
+                stack.append(node.executedPlan())
+                continue
+            if node.nodeName().endswith("QueryStage"):
+                stack.append(node.plan())
+                continue
+            if node.nodeName() == "Exchange":
+                total += node.metrics().apply("shuffleRecordsWritten").value()
+            stack += [node.children().apply(i) for i in range(node.children().size())]
+        return total
+    assert shuffled(50) == shuffled(2000) <= 2
