@@ -56,3 +56,18 @@ def test_clean_step_with_calendar(spark):
     df = spark.createDataFrame([(day(0), 2.0), (day(4), 6.0)], "date date, p double")
     out, _ = cln.clean_table("oil", df, cln.CleanSpec(interpolate="p", impute=False, calendar=True))
     assert sorted(r["p"] for r in out.collect()) == [2.0, 3.0, 4.0, 5.0, 6.0]
+
+
+def test_tasks_grow_in_number_not_in_rows(spark, monkeypatch):
+    """Also a single series is dealt over tasks of bounded size, whatever the session's number of partitions."""
+    monkeypatch.setattr(cln, "TASK_ROWS", 500)
+    df = spark.range(12_000).select(F.lit("a").alias("s"), F.date_add(F.lit("1980-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                                    F.when(F.col("id") % 7 == 0, F.col("id").cast("double")).alias("v"))
+    out = cln.interpolate(df, "date", "v", keys=["s"])
+    got = out.select("v", F.spark_partition_id().alias("task")).collect()
+    sizes = {}
+    for r in got:
+        sizes[r["task"]] = sizes.get(r["task"], 0) + 1
+    assert len(sizes) >= 12 and max(sizes.values()) < 2500
+    last = 11_999 - 11_999 % 7
+    assert sorted(r["v"] for r in got) == sorted(float(min(i, last)) for i in range(12_000))
