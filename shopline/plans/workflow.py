@@ -2,7 +2,7 @@
 
 One SparkSession and one lazy plan per step.  The consolidated table is
 written once as Parquet (partitioned by year); one scan of it makes partial sums
-at two grains, from which all marts roll up; nothing is cached in executor memory, so a lost
+at three grains, from which all marts roll up; nothing is cached in executor memory, so a lost
 executor only costs the recomputation of its own tasks, and the written table
 is the lineage cut between the join step and the thirteen aggregates.
 """

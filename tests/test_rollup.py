@@ -53,6 +53,26 @@ def test_period_that_cuts_months(wide):
         marts.city_price_corr(marts.shared_facts(wide, period)["store"], period=catalog.PERIOD)
 
 
+def test_groups_do_not_grow_with_store_months(spark):
+    """Stores that sell a row a month: no grain has a group for each store and month."""
+    stores, months = 40, 24
+    df = spark.range(stores * months).selectExpr(
+        f"add_months(date'2015-01-05', cast(id % {months} as int)) as date", f"id div {months} as store_nbr", "'F' as family", "id * 0.25D as sales",
+        "id % 2 as onpromotion", f"concat('c', id div {months} % 2) as city", "'s' as state", "'A' as type", "id % 7 as transactions",
+        f"cast(id % {months} as double) as dcoilwtico", "id % 3 = 0 as is_national_holiday")
+    shared = marts.shared_facts(df)
+    assert {g: f.size for g, f in shared.items() if g != "day"} == {"store": stores, "city": 2 * months}
+    assert sum(f.size for f in shared.values()) < stores * months
+    for name, build in marts.run_all(df).items():
+        assert rows_of(build()) == rows_of(marts.MARTS[name](df)), name
+
+
+def test_store_sums_know_no_period(wide):
+    """Not even the period of the others: the store grain holds all dates together."""
+    with pytest.raises(ValueError):
+        marts.city_price_corr(marts.shared_facts(wide, catalog.PERIOD)["store"], period=catalog.PERIOD)
+
+
 def test_store_days_need_rows(wide):
     with pytest.raises(ValueError):
         marts.average_ticket(marts.shared_facts(wide)["store"], grain="store_day")
