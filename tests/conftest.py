@@ -23,3 +23,13 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="shopline-test-")
+
+
+@pytest.fixture(autouse=True)
+def broadcast_threshold(spark):
+    """Tests share a session: the threshold that a test sets must not change the plans of those after it."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    yield
+    if spark.conf.get(key) != before:
+        spark.conf.set(key, before)
