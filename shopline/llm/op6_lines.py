@@ -13,13 +13,16 @@ Equal lines are one line from the beginning, however short.  Lines of fewer than
    a sample of the shingles that each shingle decides by its own first character
    (``STARTS``), or over all of them for lines with few of those; lines in between have
    bands of both kinds.
-2. Lines that share a band form a bucket.  Every member is compared to the
+2. Lines that share a band form a bucket.  Every member of a similar size is compared to the
    bucket's smallest line id by exact Jaccard similarity of the whole sets.  Buckets whose
-   members are not all connected then go on, linked members too: in each round
+   members are not all connected then go on, linked members too.  Those of more than
+   GROWTH members are replaced by buckets of their lines' rarest shingles, which
+   lose no link (prefix and position filter): a passage or a text that many lines
+   share brings no unlike lines together there.  In each round
    the next members in the order of the line ids, GROWTH times as many as
    before, are compared to all later ones that are not connected with them
    yet, until all members of a bucket are connected or compared.  Buckets have
-   no cap; only one of members that are unlike each other costs its square.
+   no cap; only unlike lines that share a rare shingle cost their square.
 3. Links make components by distributed star rounds.
 4. Occurrences other than a component's first are dropped.
 
@@ -39,14 +42,14 @@ from shopline.llm.common import BLANKS, drop, stored, table
 from shopline.llm.components import components
 
 SHINGLE = 12
-ROWS, BANDS, GROWTH = 3, 10, 4
+ROWS, BANDS, GROWTH = 4, 14, 16
 THRESHOLD = 0.8
 MIN_CHARS = 1
-#: Shingles that begin with one of these make the bands: every third character of Latin-1, all others of Unicode.
-STARTS = "".join(f"\\x{i:02x}" for i in range(0, 256, 3))
+#: Shingles that begin with one of these make the bands: every seventh character of Latin-1, all others of Unicode.
+STARTS = "".join(f"\\x{i:02x}" for i in range(0, 256, 7))
 OTHERS = "[^\\x00-\\xff]"
-#: Lines with fewer such shingles have bands of all their shingles; up to twice as many, of both.
-FEW = 12
+#: Lines with fewer such shingles than the first have bands of all their shingles; than the second, of both.
+FEW, FEWER_THAN = 10, 16
 #: A bitmap of line ids has about so many bits for each, within bounds (16 MB at most).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
 ID = ["h1", "h2"]
@@ -105,28 +108,29 @@ def with_bands(lines: DataFrame) -> DataFrame:
     which keeps its result from being computed once a minimum.
     """
     limits = [-(1 << 63) + i * ((1 << 64) // BANDS) for i in range(BANDS)]
-    sample = lambda c: F.regexp_extract_all("__line", F.lit(f"(?s)[^{c}]*+(?=([{c}].{{{SHINGLE - 1}}}))."), F.lit(1))
+    # What follows the last shingle of the sample is taken as one match, an empty one: else each of its characters would be tried up to the end.
+    found = lambda c: F.regexp_extract_all("__line", F.lit(f"(?s)[^{c}]*+(?:(?=([{c}].{{{SHINGLE - 1}}})).|.*+)"), F.lit(1))
+    sample = lambda c: F.array_remove(found(c), "")
     # The plain class is the faster one.
     starts = F.when(F.col("__line").rlike(OTHERS), sample(STARTS + OTHERS)).otherwise(sample(STARTS))
     rows = lines.withColumn("__line", _spaced(F.col("line"))).withColumn("__0", starts)
-    rows = rows.withColumn("__1", F.when(F.size("__0") < 2 * FEW, _parts(F.col("__line"), SHINGLE)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("__1", F.when(F.size("__0") < FEWER_THAN, _parts(F.col("__line"), SHINGLE)).otherwise(F.array().cast("array<string>")))
     rows = rows.withColumns({c: _hashes(F.col(c)) for c in ("__0", "__1")})
     rows = rows.withColumns({f"{c}o": F.sort_array(c) for c in ("__0", "__1")} | {
         f"{c}s": F.sort_array(F.concat(c, F.array(*[F.lit(x).cast("long") for x in limits]))) for c in ("__0", "__1")})
 
     below = lambda c: F.array(*[F.array_position(f"{c}s", F.lit(x).cast("long")) - 1 - b for b, x in enumerate(limits)])
-    rows = rows.withColumns({f"{c}p": below(c) for c in ("__0", "__1")})
+    # The first ones once more at the end.
+    around = lambda c: F.when(F.size(c) < ROWS, F.flatten(F.array_repeat(c, ROWS + 1))).otherwise(F.concat(F.col(c), F.slice(c, 1, ROWS)))
+    rows = rows.withColumns({f"{c}p": below(c) for c in ("__0", "__1")} | {f"{c}w": around(f"{c}o") for c in ("__0", "__1")})
 
     def keys(c: str, kind: int) -> Column:
-        minimum = lambda b, r: F.get(f"{c}o", F.pmod(F.get(f"{c}p", F.lit(b)) + r, F.greatest(F.size(f"{c}o"), F.lit(1))).cast("int"))
-        return F.array(*[F.xxhash64(F.lit(kind * BANDS + b), *[minimum(b, r) for r in range(ROWS)]) for b in range(BANDS)])
+        # A lambda is kept out of whole-stage code: all minima in one generated method would be too long for the JIT compiler.
+        return F.transform(f"{c}p", lambda at, b: F.xxhash64(b + kind * BANDS, *[F.get(F.col(f"{c}w"), (at + r).cast("int")) for r in range(ROWS)]))
 
     none = F.array().cast("array<long>")
-    # Asked by a higher-order function, which Spark keeps out of whole-stage code: all
-    # minima in one generated method would be too long for the JIT compiler.
-    has = lambda c, n: F.exists(F.slice(c, n, 1), lambda x: x.isNotNull())
-    made = F.concat(F.when(has("__0", FEW), keys("__0", 0)).otherwise(none), F.when(has("__1", 1), keys("__1", 1)).otherwise(none))
-    return rows.withColumn("bands", made).drop("__line", *[f"__{k}{x}" for k in (0, 1) for x in ("", "o", "s", "p")])
+    made = F.concat(F.when(F.size("__0") >= FEW, keys("__0", 0)).otherwise(none), F.when(F.size("__1") >= 1, keys("__1", 1)).otherwise(none))
+    return rows.withColumn("bands", made).drop("__line", *[f"__{k}{x}" for k in (0, 1) for x in ("", "o", "s", "p", "w")])
 
 
 def distinct_lines(spots: DataFrame) -> DataFrame:
@@ -135,12 +139,12 @@ def distinct_lines(spots: DataFrame) -> DataFrame:
     return with_bands(spots).groupBy(*ID).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("bands").alias("bands"))
 
 
-def _marked(ids: DataFrame) -> Column:
-    """A test that is true for every h1 of ``ids`` and for few others: a bitmap that the scan looks into."""
+def _marked(ids: DataFrame, name: str) -> Column:
+    """A test that is true for every hash of column ``name`` in ``ids`` and for few others: a bitmap that the scan looks into."""
     size = ids.count()
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * size).bit_length()))
-    bit = F.col("h1").bitwiseAND(F.lit(bits - 1))
-    own = F.expr("shiftleft(1L, cast(h1 & 63 as int))")
+    bit = F.col(name).bitwiseAND(F.lit(bits - 1))
+    own = F.expr(f"shiftleft(1L, cast({name} & 63 as int))")
     words = ids.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(own).alias("bits"))
     every = ids.sparkSession.range(bits // 64).withColumnRenamed("id", "word").join(words, "word", "left")
     # bits / 64 rows at most, whatever the number of ids.
@@ -172,40 +176,68 @@ def _relabelled(members: DataFrame, good: DataFrame) -> DataFrame:
     return members.join(moved, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
+def _alike(size: str, other: str, threshold: float) -> Column:
+    """A link needs sets of similar sizes."""
+    return F.least(size, other) >= threshold * F.greatest(size, other)
+
+
+def _by_rare_shingles(lines: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(band, id, label, size, at, n): the lines (id, label, size) in buckets of shingles; of
+    each line those at the front when all are put in order, rarest first.
+
+    Of two lines that link, the first shingle in common lies in the front of both,
+    with no fewer after it in either than they must have in common.  Shingles of one
+    line only take their places at the front, but need no bucket.
+    """
+    parts = lines.join(texts.select("id", "line"), "id").select("id", "label", "size", F.explode(shingles(F.col("line"))).alias("band"))
+    parts = stored(parts)
+    times = parts.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = parts.join(times, "band").groupBy("id", "label", "size").agg(F.sort_array(F.collect_list(F.struct("n", "band"))).alias("parts"))
+    alone = F.col("size") - F.size("parts")
+    front = F.floor(F.col("size") * (1 - threshold) + 1e-6).cast("int") + 1 - alone
+    own = own.filter(front > 0).select("id", "label", "size", alone.alias("alone"), F.posexplode(F.slice("parts", F.lit(1), front)).alias("at", "part"))
+    return own.select(F.col("part.band").alias("band"), "id", "label", "size", (F.col("at") + F.col("alone")).alias("at"), F.col("part.n").alias("n"))
+
+
 def links(spots: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     """Verified links (a, b) between distinct lines, ids as structs of h1 and h2."""
-    rows = lines.select("h1", F.explode("bands").alias("band"))
-    # Map-side combined, and joined back: no bucket needs to fit one task.  Stored, so that few buckets are sent.
+    rows = lines.select(*ID, F.explode("bands").alias("band"))
+    # Map-side combined, and joined back: no bucket needs to fit one task.
     shared = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    members = rows.join(shared, "band").join(lines.select(*ID), "h1")
+    # Bands of one line only, nearly all, end at the bitmap.
+    members = rows.filter(_marked(shared.select("band"), "band")).join(shared, "band")
     members = stored(members.select("band", F.struct(*ID).alias("id"), "n"))
     drop(shared)
-    members = members.join(members.groupBy("band").agg(F.min("id").alias("r")), "band")
     own = stored(members.select("id.h1", "id.h2").distinct())
     # Lines that share no bucket end here, nearly all of them in the scan; the others are few enough to keep.
-    texts = spots.select(*ID, "line").filter(_marked(own.select("h1"))).join(own, ID, "left_semi")
+    texts = spots.select(*ID, "line").filter(_marked(own.select("h1"), "h1")).join(own, ID, "left_semi")
     texts = texts.groupBy(*ID).agg(F.first("line").alias("line"))
     texts = stored(texts.select(F.struct(*ID).alias("id"), "line", F.size(shingles(F.col("line"))).alias("size")))
-    # A link needs sets of similar sizes.
-    members = members.join(texts.select("id", "size"), "id").withColumn("label", F.col("id"))
-    good = found = _compared(members.filter("id != r"), texts, threshold)
-    members = _relabelled(members, good)
+    members = stored(members.join(texts.select("id", "size"), "id"))
+    first = members.groupBy("band").agg(F.min(F.struct("id", "size")).alias("first"))
+    members = members.join(first.select("band", F.col("first.id").alias("r"), F.col("first.size").alias("other_size")), "band")
+    good = found = _compared(members.filter((F.col("id") != F.col("r")) & _alike("size", "other_size", threshold)), texts, threshold)
+    members = _relabelled(members.withColumn("label", F.col("id")), good).filter("id != r")
+    rest = _mixed(members.select("band", "id", "label", "size", F.lit(0).alias("at"), "n"))
+    if rest.isEmpty():
+        return found
+    large = rest.filter(F.col("n") > GROWTH).select("id", "label", "size").distinct()
+    members = rest.filter(F.col("n") <= GROWTH).unionByName(_by_rare_shingles(large, texts, threshold))
     # A line's place among its bucket's members, 0 to 1: ids are hashes, so about n * x members lie below x.
     place = F.col("id.h1").cast("double") / float(1 << 64) + 0.5
-    members = members.filter("id != r").withColumn("place", place)
-    previous, many = None, GROWTH
+    members = members.withColumn("place", place)
+    previous, many = rest, GROWTH
     while True:
-        # The buckets with members of different labels: all others are connected.
-        mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-        rest = stored(members.join(mixed.select("band"), "band", "left_semi"))
+        rest = _mixed(members)
         drop(previous)
         previous = rest
         if rest.isEmpty():
             return found
         upto = F.lit(float(many)) / F.col("n")
-        chosen = rest.filter(F.col("place") < upto).select("band", F.col("id").alias("r"), F.col("label").alias("other"), F.col("size").alias("other_size"))
-        pairs = rest.drop("r").join(chosen, "band").filter((F.col("id") > F.col("r")) & (F.col("label") != F.col("other")))
-        pairs = pairs.filter(F.least("size", "other_size") >= threshold * F.greatest("size", "other_size"))
+        chosen = rest.filter(F.col("place") < upto).select("band", F.col("id").alias("r"), F.col("label").alias("other"), F.col("size").alias("other_size"), F.col("at").alias("other_at"))
+        pairs = rest.join(chosen, "band").filter((F.col("id") > F.col("r")) & (F.col("label") != F.col("other")) & _alike("size", "other_size", threshold))
+        common = F.least(F.col("size") - F.col("at"), F.col("other_size") - F.col("other_at"))
+        pairs = pairs.filter(common * (1 + threshold) + 1e-6 >= (F.col("size") + F.col("other_size")) * threshold)
         good = _compared(pairs, texts, threshold)
         found = found.unionByName(good)
         # What was chosen has met all others of its bucket.
@@ -213,6 +245,12 @@ def links(spots: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
         many *= GROWTH
 
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets with different labels: all others are connected."""
+    mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
+    return stored(members.join(mixed.select("band"), "band", "left_semi"))
+
+
 def redundant(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, row_key, removed): positions of the lines to drop, for documents that have any."""
     spots = occurrences(docs, doc_id, text, min_chars)

@@ -157,3 +157,36 @@ def test_trees_on_edge_rows(spark, edge, none, folder):
     assert left.columns == edge.columns
     ids = [r.doc_id for r in left.collect()]
     assert ids.count(6) == 0 and ids.count(5) == 1 and ids.count(1) == 1 and ids.count(2) == 1
+
+
+def test_unlike_lines_of_a_large_bucket_are_few_pairs(spark, monkeypatch):
+    """Lines that share a passage, and near copies of one text that are unlike each other:
+    not their squares are compared, and no link is lost."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(lines, "with_bands", lambda rows: rows.withColumn("bands", F.array(F.lit(1).cast("long"))))
+    rng, met = random.Random(12), []
+    compared = lines._compared
+    monkeypatch.setattr(lines, "_compared", lambda pairs, *a: (met.append(pairs.select("id", "r").distinct().count()), compared(pairs, *a))[1])
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage, texts = [word() for _ in range(20)], []
+    for k in range(120):
+        text = passage + [word() for _ in range(10)] if k % 2 else [word() if rng.random() < 0.15 else w for w in passage + passage[::-1]]
+        texts.append(" ".join(text))
+    texts += [texts[1][:-3] + "xyz", texts[0][3:], texts[51][9:] + " abc"]
+    docs = list(enumerate(texts))
+    want = {k: v for k, v in redundant_lines(docs, lines.SHINGLE, lines.THRESHOLD, lines.MIN_CHARS).items() if v}
+    assert marked(spark.createDataFrame(docs, "doc_id long, text string")) == want and len(want) >= 3
+    assert sum(met) <= 6 * len(docs), met
+
+
+def test_scan_is_linear_in_a_line_without_sampled_characters(spark):
+    """A long line whose end has no sampled character is not scanned once from each of its characters."""
+    import time
+
+    docs = spark.createDataFrame([(k, f"{k} istanbul and more words to begin with " + "z" * 200_000) for k in range(2)], "doc_id long, text string")
+    spots = lines.occurrences(docs, "doc_id", "text", 1)
+    lines.with_bands(spots.limit(0)).collect()
+    began = time.time()
+    assert lines.with_bands(spots).filter("size(bands) > 0").count() == 2
+    assert time.time() - began < 20
