@@ -450,9 +450,9 @@ def _blocks(n: Column, members: Column) -> Column:
     return F.greatest(F.ceil(n / BLOCK), F.ceil(members / BLOCK_MEMBERS)).cast("int")
 
 
-def _collapse(active: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
+def _collapse(active: DataFrame, sets: DataFrame) -> DataFrame:
     """Links found when each class goes to one of its meeting points."""
-    one = active.groupBy("cls", "label", "n").agg(F.min_by("member", F.xxhash64(F.lit(seed), "member")).alias("member"))
+    one = active.groupBy("cls", "label", "n").agg(F.min_by("member", F.xxhash64("member")).alias("member"))
     one = stored(one)
     size = one.groupBy("member").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
     one = one.join(size, "member").withColumn("block", F.pmod(F.xxhash64("cls", "member"), _blocks(F.col("c"), F.col("s"))))
@@ -518,12 +518,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     before, meet = meet, stored(meet.join(able, "cls"))
     drop(before)
     sets = stored(sets_of(docs, text, bitmap(able)))
-    links = labels = None
-    for seed in range(2):
-        more = stored(_collapse(_active(meet, labels), sets, seed))
-        links = more if links is None else links.unionByName(more)
-        drop(labels)
-        labels = stored(components(links))
+    # Once: a second round moves all sets again, and most that are left don't link.
+    links = stored(_collapse(_active(meet, None), sets))
+    labels = stored(components(links))
     links = links.unionByName(stored(_rest(_active(meet, labels), sets)))
     comps = components(links).select(F.col("id").alias("cls"), "component")
     placed = rows_of.join(comps, "cls", "left").withColumn("component", F.coalesce("component", "cls"))

@@ -190,3 +190,12 @@ def test_scan_is_linear_in_a_line_without_sampled_characters(spark):
     began = time.time()
     assert lines.with_bands(spots).filter("size(bands) > 0").count() == 2
     assert time.time() - began < 20
+
+
+def test_trees_move_all_sets_once_before_the_rest(spark, monkeypatch):
+    """One collapse, and the two joins of the rest: each moves the sets, which are most of the disk."""
+    moved, with_sets = [], trees._with_sets
+    monkeypatch.setattr(trees, "_with_sets", lambda *a: (moved.append(1), with_sets(*a))[1])
+    docs = list(enumerate(variants(5, groups=6, size=20, words=60, edits=5)))
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == near_components(docs)
+    assert len(moved) <= 3
