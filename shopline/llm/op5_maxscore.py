@@ -9,11 +9,15 @@ essential lists are traversed for all rows; then the others are probed, one by
 one from the largest bound, for the rows that are still competitive.  The k
 best of each shard meet in a merge by query.
 
-Shards are packed rows of at most an Arrow batch of vectors, query blocks
-likewise, and a block meets each shard once through an equi-join on slots, so
-the work is spread over all tasks and neither side passes through the driver
-or is broadcast.  A task keeps a block's k-th best scores from one shard to
-the next (they remain true lower limits).
+Shards are packed rows of at most PACK vectors, in the least integer type that
+holds their weights; query blocks likewise.  Both are dealt over a grid of
+cells: shards over its columns, blocks over its rows, each row copied along
+the other side, so a block meets each shard in one cell.  A cell is one
+partition of a shuffle, sorted so that its blocks come first; its task holds
+those and streams the shards past them.  Nothing is broadcast or passes through
+the driver, whatever size Spark takes a side for, and the copies grow with the
+tasks, not with the shards.  A task keeps a block's k-th best scores from one
+shard to the next (they remain true lower limits).
 
 Edge cases: vectors that are null, empty, or hold a null or non-finite
 component take no part; a null id takes no part; rows with equal ids are
@@ -25,17 +29,22 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopline.llm.common import by_stream, stored, table
 
 #: Vectors in a shard or a query block at most.
 PACK = 8192
+#: Weights in one at most: very wide vectors make packs of fewer.
+PACK_WEIGHTS = 1 << 21
+#: Weights of the query blocks that a cell holds, about.
+HELD_WEIGHTS = 1 << 22
 #: Rows of a shard that are scored outright to get a first k-th best score.
 SEED_ROWS = 256
 
@@ -48,11 +57,13 @@ def quantise(vectors: DataFrame, vec_id: str, vector: str, scale: float = 256.0)
 
 
 def pack(rows: DataFrame, size: int = PACK) -> DataFrame:
-    """Packed rows (n, width, ids, weights) of at most ``size`` vectors each, of one width."""
+    """Packed rows (n, width, ids, weights) of at most ``size`` vectors each, of one width.
+    The weights' integer type follows from their length (:func:`_matrix`)."""
 
     def out(ids: list[int], rows: list[list[int]], width: int) -> dict:
-        return {"n": [len(ids)], "width": [width], "ids": [np.array(ids, "<i8").tobytes()],
-                "weights": [np.array(rows, "<i8").reshape(len(ids), width).tobytes()]}
+        weights = np.array(rows, "<i8").reshape(len(ids), width)
+        least = next(t for t in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(t).min <= weights.min(initial=0) and weights.max(initial=0) <= np.iinfo(t).max)
+        return {"n": [len(ids)], "width": [width], "ids": [np.array(ids, "<i8").tobytes()], "weights": [weights.astype(least).tobytes()]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held: dict[int, tuple[list, list]] = {}
@@ -61,7 +72,7 @@ def pack(rows: DataFrame, size: int = PACK) -> DataFrame:
                 ids, weights = held.setdefault(len(w), ([], []))
                 ids.append(i)
                 weights.append(w)
-                if len(ids) >= size:
+                if len(ids) >= min(size, max(1, PACK_WEIGHTS // max(1, len(w)))):
                     yield out(*held.pop(len(w)), len(w))
         for width, (ids, weights) in held.items():
             yield out(ids, weights, width)
@@ -69,6 +80,10 @@ def pack(rows: DataFrame, size: int = PACK) -> DataFrame:
     return by_stream(rows, [F.col("id"), F.col("w")], "n int, width int, ids binary, weights binary", run)
 
 
+def _matrix(weights: bytes, n: int, width: int) -> np.ndarray:
+    return np.frombuffer(weights, f"<i{len(weights) // (n * width) if n * width else 8}").reshape(n, width)
+
+
 class Shard:
     """Posting lists of one shard: a row of weights per term, in the order of ids."""
 
@@ -76,7 +91,7 @@ class Shard:
         self.ids = np.frombuffer(ids, "<i8")
         order = np.argsort(self.ids, kind="stable")
         self.ids = self.ids[order]
-        lists = np.frombuffer(weights, "<i8").reshape(n, width)[order].T
+        lists = _matrix(weights, n, width)[order].T
         # Exact in doubles as long as every sum stays under 2**53; else Python integers.
         self.limit = float(np.abs(lists.astype(float)).max(initial=0))
         self.whole = np.ascontiguousarray(lists)
@@ -122,35 +137,60 @@ def _kth(scores: np.ndarray, k: int) -> float:
     return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else -np.inf
 
 
+def grid(shards: DataFrame, blocks: DataFrame, tasks: int) -> tuple[DataFrame, int]:
+    """The rows of both (with a number ``at`` each) in the cells where they meet, and the number of cells.
+
+    About ``tasks`` cells, more if the blocks of a cell would be over HELD_WEIGHTS, in the shape that copies least.
+    """
+    low = (1 << 33) - 1
+    rows = F.count(F.lit(1)).alias("rows")
+    weights = F.coalesce(F.sum(F.col("n").cast("long") * (F.col("width") + 1)), F.lit(0)).alias("weights")
+    stride = (F.coalesce(F.max(F.col("at").bitwiseAND(F.lit(low))), F.lit(0)) + 1).alias("stride")
+    s, b = (t.agg(rows, weights, stride).first() for t in (shards, blocks))
+    down = max(1, min(b.rows, max(math.ceil(b.weights / HELD_WEIGHTS), round(math.sqrt(tasks * b.weights / max(1, s.weights))))))
+    across = max(1, min(s.rows, math.ceil(tasks / down)))
+
+    def dealt(stride: int, parts: int) -> Column:
+        # Tasks hold about the same number of packed rows, so these numbers have few gaps.
+        return F.pmod(F.shiftright("at", 33) * stride + F.col("at").bitwiseAND(F.lit(low)), F.lit(parts)).cast("int")
+
+    def copied(t: DataFrame, is_shard: bool, cell: Column) -> DataFrame:
+        return t.select("at", "n", "width", "ids", "weights", F.lit(is_shard).alias("is_shard"), cell.alias("cell"))
+
+    return copied(shards, True, F.explode(F.transform(F.sequence(F.lit(0), F.lit(down - 1)), lambda y: y * across + dealt(s.stride, across)))).unionByName(
+        copied(blocks, False, F.explode(F.transform(F.sequence(F.lit(0), F.lit(across - 1)), lambda x: dealt(b.stride, down) * across + x)))), across * down
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best other vectors, of
     frames (id, w); scores descend, ties go to the smaller id."""
-    shards, blocks = stored(pack(vectors)), stored(pack(queries))
-    slots = max(1, shards.count())
-    shards = shards.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
-    blocks = blocks.select(F.xxhash64("ids", "weights").alias("block"), F.col("n").alias("qn"), F.col("width").alias("qwidth"), F.col("ids").alias("qids"), F.col("weights").alias("qweights"),
-                           F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
+    # Numbered before they are stored: equal blocks stay separate queries.
+    shards, blocks = (stored(pack(rows).withColumn("at", F.monotonically_increasing_id())) for rows in (vectors, queries))
+    cells, tasks = grid(shards, blocks, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        best: dict[tuple, np.ndarray] = {}
+        cell, held = None, []
         for batch in batches:
             for r in batch.to_pylist():
+                if r["cell"] != cell:
+                    cell, held = r["cell"], []
+                if not r["is_shard"]:
+                    held.append((r["at"], np.frombuffer(r["ids"], "<i8"), _matrix(r["weights"], r["n"], r["width"]), np.full(r["n"], -np.inf)))
+                    continue
                 shard = Shard(r["ids"], r["weights"], r["n"], r["width"])
-                qids = np.frombuffer(r["qids"], "<i8")
-                weights = np.frombuffer(r["qweights"], "<i8").reshape(r["qn"], r["qwidth"])
-                theta = best.setdefault(r["block"], np.full(r["qn"], -np.inf))
-                out: tuple[list, ...] = ([], [], [], [])
-                for i, (qid, q) in enumerate(zip(qids.tolist(), weights, strict=True)):
-                    rows, total, theta[i] = shard.scores(q, k, theta[i], qid)
-                    top = sorted(zip([-int(s) for s in total.tolist()], shard.ids[rows].tolist(), strict=True))[:k] if len(rows) else []
-                    out[0].extend([qid] * len(top))
-                    out[1].extend(v for _, v in top)
-                    out[2].extend(-s for s, _ in top)
-                    out[3].extend([i] * len(top))
-                yield {"query_id": out[0], "vec_id": out[1], "score": out[2], "block": [r["block"]] * len(out[0]), "place": out[3]}
-
-    pairs = shards.join(blocks, "slot")
-    found = by_stream(pairs, [F.col(c) for c in ("n", "width", "ids", "weights", "block", "qn", "qwidth", "qids", "qweights")],
+                for block, qids, weights, theta in held:
+                    out: tuple[list, ...] = ([], [], [], [])
+                    for i, (qid, q) in enumerate(zip(qids.tolist(), weights, strict=True)):
+                        rows, total, theta[i] = shard.scores(q, k, theta[i], qid)
+                        top = sorted(zip([-int(s) for s in total.tolist()], shard.ids[rows].tolist(), strict=True))[:k] if len(rows) else []
+                        out[0].extend([qid] * len(top))
+                        out[1].extend(v for _, v in top)
+                        out[2].extend(-s for s, _ in top)
+                        out[3].extend([i] * len(top))
+                    yield {"query_id": out[0], "vec_id": out[1], "score": out[2], "block": [block] * len(out[0]), "place": out[3]}
+
+    dealt = cells.repartitionById(tasks, F.col("cell")).sortWithinPartitions("cell", "is_shard")
+    found = by_stream(dealt, [F.col(c) for c in ("cell", "is_shard", "at", "n", "width", "ids", "weights")],
                       "query_id long, vec_id long, score long, block long, place int", run)
     order = Window.partitionBy("query_id", "block", "place").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

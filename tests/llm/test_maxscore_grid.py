@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import numpy as np
+
+from shopline.llm import op5_maxscore as ms
+from tests.llm.test_scores_archives_search import search_naive
+
+WEIGHTS = "id", "transform(sequence(1, 6), j -> pmod(xxhash64(id % 140, j), 1801) - 900) as w"
+
+
+def rows_of(df) -> list[tuple]:
+    return [(r.id, list(r.w)) for r in df.collect()]
+
+
+def test_blocks_for_all_shards_do_not_pass_through_the_driver(spark, monkeypatch):
+    pack = ms.pack
+    monkeypatch.setattr(ms, "pack", lambda rows: pack(rows, 8))
+    vectors = spark.range(200).selectExpr(*WEIGHTS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")  # Spark's default: stored blocks are far below it, their copies for all shards may be gigabytes
+    got = ms.search(vectors, vectors.filter("id % 50 = 0"), 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "CartesianProduct" not in plan
+    assert sorted(map(tuple, got.collect())) == search_naive(rows_of(vectors), 5)
+
+
+def test_each_block_meets_each_shard_once_in_any_grid(spark, monkeypatch):
+    pack = ms.pack
+    monkeypatch.setattr(ms, "pack", lambda rows: pack(rows, 8))
+    vectors = spark.range(0, 200, 1, 3).selectExpr(*WEIGHTS)
+    want = search_naive(rows_of(vectors), 5)
+    for held, tasks in ((1 << 22, 1), (1 << 22, 8), (1 << 22, 500), (7, 1), (7, 8)):
+        monkeypatch.setattr(ms, "HELD_WEIGHTS", held)
+        shards, blocks = (ms.pack(v).withColumn("at", ms.F.monotonically_increasing_id()).cache() for v in (vectors, vectors.filter("id % 50 = 0")))
+        cells, n = ms.grid(shards, blocks, tasks)
+        rows = cells.select("cell", "is_shard", "at").collect()
+        assert {r.cell for r in rows} <= set(range(n)) and n <= max(tasks, shards.count() * blocks.count())
+        met = [(s.at, b.at) for s in rows if s.is_shard for b in rows if not b.is_shard and b.cell == s.cell]
+        assert len(met) == len(set(met)) == shards.count() * blocks.count()
+        if held == 7:  # a block of one query is held at a time
+            assert max(sum(r.cell == c and not r.is_shard for r in rows) for c in range(n)) < blocks.count()
+        assert sorted(map(tuple, ms.search(vectors, vectors.filter("id % 50 = 0"), 5).collect())) == want
+
+
+def test_equal_blocks_are_separate_queries(spark, monkeypatch):
+    pack = ms.pack
+    monkeypatch.setattr(ms, "pack", lambda rows: pack(rows, 1))
+    half = spark.range(0, 60, 1, 1).selectExpr(*WEIGHTS)
+    twice = half.unionByName(half)  # packs of the same bytes
+    assert sorted(map(tuple, ms.search(twice, twice.filter("id % 50 = 0"), 5).collect())) == search_naive(rows_of(twice), 5)
+
+
+def test_weights_of_any_size_are_packed_whole(spark, monkeypatch):
+    monkeypatch.setattr(ms, "PACK_WEIGHTS", 12)
+    rows = [(i, [v * s for v in (1, -1, i - 2)]) for i, s in enumerate((1, 100, 127, 128, 200, 32_767, 40_000, 1 << 31, 1 << 40))]
+    rows += [(20, [-128, 127, 0]), (21, [-129, 0, 0]), (22, [-(1 << 63), (1 << 63) - 1, 0]), (23, [5]), (24, list(range(40)))]
+    packed = ms.pack(spark.createDataFrame(rows, "id long, w array<long>").repartition(2)).collect()
+    found = {}
+    for r in packed:
+        assert r.n == 1 or r.n * r.width <= 12
+        found.update(zip(np.frombuffer(r.ids, "<i8").tolist(), ms._matrix(r.weights, r.n, r.width).tolist(), strict=True))
+    assert found == dict(rows)
