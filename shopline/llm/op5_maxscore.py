@@ -4,10 +4,11 @@ Vectors are rows of integer weights; a query's terms are its components, and
 the posting list of a term holds every row's weight for it.  Per shard, a
 term's bound is the most it can add to any row's score.  For each query the
 terms are ordered by their bounds: the least of them, whose bounds together
-can't lift a row over the k-th best score so far, are non-essential.  The
-essential lists are traversed for all rows; then the others are probed, one by
-one from the largest bound, for the rows that are still competitive.  The k
-best of each shard meet in a merge by query.
+are well under the k-th best score so far, are non-essential.  The essential lists
+are traversed for all rows, for many queries in one product; then the others are
+probed, one by one from the largest bound, for the rows that are still
+competitive.  A shard whose bounds can't lift a row over the k-th best score is
+left out.  The k best of each shard meet in a merge by query.
 
 Shards are packed rows of at most PACK vectors, in the least integer type that
 holds their weights; query blocks likewise.  Both are dealt over a grid of
@@ -47,6 +48,10 @@ PACK_WEIGHTS = 1 << 21
 HELD_WEIGHTS = 1 << 22
 #: Rows of a shard that are scored outright to get a first k-th best score.
 SEED_ROWS = 256
+#: Scores held at a time: so many queries of a block meet a shard in one product.
+ROUND = 1 << 20
+#: Lists are non-essential once their bounds together are under this share of the k-th best score.
+SHARE = 0.1
 
 
 def quantise(vectors: DataFrame, vec_id: str, vector: str, scale: float = 256.0) -> DataFrame:
@@ -95,46 +100,85 @@ class Shard:
         # Exact in doubles as long as every sum stays under 2**53; else Python integers.
         self.limit = float(np.abs(lists.astype(float)).max(initial=0))
         self.whole = np.ascontiguousarray(lists)
-        self.lists = self.whole.astype(float)
-        self.most, self.least = self.lists.max(1, initial=-np.inf), self.lists.min(1, initial=np.inf)
+        self.lists = self.whole.astype(np.float32 if self.limit < 2**24 else float)
+        self.most, self.least = self.lists.max(1, initial=-np.inf).astype(float), self.lists.min(1, initial=np.inf).astype(float)
 
     def scores(self, query: np.ndarray, k: int, theta: float, skip: int) -> tuple[np.ndarray, np.ndarray, float]:
-        """Rows that may be among the k best (scores exact), and the new k-th best score."""
-        q = np.zeros(len(self.lists))
-        width = min(len(q), len(query))
-        q[:width] = query[:width]
-        if self.limit * float(np.abs(q).max(initial=0)) * max(1, len(q)) >= 2.0**53:
-            exact = (self.whole[:width].T.astype(object) * query[None, :width].astype(object)).sum(1)
-            rows = np.flatnonzero(self.ids != skip)
-            return rows, exact[rows], theta
+        """Rows that may be among the k best of one query (scores exact), and the new k-th best score."""
+        limits = np.array([theta])
+        _, rows, total = self.best(query[None, :], k, limits, np.array([skip]))
+        return rows, total, limits[0]
+
+    def best(self, queries: np.ndarray, k: int, theta: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k best rows of each query that may be among its k best of all shards:
+        places in ``queries``, rows and exact scores.  ``theta``, the k-th best scores so far, rises."""
+        most = np.abs(queries.astype(float)).max(1, initial=0)
+        bound = self.limit * most * max(1, len(self.lists))
+        step = max(1, ROUND // max(1, len(self.ids)))
+        found = []
+        # Sums under 2**24 are exact in single precision, under 2**53 in double, else taken in Python integers.
+        for kind, of in ((np.float32, bound < 2.0**24), (float, (bound >= 2.0**24) & (bound < 2.0**53))):
+            places = np.flatnonzero(of)
+            for i in range(0, len(places), step):
+                at = places[i : i + step]
+                limits = theta[at]
+                q, rows, total = self._round(queries[at], k, limits, skip[at], kind)
+                theta[at] = limits
+                found.append((at[q], rows, total.astype("<i8")))
+        for i in np.flatnonzero(bound >= 2.0**53):
+            width = min(len(self.whole), queries.shape[1])
+            exact = (self.whole[:width].T.astype(object) * queries[i][None, :width].astype(object)).sum(1)
+            rows = np.flatnonzero(self.ids != skip[i])
+            rows = rows[np.array(sorted(range(len(rows)), key=lambda r: (-exact[rows[r]], self.ids[rows[r]]))[:k], int)]
+            found.append((np.full(len(rows), i), rows, exact[rows]))
+        places, rows, total = zip(*found, strict=True) if found else ([np.zeros(0, int)],) * 3
+        return np.concatenate(places), np.concatenate(rows), np.concatenate(total)
+
+    def _round(self, queries: np.ndarray, k: int, theta: np.ndarray, skip: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists, terms_n, n = self.lists.astype(kind, copy=False), len(self.lists), len(self.ids)
+        q = np.zeros((len(queries), terms_n))
+        width = min(terms_n, queries.shape[1])
+        q[:, :width] = queries[:, :width]
+        # ids are in order: rows that are not a query's candidates
+        own = np.searchsorted(self.ids, skip, "left"), np.searchsorted(self.ids, skip, "right")
+        new = np.flatnonzero(np.isneginf(theta))
+        if len(new) and min(n, SEED_ROWS) >= k:
+            seed = q[new].astype(kind) @ lists[:, :SEED_ROWS]
+            for i in np.flatnonzero((own[1] > own[0])[new]):
+                seed[i, own[0][new[i]] : own[1][new[i]]] = -np.inf
+            theta[new] = np.partition(seed, seed.shape[1] - k, 1)[:, seed.shape[1] - k]
         bound = np.where(q > 0, q * self.most, q * self.least)
-        terms = np.argsort(-bound, kind="stable")
-        seed = slice(0, SEED_ROWS)
-        theta = max(theta, _kth((q @ self.lists[:, seed])[self.ids[seed] != skip], k))
-        # rest[i]: the most that the terms from the i-th on can add
-        rest = np.concatenate([np.cumsum(bound[terms][::-1])[::-1], [0.0]])
-        essential = int(np.argmax(rest < theta)) if (rest < theta).any() else len(terms)
-        first = terms[:essential]
-        total = q[first] @ self.lists[first] if essential else np.zeros(len(self.ids))
-        alive = np.flatnonzero((total + rest[essential] >= theta) & (self.ids != skip))
-        total = total[alive]
-        for i in range(essential, len(terms)):
-            if not len(alive):
+        terms = np.argsort(-bound, 1, kind="stable")
+        # rest[:, i]: the most that the terms from the i-th on can add
+        rest = np.zeros((len(q), terms_n + 1))
+        rest[:, :terms_n] = np.cumsum(np.take_along_axis(bound, terms, 1)[:, ::-1], 1)[:, ::-1]
+        # Whole lists cost little in one product, so they are traversed until the others could add but a share of the k-th best score.
+        below = rest < np.where(theta > 0, theta * SHARE, theta)[:, None]
+        essential = np.where(rest[:, 0] < theta, 0, np.where(below.any(1), below.argmax(1), terms_n))
+        live = np.flatnonzero(rest[:, 0] >= theta)
+        first = np.zeros((len(live), terms_n))
+        np.put_along_axis(first, terms[live], np.take_along_axis(q[live], terms[live], 1) * (np.arange(terms_n) < essential[live, None]), 1)
+        total = first.astype(kind) @ lists
+        stay = total >= (theta - rest[np.arange(len(q)), essential])[live, None].astype(kind)
+        for i in np.flatnonzero((own[1] > own[0])[live]):
+            stay[i, own[0][live[i]] : own[1][live[i]]] = False
+        at, rows = np.divmod(np.flatnonzero(stay), n)
+        total, at = total[at, rows].astype(float), live[at]
+        for i in range(int(essential[live].min(initial=terms_n)), terms_n):
+            if not len(at):
                 break
-            t = terms[i]
-            total = total + q[t] * self.lists[t, alive]
-            stay = total + rest[i + 1] >= theta
+            t = terms[at, i]
+            total = total + np.where(essential[at] <= i, q[at, t] * lists[t, rows], 0.0)
+            stay = total + rest[at, np.maximum(i + 1, essential[at])] >= theta[at]
             if not stay.all():
-                alive, total = alive[stay], total[stay]
-        if len(total) >= k:
-            theta = max(theta, _kth(total, k))
-            stay = total >= theta
-            alive, total = alive[stay], total[stay]
-        return alive, total, theta
-
-
-def _kth(scores: np.ndarray, k: int) -> float:
-    return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else -np.inf
+                at, rows, total = at[stay], rows[stay], total[stay]
+        order = np.lexsort((rows, -total, at))  # rows are in the order of ids
+        at, rows, total = at[order], rows[order], total[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at, "left")
+        kth = rank == k - 1
+        theta[at[kth]] = np.maximum(theta[at[kth]], total[kth])
+        top = rank < k
+        return at[top], rows[top], total[top]
 
 
 def grid(shards: DataFrame, blocks: DataFrame, tasks: int) -> tuple[DataFrame, int]:
@@ -179,15 +223,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                     continue
                 shard = Shard(r["ids"], r["weights"], r["n"], r["width"])
                 for block, qids, weights, theta in held:
-                    out: tuple[list, ...] = ([], [], [], [])
-                    for i, (qid, q) in enumerate(zip(qids.tolist(), weights, strict=True)):
-                        rows, total, theta[i] = shard.scores(q, k, theta[i], qid)
-                        top = sorted(zip([-int(s) for s in total.tolist()], shard.ids[rows].tolist(), strict=True))[:k] if len(rows) else []
-                        out[0].extend([qid] * len(top))
-                        out[1].extend(v for _, v in top)
-                        out[2].extend(-s for s, _ in top)
-                        out[3].extend([i] * len(top))
-                    yield {"query_id": out[0], "vec_id": out[1], "score": out[2], "block": [block] * len(out[0]), "place": out[3]}
+                    places, rows, total = shard.best(weights, k, theta, qids)
+                    yield {"query_id": qids[places], "vec_id": shard.ids[rows], "score": total, "block": np.full(len(places), block), "place": places.astype("<i4")}
 
     dealt = cells.repartitionById(tasks, F.col("cell")).sortWithinPartitions("cell", "is_shard")
     found = by_stream(dealt, [F.col(c) for c in ("cell", "is_shard", "at", "n", "width", "ids", "weights")],

@@ -59,3 +59,27 @@ def test_weights_of_any_size_are_packed_whole(spark, monkeypatch):
         assert r.n == 1 or r.n * r.width <= 12
         found.update(zip(np.frombuffer(r.ids, "<i8").tolist(), ms._matrix(r.weights, r.n, r.width).tolist(), strict=True))
     assert found == dict(rows)
+
+
+def test_best_rows_are_exact_in_every_precision(monkeypatch):
+    draw = np.random.default_rng(5)
+    for round_, seed_rows, share in ((1 << 20, 256, 0.1), (300, 16, 1.0), (50, 4, 0.5)):
+        monkeypatch.setattr(ms, "ROUND", round_)
+        monkeypatch.setattr(ms, "SEED_ROWS", seed_rows)
+        monkeypatch.setattr(ms, "SHARE", share)
+        for spread in (2, 150, 5_000, 1 << 25, 1 << 29):
+            for low in (-spread, 0, 1 - 2 * spread):
+                queries, skip = draw.integers(low, low + 2 * spread, (23, 9)), draw.integers(0, 80, 23)
+                queries[3], queries[4] = 0, queries[4] * (spread < 1 << 28) * 999  # of several precisions in a block
+                theta, found = np.full(23, -np.inf), [[] for _ in range(23)]
+                candidates = []
+                for width in (9, 7, 12):
+                    ids, w = draw.integers(0, 90, 60), draw.integers(low, low + 2 * spread, (60, width))
+                    shard = ms.Shard(ids.astype("<i8").tobytes(), w.astype("<i8").tobytes(), 60, width)
+                    places, rows, total = shard.best(queries, 4, theta, skip)
+                    for p, r, t in zip(places.tolist(), rows.tolist(), total.tolist(), strict=True):
+                        found[p].append((-int(t), int(shard.ids[r])))
+                    candidates += [(i, list(v) + [0] * 12) for i, v in zip(ids.tolist(), w.tolist(), strict=True)]
+                for q, own, got in zip(queries.tolist(), skip.tolist(), found, strict=True):
+                    want = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), i) for i, v in candidates if i != own)[:4]
+                    assert sorted(got)[:4] == want
